@@ -34,7 +34,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def input_bytes(df: DataFrame) -> int:
     """The planner's estimate of the size of ``df``: the files' bytes for a scan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def partitions_for(df: DataFrame, each: int, least: int = 8, most: int = 1_000_000) -> int:
