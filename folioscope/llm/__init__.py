@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from .packing import op9_packing
 from .prob_minhash import op10_prob_minhash
+from .quality_crf import op1_quality_crf
+from .toxicity_kn import op5_toxicity_kn
+
+_QUERIES = (op1_quality_crf, op5_toxicity_kn, op9_packing, op10_prob_minhash)
 
 
 def queries() -> dict:
-    return {"op10_prob_minhash": op10_prob_minhash}
+    return {q.__name__: q for q in _QUERIES}
 
 
 def oracle_sql() -> dict:
