@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from . import curriculum
+from .curriculum import op4_curriculum
 from .packing import op9_packing
 from .prob_minhash import op10_prob_minhash
 from .quality_crf import op1_quality_crf
 from .toxicity_kn import op5_toxicity_kn
 
-_QUERIES = (op1_quality_crf, op5_toxicity_kn, op9_packing, op10_prob_minhash)
+_QUERIES = (op1_quality_crf, op4_curriculum, op5_toxicity_kn, op9_packing, op10_prob_minhash)
 
 
 def queries() -> dict:
@@ -15,4 +17,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op4_curriculum": curriculum.ORACLE}

@@ -11,10 +11,12 @@ which is the plain Jaccard similarity where all weights are equal. Registers are
 pairs, and every candidate is verified with the exact J_P of the two texts.
 
 Plan: (1) one Arrow pass makes signatures, stored once; (2) texts of equal word sequence collapse to one node
-before any comparison; (3) every bucket links its members to a centre, the member with most bucket company (a
-base text is nearest to all its edits); (4) nodes of a bucket that are still in different components are compared
-with all members of other components there, so that no pair of a bucket that could join two components stays
-untested. No all-pairs step, no cap on a bucket.
+before any comparison; (3) buckets with the same members collapse to one; (4) within a bucket, pairs whose registers
+agree to at least the threshold less ``SLACK`` (three standard deviations of the estimate) are candidates: first the
+edges of a maximum spanning forest, then for pairs that stay in different components the closest few of each member,
+then all that are left; each round is verified and joined into components before the next. So a bucket emits about
+as many pairs as it has members, though none that could join two components stays untested. A bucket of more than
+``BLOCK`` members is dealt in blocks, each pair of blocks to a task, so no task grows with a bucket.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ K = 5
 THRESHOLD = 0.8
 BANDS = 26
 ROWS = 5
+SLACK = 0.1
+BLOCK = 4000
 _GOLD = 0x9E3779B97F4A7C15
 
 
@@ -95,7 +99,8 @@ def _signed(bands: int, rows: int, k: int):
             some = np.bincount(row, minlength=n) > 0
             sizes = np.where(some, bands, 0)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(b[some].ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([rows_.column(0), pa.array(k1), pa.array(k2), lists], ["doc_id", "k1", "k2", "bands"])
+            short = [x.tobytes() for x in (tc.mix(sig.reshape(n, -1)) >> np.uint64(48)).astype("<u2")]
+            yield pa.RecordBatch.from_arrays([rows_.column(0), pa.array(k1), pa.array(k2), lists, pa.array(short, pa.binary())], ["doc_id", "k1", "k2", "bands", "sig"])
 
     return run
 
@@ -166,7 +171,67 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         before = now
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, k: int = K) -> DataFrame:
+def _forest(sig: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Edges of a maximum spanning forest of the agreement graph (Prim), those below ``least`` left out."""
+    m, width = sig.shape
+    best, parent = np.full(m, -1.0), np.zeros(m, np.int64)
+    out_of = np.ones(m, bool)
+    now, edges = 0, []
+    for _ in range(m - 1):
+        out_of[now] = False
+        rest = np.flatnonzero(out_of)
+        agree = (sig[rest] == sig[now]).sum(1) / width
+        closer = agree > best[rest]
+        best[rest[closer]] = agree[closer]
+        parent[rest[closer]] = now
+        now = int(rest[np.argmax(best[rest])])
+        if best[now] >= least:
+            edges.append((int(parent[now]), now))
+    return edges
+
+
+def _closest(sig: np.ndarray, component: np.ndarray, least: float, most: int | None) -> list[tuple[int, int]]:
+    """Pairs of different components that agree to ``least``; with ``most``, each member's closest so many."""
+    edges = []
+    for i in range(len(sig)):
+        other = np.flatnonzero(component != component[i]) if most else i + 1 + np.flatnonzero(component[i + 1 :] != component[i])
+        if len(other):
+            agree = (sig[other] == sig[i]).mean(1)
+            near = np.flatnonzero(agree >= least)
+            if most and len(near) > most:
+                near = near[np.argpartition(-agree[near], most)[:most]]
+            edges += [(i, int(j)) for j in other[near]]
+    return edges
+
+
+def _candidates(least: float, most: int | None, first: bool):
+    """Pairs of nodes from rows (group, node, component, sig) that are sorted by group."""
+
+    def pairs(nodes, component, sig):
+        sig = np.frombuffer(b"".join(sig), "<u2").reshape(len(nodes), -1)
+        edges = _forest(sig, least) if first else _closest(sig, np.array(component), least, most)
+        ids = [(min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for i, j in edges]
+        a, b = zip(*ids, strict=True) if ids else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    def run(batches):
+        group, nodes, component, sig = None, [], [], []
+        for batch in batches:
+            for g, n, c, s in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if g != group:
+                    if len(nodes) > 1 and (first or len(set(component)) > 1):
+                        yield pairs(nodes, component, sig)
+                    group, nodes, component, sig = g, [], [], []
+                nodes.append(n)
+                component.append(c)
+                sig.append(s)
+        if len(nodes) > 1 and (first or len(set(component)) > 1):
+            yield pairs(nodes, component, sig)
+
+    return run
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, k: int = K, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, class_id, kept.
 
     A class is a connected component of pairs with J_P >= threshold; class_id is its least doc_id, and ``kept``
@@ -174,20 +239,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     texts. Rows that repeat a doc_id with another text are classed by their own text. A null doc_id is never a
     class's name unless the class has no other. Extra columns are ignored. An empty table gives no rows.
     """
-    spark = docs.sparkSession
     docs = columns(docs, doc_id="long", text="string")
-    sigs = stored(docs.mapInArrow(_signed(bands, rows, k), "doc_id long, k1 long, k2 long, bands array<long>"), "signatures")
-    nodes = stored(sigs.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.min("bands").alias("bands")), "nodes")
+    sigs = stored(docs.mapInArrow(_signed(bands, rows, k), "doc_id long, k1 long, k2 long, bands array<long>, sig binary"), "signatures")
+    nodes = stored(sigs.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("bands", "sig")).alias("s")).select(F.col("k1").alias("node"), "k2", "doc_id", "s.bands", "s.sig"), "nodes")
 
-    keys = nodes.select(F.col("k1").alias("node"), F.explode("bands").alias("bucket"))
-    shared = keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    member = keys.join(shared, "bucket")
-    company = member.groupBy("node").agg(F.sum("n").alias("company"))
-    member = stored(member.join(company, "node").select("bucket", "node", "company"), "members")
-    centre = member.groupBy("bucket").agg(F.max(F.struct("company", "node")).alias("c")).select("bucket", F.col("c.node").alias("centre"))
+    keys = nodes.select("node", F.explode("bands").alias("bucket"))
+    sets = keys.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")
+    distinct = sets.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    member = stored(keys.join(distinct, "bucket").join(nodes.select("node", "sig"), "node").select("bucket", "blocks", "node", "sig"), "members")
 
     wanted = member.select("node").distinct()
-    rep = nodes.select(F.col("k1").alias("node"), "k2", "doc_id").join(wanted, "node").select("doc_id", F.col("node").alias("k1"), "k2")
+    rep = nodes.join(wanted, "node", "left_semi").select("doc_id", F.col("node").alias("k1"), "k2")
     texts = stored(docs.join(rep, "doc_id").select("k1", "k2", "text").mapInArrow(_keyed, "node long, text string").dropDuplicates(["node"]), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -196,27 +258,29 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
         return both.mapInArrow(_verifier(threshold, k), "a long, b long")
 
-    pair = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    star = member.join(centre, "bucket").where("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y")).select(*pair).distinct()
-    star = stored(star, "star")
-    links = stored(verified(star), "links")
-    label = components(links)
-
-    def labelled(df: DataFrame) -> DataFrame:
-        return df.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-
-    placed = labelled(member.select("bucket", "node"))
-    split = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-    placed = placed.join(split, "bucket")
-    main = labelled(centre.withColumnRenamed("centre", "node")).select("bucket", F.col("component").alias("main"))
-    odd = placed.join(main, "bucket").where("component <> main").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"))
-    rest = odd.join(placed, "bucket").where("component <> cx").select("x", F.col("node").alias("y")).select(*pair).distinct()
-    rest = rest.join(star, ["a", "b"], "left_anti")
-    more = stored(verified(rest), "links")
-    if not more.isEmpty():
-        label = components(links.union(more))
-
-    classed = labelled(nodes.select(F.col("k1").alias("node"), "k2", "doc_id"))
+    def grouped(placed: DataFrame) -> DataFrame:
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        shares = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, own).alias("i"), F.greatest(j, own).alias("j")))
+        dealt = placed.withColumn("part", F.explode(shares)).withColumn("group", F.xxhash64("bucket", "part"))
+        return dealt.repartition("group").sortWithinPartitions("group", "node").select("group", "node", "component", "sig")
+
+    label, links, tested = None, None, None
+    for most, first in ((None, True), (4, False), (None, False)):
+        placed = member.withColumn("component", F.col("node"))
+        if label is not None:
+            placed = member.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            split = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
+            placed = placed.join(split, "bucket", "left_semi")
+        pairs = grouped(placed).mapInArrow(_candidates(threshold - SLACK, most, first), "a long, b long").distinct()
+        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if label is not None and pairs.isEmpty():
+            continue
+        more = stored(verified(pairs), "links")
+        links = more if links is None else links.union(more)
+        tested = pairs if tested is None else tested.union(pairs)
+        label = components(links)
+
+    classed = nodes.select("node", "k2", "doc_id").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = classed.groupBy("component").agg(F.min("doc_id").alias("class_id"))
     classed = classed.join(least, "component").select(F.col("node").alias("k1"), "k2", "class_id")
     return sigs.select("doc_id", "k1", "k2").join(classed, ["k1", "k2"]).select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
