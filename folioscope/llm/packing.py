@@ -7,12 +7,14 @@ every run. Within a group texts longer than a sequence give full pieces, the rem
 into the first bin with room, and the gaps that stay open are closed with cuts of the emptiest bins. The last
 bin is left as sequences of power-of-two lengths, which need no padding.
 
-Tokenising is cached by word: the tokenizer never joins across ASCII white space, so each distinct word is
+Tokenising is cached by piece: this tokenizer lowers case and joins neither across ASCII white space nor from an
+ASCII letter to ASCII punctuation or a digit (but for an apostrophe before a letter), so each distinct piece is
 encoded once per worker and texts are assembled from the cached ids with array gathers.
 """
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -26,9 +28,10 @@ from .common import columns, partitions_for, table
 
 CAPACITY = 4096
 END_ID = 2
-GROUP_TOKENS = 4_000_000
+GROUP_TOKENS = 2_000_000
 PARTITION_BYTES = 8 << 20
-CACHED_WORDS = 500_000
+CACHE_SLOTS = 1 << 21
+CACHED_IDS = 6_000_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -38,65 +41,95 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+_LETTER, _OTHER, _QUOTE = np.zeros(256, bool), np.zeros(256, bool), 39
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_OTHER[33:127] = True
+_OTHER &= ~_LETTER
+_SPECIAL = ("<|startoftext|>", "<|endoftext|>")
+
+
+def pieces(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and rows of spans that the tokenizer treats independently of each other."""
+    starts, ends, row = tc.spans(data, offs)
+    raw = data.tobytes()
+    if len(data) < 2 or any(x.encode() in raw for x in _SPECIAL):
+        return starts, ends, row
+    letter, other = _LETTER[data], _OTHER[data]
+    cut = (letter[:-1] & other[1:]) | (other[:-1] & letter[1:] & (data[:-1] != _QUOTE))
+    at = np.flatnonzero(cut) + 1
+    at = at[~np.isin(at, offs)]
+    starts = np.sort(np.concatenate([starts, at]), kind="stable")
+    return starts, np.sort(np.concatenate([ends, at]), kind="stable"), np.searchsorted(offs, starts, "right") - 1
+
+
 class WordIds:
-    """Ids of texts, word by word, from a bounded cache; words met again survive when it is cleared."""
+    """Ids of texts, piece by piece, through a cache of fixed size with two places for each hash."""
 
-    def __init__(self, path: str, limit: int = CACHED_WORDS):
+    def __init__(self, path: str, slots: int = CACHE_SLOTS, most_ids: int = CACHED_IDS):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
         from tokenizers import Tokenizer
 
-        self.encoder, self.limit = Tokenizer.from_file(path), limit
-        self.at: dict[int, int] = {}
-        self.ids, self.size, self.hits, self.used = np.empty(1 << 16, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int32), 0
-        self.first = np.zeros(0, np.int64)
-
-    def _trim(self) -> None:
-        keep = np.flatnonzero(self.hits > 0)
-        if len(keep) > self.limit // 2:
-            keep = keep[:0]
-        old = {i: k for k, i in enumerate(keep.tolist())}
-        self.at = {h: old[i] for h, i in self.at.items() if i in old}
-        size, first = self.size[keep], self.first[keep]
-        total = int(size.sum())
-        src = np.repeat(first - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(total) if total else np.zeros(0, np.int64)
-        self.ids = np.r_[self.ids[src], np.empty(1 << 16, np.uint32)]
-        self.first, self.size, self.used = np.r_[0, np.cumsum(size)[:-1]] if len(size) else np.zeros(0, np.int64), size, total
-        self.hits = np.zeros(len(keep), np.int32)
-
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        got = [e.ids for e in self.encoder.encode_batch_fast(words, add_special_tokens=False)]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for x in got for i in x), np.uint32, int(size.sum()))
+        self.encoder, self.slots, self.most_ids = Tokenizer.from_file(path), slots, most_ids
+        self.between = self.encoder.token_to_id(_SPECIAL[1])
+        self.kind = np.uint16 if self.encoder.get_vocab_size() <= 1 << 16 else np.uint32
+        self._clear()
+
+    def _clear(self) -> None:
+        self.key, self.at = np.zeros(self.slots, np.uint64), np.zeros(self.slots, np.int32)
+        self.first, self.size = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
+        self.ids, self.known, self.used = np.empty(1 << 18, self.kind), 0, 0
+
+    def _store(self, flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+        n = self.known + len(size)
+        while n > len(self.first):
+            self.first, self.size = np.r_[self.first, np.zeros_like(self.first)], np.r_[self.size, np.zeros_like(self.size)]
         while self.used + len(flat) > len(self.ids):
-            self.ids = np.r_[self.ids, np.empty(len(self.ids), np.uint32)]
+            self.ids = np.r_[self.ids, np.empty_like(self.ids)]
         self.ids[self.used : self.used + len(flat)] = flat
-        n = len(self.first)
-        self.first = np.r_[self.first, self.used + np.r_[0, np.cumsum(size)[:-1]]]
-        self.size = np.r_[self.size[:n], size]
-        self.hits = np.r_[self.hits, np.full(len(got), -1, np.int32)]
-        self.used += len(flat)
-        self.at.update(zip(hashes, range(n, n + len(hashes)), strict=True))
+        self.first[self.known : n] = self.used + np.cumsum(size) - size
+        self.size[self.known : n] = size
+        new = np.arange(self.known, n, dtype=np.int32)
+        self.known, self.used = n, self.used + len(flat)
+        return new
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.between is None or any(_SPECIAL[1] in w for w in words):
+            got = [e.ids for e in self.encoder.encode_batch_fast(words, add_special_tokens=False)]
+            return np.array([i for x in got for i in x], self.kind), np.array([len(x) for x in got], np.int64)
+        # one call, the pieces kept apart by a special token
+        flat = np.array(self.encoder.encode_batch_fast([_SPECIAL[1].join(words)], add_special_tokens=False)[0].ids, self.kind)
+        at = np.flatnonzero(flat == self.between)
+        return flat[flat != self.between], np.diff(np.r_[-1, at, len(flat)]) - 1
 
     def encode(self, data: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, each row's ids followed by ``end_id``, and their offsets."""
-        starts, ends, row = tc.spans(data, offs)
-        n = len(offs) - 1
-        unique, first, inverse = np.unique(tc.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.at) + len(unique) > self.limit and self.at:
-            self._trim()
-        keys = unique.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self.at]
-        if new:
-            a, b, raw = starts[first], ends[first], data.tobytes()
-            self._learn([keys[k] for k in new], [raw[a[k] : b[k]].decode("utf-8", "replace") for k in new])
-        at = np.fromiter(map(self.at.__getitem__, keys), np.int64, len(keys))
-        self.hits[at] += 1
-        at = at[inverse]
+        starts, ends, row = pieces(data, offs)
+        n, mask = len(offs) - 1, np.uint64(self.slots - 1)
+        if self.used > self.most_ids:
+            self._clear()
+        end = self._store(np.array([end_id], self.kind), np.ones(1, np.int64))
+        h = tc.hash_spans(data, starts, ends, tc.LOWER_TABLE)
+        one, two = (h & mask).astype(np.int64), (h >> np.uint64(32) & mask).astype(np.int64)
+        here = self.key[one] == h
+        at = self.at[np.where(here, one, two)]
+        miss = np.flatnonzero(~here & (self.key[two] != h))
+        if len(miss):
+            new, first, inverse = np.unique(h[miss], return_index=True, return_inverse=True)
+            first = miss[first]
+            raw = data.tobytes()
+            learnt = self._store(*self._encode([raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]))
+            at[miss] = learnt[inverse]
+            place = np.where(self.key[one[first]] == 0, one[first], two[first])
+            self.key[place], self.at[place] = new, learnt
+            agree = self.key[place] == new  # where two share a place, the last stays
+            self.at[place[agree]] = learnt[agree]
+        count = np.bincount(row, minlength=n)
+        at = np.insert(at, np.cumsum(count), end[0])
         size = self.size[at]
-        total = int(size.sum())
-        src = np.repeat(self.first[at] - (np.cumsum(size) - size), size) + np.arange(total)
-        out = np.full(total + n, end_id, np.uint32)
-        out[np.arange(total) + np.repeat(row, size)] = self.ids[src]
-        return out, np.r_[0, np.cumsum(np.bincount(row, size, n).astype(np.int64) + 1)]
+        stop = np.cumsum(size, dtype=np.int64)
+        src = np.repeat((self.first[at] - (stop - size)).astype(np.int32), size)
+        src += np.arange(len(src), dtype=np.int32)
+        return self.ids[src], np.r_[0, stop[np.cumsum(count + 1) - 1]] if n else np.zeros(1, np.int64)
 
 
 class Tournament:
@@ -172,6 +205,13 @@ def pack(sizes: list[int], capacity: int = CAPACITY) -> list[list[tuple[int, int
 _cache: dict[str, WordIds] = {}
 
 
+def word_ids(path: str) -> WordIds:
+    """The worker's encoder, kept from task to task (a task's own closure would carry a copy of the dict)."""
+    if path not in _cache:
+        _cache[path] = WordIds(path)
+    return _cache[path]
+
+
 def _packer(path: str, capacity: int, end_id: int, group_tokens: int):
     def flush(names, sizes, blocks, base):
         ids = np.concatenate(blocks)
@@ -188,9 +228,7 @@ def _packer(path: str, capacity: int, end_id: int, group_tokens: int):
         return len(sequences), pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], [f.split()[0] for f in SCHEMA.split(", ")])
 
     def run(batches):
-        if path not in _cache:
-            _cache[path] = WordIds(path)
-        words, base = _cache[path], TaskContext.get().partitionId() << 32
+        words, base = word_ids(path), TaskContext.get().partitionId() << 32
         names, sizes, blocks, total = [], [], [], 0
         for rows, data, offs in tc.chunks(batches, "text"):
             ids, at = words.encode(data, offs, end_id)
