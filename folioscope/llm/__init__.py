@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from . import curriculum
 from .curriculum import op4_curriculum
+from .license_scan import op8_license_scan
+from .multiset_hash import op7_multiset_hash
 from .packing import op9_packing
+from .pii_feistel import op3_pii_feistel
+from .preference import op6_preference
 from .prob_minhash import op10_prob_minhash
 from .quality_crf import op1_quality_crf
+from .suffix_dedup import op2_suffix_dedup
 from .toxicity_kn import op5_toxicity_kn
 
-_QUERIES = (op1_quality_crf, op4_curriculum, op5_toxicity_kn, op9_packing, op10_prob_minhash)
+_QUERIES = (op1_quality_crf, op2_suffix_dedup, op3_pii_feistel, op4_curriculum, op5_toxicity_kn, op6_preference, op7_multiset_hash, op8_license_scan, op9_packing, op10_prob_minhash)
 
 
 def queries() -> dict:
