@@ -1,11 +1,396 @@
-"""Registry of the library's own queries and their SQL equivalents."""
+"""Registry of the library's own queries over the driver's tables, and their SQL equivalents.
+
+``documents`` split at line feeds is the line table: file is the doc_id, a page has 40 lines. ``_banded`` adds the
+columns that model runs would supply, as simple functions of the row that SQL can state as well.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioscope.functions import signals as s
+from folioscope.operators import aggregate, compare, lexicon, lines as ln, passes, sampling, scoring
+from folioscope.params import ROTATABLE, VOWELS
+
+_Q: dict = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _Q[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _lines(spark, sf_dir) -> DataFrame:
+    return ln.explode_lines(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+
+
+_L = r"""with raw as (select doc_id, lang, source, unnest(string_split(text, chr(10))) as text, generate_subscripts(string_split(text, chr(10)), 1) - 1 as i from documents),
+l as (select doc_id::varchar as file, (i // 40 + 1)::int as page_num, (i % 40 + 1)::int as line_num, text, lang, source from raw)
+"""
+_KEYS = "file, page_num, line_num"
+
+
+def _signal(name: str, spark: str, duck: str):
+    def run(spark_session, sf_dir, expr=spark):
+        return _lines(spark_session, sf_dir).select("file", "page_num", "line_num", F.expr(expr).alias("value"))
+
+    run.__name__ = name
+    return query(_L + f"select {_KEYS}, {duck} as value from l")(run)
+
+
+def _n(pattern: str, of: str = "text") -> str:
+    return f"(length({of}) - length(regexp_replace({of}, '{pattern}', '', 'g')))"
+
+
+_WS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_safe = lambda a, b: f"case when {b} = 0 then 0 else {a}::double / {b} end"
+_signal("garbage_density", s.garbage_density("text"), _safe(_n(r"[^\p{L}\p{N} ]"), "length(text)"))
+_signal("symbol_ratio", s.symbol_ratio("text"), _safe(_n(rf"[^\p{{L}}\p{{N}}{_WS}]"), "length(text)"))
+_signal("digit_ratio", s.digit_ratio("text"), _safe(_n(r"\p{Nd}"), "length(text)"))
+_signal("vowel_ratio", s.vowel_ratio("text"), _safe(_n(f"[{VOWELS}]"), f"({_n(r'\p{L}')} + {_n(rf'[^\p{{L}}\p{{N}}{_WS}]')})"))
+_signal("rotatable_ratio", s.rotatable_ratio("text"), _safe(_n(f"[{ROTATABLE}]", "lower(text)"), _n(r"\p{L}")))
+_signal("has_diacritics", s.has_diacritics("text"), "regexp_matches(text, '[áčďéěíňóřšťúůýžÁČĎÉĚÍŇÓŘŠŤÚŮÝŽ]')")
+_signal("word_count", f"size({s.words('text')})", rf"len(regexp_extract_all(text, '[^{_WS}]+'))")
+_signal("wx_words", s.wx_words(s.words("text")), rf"len(list_filter(regexp_extract_all(text, '[^{_WS}]+'), lambda w: regexp_matches(w, '[wW][^.–-]*[wW]|[xX][^.–-]*[xX]')))")
+_signal("all_caps_lines", s.all_caps(s.words("text")), rf"len(list_filter(regexp_extract_all(text, '[^{_WS}]+'), lambda w: regexp_matches(w, '\p{{L}}'))) > 0 and len(list_filter(regexp_extract_all(text, '[^{_WS}]+'), lambda w: regexp_matches(w, '\p{{L}}') and not (w = upper(w) and regexp_matches(w, '[\p{{Lu}}\p{{Lt}}]') and not regexp_matches(w, '\p{{Ll}}')))) = 0")
+_signal("diacritic_language", s.diacritic_language("text"), "case when " + _n(r"\p{L}") + " = 0 then null when " + _n("[áčďéěíňóřšťúůýžÁČĎÉĚÍŇÓŘŠŤÚŮÝŽ]") + "::double / " + _n(r"\p{L}") + " >= 0.07 then 'ces' when " + _n("[äöüßÄÖÜ]") + "::double / " + _n(r"\p{L}") + " >= 0.07 then 'deu' end")
+_signal("fused_long_words", f"size(filter({s.cores(s.words('text'))}, c -> length(c) > 14))", rf"len(list_filter(regexp_extract_all(text, '[^{_WS}]+'), lambda w: length(trim(w, '.,;:!?()[]\"''/\')) > 14))")
+
+
+def _banded(spark, sf_dir) -> DataFrame:
+    rows = _lines(spark, sf_dir).withColumn("d", F.expr(s.garbage_density("text"))).withColumn("f", F.col("file").cast("long"))
+    rows = rows.withColumn("quality_score", F.expr("round(least(1D, 0.3D + length(text) / 150D) * (1 - least(d * 4, 1D)), 4)"))
+    return rows.withColumns({
+        "categ": F.expr("case when text = '' then 'Empty' when not text rlike '\\\\p{L}' then 'Non-text' when quality_score < 0.45 then 'Trash' when quality_score < 0.75 then 'Noisy' else 'Clear' end"),
+        "lang_score": F.expr("((f * 7 + line_num * 13) % 100) / 100D"), "perplex": F.expr("20D + (length(text) * 37) % 977"), "word_count": F.expr("size(filter(split(text, ' +'), w -> w <> ''))"), "char_count": F.length("text"),
+        "flag": F.expr("(f + floor((line_num + page_num) / 5)) % 3 = 0"), "gold": F.expr("case (f * 3 + line_num) % 7 when 0 then 'Trash' when 1 then 'Noisy' when 2 then 'Clear' end"),
+    }).drop("d", "f")
+
+
+_B = _L + r""", b0 as (select *, round(least(1.0::double, 0.3::double + length(text) / 150.0::double) * (1 - least(case when length(text) = 0 then 0 else length(regexp_replace(text, '[\p{L}\p{N} ]', '', 'g'))::double / length(text) end * 4, 1.0::double)), 4) as quality_score from l),
+b as (select *, case when text = '' then 'Empty' when not regexp_matches(text, '\p{L}') then 'Non-text' when quality_score < 0.45 then 'Trash' when quality_score < 0.75 then 'Noisy' else 'Clear' end as categ,
+ ((file::bigint * 7 + line_num * 13) % 100) / 100.0::double as lang_score, 20.0::double + (length(text) * 37) % 977 as perplex, len(list_filter(string_split(text, ' '), lambda w: w <> '')) as word_count, length(text) as char_count,
+ (file::bigint + (line_num + page_num) // 5) % 3 = 0 as flag, case (file::bigint * 3 + line_num) % 7 when 0 then 'Trash' when 1 then 'Noisy' when 2 then 'Clear' end as gold from b0)
+"""
+
+
+@query(_L + f"select {_KEYS}, text from l")
+def lines_explode(spark, sf_dir):
+    return _lines(spark, sf_dir).select("file", "page_num", "line_num", "text")
+
+
+@query(_B + f"select {_KEYS}, categ, quality_score from b")
+def banded_lines(spark, sf_dir):
+    return _banded(spark, sf_dir).select("file", "page_num", "line_num", "categ", "quality_score")
+
+
+@query(_B + """, m as (select file, page_num, lang, row_number() over (partition by file, page_num order by n desc, lang) as k from (select file, page_num, lang, count(*) as n from b where categ in ('Clear', 'Noisy') group by file, page_num, lang)),
+g as (select file, page_num, count(*) filter (categ = 'Clear') as clear, count(*) filter (categ = 'Noisy') as noisy, count(*) filter (categ = 'Trash') as trash, count(*) filter (categ = 'Non-text') as "non-text", count(*) filter (categ = 'Empty') as empty,
+ coalesce(sum(word_count) filter (categ in ('Clear', 'Noisy')), 0)::bigint as total_word_count, coalesce(sum(char_count) filter (categ in ('Clear', 'Noisy')), 0)::bigint as total_char_count,
+ avg(quality_score) filter (categ in ('Clear', 'Noisy')) as avg_quality_score, avg(lang_score) filter (categ in ('Clear', 'Noisy')) as avg_lang_score, avg(perplex) filter (categ in ('Clear', 'Noisy')) as avg_perplex,
+ count(*) as num_lines,
+ count(*) filter (categ = 'Clear') / nullif(count(*) filter (categ <> 'Empty'), 0)::double as clear_ratio, count(*) filter (categ = 'Noisy') / nullif(count(*) filter (categ <> 'Empty'), 0)::double as noisy_ratio,
+ count(*) filter (categ = 'Trash') / nullif(count(*) filter (categ <> 'Empty'), 0)::double as trash_ratio, count(*) filter (categ = 'Non-text') / nullif(count(*) filter (categ <> 'Empty'), 0)::double as "non-text_ratio",
+ count(*) filter (categ = 'Empty') / count(*)::double as empty_ratio from b group by file, page_num)
+select g.*, m.lang as main_lang from g left join m on m.file = g.file and m.page_num = g.page_num and k = 1""")
+def page_stats(spark, sf_dir):
+    return aggregate.page_stats(_banded(spark, sf_dir), digits=None)
+
+
+@query(_B + """, p as (select file, page_num, avg(quality_score) filter (categ in ('Clear', 'Noisy')) as s from b group by all)
+select file, avg(s) as mean, median(s) as median, min(s) as min, max(s) as max, count(*) as pages from p group by file""")
+def quality_summary(spark, sf_dir):
+    return aggregate.quality_summary(_banded(spark, sf_dir), digits=None).drop("by_categ")
+
+
+@query(_B + """, p as (select file, page_num, count(*) filter (categ = 'Clear') c, count(*) filter (categ = 'Noisy') n, count(*) filter (categ = 'Trash') t from b group by all)
+select file, page_num, case when c + n + t = 0 then null when c >= n and c >= t then 'Clear' when n >= t then 'Noisy' else 'Trash' end as band from p""")
+def page_bands(spark, sf_dir):
+    p = aggregate.page_stats(_banded(spark, sf_dir))
+    return p.select("file", "page_num", aggregate.quality_band(F.col("clear"), F.col("noisy"), F.col("trash")).alias("band"))
+
+
+@query(_B + f""", n as (select file, text, categ, row_number() over (partition by file, text order by n desc, categ) k from (select file, text, categ, count(*) as n from b group by file, text, categ))
+select b.file, page_num, line_num, n.categ, n.categ <> b.categ as pp_dedup from b join n on n.file = b.file and n.text = b.text and k = 1""")
+def dedup_modal(spark, sf_dir):
+    return passes.dedup_modal(_banded(spark, sf_dir)).select("file", "page_num", "line_num", "categ", "pp_dedup")
+
+
+_W = "over (partition by file order by page_num, line_num)"
+
+
+@query(_B + f""", w as (select *, coalesce(lag(categ, 1) {_W} = 'Trash' and lag(categ, 2) {_W} = 'Trash' and lead(categ, 1) {_W} = 'Trash' and lead(categ, 2) {_W} = 'Trash', false) and categ = 'Noisy' and quality_score < 0.70 and count(*) over (partition by file) >= 5 as hit from b)
+select {_KEYS}, case when hit then 'Trash' else categ end as categ, hit as pp_surrounded_trash from w""")
+def surrounded_islands(spark, sf_dir):
+    return passes.surrounded(_banded(spark, sf_dir)).select("file", "page_num", "line_num", "categ", "pp_surrounded_trash")
+
+
+@query(_B + f""", w as (select *, avg(case when categ not in ('Empty', 'Non-text') then (categ = 'Clear')::int end) over p as c, avg(case when categ not in ('Empty', 'Non-text') then (lang_score >= 0.75)::int end) over p as t,
+ median(case when categ not in ('Empty', 'Non-text') then quality_score end) over p as m from b window p as (partition by file, page_num)),
+r as (select *, case when c <= 0.05 and t < 0.5 and m < 0.55 and categ = 'Noisy' and quality_score < 0.8 then 'Trash' when c > 0.6 and m > 0.8 and categ = 'Trash' and lang_score >= 0.75 and quality_score >= 0.45 then 'Noisy' end as x from w)
+select {_KEYS}, coalesce(x, categ) as categ, x is not null as pp_page_context from r""")
+def page_context(spark, sf_dir):
+    return passes.page_context(_banded(spark, sf_dir)).select("file", "page_num", "line_num", "categ", "pp_page_context")
+
+
+@query(_B + f""", s as (select *, categ not in ('Empty', 'Non-text') as on_ from b),
+i as (select *, sum((not flag)::int) over (partition by file, on_ order by page_num, line_num rows between unbounded preceding and current row) as island from s),
+r as (select *, sum(flag::int) over (partition by file, on_, island) as run, avg(flag::int) over (partition by file, on_) as share from i),
+h as (select *, on_ and flag and (share >= 0.6 or run >= 4) as hit from r)
+select {_KEYS}, case when hit then 'Trash' else categ end as categ, hit and categ <> 'Trash' as pp_inverted_run from h""")
+def suspicious_runs(spark, sf_dir):
+    return passes.suspicious_runs(_banded(spark, sf_dir), flag="flag").select("file", "page_num", "line_num", "categ", "pp_inverted_run")
+
+
+@query(_B + f""", m as (select *, count(*) filter (word_count >= 4) over p as n, median(case when word_count >= 4 then perplex end) over p as page, median(case when word_count >= 4 then perplex end) over (partition by file) as doc from b window p as (partition by file, page_num))
+select {_KEYS}, round(exp(0.5 * ln(perplex) + 0.5 * ln(coalesce(case when n >= 3 then page end, doc))), 2) as perplex_blend from m""")
+def perplexity_blend(spark, sf_dir):
+    return passes.blended_perplexity(_banded(spark, sf_dir)).select("file", "page_num", "line_num", "perplex_blend")
+
+
+@query(_L + """, t as (select file, page_num, line_num, case when line_num % 3 = 0 and regexp_matches(text, '\\p{L}$') then text || '-' else text end as text from l),
+o as (select *, regexp_matches(text, '\\p{L}-$') as op from t),
+g as (select *, coalesce(sum((not op)::int) over (partition by file, page_num order by line_num rows between unbounded preceding and 1 preceding), 0) as g from o)
+select file, page_num, min(line_num) as line_num, string_agg(case when op then text[:-2] else text end, '' order by line_num) as text, count(*) as n_joined from g group by file, page_num, g""")
+def hyphen_join(spark, sf_dir):
+    rows = _lines(spark, sf_dir).withColumn("text", F.expr("if(line_num % 3 = 0 and text rlike '\\\\p{L}$', concat(text, '-'), text)"))
+    return ln.join_hyphens(rows)
+
+
+@query(_B + f"select {_KEYS}, categ, gold as gold_categ from b")
+def gold_join(spark, sf_dir):
+    b = _banded(spark, sf_dir)
+    gold = b.where("gold is not null").select("file", "page_num", "line_num", F.col("gold").alias("gold_categ"))
+    return compare.with_gold(b, gold).select("file", "page_num", "line_num", "categ", "gold_categ")
+
+
+def _pairs(spark, sf_dir):
+    b = _banded(spark, sf_dir)
+    base = b.where("line_num % 11 <> 0")
+    arm = b.where("line_num % 13 <> 0").withColumn("categ", F.expr("case when quality_score < 0.5 then 'Trash' when quality_score < 0.7 then 'Noisy' else categ end"))
+    return compare.paired(base, arm, "text")
+
+
+_P = _B + """, arm as (select file, page_num, line_num, case when quality_score < 0.5 then 'Trash' when quality_score < 0.7 then 'Noisy' else categ end as arm from b where line_num % 13 <> 0),
+base as (select file, page_num, line_num, categ as base from b where line_num % 11 <> 0), p as (select * from base full join arm using (file, page_num, line_num))
+"""
+
+
+@query(_P + "select base, arm, count(*) as n, count(*) / sum(count(*)) over ()::double as share from p where base <> arm group by base, arm")
+def arm_transitions(spark, sf_dir):
+    return compare.transitions(_pairs(spark, sf_dir))
+
+
+@query(_P + "select count(*) filter (arm is null) as only_base, count(*) filter (base is null) as only_arm, count(*) filter (base <> arm) as changed, count(*) as rows from p")
+def unpaired_lines(spark, sf_dir):
+    return compare.unpaired(_pairs(spark, sf_dir))
+
+
+def _confusion(spark, sf_dir):
+    return compare.confusion(_banded(spark, sf_dir).where("gold is not null"), "gold", "categ")
+
+
+_C = _B + ", t as (select gold, categ as pred, count(*) as n from b where gold is not null group by all)\n"
+
+
+@query(_C + "select * from t")
+def confusion(spark, sf_dir):
+    return _confusion(spark, sf_dir)
+
+
+_F1 = _C + """, g as (select gold as label, sum(n) as support from t group by 1), q as (select pred as label, sum(n) as predicted from t group by 1), h as (select gold as label, n as hits from t where gold = pred),
+r as (select label, coalesce(support, 0)::bigint as support, coalesce(predicted, 0)::bigint as predicted, coalesce(hits, 0)::bigint as hits from g full join q using (label) left join h using (label)),
+pr as (select *, case when predicted = 0 then 0 else hits / predicted::double end as precision, case when support = 0 then 0 else hits / support::double end as recall from r),
+c as (select *, case when precision + recall = 0 then 0 else 2 * precision * recall / (precision + recall) end as f1 from pr)
+"""
+
+
+@query(_F1 + "select * from c")
+def precision_recall(spark, sf_dir):
+    return compare.per_class(_confusion(spark, sf_dir))
+
+
+@query(_F1 + "select avg(f1) as macro_f1, sum(f1 * support) / sum(support) as weighted_f1, sum(hits)::double / sum(support) as accuracy from c")
+def f1_macro(spark, sf_dir):
+    return compare.averages(compare.per_class(_confusion(spark, sf_dir)))
+
+
+@query(_C + """, g as (select gold as label, sum(n) / (select sum(n) from t)::double as p from t group by 1), q as (select pred as label, sum(n) / (select sum(n) from t)::double as q from t group by 1)
+select sum((coalesce(p, 0) + 1e-12) * ln((coalesce(p, 0) + 1e-12) / (coalesce(q, 0) + 1e-12))) as kl from g full join q using (label)""")
+def kl_divergence(spark, sf_dir):
+    return compare.kl_divergence(_confusion(spark, sf_dir))
+
+
+@query(_C + "select sum(n * case when gold = pred then 0 when gold = 'Clear' and pred = 'Trash' then 3 when gold = 'Clear' and pred = 'Noisy' then 1 when gold = 'Noisy' and pred = 'Trash' then 2 when gold = 'Trash' and pred = 'Clear' then 2 when gold = 'Trash' and pred = 'Noisy' then 1 when gold = 'Noisy' and pred = 'Clear' then 0.5 else 1 end::double) / sum(n) as mean_cost from t")
+def costed_flips(spark, sf_dir):
+    return compare.costed_flips(_confusion(spark, sf_dir))
+
+
+@query(_C + """, x as (select sum(n) as t, sum(n) filter (gold = pred) as same from t), g as (select gold as l, sum(n) as a from t group by 1), q as (select pred as l, sum(n) as b from t group by 1), c as (select sum(a * b)::double as c from g join q using (l))
+select (same / t::double - c / (t::double * t)) / (1 - c / (t::double * t)) as kappa from x, c""")
+def kappa(spark, sf_dir):
+    return compare.kappa(_confusion(spark, sf_dir))
+
+
+@query(_L + r", k as (select distinct file, source, unnest(regexp_extract_all(lower(text), '\p{L}{2,}')) as token from l) select token, count(distinct file) as df from k group by token")
+def token_df(spark, sf_dir):
+    return lexicon.document_frequency(lexicon.tokens(_lines(spark, sf_dir).select("file", "text")))
+
+
+@query(_L + r", k as (select distinct file, source, unnest(regexp_extract_all(lower(text), '\p{L}{2,}')) as token from l) select token, source, count(*) as df from k group by token, source union all select token, null, count(*) from k group by token")
+def token_df_rollup(spark, sf_dir):
+    return lexicon.document_frequency(lexicon.tokens(_lines(spark, sf_dir).select("file", "source", "text")), by="source")
+
+
+_LEX = _L + r", k as (select distinct file, unnest(regexp_extract_all(lower(text), '\p{L}{2,}')) as token from l), x as (select token, count(*) as df from k group by token)" + "\n"
+
+
+@query(_LEX + """, r as (select token from x where df = 2 and length(token) = 6), c as (select token as candidate, df from x where df >= 20),
+rd as (select token, token as k from r union select token, token[1:i - 1] || token[i + 1:] from r, unnest(range(1, length(token) + 1)) as u(i)),
+cd as (select candidate, df, candidate as k from c union select candidate, df, candidate[1:i - 1] || candidate[i + 1:] from c, unnest(range(1, length(candidate) + 1)) as u(i))
+select distinct token, candidate, df from rd join cd using (k) where token <> candidate and levenshtein(token, candidate) = 1""")
+def deletes_join(spark, sf_dir):
+    lex = lexicon.document_frequency(lexicon.tokens(_lines(spark, sf_dir).select("file", "text")))
+    return lexicon.neighbours(lex.where("df = 2 and length(token) = 6"), lex.where("df >= 20"))
+
+
+@query(_B + r""", f as (select regexp_replace(lower(text), '[^\p{L}\p{N}_]', '', 'g') as family, categ, text from b), g as (select family, categ, count(*) as n from f where family <> '' group by all), v as (select family, count(distinct text)::int as variants from f group by 1)
+select family, sum(n)::bigint as lines, any_value(variants) as variants, string_agg(categ || ':' || n, '|' order by categ) as mix from g join v using (family) group by family""")
+def family_mix(spark, sf_dir):
+    return lexicon.families(_banded(spark, sf_dir))
+
+
+@query(_B + "select text, n, row_number() over (order by n desc, text) as rank, sum(n) over (order by n desc, text rows unbounded preceding) / sum(n) over ()::double as cum_share from (select text, count(*) as n from b group by text)")
+def top_groups_cumshare(spark, sf_dir):
+    return compare.ranked_groups(_banded(spark, sf_dir), "text")
+
+
+_HASH = "(('0x' || substr(md5('{seed}|' || {key}), 1, 13))::bigint / 4503599627370496.0::double)"
+
+
+@query("with n as (select source as stratum, count(*) as n from documents group by 1), e as (select *, n * 100 / sum(n) over ()::double as e from n), f as (select *, floor(e) as f from e), r as (select *, row_number() over (order by e - f desc, stratum) as k, 100 - sum(f) over () as left_ from f), "
+       "a as (select stratum, least(n, f + (k <= left_)::int) as take from r), d as (select doc_id, source, row_number() over (partition by source order by " + _HASH.format(seed=0, key="doc_id::varchar") + ", doc_id) as k from documents) select doc_id, source from d join a on source = stratum where k <= take")
+def stratified_sample(spark, sf_dir):
+    return sampling.stratified(_table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id", 100).select("doc_id", "source")
+
+
+@query("select doc_id, source from (select doc_id, source, row_number() over (partition by source order by " + _HASH.format(seed=0, key="doc_id::varchar") + ", doc_id) as k from documents) where k <= 5")
+def cap_per_source(spark, sf_dir):
+    return sampling.cap_per_group(_table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id", 5)
+
+
+@query("select doc_id, case when h < 80 then 'train' when h < 90 then 'dev' else 'test' end as split from (select doc_id, floor(" + _HASH.format(seed=23, key="doc_id::varchar") + " * 100) as h from documents)")
+def hash_split(spark, sf_dir):
+    return sampling.split(_table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+
+
+@query(_B + ", x as (select quality_score as s, (gold = categ)::int as y from b where gold is not null) select least(9, floor(s * 10 + 1e-9))::int as bin, count(*) as n, avg(s) as mean_score, avg(y) as share from x group by 1")
+def calibration_bins(spark, sf_dir):
+    return compare.calibration_bins(_banded(spark, sf_dir).where("gold is not null").withColumn("y", F.expr("cast(gold = categ as int)")), "quality_score", "y")
+
+
+@query(_B + ", x as (select quality_score as s, count(*) as n, sum((gold <> categ)::int) as e from b where gold is not null group by 1) select s as confidence, sum(n) over w / sum(n) over ()::double as coverage, sum(e) over w / (sum(n) over w)::double as error from x window w as (order by s desc rows unbounded preceding)")
+def coverage_curve(spark, sf_dir):
+    return compare.coverage_curve(_banded(spark, sf_dir).where("gold is not null").withColumn("y", F.expr("cast(gold = categ as int)")), "quality_score", "y")
+
+
+@query(_B + ", r as (select rank() over (order by quality_score) + (count(*) over (partition by quality_score) - 1) / 2.0::double as a, rank() over (order by char_count) + (count(*) over (partition by char_count) - 1) / 2.0::double as b from b) select corr(a, b) as spearman from r")
+def spearman(spark, sf_dir):
+    return compare.spearman(_banded(spark, sf_dir).select("quality_score", "char_count"), "quality_score", "char_count")
+
+
+@query(_B + ", r as (select (gold = 'Clear')::int as y, rank() over (order by quality_score) + (count(*) over (partition by quality_score) - 1) / 2.0::double as r from b where gold is not null) select (sum(r * y) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y)))::double as auc from r")
+def auc(spark, sf_dir):
+    return compare.auc(_banded(spark, sf_dir).where("gold is not null").withColumn("y", F.expr("cast(gold = 'Clear' as int)")), "quality_score", "y")
+
+
+@query(_L + f"select {_KEYS}, string_agg(text, chr(10)) over (partition by file, page_num order by line_num rows between 2 preceding and 2 following) as context from l")
+def context_window(spark, sf_dir):
+    return compare.context(_lines(spark, sf_dir)).select("file", "page_num", "line_num", "context")
+
+
+@query(_B + f", x as (select *, case when line_num % 4 = 1 then categ end as v from b) select {_KEYS}, coalesce(last_value(v ignore nulls) over (partition by file order by page_num, line_num rows between unbounded preceding and current row), first_value(v ignore nulls) over (partition by file order by page_num, line_num rows between current row and unbounded following)) as filled from x")
+def forward_fill(spark, sf_dir):
+    rows = _banded(spark, sf_dir).withColumn("v", F.expr("case when line_num % 4 = 1 then categ end"))
+    return compare.fill(rows, "v", ["file"], ["page_num", "line_num"]).select("file", "page_num", "line_num", "filled")
+
+
+@query("select coalesce(d.doc_id, l.doc_id) as doc_id, lang, coalesce(case when quality = 1 then source || '!' end, source) as source from documents d full join (select doc_id, max(quality) as quality from labels group by 1) l on d.doc_id = l.doc_id")
+def upsert_merge(spark, sf_dir):
+    old = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    new = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("q")).join(old, "doc_id", "left").select("doc_id", F.expr("case when q = 1 then concat(source, '!') end").alias("source"))
+    return compare.upsert(old, new, ["doc_id"], ["source"])
+
+
+@query("select doc_id from documents where doc_id not in (select doc_id from labels where doc_id is not null)")
+def doc_anti(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id", "left_anti").select("doc_id")
+
+
+@query("select doc_id from documents intersect select doc_id from labels")
+def doc_intersect(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id").intersect(_table(spark, sf_dir, "labels").select("doc_id"))
+
+
+@query("select doc_id, (if(doc_id % 3 = 0, 'slk', if(doc_id % 3 = 1, lang, 'ces')) || '_Latn') as label, case when doc_id % 3 = 2 then 'ces_Latn' when doc_id % 3 = 0 then 'slk_Latn' else 'ces_Latn' end as lang, case when doc_id % 3 = 1 then 0.75 else (doc_id % 100) / 100.0 end::double as score from documents")
+def lang_remap(spark, sf_dir):
+    d = _table(spark, sf_dir, "documents").select("doc_id", F.expr("concat(if(doc_id % 3 = 0, 'slk', if(doc_id % 3 = 1, lang, 'ces')), '_Latn')").alias("label"))
+    d = d.withColumn("r", F.expr(s.remapped_language("label", "((doc_id % 100) / 100D)", ("ces", "deu", "eng", "fra", "pol", "ita", "slk"))))
+    return d.select("doc_id", "label", "r.lang", "r.score")
+
+
+@query("select doc_id, 'CTX' || (1880 + doc_id % 140)::varchar || lpad(doc_id::varchar, 6, '0') as file, ((1880 + doc_id % 140) // 10 * 10)::bigint as decade from documents")
+def decade_strata(spark, sf_dir):
+    d = _table(spark, sf_dir, "documents").select("doc_id", F.expr("concat('CTX', 1880 + doc_id % 140, lpad(cast(doc_id as string), 6, '0'))").alias("file"))
+    return d.withColumn("decade", ln.decade())
+
+
+@query("select label, row_number() over (order by try_cast(label as bigint) is null, try_cast(label as bigint), label) as position from (select distinct case when doc_id % 5 = 0 then 'p' || (doc_id % 97) else (doc_id % 97)::varchar end as label from documents)")
+def natural_sort(spark, sf_dir):
+    from pyspark.sql import Window
+
+    d = _table(spark, sf_dir, "documents").select(F.expr("if(doc_id % 5 = 0, concat('p', doc_id % 97), cast(doc_id % 97 as string))").alias("label")).distinct()
+    return d.select("label", F.row_number().over(Window.orderBy(ln.natural_key("label"))).alias("position"))
+
+
+def _scored(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.expr("case lang when 'en' then 'eng_Latn' when 'de' then 'deu_Latn' when 'fr' then 'fra_Latn' else 'spa_Latn' end").alias("lang"), F.lit(0.9).alias("lang_score"), F.expr("50D + n_chars % 300").alias("perplex"))
+    return ln.explode_lines(docs)
+
+
+@query()
+def category_cascade(spark, sf_dir):
+    return scoring.process(_scored(spark, sf_dir)).select("file", "page_num", "line_num", "categ", "reason", "rule", "quality_score")
+
+
+@query()
+def rule_fires(spark, sf_dir):
+    rows = scoring.with_signals(scoring.prefilter(_scored(spark, sf_dir)).where("stage = 'Process'"))
+    rows = scoring.fired(rows.repartition("file"))  # the exchange keeps the signals from being inlined in every rule
+    return rows.select(F.explode("fired").alias("rule")).groupBy("rule").agg(F.count("*").alias("fires"))
+
+
+@query()
+def html_text(spark, sf_dir):
+    from folioscope.sources.formats import read_column
+
+    return read_column(_table(spark, sf_dir, "pages"), "page_id", "html", "html")
+
 
 def queries() -> dict:
-    return {}
+    return dict(_Q)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(_SQL)
