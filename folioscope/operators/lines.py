@@ -23,7 +23,8 @@ def explode_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     return lines.select("file", (F.col("_sheet") * 1_000_000 + sheets + 1).cast("int").alias("page_num"), (F.col("_i") % page_lines + 1).cast("int").alias("line_num"), "text", *rest)
 
 
-_PAGE = Window.partitionBy("file", "page_num").orderBy("line_num")
+def _page():
+    return Window.partitionBy("file", "page_num").orderBy("line_num")
 
 
 def split_braces(lines: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def split_braces(lines: DataFrame) -> DataFrame:
     rows = lines.withColumns({"_whole": last(2), "split_ws": last(1)})
     rows = rows.withColumn("_tail", F.when(F.expr("_whole <> '' and startswith(_whole, split_ws)"), F.expr("substr(_whole, length(split_ws) + 1)")).otherwise(""))
     rows = rows.withColumn("text", F.regexp_replace(F.trim("text"), mark, "$2"))
-    rows = rows.withColumn("_before", F.coalesce(F.lag("_tail").over(_PAGE), F.lit("")))
+    rows = rows.withColumn("_before", F.coalesce(F.lag("_tail").over(_page()), F.lit("")))
     cut = F.expr("_before <> '' and startswith(text, _before)")
     return rows.withColumn("split_we", F.when(cut, F.col("_before")).otherwise("")).withColumn("text", F.when(cut, F.trim(F.expr("substr(text, length(_before) + 1)"))).otherwise(F.col("text"))).drop("_whole", "_tail", "_before")
 
@@ -42,7 +43,7 @@ def split_braces(lines: DataFrame) -> DataFrame:
 def join_hyphens(lines: DataFrame) -> DataFrame:
     """Lines that end in a hyphen are joined to the next, along chains of any length; the first line's number stays."""
     open_ = F.col("text").rlike(r"\p{L}-$")
-    rows = lines.withColumn("_open", open_).withColumn("_group", F.coalesce(F.sum((~F.col("_open")).cast("int")).over(_PAGE.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rows = lines.withColumn("_open", open_).withColumn("_group", F.coalesce(F.sum((~F.col("_open")).cast("int")).over(_page().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     parts = F.array_sort(F.collect_list(F.struct("line_num", F.when(F.col("_open"), F.expr("substr(text, 1, length(text) - 1)")).otherwise(F.col("text")).alias("t"))))
     return rows.groupBy("file", "page_num", "_group").agg(F.min("line_num").alias("line_num"), F.array_join(F.transform(parts, lambda x: x.t), "").alias("text"), F.count("*").alias("n_joined")).drop("_group")
 

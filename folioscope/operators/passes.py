@@ -10,10 +10,17 @@ from pyspark.sql import functions as F
 
 from folioscope.params import DEFAULT, Params
 
-_DOC = Window.partitionBy("file")
-_ORDER = Window.partitionBy("file").orderBy("page_num", "line_num")
-_PAGE = Window.partitionBy("file", "page_num")
-SCOREABLE = ~F.col("categ").isin("Empty", "Non-text")
+
+def _doc():
+    return Window.partitionBy("file")
+
+
+def _page():
+    return Window.partitionBy("file", "page_num")
+
+
+def scoreable():
+    return ~F.col("categ").isin("Empty", "Non-text")
 
 
 def dedup_modal(lines: DataFrame, categ: str = "categ") -> DataFrame:
@@ -24,8 +31,8 @@ def dedup_modal(lines: DataFrame, categ: str = "categ") -> DataFrame:
 
 def surrounded(lines: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """A weak Noisy line with two Trash lines on either side becomes Trash, in documents of five lines or more."""
-    around = [f("categ", k).over(_ORDER) == "Trash" for f in (F.lag, F.lead) for k in (1, 2)]
-    test = (F.col("categ") == "Noisy") & (F.col("quality_score") < p.trash_max + p.surrounded_margin) & (F.count("*").over(_DOC) >= 5)
+    around = [f("categ", k).over(_doc().orderBy("page_num", "line_num")) == "Trash" for f in (F.lag, F.lead) for k in (1, 2)]
+    test = (F.col("categ") == "Noisy") & (F.col("quality_score") < p.trash_max + p.surrounded_margin) & (F.count("*").over(_doc()) >= 5)
     for a in around:
         test = test & F.coalesce(a, F.lit(False))
     return lines.withColumn("pp_surrounded_trash", test).withColumn("categ", F.when(F.col("pp_surrounded_trash"), "Trash").otherwise(F.col("categ")))
@@ -33,12 +40,12 @@ def surrounded(lines: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 def page_context(lines: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """On a garbage page weak Noisy lines become Trash; on a clean page trusted Trash lines become Noisy."""
-    on = lambda x: F.when(SCOREABLE, x)
+    on = lambda x: F.when(scoreable(), x)
     trusted = F.col("lang_score") >= p.lang_remap
     rows = lines.withColumns({
-        "_clear": F.avg(on((F.col("categ") == "Clear").cast("double"))).over(_PAGE),
-        "_trust": F.avg(on(trusted.cast("double"))).over(_PAGE),
-        "_median": F.expr("percentile(case when categ not in ('Empty', 'Non-text') then quality_score end, 0.5)").over(_PAGE),
+        "_clear": F.avg(on((F.col("categ") == "Clear").cast("double"))).over(_page()),
+        "_trust": F.avg(on(trusted.cast("double"))).over(_page()),
+        "_median": F.expr("percentile(case when categ not in ('Empty', 'Non-text') then quality_score end, 0.5)").over(_page()),
     })
     garbage = (F.col("_clear") <= p.garbage_clear_max) & (F.col("_trust") < p.garbage_lang_max) & (F.col("_median") < p.garbage_median_max)
     clean = (F.col("_clear") > p.clean_clear_min) & (F.col("_median") > p.clean_median_min)
@@ -52,7 +59,7 @@ def suspicious(p: Params = DEFAULT):
     """Looks like a scan read upside down: turned letters, or odd words with high perplexity, without trusted language."""
     sure = F.coalesce(F.col("lang_score") >= p.rot_high_conf, F.lit(False))
     odd = F.col("word_weird") >= p.weird_inverted
-    return SCOREABLE & ~F.col("diacritics") & ~sure & ((F.col("rot_ratio") >= p.rot_inverted) & odd | (F.col("perplex") >= p.ppl_inverted) & odd)
+    return scoreable() & ~F.col("diacritics") & ~sure & ((F.col("rot_ratio") >= p.rot_inverted) & odd | (F.col("perplex") >= p.ppl_inverted) & odd)
 
 
 def suspicious_runs(lines: DataFrame, p: Params = DEFAULT, flag: str | None = None) -> DataFrame:
@@ -60,7 +67,7 @@ def suspicious_runs(lines: DataFrame, p: Params = DEFAULT, flag: str | None = No
 
     Empty and Non-text lines neither belong to a run nor break one.
     """
-    rows = lines.withColumn("_s", F.coalesce(F.col(flag) if flag else suspicious(p), F.lit(False))).withColumn("_on", SCOREABLE)
+    rows = lines.withColumn("_s", F.coalesce(F.col(flag) if flag else suspicious(p), F.lit(False))).withColumn("_on", scoreable())
     scored = Window.partitionBy("file", "_on").orderBy("page_num", "line_num")
     rows = rows.withColumn("_island", F.sum((~F.col("_s")).cast("int")).over(scored.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.withColumns({"_run": F.sum(F.col("_s").cast("int")).over(Window.partitionBy("file", "_on", "_island")), "_share": F.avg(F.col("_s").cast("double")).over(Window.partitionBy("file", "_on"))})
@@ -78,7 +85,7 @@ def blended_perplexity(lines: DataFrame, p: Params = DEFAULT) -> DataFrame:
     has few, of its document's."""
     long = F.col("word_count") >= p.blend_long_words
     median = lambda w: F.expr(f"percentile(case when word_count >= {p.blend_long_words} then perplex end, 0.5)").over(w)
-    rows = lines.withColumns({"_n": F.count_if(long).over(_PAGE), "_page": median(_PAGE), "_doc": median(_DOC)})
+    rows = lines.withColumns({"_n": F.count_if(long).over(_page()), "_page": median(_page()), "_doc": median(_doc())})
     base = F.coalesce(F.when(F.col("_n") >= p.blend_min_lines, F.col("_page")), F.col("_doc"))
     blend = F.exp(p.blend_weight * F.ln("perplex") + (1 - p.blend_weight) * F.ln(base))
     return rows.withColumn("perplex_blend", F.round(blend, 2)).drop("_n", "_page", "_doc")

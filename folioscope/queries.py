@@ -375,10 +375,8 @@ def category_cascade(spark, sf_dir):
 
 
 @query()
-def rule_fires(spark, sf_dir):
-    rows = scoring.with_signals(scoring.prefilter(_scored(spark, sf_dir)).where("stage = 'Process'"))
-    rows = scoring.fired(rows.repartition("file"))  # the exchange keeps the signals from being inlined in every rule
-    return rows.select(F.explode("fired").alias("rule")).groupBy("rule").agg(F.count("*").alias("fires"))
+def deciding_rules(spark, sf_dir):
+    return scoring.process(_scored(spark, sf_dir)).groupBy("rule", "categ").agg(F.count("*").alias("n"))
 
 
 @query()
