@@ -12,7 +12,7 @@ pairs, and every candidate is verified with the exact J_P of the two texts.
 
 Plan: (1) one Arrow pass makes signatures, stored once; (2) texts of equal word sequence collapse to one node
 before any comparison; (3) buckets with the same members collapse to one; (4) within a bucket, pairs whose registers
-agree to at least the threshold less ``SLACK`` (three standard deviations of the estimate) are candidates: first the
+agree to at least the threshold less ``SLACK`` (2.4 standard deviations of the estimate at the threshold) are candidates: first the
 edges of a maximum spanning forest, then for pairs that stay in different components the closest few of each member,
 then all that are left; each round is verified and joined into components before the next. So a bucket emits about
 as many pairs as it has members, though none that could join two components stays untested. A bucket of more than
@@ -33,8 +33,12 @@ K = 5
 THRESHOLD = 0.8
 BANDS = 26
 ROWS = 5
-SLACK = 0.1
+#: Registers of a signature; the first BANDS * ROWS are banded, all estimate.
+REGISTERS = 256
+SLACK = 0.06
 BLOCK = 4000
+#: Links that one task may unite.
+LOCAL_LINKS = 500_000
 _GOLD = 0x9E3779B97F4A7C15
 
 
@@ -85,13 +89,14 @@ def sequence_keys(hashes, row, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _signed(bands: int, rows: int, k: int):
+def _signed(bands: int, rows: int, k: int, registers: int = REGISTERS):
     def run(batches):
         seeds = tc.mix(np.arange(1, bands + 1, dtype=np.uint64))
         for rows_, data, offs in tc.chunks(batches, "text", 4 << 20):
             n = rows_.num_rows
             s, r, w, hashes, row = weighted_shingles(data, offs, k)
-            sig = signatures(s, r, w.astype(float), n, bands * rows).reshape(n, bands, rows)
+            full = signatures(s, r, w.astype(float), n, registers)
+            sig = full[:, : bands * rows].reshape(n, bands, rows)
             b = np.zeros((n, bands), np.uint64) + seeds
             for j in range(rows):
                 b = tc.mix(b + sig[:, :, j] * tc.SHINGLE[j])
@@ -99,7 +104,7 @@ def _signed(bands: int, rows: int, k: int):
             some = np.bincount(row, minlength=n) > 0
             sizes = np.where(some, bands, 0)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(b[some].ravel().view(np.int64)))
-            short = [x.tobytes() for x in (tc.mix(sig.reshape(n, -1)) >> np.uint64(48)).astype("<u2")]
+            short = [x.tobytes() for x in (tc.mix(full) >> np.uint64(48)).astype("<u2")]
             yield pa.RecordBatch.from_arrays([rows_.column(0), pa.array(k1), pa.array(k2), lists, pa.array(short, pa.binary())], ["doc_id", "k1", "k2", "bands", "sig"])
 
     return run
@@ -149,12 +154,33 @@ def _keyed(batches):
         yield pa.RecordBatch.from_arrays([rows.column(0).filter(same), rows.column(2).filter(same)], ["node", "text"])
 
 
-def components(links: DataFrame, name: str = "components") -> DataFrame:
-    """(node, component): the least node of each connected component, by alternating large and small stars.
+def _united(batches):
+    """(node, component) of links (a, b) by union-find, in one task of bounded input."""
+    up: dict[int, int] = {}
 
-    Every round is two hash aggregates and a join over the links; the rounds grow with the logarithm of the
-    longest path. Each is stored in the shared folder.
+    def root(x):
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = root(up.setdefault(a, a)), root(up.setdefault(b, b))
+            if a != b:
+                up[max(a, b)] = min(a, b)
+    if up:
+        yield pa.RecordBatch.from_arrays([pa.array(list(up), pa.int64()), pa.array([root(x) for x in list(up)], pa.int64())], ["node", "component"])
+
+
+def components(links: DataFrame, name: str = "components", local_links: int = LOCAL_LINKS) -> DataFrame:
+    """(node, component): the least node of each connected component, of links (a, b) that are stored.
+
+    Up to ``local_links`` links are united in one task. More are joined by alternating large and small stars: every
+    round is two hash aggregates and a join over the links, the rounds grow with the logarithm of the longest path,
+    and each is stored in the shared folder.
     """
+    if links.count() <= local_links:
+        return stored(links.select("a", "b").coalesce(1).mapInArrow(_united, "node long, component long"), name)
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), name)
     before = None
     while True:
@@ -190,43 +216,49 @@ def _forest(sig: np.ndarray, least: float) -> list[tuple[int, int]]:
     return edges
 
 
-def _closest(sig: np.ndarray, component: np.ndarray, least: float, most: int | None) -> list[tuple[int, int]]:
-    """Pairs of different components that agree to ``least``; with ``most``, each member's closest so many."""
+def _closest(sig: np.ndarray, component: np.ndarray, least: float, most: int | None, band: int, rows: int, bands: int) -> list[tuple[int, int]]:
+    """Pairs of different components that agree to ``least``; with ``most``, the closest so many of each member outside the largest, else all
+    whose first equal band is this bucket's: a pair that meets in several buckets comes from one."""
     edges = []
-    for i in range(len(sig)):
+    kinds, inverse, size = np.unique(component, return_inverse=True, return_counts=True)
+    odd = inverse != size.argmax()  # a pair of two components has a member outside the largest
+    for i in np.flatnonzero(odd) if most else range(len(sig)):
         other = np.flatnonzero(component != component[i]) if most else i + 1 + np.flatnonzero(component[i + 1 :] != component[i])
         if len(other):
-            agree = (sig[other] == sig[i]).mean(1)
+            same = sig[other] == sig[i]
+            agree = same.mean(1)
             near = np.flatnonzero(agree >= least)
             if most and len(near) > most:
                 near = near[np.argpartition(-agree[near], most)[:most]]
+            if not most:
+                near = near[same[near, : rows * bands].reshape(-1, bands, rows).all(2).argmax(1) == band]
             edges += [(i, int(j)) for j in other[near]]
     return edges
 
 
-def _candidates(least: float, most: int | None, first: bool):
-    """Pairs of nodes from rows (group, node, component, sig) that are sorted by group."""
+def _candidates(least: float, most: int | None, first: bool, rows: int, bands: int):
+    """Pairs of nodes from rows (group, band, node, component, sig) that are sorted by group."""
 
-    def pairs(nodes, component, sig):
+    def pairs(band, nodes, component, sig):
         sig = np.frombuffer(b"".join(sig), "<u2").reshape(len(nodes), -1)
-        edges = _forest(sig, least) if first else _closest(sig, np.array(component), least, most)
+        edges = _forest(sig, least) if first else _closest(sig, np.array(component), least, most, band, rows, bands)
         ids = [(min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for i, j in edges]
         a, b = zip(*ids, strict=True) if ids else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     def run(batches):
-        group, nodes, component, sig = None, [], [], []
+        group, band, nodes, component, sig = None, 0, [], [], []
         for batch in batches:
-            for g, n, c, s in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            for g, d, n, c, s in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 if g != group:
                     if len(nodes) > 1 and (first or len(set(component)) > 1):
-                        yield pairs(nodes, component, sig)
-                    group, nodes, component, sig = g, [], [], []
+                        yield pairs(band, nodes, component, sig)
+                    group, band, nodes, component, sig = g, d, [], [], []
                 nodes.append(n)
                 component.append(c)
                 sig.append(s)
         if len(nodes) > 1 and (first or len(set(component)) > 1):
-            yield pairs(nodes, component, sig)
+            yield pairs(band, nodes, component, sig)
 
     return run
 
@@ -243,10 +275,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     sigs = stored(docs.mapInArrow(_signed(bands, rows, k), "doc_id long, k1 long, k2 long, bands array<long>, sig binary"), "signatures")
     nodes = stored(sigs.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("bands", "sig")).alias("s")).select(F.col("k1").alias("node"), "k2", "doc_id", "s.bands", "s.sig"), "nodes")
 
-    keys = nodes.select("node", F.explode("bands").alias("bucket"))
-    sets = keys.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")
-    distinct = sets.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    member = stored(keys.join(distinct, "bucket").join(nodes.select("node", "sig"), "node").select("bucket", "blocks", "node", "sig"), "members")
+    keys = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    sets = keys.groupBy("bucket").agg(F.min("band").alias("band"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")
+    distinct = sets.groupBy("n", "x", "y").agg(F.min(F.struct("band", "bucket")).alias("b")).select("b.bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    member = stored(keys.join(distinct, "bucket").join(nodes.select("node", "sig"), "node").select("bucket", "band", "blocks", "node", "sig"), "members")
 
     wanted = member.select("node").distinct()
     rep = nodes.join(wanted, "node", "left_semi").select("doc_id", F.col("node").alias("k1"), "k2")
@@ -262,16 +294,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         shares = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, own).alias("i"), F.greatest(j, own).alias("j")))
         dealt = placed.withColumn("part", F.explode(shares)).withColumn("group", F.xxhash64("bucket", "part"))
-        return dealt.repartition("group").sortWithinPartitions("group", "node").select("group", "node", "component", "sig")
+        return dealt.repartition("group").sortWithinPartitions("group", "node").select("group", "band", "node", "component", "sig")
 
     label, links, tested = None, None, None
-    for most, first in ((None, True), (4, False), (None, False)):
+    for most, first in ((None, True), (2, False), (None, False)):
         placed = member.withColumn("component", F.col("node"))
         if label is not None:
             placed = member.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
             split = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
             placed = placed.join(split, "bucket", "left_semi")
-        pairs = grouped(placed).mapInArrow(_candidates(threshold - SLACK, most, first), "a long, b long").distinct()
+        pairs = grouped(placed).mapInArrow(_candidates(threshold - SLACK, most, first, rows, bands), "a long, b long").distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         if label is not None and pairs.isEmpty():
             continue
