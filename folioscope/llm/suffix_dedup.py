@@ -33,7 +33,7 @@ from . import textcore as tc
 from .common import columns, partitions_for, stored, table
 
 LENGTH = 100
-GRAM = 20
+GRAM = 40
 MOST_CONTEXTS = 20_000
 BUCKET_BYTES = 4 << 20
 MERGE_BYTES = 1 << 20
@@ -210,21 +210,20 @@ def _cut(length: int):
     return run
 
 
-def shard_bwt(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Multi-string transform (symbols: byte + 1, 0 before a string's first) and the suffix starts in order, of the
-    strings laid end to end, each closed by its own end mark; marks order as the strings do."""
-    sizes = np.array([len(s) for s in strings])
+def shard_bwt(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Multi-string transform (0 before a string's first symbol) and the suffix starts in order, of strings of symbols
+    from 1 laid end to end, each closed by its own end mark; marks order as the strings do."""
     ends = np.cumsum(sizes + 1) - 1
     sym = np.zeros(int(ends[-1]) + 1, np.uint16)
     body = np.ones(len(sym), bool)
     body[ends] = False
-    sym[body] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
+    sym[body] = flat
     n = len(sym)
-    rank = sym.astype(np.int64) + len(strings)
-    rank[ends] = np.arange(len(strings))
-    width, longest = 1, int(sizes.max()) + 1
+    rank = sym.astype(np.int64) + len(sizes)
+    rank[ends] = np.arange(len(sizes))
+    width, longest, base = 1, int(sizes.max()) + 1, n + len(sizes) + 65537
     while True:
-        key = rank * (n + len(strings) + 300)
+        key = rank * base
         key[: n - width] += rank[width:] + 1
         order = np.argsort(key, kind="stable")
         new = key[order]
@@ -281,7 +280,7 @@ def merge_all(shards: list[tuple[np.ndarray, np.ndarray]], length: int) -> tuple
                 continue
             (b0, s0), (b1, s1) = shards[i], shards[i + 1]
             last = len(shards) <= 2
-            z, starts = merge_bwt(b0, b1, length if last else 2 * length)
+            z, starts = merge_bwt(b0, b1, length if last else 4 * length)
             bwt, suffix = np.empty(len(z), np.uint16), np.empty(len(z), np.int64)
             bwt[~z], bwt[z], suffix[~z], suffix[z] = b0, b1, s0, s1
             done.append((bwt, suffix))
@@ -289,26 +288,58 @@ def merge_all(shards: list[tuple[np.ndarray, np.ndarray]], length: int) -> tuple
     return shards[0][1], starts
 
 
-def covered_windows(strings: list[bytes], doc, start, n, length: int = LENGTH, shards: int = 2):
-    """(string, offset) of windows, among the first n of each string, that an earlier window equals."""
-    cut = np.linspace(0, len(strings), min(shards, len(strings)) + 1).astype(int)
-    sizes = np.array([len(s) + 1 for s in strings])
-    base = np.concatenate([[0], np.cumsum(sizes)])
+def symbols(raw: np.ndarray, lead: np.ndarray, widths=(4, 2, 1)) -> tuple[np.ndarray, int]:
+    """Dense codes from 1 of the symbols that start at ``lead``, of as many bytes as keep the codes in 16 bits."""
+    for width in widths:
+        code = np.zeros(len(raw), np.uint32)
+        for k in range(width):
+            code[: len(raw) - k] |= raw[k:].astype(np.uint32) << np.uint32(8 * k)
+        known, inverse = np.unique(code[lead(width)], return_inverse=True)
+        if len(known) < 65535:
+            return (inverse + 1).astype(np.uint16), width
+    raise AssertionError("one byte always fits")
+
+
+def covered_windows(strings: list[bytes], doc, start, n, length: int = LENGTH, shards: int = 2, widths=(4, 2, 1)):
+    """(string, offset) of windows, among the first n of each string, that an earlier window equals.
+
+    Symbols are up to 4 bytes wide: a string becomes one string of symbols for each phase, so that every offset starts
+    a suffix, and a window is length / width symbols, which divides the rounds.
+    """
+    widths = [w for w in widths if length % w == 0]
+    raw = np.frombuffer(b"".join(strings), np.uint8)
+    size = np.array([len(x) for x in strings])
+    base = np.concatenate([[0], np.cumsum(size)])
+
+    def lead(width):
+        return np.concatenate([np.arange(b + p, b + m - width + 1, width) for b, m in zip(base[:-1].tolist(), size.tolist(), strict=True) for p in range(width)])
+
+    flat, width = symbols(raw, lead, widths)
+    at = lead(width)
+    sizes = np.maximum((size[:, None] - np.arange(width)) // width, 0).ravel()
+    cut = np.linspace(0, len(strings), min(shards, len(strings)) + 1).astype(int) * width
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    mark = np.concatenate([[0], np.cumsum(sizes + 1)])
     built = []
     for a, b in zip(cut[:-1], cut[1:], strict=True):
-        bwt, suffix = shard_bwt(strings[a:b])
-        built.append((bwt, suffix + base[a]))
-    suffix, starts = merge_all(built, length)
-    block = np.cumsum(starts)
-    owner = np.searchsorted(base, suffix, "right") - 1
-    offset = suffix - base[owner]
+        bwt, suffix = shard_bwt(flat[first[a] : first[b]], sizes[a:b])
+        built.append((bwt, suffix + mark[a]))
+    suffix, starts = merge_all(built, length // width)
+    origin = np.full(int(mark[-1]), -1, np.int64)
+    body = np.ones(len(origin), bool)
+    body[mark[1:] - 1] = False
+    origin[body] = at
+    block, place = np.cumsum(starts), origin[suffix]
+    block, place = block[place >= 0], place[place >= 0]
+    owner = np.searchsorted(base, place, "right") - 1
+    offset = place - base[owner]
     mine = offset < n[owner]
     block, owner, offset = block[mine], owner[mine], offset[mine]
     d, s = doc[owner], start[owner] + offset
     order = np.lexsort((s, d, block))
     block, owner, offset, d, s = block[order], owner[order], offset[order], d[order], s[order]
-    lead = np.maximum.accumulate(np.where(np.concatenate([[True], block[1:] != block[:-1]]), np.arange(len(block)), 0))
-    later = (d != d[lead]) | (s != s[lead])
+    lead_ = np.maximum.accumulate(np.where(np.concatenate([[True], block[1:] != block[:-1]]), np.arange(len(block)), 0))
+    later = (d != d[lead_]) | (s != s[lead_])
     return owner[later], offset[later]
 
 
