@@ -1,0 +1,107 @@
+"""Seeded damage of clean lines, to make training data for quality models.
+
+Twelve operators of one strength, composed in three bands. A variant depends only on seed, document, line and its
+number, so it is the same wherever it is computed.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import unicodedata
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from folioscope.operators.lexicon import CONFUSIONS
+from folioscope.params import TURNED, VOWELS
+
+#: Strength and number of operators of each band.
+BANDS = {"light": (0.04, 1), "medium": (0.12, 2), "heavy": (0.30, 3)}
+
+
+def _each(text, eps, rng, change):
+    return "".join(change(c) if rng.random() < eps else c for c in text)
+
+
+def strip_marks(t, e, r):
+    return _each(t, e, r, lambda c: unicodedata.normalize("NFD", c)[0])
+
+
+def confuse(t, e, r):
+    out, i = "", 0
+    while i < len(t):
+        hit = [(a, b) for a, b in CONFUSIONS if t.startswith(a, i)] if r.random() < e else []
+        a, b = r.choice(hit) if hit else (t[i], t[i])
+        out, i = out + b, i + len(a)
+    return out
+
+
+def flip_case(t, e, r):
+    return _each(t, e, r, str.swapcase)
+
+
+def fuse_words(t, e, r):
+    return _each(t, 1.0, r, lambda c: "" if c == " " and r.random() < e else c)
+
+
+def split_words(t, e, r):
+    return _each(t, e / 2, r, lambda c: c + " " if c.isalpha() else c)
+
+
+def inject_symbols(t, e, r):
+    return _each(t, e, r, lambda c: c + r.choice("~^*#§|<>"))
+
+
+def drop_chars(t, e, r):
+    return _each(t, e, r, lambda c: "")
+
+
+def triple_chars(t, e, r):
+    return _each(t, e / 2, r, lambda c: c * 3)
+
+
+def turn(t, e, r):
+    return " ".join("".join(TURNED.get(c, c) for c in reversed(w.lower())) if r.random() < min(1, 3 * e) else w for w in t.split(" "))
+
+
+def ledger_fill(t, e, r):
+    return t + " " + r.choice("._-") * max(1, int(e * 60))
+
+
+def strip_vowels(t, e, r):
+    return _each(t, 1.0, r, lambda c: "" if c in VOWELS and r.random() < min(1, 3 * e) else c)
+
+
+def truncate(t, e, r):
+    return t[: max(1, int(len(t) * (1 - min(0.9, e + r.random() * e))))]
+
+
+OPERATORS = {f.__name__: f for f in (strip_marks, confuse, flip_case, fuse_words, split_words, inject_symbols, drop_chars, triple_chars, turn, ledger_fill, strip_vowels, truncate)}
+
+
+def variant(text: str, seed: int, doc, line, number: int, band: str) -> tuple[str, str]:
+    """(damaged text, operators applied)."""
+    rng = random.Random(hashlib.sha256(f"{seed}|{doc}|{line}|{number}".encode()).digest())
+    eps, count = BANDS[band]
+    names = rng.sample(sorted(OPERATORS), count)
+    for n in names:
+        text = OPERATORS[n](text, eps, rng)
+    return text, "+".join(names)
+
+
+def variants(lines: DataFrame, seed: int = 23, each: int = 3) -> DataFrame:
+    """``lines`` (file, page_num, line_num, text) with ``each`` variants of every line: number, band, damaged, operators."""
+    bands = sorted(BANDS)
+    rows = lines.select("file", "page_num", "line_num", "text", F.explode(F.sequence(F.lit(1), F.lit(each))).alias("number")).where("text is not null")
+
+    @F.pandas_udf("band string, damaged string, operators string")
+    def damage(file: pd.Series, page: pd.Series, line: pd.Series, text: pd.Series, number: pd.Series) -> pd.DataFrame:
+        out = []
+        for f, p, i, t, k in zip(file, page, line, text, number, strict=True):
+            band = bands[(k - 1) % len(bands)]
+            out.append((band, *variant(t, seed, f, f"{p}.{i}", k, band)))
+        return pd.DataFrame(out, columns=["band", "damaged", "operators"])
+
+    return rows.withColumn("d", damage("file", "page_num", "line_num", "text", "number")).select("*", "d.*").drop("d")
