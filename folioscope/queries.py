@@ -257,9 +257,9 @@ _LEX = _L + r", k as (select distinct file, unnest(regexp_extract_all(lower(text
 
 
 @query(_LEX + """, r as (select token from x where df = 2 and length(token) = 6), c as (select token as candidate, df from x where df >= 20),
-rd as (select token, token as k from r union select token, token[1:i - 1] || token[i + 1:] from r, unnest(range(1, length(token) + 1)) as u(i)),
-cd as (select candidate, df, candidate as k from c union select candidate, df, candidate[1:i - 1] || candidate[i + 1:] from c, unnest(range(1, length(candidate) + 1)) as u(i))
-select distinct token, candidate, df from rd join cd using (k) where token <> candidate and levenshtein(token, candidate) = 1""")
+rd as (select token, token as k, 0 as i from r union all select token, token[1:i - 1] || token[i + 1:], i from r, unnest(range(1, length(token) + 1)) as u(i)),
+cd as (select candidate, df, candidate as k, 0 as j from c union all select candidate, df, candidate[1:i - 1] || candidate[i + 1:], i from c, unnest(range(1, length(candidate) + 1)) as u(i))
+select distinct token, candidate, df from rd join cd using (k) where token <> candidate and (length(token) = length(candidate) and i = j or abs(length(token) - length(candidate)) = 1 and (i = 0 or j = 0))""")
 def deletes_join(spark, sf_dir):
     lex = lexicon.document_frequency(lexicon.tokens(_lines(spark, sf_dir).select("file", "text")))
     return lexicon.neighbours(lex.where("df = 2 and length(token) = 6"), lex.where("df >= 20"))
