@@ -127,7 +127,8 @@ def starting_uppercase(core: str) -> str:
 
 def repeated_run(core: str) -> str:
     """A tripled character; a doubled one but o and u; or one that makes up 30 % and stands three times."""
-    often = f"exists(array_distinct(split({core}, '')), c -> c <> '' and not {rlike('c', r'[\p{Nd}oOuU]')} and (length({core}) - length(replace({core}, c, ''))) >= 3 and (length({core}) - length(replace({core}, c, ''))) / length({core}) >= 0.30)"
+    thrice = rlike(core, r"([^\p{Nd}oOuU]).*\1.*\1")
+    often = f"{thrice} and exists(array_distinct(split({core}, '')), c -> c <> '' and not {rlike('c', r'[\p{Nd}oOuU]')} and (length({core}) - length(replace({core}, c, ''))) >= 3 and (length({core}) - length(replace({core}, c, ''))) / length({core}) >= 0.30)"
     return f"(length({core}) >= 4 and ({rlike(core, r'(\P{Nd})\1\1')} or {rlike(core, r'([^\p{Nd}oOuU])\1')} or {often}))"
 
 
@@ -142,11 +143,17 @@ def count_words(w: str, test) -> str:
     return f"size(filter({w}, w -> {test}))"
 
 
+def parts(w: str) -> str:
+    """Array of each word's stripped subtokens."""
+    return f"transform({w}, w -> transform({subtokens('w')}, x -> {stripped('x')}))"
+
+
 def any_subtoken(test) -> str:
-    return f"exists(transform({subtokens('w')}, x -> {stripped('x')}), x -> {test})"
+    return f"exists(w, x -> {test})"
 
 
 def repeated_words(w: str) -> str:
+    """These and the next counts take the array of ``parts``."""
     return count_words(w, any_subtoken(repeated_run("x")))
 
 
@@ -245,7 +252,8 @@ def neutral_token(core: str, raw: str, following: str) -> str:
 def valid_ratio(w: str) -> str:
     """Share of well-formed words among those that can be judged; 1 where none can, 0 without words."""
     item = f"transform({w}, (w, i) -> named_struct('c', {stripped('w')}, 'w', w, 'n', coalesce({stripped(f'get({w}, i + 1)')}, '')))"
-    sure = rlike("x.c", r"^\p{Lu}?\p{Ll}{5,}$")  # too long for an abbreviation
+    short = f"{rlike('x.c', r'^\p{Lu}?\p{Ll}{2,4}$')} and length(x.c) >= 3 and not {rlike('x.w', r'[.:]')} and not array_contains({array_of(NEUTRAL)}, lower(x.c))"
+    sure = f"({rlike('x.c', r'^\p{Lu}?\p{Ll}{5,}$')} or ({short}))"  # too long for an abbreviation, or not closed like one
     judged = f"filter({item}, x -> {sure} or (x.c <> '' and not {neutral_token('x.c', 'x.w', 'x.n')}))"
     form = f"length(x.c) >= 3 and {n_of('x.c', r'\p{L}')} / length(x.c) >= 0.70 and not {strange('x.c')} and not {mid_uppercase('x.c')}"
     good = f"{sure} or array_contains({array_of(SHORT_VALID)}, lower(x.c)) or {rlike('x.c', '^' + klass(SINGLES) + '$')} or ({form})"

@@ -62,7 +62,7 @@ _signal("vowel_ratio", s.vowel_ratio("text"), _safe(_n(f"[{VOWELS}]"), f"({_n(r'
 _signal("rotatable_ratio", s.rotatable_ratio("text"), _safe(_n(f"[{ROTATABLE}]", "lower(text)"), _n(r"\p{L}")))
 _signal("has_diacritics", s.has_diacritics("text"), "regexp_matches(text, '[áčďéěíňóřšťúůýžÁČĎÉĚÍŇÓŘŠŤÚŮÝŽ]')")
 _signal("word_count", f"size({s.words('text')})", rf"len(regexp_extract_all(text, '[^{_WS}]+'))")
-_signal("wx_words", s.wx_words(s.words("text")), rf"len(list_filter(regexp_extract_all(text, '[^{_WS}]+'), lambda w: regexp_matches(w, '[wW][^.–-]*[wW]|[xX][^.–-]*[xX]')))")
+_signal("wx_words", s.wx_words(s.parts(s.words("text"))), rf"len(list_filter(regexp_extract_all(text, '[^{_WS}]+'), lambda w: regexp_matches(w, '[wW][^.–-]*[wW]|[xX][^.–-]*[xX]')))")
 _signal("all_caps_lines", s.all_caps(s.words("text")), rf"len(list_filter(regexp_extract_all(text, '[^{_WS}]+'), lambda w: regexp_matches(w, '\p{{L}}'))) > 0 and len(list_filter(regexp_extract_all(text, '[^{_WS}]+'), lambda w: regexp_matches(w, '\p{{L}}') and not (w = upper(w) and regexp_matches(w, '[\p{{Lu}}\p{{Lt}}]') and not regexp_matches(w, '\p{{Ll}}')))) = 0")
 _signal("diacritic_language", s.diacritic_language("text"), "case when " + _n(r"\p{L}") + " = 0 then null when " + _n("[áčďéěíňóřšťúůýžÁČĎÉĚÍŇÓŘŠŤÚŮÝŽ]") + "::double / " + _n(r"\p{L}") + " >= 0.07 then 'ces' when " + _n("[äöüßÄÖÜ]") + "::double / " + _n(r"\p{L}") + " >= 0.07 then 'deu' end")
 _signal("fused_long_words", f"size(filter({s.cores(s.words('text'))}, c -> length(c) > 14))", rf"len(list_filter(regexp_extract_all(text, '[^{_WS}]+'), lambda w: length(trim(w, '.,;:!?()[]\"''/\')) > 14))")
