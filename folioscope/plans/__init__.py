@@ -1,0 +1 @@
+"""Whole jobs put together from operators."""
