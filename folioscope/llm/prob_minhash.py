@@ -92,7 +92,7 @@ def sequence_keys(hashes, row, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
 def _signed(bands: int, rows: int, k: int, registers: int = REGISTERS):
     def run(batches):
         seeds = tc.mix(np.arange(1, bands + 1, dtype=np.uint64))
-        for rows_, data, offs in tc.chunks(batches, "text", 4 << 20):
+        for rows_, data, offs in tc.chunks(batches, "text", 1 << 20):
             n = rows_.num_rows
             s, r, w, hashes, row = weighted_shingles(data, offs, k)
             full = signatures(s, r, w.astype(float), n, registers)
