@@ -5,8 +5,10 @@ digits of a telephone number, the 2**32 addresses, the days of 400 years. The se
 halves, and rounds add to one half a keyed hash of the other, modulo its radix. That permutes the set exactly, with no
 retries: a value's pseudonym is valid, differs by key, is the same in every document, and no two values share one.
 
-    card      13 to 19 digits, Luhn-valid; first digit stays, the check digit is computed anew
-    phone     +1 and plain ten-digit forms; all ten digits permuted
+    card      13 to 19 digits, Luhn-valid; first digit stays, the check digit is computed anew. In a longer run of
+              digit groups, whole groups are tried from the left, the most digits first: where a group beside
+              a card makes a valid number with it by chance, both are replaced as one
+    phone     ten digits, plain or 3-3-4 by blank, dot or hyphen, after +1 or 1 or not; all ten digits permuted
     ssn       898 x 99 x 9999 valid numbers as 88902 x 9999
     ipv4      65536 x 65536, octets without leading zeros
     date      year-month-day, day/month/year or day.month.year of 1800 to 2199: 146097 days as 189 x 773
@@ -27,16 +29,18 @@ KEY = "replace-this-key"
 ROUNDS = 10
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+_DAY, _YEAR = "(?:0[1-9]|[12][0-9]|3[01])", "(?:1[89]|2[01])[0-9]{2}"
 #: Forms, in order of precedence; a kind is told from a match by the tests of ``_pseudonym``.
 FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ipv4": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9])",
-    "date": r"(?<![0-9-])(?:1[89]|2[01])[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9-])|(?<![0-9./])(?:0[1-9]|[12][0-9]|3[01])([./])(?:0[1-9]|1[0-2])\1(?:1[89]|2[01])[0-9]{2}(?![0-9/])",
-    "phone": r"(?:(?<![0-9])\+1[ .-]?)?(?:\([0-9]{3}\) ?|(?<![0-9.-])[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9-])",
+    "date": rf"(?<![0-9-]){_YEAR}-(?:0[1-9]|1[0-2])-{_DAY}(?![0-9-])|(?<![0-9./]){_DAY}(?:\.(?:0[1-9]|1[0-2])\.|/(?:0[1-9]|1[0-2])/){_YEAR}(?![0-9/])",
+    "phone": r"(?:(?<![0-9])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?:(?<![0-9.-])1[ .-])?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?<![0-9.-])(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?!-?[0-9])|(?<![A-Za-z0-9_.-])[0-9]{10}(?![A-Za-z0-9_]|[.-][0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
-_ALL = "|".join(f"(?:{f})" for f in FORMS.values()).replace(r"\1", r"\2")
+#: Digit groups up to the next value of another kind.
+FORMS["card"] = rf"(?<![0-9])(?=(?:[0-9][ -]?){{13}})[0-9]++(?:[ -](?!{'|'.join(f'(?:{FORMS[k]})' for k in ('ipv4', 'date', 'phone', 'ssn'))})[0-9]++)*+"
+_ALL = "|".join(f"(?:{f})" for f in FORMS.values())
 
 
 def _hash(key: str, kind: str, i: str, x: str) -> str:
@@ -114,10 +118,14 @@ def _ssn(m: str, key: str) -> str:
 
 
 def _card(m: str, key: str) -> str:
-    d = f"regexp_replace({m}, '[^0-9]', '')"
-    body = _let(_digits("substr(d, 2, length(d) - 2)", "'card'", key), "b", _let("concat(substr(d, 1, 1), b)", "w", _into(m, f"concat(w, {_luhn('w')})")))
-    valid = f"{_luhn('substr(d, 1, length(d) - 1)')} = right(d, 1)"
-    return _let(d, "d", f"if({valid}, {body}, {m})")
+    """``m`` with its cards replaced: from the left, the longest valid sequence of whole digit groups."""
+    bare = lambda x: f"regexp_replace({x}, '[^0-9]', '')"
+    groups = lambda j: f"array_join(slice(g, i, {j} - i + 1), '')"
+    card = _let(bare("c"), "d", _let(_digits("substr(d, 2, length(d) - 2)", "'card'", key), "b", _let("concat(substr(d, 1, 1), b)", "w", _into("c", f"concat(w, {_luhn('w')})"))))
+    valid = _let(bare(groups("j")), "d", f"if(length(d) between 13 and 19, {_luhn('substr(d, 1, length(d) - 1)')} = right(d, 1), false)")
+    last = f"array_max(filter(sequence(i, least(size(g), i + 18)), j -> {valid}))"
+    step = _let(last, "e", f"if(e is null, named_struct('o', concat(s.o, g[i - 1]), 'e', i), named_struct('o', concat(s.o, {_let(groups('e'), 'c', card)}), 'e', e))")
+    return _let(f"regexp_extract_all({m}, '([0-9]+[ -]?)', 1)", "g", f"aggregate(sequence(1, size(g)), named_struct('o', '', 'e', 0), (s, i) -> if(i <= s.e, s, {step}), s -> s.o)")
 
 
 def _phone(m: str, key: str) -> str:
@@ -154,7 +162,7 @@ def _found(docs: DataFrame, key: str, column: str) -> DataFrame:
     pattern, k = _quoted(f"({_ALL})"), _quoted(key)
     rows = docs.withColumn("_matches", F.expr(f"regexp_extract_all({column}, {pattern}, 1)"))
     rows = rows.withColumn("_new", F.expr(f"transform(_matches, m -> {pseudonym('m', k)})"))
-    parts = f"split({column}, {_quoted(_ALL.replace(chr(92) + '2', chr(92) + '1'))}, -1)"
+    parts = f"split({column}, {_quoted(_ALL)}, -1)"
     joined = f"if(size(_matches) > 0, array_join(flatten(zip_with({parts}, _new, (p, q) -> array(p, coalesce(q, '')))), ''), {column})"
     return rows.withColumn(column, F.expr(joined))
 

@@ -183,6 +183,23 @@ def test_pseudonyms(spark):
     assert other != a and re.search(r"mail [a-z]{3}\.[a-z]\d@x\.org", a)
 
 
+def test_no_value_is_left_in_clear(spark):
+    card = "4539 1488 0343 6467"
+    phones = ["+1-743-555-3824", "+1.743.555.3824", "+1743-555-3824", "743 555 3824", "+1 743 555 3824", "7435553824", "+17435553824", "(743) 555-3824", "1-743-555-3824", "743-555-3824", "743.555.3824"]
+    cards = [f"{card} 12/27", f"12/27 {card} 124", f"{card} 124", f"1234 5678 {card} 12-27", f"{card} {card}", f"{card} 743-555-3824", f"{card} 1999-02-28", "3056 930902 5904"]
+    same = ["4539 1488 0343 6468", "id a7435553824", "0.7435553824", "74355538241"]
+    df = spark.createDataFrame([(i, f"see {x} now") for i, x in enumerate(phones + cards + same)], "doc_id long, text string")
+    got = [r.text[4:-4] for r in pii_feistel.pseudonymised(df).orderBy("doc_id").collect()]
+    form = lambda x: re.sub("[0-9]", "0", x)
+    assert [form(x) for x in got] == [form(x) for x in phones + cards + same] and got[len(phones + cards) :] == same
+    numbers = {re.sub("[^0-9]", "", x)[-10:] for x in got[: len(phones)]}
+    assert len(numbers) == 1 and "7435553824" not in numbers
+    shown = got[len(phones) :]
+    new = shown[2][: len(card)]
+    assert new != card and [x.count(new) for x in shown[:7]] == [1, 1, 1, 1, 2, 1, 1]
+    assert shown[3].startswith("1234 5678 ") and shown[5].replace("-", "").endswith(numbers.pop()) and not shown[6].endswith("1999-02-28") and shown[7][5:] != "930902 5904"
+
+
 def test_feistel_permutes(spark):
     df = spark.range(189 * 773).selectExpr("date_format(date_add(date'1800-01-01', cast(id as int)), 'yyyy-MM-dd') as text")
     assert pii_feistel.pseudonymised(df).distinct().count() == 189 * 773
