@@ -11,11 +11,11 @@ which is the plain Jaccard similarity where all weights are equal. Registers are
 pairs, and every candidate is verified with the exact J_P of the two texts.
 
 Plan: (1) one Arrow pass makes signatures, stored once; (2) texts of equal word sequence collapse to one node
-before any comparison; (3) buckets with the same members collapse to one; (4) within a bucket, pairs whose registers
-agree to at least the threshold less ``SLACK`` (2.4 standard deviations of the estimate at the threshold) are candidates: first the
-edges of a maximum spanning forest, then for pairs that stay in different components the closest few of each member,
-then all that are left; each round is verified and joined into components before the next. So a bucket emits about
-as many pairs as it has members, though none that could join two components stays untested. A bucket of more than
+before any comparison; (3) buckets with the same members collapse to one; (4) within a bucket, candidates are first
+the edges of a maximum spanning forest, then for pairs that stay in different components the closest few of each
+member, both of pairs whose registers agree to at least the threshold less ``SLACK``, then every pair that is left,
+whatever its registers; each round is verified and joined into components before the next. So the estimate only
+orders the work, and no pair that shares a band and could join two components stays untested. A bucket of more than
 ``BLOCK`` members is dealt in blocks, each pair of blocks to a task, so no task grows with a bucket.
 """
 
@@ -216,35 +216,54 @@ def _forest(sig: np.ndarray, least: float) -> list[tuple[int, int]]:
     return edges
 
 
-def _closest(sig: np.ndarray, component: np.ndarray, least: float, most: int | None, band: int, rows: int, bands: int) -> list[tuple[int, int]]:
-    """Pairs of different components that agree to ``least``; with ``most``, the closest so many of each member outside the largest, else all
-    whose first equal band is this bucket's: a pair that meets in several buckets comes from one."""
-    edges = []
+def _closest(sig: np.ndarray, component: np.ndarray, least: float, most: int):
+    """(member, others) of different components that agree to ``least``: the closest ``most`` of each member outside the largest."""
     kinds, inverse, size = np.unique(component, return_inverse=True, return_counts=True)
-    odd = inverse != size.argmax()  # a pair of two components has a member outside the largest
-    for i in np.flatnonzero(odd) if most else range(len(sig)):
-        other = np.flatnonzero(component != component[i]) if most else i + 1 + np.flatnonzero(component[i + 1 :] != component[i])
+    for i in np.flatnonzero(inverse != size.argmax()):  # a pair of two components has a member outside the largest
+        other = np.flatnonzero(component != component[i])
+        agree = (sig[other] == sig[i]).mean(1)
+        near = np.flatnonzero(agree >= least)
+        if len(near) > most:
+            near = near[np.argpartition(-agree[near], most)[:most]]
+        yield i, other[near]
+
+
+def _left(sig: np.ndarray, component: np.ndarray, band: int, rows: int, bands: int):
+    """(member, others) of all pairs of different components for which this bucket's band is the first or second equal
+    one: a pair that meets in many buckets comes from two at most. The second counts because registers are compared by
+    16 bits, and a band can look equal that is not."""
+    banded = sig[:, : rows * bands].reshape(len(sig), bands, rows)[:, : band + 1]
+    for i in range(len(sig)):
+        other = i + 1 + np.flatnonzero(component[i + 1 :] != component[i])
         if len(other):
-            same = sig[other] == sig[i]
-            agree = same.mean(1)
-            near = np.flatnonzero(agree >= least)
-            if most and len(near) > most:
-                near = near[np.argpartition(-agree[near], most)[:most]]
-            if not most:
-                near = near[same[near, : rows * bands].reshape(-1, bands, rows).all(2).argmax(1) == band]
-            edges += [(i, int(j)) for j in other[near]]
-    return edges
+            same = (banded[other] == banded[i]).all(2)
+            yield i, other[same[:, band] & (same[:, :band].sum(1) <= 1)]
 
 
 def _candidates(least: float, most: int | None, first: bool, rows: int, bands: int):
     """Pairs of nodes from rows (group, band, node, component, sig) that are sorted by group."""
 
     def pairs(band, nodes, component, sig):
-        sig = np.frombuffer(b"".join(sig), "<u2").reshape(len(nodes), -1)
-        edges = _forest(sig, least) if first else _closest(sig, np.array(component), least, most, band, rows, bands)
-        ids = [(min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for i, j in edges]
-        a, b = zip(*ids, strict=True) if ids else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        sig, nodes, component = np.frombuffer(b"".join(sig), "<u2").reshape(len(nodes), -1), np.array(nodes, np.int64), np.array(component, np.int64)
+        if first:
+            found = ((i, np.array([j])) for i, j in _forest(sig, least))
+        else:
+            found = _closest(sig, component, least, most) if most else _left(sig, component, band, rows, bands)
+        held, size = [], 0
+
+        def out():
+            a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        for i, others in found:
+            if len(others):
+                held.append((np.repeat(nodes[i], len(others)), nodes[others]))
+                size += len(others)
+            if size > 100_000:
+                yield out()
+                held, size = [], 0
+        if held:
+            yield out()
 
     def run(batches):
         group, band, nodes, component, sig = None, 0, [], [], []
@@ -252,13 +271,13 @@ def _candidates(least: float, most: int | None, first: bool, rows: int, bands: i
             for g, d, n, c, s in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 if g != group:
                     if len(nodes) > 1 and (first or len(set(component)) > 1):
-                        yield pairs(band, nodes, component, sig)
+                        yield from pairs(band, nodes, component, sig)
                     group, band, nodes, component, sig = g, d, [], [], []
                 nodes.append(n)
                 component.append(c)
                 sig.append(s)
         if len(nodes) > 1 and (first or len(set(component)) > 1):
-            yield pairs(band, nodes, component, sig)
+            yield from pairs(band, nodes, component, sig)
 
     return run
 

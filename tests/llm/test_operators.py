@@ -62,6 +62,22 @@ def test_near_duplicates(docs, rows, monkeypatch):
     assert prob_minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_low_estimates_are_verified(spark):
+    import pyarrow as pa
+
+    texts = []
+    for i in range(1500):  # pairs of similarity 81 / 101
+        w = [f"p{i}w{j}" for j in range(95)]
+        texts += [" ".join(w), " ".join(w[:85] + [f"x{i}w{j}" for j in range(10)])]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    signed = [r for b in prob_minhash._signed(prob_minhash.BANDS, prob_minhash.ROWS, 5)([batch]) for r in b.to_pylist()]
+    agree = lambda a, b: (np.frombuffer(a["sig"], "<u2") == np.frombuffer(b["sig"], "<u2")).mean()
+    low = [i for i in range(0, len(texts), 2) if agree(signed[i], signed[i + 1]) < prob_minhash.THRESHOLD - prob_minhash.SLACK and any(x == y for x, y in zip(signed[i]["bands"], signed[i + 1]["bands"], strict=True))]
+    assert low
+    got = prob_minhash.near_duplicates(spark.createDataFrame([(j, texts[j]) for i in low for j in (i, i + 1)], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {j: i for i in low for j in (i, i + 1)}
+
+
 def test_similarity_is_exact():
     rng = np.random.default_rng(3)
     for _ in range(50):
