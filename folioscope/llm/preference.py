@@ -6,8 +6,10 @@ completion, not the markers, the other roles or the prompt.
 
 Pairs come as a table (chosen_id, rejected_id), or are made from conversations that open with the same turn: they are
 ranked by their assistant words, and the more worded half is chosen over the less worded, rank by rank. Ranking is
-done within hash buckets of an opening, so a common opening does not meet in one task; a conversation that is left
-over in its bucket has no partner, and is reported without one.
+done within hash buckets of an opening, so a common opening does not meet in one task; what is left over in its bucket
+meets in buckets of buckets, and then in one, so that at most one conversation of an opening is left. It is paired with
+itself: its last assistant turn is chosen over the last assistant turn of another such conversation (rejected_id), the
+next of different text in a hash bucket. Without an assistant turn, or another text, it is reported without a partner.
 """
 
 from __future__ import annotations
@@ -36,14 +38,36 @@ def conversations(turns: DataFrame) -> DataFrame:
 def paired(convs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(chosen_id, rejected_id) of conversations with the same first turn; rejected_id is null where none is left."""
     c = convs.select("conv_id", F.xxhash64(F.col("turns")[0]).alias("opening"), F.expr("aggregate(filter(turns, x -> x.role = 'assistant'), 0L, (n, x) -> n + size(split(trim(x.text), '[ \\\\t\\\\r\\\\n]+')))").alias("words"))
-    size = c.groupBy("opening").agg(F.count("*").alias("n"))
-    c = c.join(size, "opening").withColumn("part", F.pmod(F.xxhash64("conv_id"), F.ceil(F.col("n") / bucket)))
-    w = Window.partitionBy("opening", "part")
-    c = c.withColumns({"rank": F.row_number().over(w.orderBy(F.desc("words"), "conv_id")) - 1, "n": F.count("*").over(w)})
-    half = F.floor(F.col("n") / 2)
-    left = F.col("rank") >= 2 * half
+    size = c.groupBy("opening").agg(F.count("*").alias("all"))
+    c = c.join(size, "opening").withColumns({"round": F.lit(0), "part": F.pmod(F.xxhash64("conv_id"), F.ceil(F.col("all") / bucket))})
+    w = Window.partitionBy("opening", "round", "part")
+    for k in (1, 2, 3):
+        c = c.withColumns({"rank": F.row_number().over(w.orderBy(F.desc("words"), "conv_id")) - 1, "n": F.count("*").over(w)})
+        half = F.floor(F.col("n") / 2)
+        left = F.col("rank") >= 2 * half
+        if k < 3:
+            again = F.pmod(F.xxhash64("conv_id", F.lit(k)), F.ceil(F.col("all") / bucket**2)) if k == 1 else F.lit(0).cast("long")
+            c = c.withColumns({"part": F.when(left, again).otherwise(F.col("part")), "round": F.when(left, F.lit(k)).otherwise(F.col("round"))})
     c = c.withColumns({"slot": F.when(left, half).otherwise(F.col("rank") % F.greatest(half, F.lit(1))), "role": F.when(left | (F.col("rank") < half), F.lit("c")).otherwise(F.lit("r"))})
-    return c.groupBy("opening", "part", "slot").agg(F.min(F.when(F.col("role") == "c", F.col("conv_id"))).alias("chosen_id"), F.min(F.when(F.col("role") == "r", F.col("conv_id"))).alias("rejected_id")).select("chosen_id", "rejected_id")
+    return c.groupBy("opening", "round", "part", "slot").agg(F.min(F.when(F.col("role") == "c", F.col("conv_id"))).alias("chosen_id"), F.min(F.when(F.col("role") == "r", F.col("conv_id"))).alias("rejected_id")).select("chosen_id", "rejected_id")
+
+
+_LAST = "array_max(filter(sequence(1, size({0})), i -> {0}[i - 1].role = 'assistant'))"
+
+
+def alternatives(alone: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """(chosen_id, donor_id, b) of rows (chosen_id, a) by hash buckets: ``b`` is ``a`` up to its last assistant turn, with
+    that turn's text taken from the next conversation with another, in order of text."""
+    own = alone.select("chosen_id", "a", F.expr(_LAST.format("a")).alias("at")).where("at is not null").withColumn("text", F.expr("a[at - 1].text"))
+    narrow = own.select("chosen_id", "text")
+    narrow = narrow.crossJoin(F.broadcast(narrow.agg(F.count("*").alias("all")))).withColumn("part", F.pmod(F.xxhash64("chosen_id", F.lit(7)), F.ceil(F.col("all") / bucket)))
+    texts = narrow.groupBy("part", "text").agg(F.min("chosen_id").alias("donor_id"))
+    w = Window.partitionBy("part").orderBy("text")
+    first = Window.partitionBy("part").orderBy("text").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    following = lambda x: F.coalesce(F.lead(x).over(w), F.first(x).over(first))
+    texts = texts.select("part", "text", following("donor_id").alias("donor_id"), following("text").alias("other")).where("text <> other")
+    found = narrow.select("chosen_id", "part", "text").join(texts, ["part", "text"]).select("chosen_id", "donor_id", "other")
+    return own.join(found, "chosen_id").select("chosen_id", "donor_id", F.expr("concat(slice(a, 1, at - 1), array(named_struct('role', 'assistant', 'text', other)))").alias("b"))
 
 
 def render(turns: str) -> str:
@@ -67,14 +91,19 @@ def preferences(turns: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Per pair: chosen_id, rejected_id, shared_turns, prompt, chosen, rejected, and the masks chosen_mask and
     rejected_mask, arrays of (start, end) within each completion.
 
-    Equal conversations share all turns and have empty completions. Without a partner, rejected is null and the whole
-    conversation but its first turn is the completion. Ids of ``pairs`` that have no turns give no row.
+    Equal conversations share all turns and have empty completions. Where pairs are made, a conversation without a
+    partner is set against an alternative of its last assistant turn, taken from rejected_id. Without that too, rejected
+    is null and the whole conversation but its first turn is the completion. Ids of ``pairs`` that have no turns give no row.
     """
     convs = conversations(turns)
-    pairs = paired(convs) if pairs is None else columns(pairs, chosen_id="long", rejected_id="long")
+    made = pairs is None
+    pairs = paired(convs) if made else columns(pairs, chosen_id="long", rejected_id="long")
     a = convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("a"))
     b = convs.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("b"))
     rows = pairs.join(a, "chosen_id").join(b, "rejected_id", "left").where("rejected_id is null or b is not null")
+    if made:
+        other = alternatives(rows.where("rejected_id is null").select("chosen_id", "a")).withColumnRenamed("b", "other")
+        rows = rows.join(other, "chosen_id", "left").select("chosen_id", F.coalesce("rejected_id", "donor_id").alias("rejected_id"), "a", F.coalesce("b", "other").alias("b"))
     equal = "filter(sequence(1, least(size(a), size(b))), i -> a[i - 1] <> b[i - 1])"
     rows = rows.withColumn("shared_turns", F.expr(f"if(b is null, 1, coalesce(array_min({equal}) - 1, least(size(a), size(b))))"))
     rest = lambda t: f"slice({t}, shared_turns + 1, size({t}))"

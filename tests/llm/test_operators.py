@@ -273,6 +273,19 @@ def test_preference(spark):
     assert len(same) == 1 and same[0].chosen == same[0].rejected == ""
 
 
+def test_every_conversation_gets_a_pair(spark):
+    turns = [(i, k, "assistant" if k % 2 else "user", f"u{i if i < 40 else 'hot'}" if not k else f"t{i} {k}") for i in range(540) for k in range(4)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    rows = preference.preferences(df).collect()
+    own = [r for r in rows if r.chosen_id < 40]
+    assert len(own) == 40 and len(rows) == 40 + 250 and all(r.rejected is not None and r.rejected_id != r.chosen_id for r in rows)
+    for r in own:
+        assert r.shared_turns == 3 and r.prompt.endswith(f"t{r.chosen_id} 2<|end|>\n")
+        assert [r.chosen[m.start : m.end] for m in r.chosen_mask] == [f"t{r.chosen_id} 3"] and [r.rejected[m.start : m.end] for m in r.rejected_mask] == [f"t{r.rejected_id} 3"]
+    ids = [x for r in rows if r.chosen_id >= 40 for x in (r.chosen_id, r.rejected_id)]
+    assert sorted(ids) == list(range(40, 540))
+
+
 def test_multiset_hash(spark):
     t = ["One. Two.\nThree.", "Three.\nTwo. One.", "One. Two.", "", "x" * 5000]
     fp = lambda x: f"{multiset_hash.fingerprint(multiset_hash.pieces(x))}"
