@@ -265,6 +265,12 @@ def deletes_join(spark, sf_dir):
     return lexicon.neighbours(lex.where("df = 2 and length(token) = 6"), lex.where("df >= 20"))
 
 
+@query()  # all rare tokens; deletes_join is the part of it that SQL can check in time
+def one_edit_neighbours(spark, sf_dir):
+    lex = lexicon.document_frequency(lexicon.tokens(_lines(spark, sf_dir).select("file", "text")))
+    return lexicon.neighbours(lex.where("df < 3"), lex.where("df >= 20"))
+
+
 @query(_B + r""", f as (select regexp_replace(lower(text), '[^\p{L}\p{N}_]', '', 'g') as family, categ, text from b), g as (select family, categ, count(*) as n from f where family <> '' group by all), v as (select family, count(distinct text)::int as variants from f group by 1)
 select family, sum(n)::bigint as lines, any_value(variants) as variants, string_agg(categ || ':' || n, '|' order by categ) as mix from g join v using (family) group by family""")
 def family_mix(spark, sf_dir):
