@@ -48,3 +48,13 @@ def partitions_for(df: DataFrame, each: int, least: int = 8, most: int = 1_000_0
 def columns(df: DataFrame, **wanted: str) -> DataFrame:
     """Only the named columns, cast to the types; other columns, of whatever name, stay out."""
     return df.select(*(F.col(c).cast(t).alias(c) for c, t in wanted.items()))
+
+
+def packed(df: DataFrame, **more) -> DataFrame:
+    """``df`` as one struct column ``row`` beside the columns ``more``, so that no name of a user's column clashes."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), *(v.alias(k) for k, v in more.items()))
+
+
+def unpacked(rows: DataFrame, names: list[str], **new) -> DataFrame:
+    """The columns ``names`` of ``row``, those in ``new`` replaced."""
+    return rows.select(*(new[c].alias(c) if c in new else F.col("row").getField(c).alias(c) for c in names))
