@@ -10,24 +10,30 @@ text. The share of equal registers estimates the probability Jaccard similarity
 which is the plain Jaccard similarity where all weights are equal. Registers are banded, buckets give candidate
 pairs, and every candidate is verified with the exact J_P of the two texts.
 
-Plan: (1) one Arrow pass makes signatures, stored once; (2) texts of equal word sequence collapse to one node
-before any comparison; (3) buckets with the same members collapse to one; (4) within a bucket, candidates are first
-the edges of a maximum spanning forest, then for pairs that stay in different components the closest few of each
-member, both of pairs whose registers agree to at least the threshold less ``SLACK``, then every pair that is left,
-whatever its registers; each round is verified and joined into components before the next. So the estimate only
-orders the work, and no pair that shares a band and could join two components stays untested. A bucket of more than
-``BLOCK`` members is dealt in blocks, each pair of blocks to a task, so no task grows with a bucket.
+Plan: (1) one Arrow pass makes signatures, stored once; (2) texts of equal word sequence collapse to one node, which
+gets a number of its own, before any comparison; (3) buckets with the same members collapse to one; (4) within a bucket
+of different components, candidates are, round by round, the edges of a maximum spanning forest of each block of
+``BLOCK`` members, those of a forest over one member of each component, the closest few of each member outside the
+bucket's largest component, and then every pair that is left; each round is verified by exact J_P and joined into
+components before the next. A pair is verified if it shares a band and its registers do not tell it from the threshold:
+``least_agreement`` is set so low that the estimate loses a tenth, at most, of what the bands lose by themselves.
+
+No task grows with a bucket: members of the largest component of a bucket are compared in blocks with the others only,
+so the work on a hot bucket grows with the number of its members outside that component. The joins on buckets leave
+a hot bucket to the engine's splitting of skewed partitions.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textcore as tc
-from .common import columns, stored, table
+from .common import columns, packed, stored, table, unpacked
 
 K = 5
 THRESHOLD = 0.8
@@ -35,13 +41,22 @@ BANDS = 26
 ROWS = 5
 #: Registers of a signature; the first BANDS * ROWS are banded, all estimate.
 REGISTERS = 256
-SLACK = 0.06
 BLOCK = 4000
-#: Links that one task may unite.
-LOCAL_LINKS = 500_000
+#: Links that are united at once within a task.
+LINKS_AT_ONCE = 500_000
 _GOLD = 0x9E3779B97F4A7C15
 
 
+def least_agreement(threshold: float, bands: int, rows: int, registers: int) -> float:
+    """The share of equal registers below which a pair of that similarity falls a tenth as often as all bands miss it."""
+    allowed, tail = (1 - threshold**rows) ** bands / 10, 0.0
+    for k in range(registers + 1):
+        tail += math.comb(registers, k) * threshold**k * (1 - threshold) ** (registers - k)
+        if tail > allowed:
+            return k / registers
+    return 1.0
+
+
 def weighted_shingles(data, offs, k=K):
     """Distinct shingles by row: hashes, rows, counts (sorted by row)."""
     starts, ends, row = tc.spans(data, offs)
@@ -146,16 +161,22 @@ def _verifier(threshold: float, k: int):
 
 
 def _keyed(batches):
-    """(k1, k2, text) of texts whose own keys are those of the row; drops the others."""
+    """The rows with the keys k1, k2 of their texts."""
     for rows, data, offs in tc.chunks(batches, "text"):
         starts, ends, row = tc.spans(data, offs)
         k1, k2 = sequence_keys(tc.hash_spans(data, starts, ends), row, rows.num_rows)
-        same = pa.array((k1 == rows.column(0).to_numpy()) & (k2 == rows.column(1).to_numpy()))
-        yield pa.RecordBatch.from_arrays([rows.column(0).filter(same), rows.column(2).filter(same)], ["node", "text"])
+        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(k1), pa.array(k2)], [*rows.schema.names, "k1", "k2"])
+
 
+def keyed(rows: DataFrame) -> DataFrame:
+    from pyspark.sql.types import LongType, StructField, StructType
 
-def _united(batches):
-    """(node, component) of links (a, b) by union-find, in one task of bounded input."""
+    return rows.mapInArrow(_keyed, StructType([*rows.schema.fields, StructField("k1", LongType()), StructField("k2", LongType())]))
+
+
+def _contracted(batches):
+    """Links (u, v) with the connectivity of the given ones, from each node to the least of those it is linked to, by
+    union-find over ``LINKS_AT_ONCE`` links at a time."""
     up: dict[int, int] = {}
 
     def root(x):
@@ -163,27 +184,39 @@ def _united(batches):
             up[x] = x = up[up[x]]
         return x
 
+    def out():
+        found = [(x, root(x)) for x in up]
+        found = [(x, r) for x, r in found if x != r]
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([r for _, r in found], pa.int64())], ["u", "v"])
+
+    size = 0
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             a, b = root(up.setdefault(a, a)), root(up.setdefault(b, b))
             if a != b:
                 up[max(a, b)] = min(a, b)
+        size += batch.num_rows
+        if size >= LINKS_AT_ONCE:
+            yield out()
+            up, size = {}, 0
     if up:
-        yield pa.RecordBatch.from_arrays([pa.array(list(up), pa.int64()), pa.array([root(x) for x in list(up)], pa.int64())], ["node", "component"])
+        yield out()
 
 
-def components(links: DataFrame, name: str = "components", local_links: int = LOCAL_LINKS) -> DataFrame:
+def components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, component): the least node of each connected component, of links (a, b) that are stored.
 
-    Up to ``local_links`` links are united in one task. More are joined by alternating large and small stars: every
-    round is two hash aggregates and a join over the links, the rounds grow with the logarithm of the longest path,
-    and each is stored in the shared folder.
+    Links are contracted within tasks and then joined by alternating large and small stars: every round is two hash
+    aggregates and a join over the links, the rounds grow with the logarithm of the longest path, and each is stored
+    in the shared folder. Nodes that are their own component may be missing.
     """
-    if links.count() <= local_links:
-        return stored(links.select("a", "b").coalesce(1).mapInArrow(_united, "node long, component long"), name)
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), name)
-    before = None
-    while True:
+
+    def state(edges):
+        return tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
+
+    edges = stored(links.select("a", "b").mapInArrow(_contracted, "u long, v long").distinct(), name)
+    before = state(edges)
+    while before[0]:
         both = edges.union(edges.select(F.col("v"), F.col("u")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -191,10 +224,11 @@ def components(links: DataFrame, name: str = "components", local_links: int = LO
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         edges = stored(small.where("u <> v").distinct(), name)
-        now = tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
+        now = state(edges)
         if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            break
         before = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
 def _forest(sig: np.ndarray, least: float) -> list[tuple[int, int]]:
@@ -216,11 +250,23 @@ def _forest(sig: np.ndarray, least: float) -> list[tuple[int, int]]:
     return edges
 
 
-def _closest(sig: np.ndarray, component: np.ndarray, least: float, most: int):
-    """(member, others) of different components that agree to ``least``: the closest ``most`` of each member outside the largest."""
-    kinds, inverse, size = np.unique(component, return_inverse=True, return_counts=True)
-    for i in np.flatnonzero(inverse != size.argmax()):  # a pair of two components has a member outside the largest
-        other = np.flatnonzero(component != component[i])
+def _others(component: np.ndarray, side: np.ndarray):
+    """(member, candidates of other components): members of side 1 against those of side 0, or, where all are of side
+    2, those outside the largest component against all before them and all of that component."""
+    if side[0] == 2:
+        _, inverse, size = np.unique(component, return_inverse=True, return_counts=True)
+        main = inverse == size.argmax()
+        for i in np.flatnonzero(~main):
+            yield i, np.flatnonzero((component != component[i]) & (main | (np.arange(len(component)) < i)))
+    else:
+        left = np.flatnonzero(side == 0)
+        for i in np.flatnonzero(side == 1):
+            yield i, left[component[left] != component[i]]
+
+
+def _closest(sig, component, side, least: float, most: int):
+    """(member, others): of the candidates of each member the closest ``most`` that agree to ``least``."""
+    for i, other in _others(component, side):
         agree = (sig[other] == sig[i]).mean(1)
         near = np.flatnonzero(agree >= least)
         if len(near) > most:
@@ -228,27 +274,28 @@ def _closest(sig: np.ndarray, component: np.ndarray, least: float, most: int):
         yield i, other[near]
 
 
-def _left(sig: np.ndarray, component: np.ndarray, band: int, rows: int, bands: int):
-    """(member, others) of all pairs of different components for which this bucket's band is the first or second equal
+def _left(sig, component, side, least: float, band: int, rows: int, bands: int):
+    """(member, others): all candidates that agree to ``least``, for which this bucket's band is the first or second equal
     one: a pair that meets in many buckets comes from two at most. The second counts because registers are compared by
     16 bits, and a band can look equal that is not."""
     banded = sig[:, : rows * bands].reshape(len(sig), bands, rows)[:, : band + 1]
-    for i in range(len(sig)):
-        other = i + 1 + np.flatnonzero(component[i + 1 :] != component[i])
+    for i, other in _others(component, side):
+        other = other[(sig[other] == sig[i]).mean(1) >= least]
         if len(other):
             same = (banded[other] == banded[i]).all(2)
             yield i, other[same[:, band] & (same[:, :band].sum(1) <= 1)]
 
 
 def _candidates(least: float, most: int | None, first: bool, rows: int, bands: int):
-    """Pairs of nodes from rows (group, band, node, component, sig) that are sorted by group."""
+    """Pairs of nodes from rows (group, band, side, node, component, sig) that are sorted by group."""
 
-    def pairs(band, nodes, component, sig):
+    def pairs(band, sides, nodes, component, sig):
         sig, nodes, component = np.frombuffer(b"".join(sig), "<u2").reshape(len(nodes), -1), np.array(nodes, np.int64), np.array(component, np.int64)
+        sides = np.array(sides)
         if first:
             found = ((i, np.array([j])) for i, j in _forest(sig, least))
         else:
-            found = _closest(sig, component, least, most) if most else _left(sig, component, band, rows, bands)
+            found = _closest(sig, component, sides, least, most) if most else _left(sig, component, sides, least, band, rows, bands)
         held, size = [], 0
 
         def out():
@@ -266,42 +313,70 @@ def _candidates(least: float, most: int | None, first: bool, rows: int, bands: i
             yield out()
 
     def run(batches):
-        group, band, nodes, component, sig = None, 0, [], [], []
+        group, band, sides, nodes, component, sig = None, 0, [], [], [], []
         for batch in batches:
-            for g, d, n, c, s in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            for g, d, e, n, c, s in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 if g != group:
                     if len(nodes) > 1 and (first or len(set(component)) > 1):
-                        yield from pairs(band, nodes, component, sig)
-                    group, band, nodes, component, sig = g, d, [], [], []
+                        yield from pairs(band, sides, nodes, component, sig)
+                    group, band, sides, nodes, component, sig = g, d, [], [], [], []
+                sides.append(e)
                 nodes.append(n)
                 component.append(c)
                 sig.append(s)
         if len(nodes) > 1 and (first or len(set(component)) > 1):
-            yield from pairs(band, nodes, component, sig)
+            yield from pairs(band, sides, nodes, component, sig)
 
     return run
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, k: int = K, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, class_id, kept.
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("group").sortWithinPartitions("group", "node").select("group", "band", "side", "node", "component", "sig")
 
-    A class is a connected component of pairs with J_P >= threshold; class_id is its least doc_id, and ``kept``
-    marks the rows of that doc_id. Texts of equal word sequence are one class; so are all null, empty or blank
-    texts. Rows that repeat a doc_id with another text are classed by their own text. A null doc_id is never a
-    class's name unless the class has no other. Extra columns are ignored. An empty table gives no rows.
-    """
+
+def in_blocks(placed: DataFrame, block: int) -> DataFrame:
+    """Rows (bucket, band, node, component, sig) of buckets of over one component, each bucket in blocks."""
+    size = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket", F.ceil(F.col("n") / block).alias("blocks"))
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks"))
+    return _dealt(placed.join(size, "bucket").withColumns({"group": F.xxhash64("bucket", own), "side": F.lit(2)}))
+
+
+def against_largest(placed: DataFrame, block: int) -> DataFrame:
+    """The rows of buckets of over one component in groups such that every pair of different components of a bucket is in
+    one: blocks of the largest component (side 0) with blocks of the rest (1), and the latter with each other."""
+    size = placed.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("most"), F.sum("count").alias("n"))
+    size = size.where("most.count < n").select("bucket", F.col("most.component").alias("main"), F.ceil(F.col("most.count") / block).alias("mains"), F.ceil((F.col("n") - F.col("most.count")) / block).alias("rests"))
+    h = F.xxhash64("node", F.lit(1))
+    rows = placed.join(size, "bucket").withColumns({"is_main": F.col("component") == F.col("main"), "at": F.pmod(h, F.when(F.col("component") == F.col("main"), F.col("mains")).otherwise(F.col("rests")))})
+    place = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    mine = F.transform(upto("rests"), lambda j: place("m", F.col("at"), j, F.lit(0)))
+    rest = F.concat(
+        F.transform(upto("mains"), lambda i: place("m", i, F.col("at"), F.lit(1))),
+        F.transform(upto("rests"), lambda j: place("r", F.least(j, F.col("at")), F.greatest(j, F.col("at")), F.when(j == F.col("at"), 2).when(j > F.col("at"), 0).otherwise(1))),
+    )
+    rows = rows.withColumn("to", F.explode(F.when(F.col("is_main"), mine).otherwise(rest)))
+    return _dealt(rows.withColumns({"group": F.xxhash64("bucket", "to.kind", "to.i", "to.j"), "side": F.col("to.side")}))
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, k: int = K, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, k1, k2) of every row, and of every distinct text (k1, k2, class_id, first): the least doc_id of its class,
+    and whether it is the text that stands for the class, the least by (doc_id, k1, k2), null last."""
     docs = columns(docs, doc_id="long", text="string")
     sigs = stored(docs.mapInArrow(_signed(bands, rows, k), "doc_id long, k1 long, k2 long, bands array<long>, sig binary"), "signatures")
-    nodes = stored(sigs.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("bands", "sig")).alias("s")).select(F.col("k1").alias("node"), "k2", "doc_id", "s.bands", "s.sig"), "nodes")
+    nodes = sigs.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("bands", "sig")).alias("s"))
+    nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "doc_id", "s.bands", "s.sig"), "nodes")
 
     keys = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
-    sets = keys.groupBy("bucket").agg(F.min("band").alias("band"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")
-    distinct = sets.groupBy("n", "x", "y").agg(F.min(F.struct("band", "bucket")).alias("b")).select("b.bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    member = stored(keys.join(distinct, "bucket").join(nodes.select("node", "sig"), "node").select("bucket", "band", "blocks", "node", "sig"), "members")
+    sets = keys.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")
+    distinct = sets.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
+    member = stored(keys.join(distinct, "bucket", "left_semi").join(nodes.select("node", "sig"), "node").select("bucket", "band", "node", "sig"), "members")
 
-    wanted = member.select("node").distinct()
-    rep = nodes.join(wanted, "node", "left_semi").select("doc_id", F.col("node").alias("k1"), "k2")
-    texts = stored(docs.join(rep, "doc_id").select("k1", "k2", "text").mapInArrow(_keyed, "node long, text string").dropDuplicates(["node"]), "texts")
+    chosen = nodes.join(member.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("of"), "k1", "k2")
+    texts = keyed(docs)
+    unnamed = texts.where("doc_id is null").groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    named = texts.where("doc_id is not null").join(chosen.withColumnRenamed("of", "doc_id"), ["doc_id", "k1", "k2"]).select("node", "text").dropDuplicates(["node"])
+    texts = stored(named.union(unnamed.join(chosen.where("of is null"), ["k1", "k2"]).select("node", "text")), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -309,38 +384,55 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
         return both.mapInArrow(_verifier(threshold, k), "a long, b long")
 
-    def grouped(placed: DataFrame) -> DataFrame:
-        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        shares = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, own).alias("i"), F.greatest(j, own).alias("j")))
-        dealt = placed.withColumn("part", F.explode(shares)).withColumn("group", F.xxhash64("bucket", "part"))
-        return dealt.repartition("group").sortWithinPartitions("group", "node").select("group", "band", "node", "component", "sig")
+    def one_each(placed: DataFrame) -> DataFrame:
+        some = placed.groupBy("bucket", "component").agg(F.min("node").alias("node"), F.min("band").alias("band"))
+        return some.join(nodes.select("node", "sig"), "node")
 
+    least = least_agreement(threshold, bands, rows, REGISTERS)
     label, links, tested = None, None, None
-    for most, first in ((None, True), (2, False), (None, False)):
+    for groups, most, first in ((in_blocks, None, True), (lambda p, n: in_blocks(one_each(p), n), None, True), (against_largest, 2, False), (against_largest, None, False)):
         placed = member.withColumn("component", F.col("node"))
         if label is not None:
             placed = member.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            split = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-            placed = placed.join(split, "bucket", "left_semi")
-        pairs = grouped(placed).mapInArrow(_candidates(threshold - SLACK, most, first, rows, bands), "a long, b long").distinct()
+        pairs = groups(placed, block).mapInArrow(_candidates(least, most, first, rows, bands), "a long, b long").distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if label is not None and pairs.isEmpty():
+        if pairs.isEmpty():
             continue
         more = stored(verified(pairs), "links")
         links = more if links is None else links.union(more)
         tested = pairs if tested is None else tested.union(pairs)
         label = components(links)
 
-    classed = nodes.select("node", "k2", "doc_id").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = classed.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    classed = classed.join(least, "component").select(F.col("node").alias("k1"), "k2", "class_id")
-    return sigs.select("doc_id", "k1", "k2").join(classed, ["k1", "k2"]).select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    classed = nodes.select("node", "k1", "k2", "doc_id")
+    classed = classed.withColumn("component", F.col("node")) if label is None else classed.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lead = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "k1", "k2")
+    first = classed.groupBy("component").agg(F.min(lead).alias("lead"))
+    classed = classed.join(first, "component").select("k1", "k2", F.col("lead.doc_id").alias("class_id"), ((F.col("lead.k1") == F.col("k1")) & (F.col("lead.k2") == F.col("k2"))).alias("first"))
+    return sigs.select("doc_id", "k1", "k2"), classed
+
+
+def near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, class_id, kept.
+
+    A class is a connected component of pairs with J_P >= threshold; class_id is its least doc_id, and ``kept``
+    marks the rows of that doc_id and of the text that stands for the class. Texts of equal word sequence are one class;
+    so are all null, empty or blank texts. Rows that repeat a doc_id with another text are classed by their own text. A
+    null doc_id is never a class's name unless the class has no other. Extra columns are ignored. An empty table gives no
+    rows.
+    """
+    rows, classed = classes(docs, **how)
+    return rows.join(classed, ["k1", "k2"]).select("doc_id", "class_id", (F.col("first") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"))
 
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with one document of each class: the row, or one of equal rows, of its least doc_id."""
-    kept = near_duplicates(docs, **how).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """``docs``, all columns, with one row of each class: of the text that stands for it the row of the least doc_id, or one
+    of equal such rows. So a unique text stays whatever its doc_id: null, or that of another text."""
+    _, classed = classes(docs, **how)
+    firsts = classed.where("first").select("k1", "k2", F.col("class_id").alias("id"))
+    rows = keyed(packed(docs, id=F.col("doc_id").cast("long"), text=F.col("text").cast("string")))
+    named = rows.where("id is not null").join(firsts, ["k1", "k2", "id"], "left_semi").dropDuplicates(["k1", "k2", "id"])
+    unnamed = rows.where("id is null").groupBy("k1", "k2").agg(F.first("row").alias("row")).join(firsts.where("id is null"), ["k1", "k2"], "left_semi")
+    return unpacked(named.select("row").union(unnamed.select("row")), docs.columns)
 
 
 def op10_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

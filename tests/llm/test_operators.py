@@ -46,36 +46,73 @@ def jp(x, y):
     return sum(1 / sum(max(x.get(e, 0) / x[d], y.get(e, 0) / y[d]) for e in both) for d in x if d in y)
 
 
-def test_near_duplicates(docs, rows, monkeypatch):
-    for local in (10**6, 0):
-        monkeypatch.setattr(prob_minhash.components, "__defaults__", ("components", local))
-        got = {(r.doc_id): r.class_id for r in prob_minhash.near_duplicates(docs, block=2).collect()}
-        sets = {i: shingles(t) for i, t, *_ in rows if i}
-        for a in sets:
-            for b in sets:
-                same = jp(sets[a], sets[b]) >= 0.8 if sets[a] and sets[b] else not sets[a] and not sets[b]
-                if same:
-                    assert got[a] == got[b], (a, b)
-        assert got[1] == got[2] == got[3] == 1 and got[4] == 4 and got[5] == got[6] == got[7] == 5 and got[8] == 8
+def test_near_duplicates(docs, rows):
+    got = {(r.doc_id): r.class_id for r in prob_minhash.near_duplicates(docs, block=2).collect()}
+    sets = {i: shingles(t) for i, t, *_ in rows if i}
+    for a in sets:
+        for b in sets:
+            same = jp(sets[a], sets[b]) >= 0.8 if sets[a] and sets[b] else not sets[a] and not sets[b]
+            if same:
+                assert got[a] == got[b], (a, b)
+    assert got[1] == got[2] == got[3] == 1 and got[4] == 4 and got[5] == got[6] == got[7] == 5 and got[8] == 8
     kept = prob_minhash.keep_one(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 8, 9, 10, 11, 12, 13]
-    assert prob_minhash.near_duplicates(docs.limit(0)).count() == 0
+    assert prob_minhash.near_duplicates(docs.limit(0)).count() == 0 and prob_minhash.keep_one(docs.limit(0)).count() == 0
 
 
-def test_low_estimates_are_verified(spark):
-    import pyarrow as pa
+def test_unique_texts_stay_whatever_their_id(spark):
+    x, y, z = text(1, 200), text(2, 200), text(3, 200)
+    near = x + " and a little more"
+    data = [(1, x, "p"), (None, y, "q"), (5, near, "r"), (5, z, "s"), (None, y, "q"), (1, x, "t"), (None, near, "u")]
+    got = prob_minhash.keep_one(spark.createDataFrame(data, "doc_id long, text string, row string"))
+    assert got.columns == ["doc_id", "text", "row"]
+    assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted([(1, x), (0, y), (5, z)])
+    kept = prob_minhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string, k1 string"))
+    assert sorted((r.doc_id or 0, r.class_id or 0, r.kept) for r in kept.collect()) == [(0, 0, True), (0, 0, True), (0, 1, False), (1, 1, True), (1, 1, True), (5, 1, False), (5, 5, True)]
+
 
-    texts = []
-    for i in range(1500):  # pairs of similarity 81 / 101
+def test_planted_pairs_are_found(spark):
+    """Links and classes of 400 pairs of J_P between 0.8 and 0.9, and none of 100 pairs below 0.75."""
+    data, want = [], {}
+    for i in range(500):
+        cut = 4 + i % 7 if i < 400 else 30
         w = [f"p{i}w{j}" for j in range(95)]
-        texts += [" ".join(w), " ".join(w[:85] + [f"x{i}w{j}" for j in range(10)])]
-    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
-    signed = [r for b in prob_minhash._signed(prob_minhash.BANDS, prob_minhash.ROWS, 5)([batch]) for r in b.to_pylist()]
-    agree = lambda a, b: (np.frombuffer(a["sig"], "<u2") == np.frombuffer(b["sig"], "<u2")).mean()
-    low = [i for i in range(0, len(texts), 2) if agree(signed[i], signed[i + 1]) < prob_minhash.THRESHOLD - prob_minhash.SLACK and any(x == y for x, y in zip(signed[i]["bands"], signed[i + 1]["bands"], strict=True))]
-    assert low
-    got = prob_minhash.near_duplicates(spark.createDataFrame([(j, texts[j]) for i in low for j in (i, i + 1)], "doc_id long, text string")).collect()
-    assert {r.doc_id: r.class_id for r in got} == {j: i for i in low for j in (i, i + 1)}
+        data += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[: 95 - cut] + [f"x{i}w{j}" for j in range(cut)]))]
+        want[i] = jp(shingles(data[-2][1]), shingles(data[-1][1]))
+    assert all(0.8 <= want[i] <= 0.93 for i in range(400)) and all(want[i] < 0.75 for i in range(400, 500))
+    got = {r.doc_id: r.class_id for r in prob_minhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), block=64).collect()}
+    assert np.mean([got[2 * i] == got[2 * i + 1] for i in range(400)]) >= 0.99 and all(got[2 * i] != got[2 * i + 1] for i in range(400, 500))
+
+
+def test_a_bucket_beyond_its_blocks(spark):
+    """A family of near copies, most within reach of its first, in blocks far smaller than it: as brute force."""
+    base = [f"b{j}" for j in range(120)]
+    rng = np.random.default_rng(8)
+    data = []
+    for i in range(60):
+        w = list(base)
+        for j in rng.choice(120, int(rng.integers(0, 4)), False):
+            w[j] = f"n{i}_{j}"
+        data.append((i, " ".join(w)))
+    sets = [shingles(t) for _, t in data]
+    up = list(range(60))
+
+    def root(x):
+        return x if up[x] == x else root(up[x])
+
+    for i in range(60):
+        for j in range(i):
+            if jp(sets[i], sets[j]) >= 0.8:
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+    got = {r.doc_id: r.class_id for r in prob_minhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), block=5).collect()}
+    assert got == {i: root(i) for i in range(60)}
+
+
+def test_components_of_a_long_path(spark):
+    links = spark.range(300).selectExpr("id as a", "id + 1 as b").union(spark.range(1000, 1003).selectExpr("id as a", "1010 as b"))
+    got = {r.node: r.component for r in prob_minhash.components(links.repartition(7)).collect()}
+    assert all(got[i] == 0 for i in range(1, 301)) and all(got[i] == 1000 for i in (1001, 1002, 1010))
 
 
 def test_similarity_is_exact():
@@ -241,6 +278,56 @@ def test_curriculum_meets_targets(spark):
     assert {k: v for k, v in words.items()} == {k: int(rs[0]._target) for k, rs in by.items() if int(rs[0]._target)}
 
 
+def brute_kneser_ney(sample, docs, wanted):
+    """Mean differences of log-likelihood, straight from the formulas."""
+    words = lambda t: re.findall(r"[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+    everything = collections.Counter(w for t in docs for w in words(t))
+    n = [collections.Counter(), collections.Counter()]
+    for t, c in sample:
+        w = ["", *words(t)]
+        n[c].update(zip(w, w[1:], strict=False))
+    both = n[0] + n[1]
+
+    def discount(counts):
+        c = collections.Counter(counts)
+        return c[1] / (c[1] + 2 * c[2]) if c[1] else 0.5
+
+    def level(n, lower):
+        d, total, kinds = discount(n.values()), collections.Counter(), collections.Counter()
+        for (u, _), k in n.items():
+            total[u] += k
+            kinds[u] += 1
+        return lambda u, w: (max(n[u, w] - d, 0) + d * kinds[u] * lower(u, w)) / total[u] if total[u] else lower(u, w)
+
+    def model(n):
+        kinds = collections.Counter(w for _, w in n)
+        d, total = discount(kinds.values()), len(n)
+        word = lambda u, w: (max(kinds[w] - d, 0) + d * len(kinds) * everything[w] / sum(everything.values())) / total
+        return level(n, level(both, word))
+
+    p = [model(x) for x in n]
+    out = {}
+    for i, t in wanted:
+        w = ["", *words(t)]
+        gain = [np.log(p[1](u, x)) - np.log(p[0](u, x)) for u, x in zip(w, w[1:], strict=False)]
+        out[i] = np.mean(gain) if gain else 0.0
+    return out
+
+
+def test_kneser_ney_is_that_of_the_formulas(spark):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"W{int(k)}{'é' if k % 3 else ''}," for k in rng.zipf(1.4, 30) % 60) for _ in range(40)] + ["", None, "a a a b"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    sample = [(texts[i], i % 2) for i in range(24)]
+    model = toxicity_kn.model_of(df, spark.createDataFrame(sample, "text string, toxic int"))
+    data, offs = textcore.text_buffers(pa.array(texts))
+    got = model.signals(data, offs)[:, 0]
+    want = brute_kneser_ney(sample, texts, list(enumerate(texts)))
+    assert np.allclose(got, [want[i] for i in range(len(texts))], atol=1e-4)
+
+
 def test_toxicity_separates(spark):
     rng = np.random.default_rng(4)
     data, labels = [], []
@@ -252,13 +339,15 @@ def test_toxicity_separates(spark):
                 w[k] = ["vile", "awful", "nasty"][int(k) % 3]
         data.append((i, " ".join(w)))
         labels.append((i, int(bad)))
-    data += [(1000, None), (1001, "")]
+    data += [(1000, None), (1001, ""), (1002, " .\n"), (None, data[0][1]), (3, data[3][1])]
     df, lab = spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
     got = {r.doc_id: r for r in toxicity_kn.score(df, lab).collect()}
     held = [(got[i].predicted, y) for i, y in labels if got[i].held_out]
-    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
-    assert np.mean([p == y for p, y in held]) > 0.95 and got[1000].predicted == got[1001].predicted == 0
-    assert toxicity_kn.keep_ordinary(df, lab).count() < 480
+    assert all(r.held_out == (i is not None and zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
+    assert np.mean([p == y for p, y in held]) > 0.95 and got[1000].predicted == got[1001].predicted == got[1002].predicted == 0
+    kept = toxicity_kn.keep_ordinary(df.selectExpr("*", "1 as row", "2 as toxic"), lab)
+    assert kept.count() < 480 and kept.columns == ["doc_id", "text", "row", "toxic"]
+    assert toxicity_kn.score(df.limit(0), lab).count() == 0
     assert {r.score for r in toxicity_kn.score(df, lab.where("toxic = 0")).collect()} == {0.0}
 
 
