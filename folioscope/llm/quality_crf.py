@@ -2,9 +2,12 @@
 
 A linear-chain conditional random field marks every line of a text as content or boilerplate. A line is
 described by binary signals (symbols, case, digits, repetition, length, ending), packed in one code, so that the
-emission scores are a table over codes. Weights are fitted on a bounded sample of labelled documents, whose
-lines take the document's quality label; the most likely labelling of each text is found by Viterbi decoding,
-vectorised over the texts of a chunk. The share of words on content lines decides.
+emission scores are a table over codes. Weights are fitted on a bounded sample of labelled documents. The labels are of
+documents, those of lines are hidden: a document's quality only makes its own kind of line likelier, by ``OWN_SHARE``.
+Lines are labelled first by how often their code occurs in documents of either quality, and then, in ``ROUNDS`` rounds of
+hard expectation-maximisation, by Viterbi decoding under the field fitted to the labels so far. So documents get lines of
+both kinds, and transitions are learned where the kind changes. The most likely labelling of each text is found by
+Viterbi decoding, vectorised over the texts of a chunk. The share of words on content lines decides.
 """
 
 from __future__ import annotations
@@ -19,6 +22,9 @@ from .common import columns, table
 
 #: Labelled documents of each class, at most, that the field is fitted on.
 TRAIN_DOCS = 2000
+#: The share of a document's lines that are taken to be of its own kind, before they are looked at.
+OWN_SHARE = 0.6
+ROUNDS = 2
 CONTENT_SHARE = 0.5
 MIN_WORDS = 10
 MAX_REPEAT = (100, 20)  # 100 * n_repeat_words > 20 * n_words fails
@@ -103,66 +109,85 @@ def measure(data: np.ndarray, offs: np.ndarray) -> tuple[dict, np.ndarray, np.nd
     return base, line_row, code, words
 
 
-def _padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _padded(sequences: list[np.ndarray]) -> np.ndarray:
     width = max(map(len, sequences))
     x = np.full((len(sequences), width), -1, np.int64)
     for i, s in enumerate(sequences):
         x[i, : len(s)] = s
-    return x, x >= 0
+    return x
 
 
-def fit(sequences: list[np.ndarray], labels: list[int], steps: int = 120, l2: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+_CODES = np.arange(1 << len(FEATURES))
+_BITS = np.concatenate([(_CODES[:, None] >> np.arange(len(FEATURES))) & 1, np.ones((len(_CODES), 1), int)], 1).astype(float)
+
+
+def log_likelihood(w: np.ndarray, t: np.ndarray, x: np.ndarray, y: np.ndarray, scale: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Log-likelihood of the labels ``y`` of the padded codes ``x`` (-1: no line), each sequence weighing ``scale``, and its
+    gradients by feature weights and transitions."""
+    live = x >= 0
+    safe, gold = np.where(live, x, 0), np.where(live, y, 0)
+    e = (_BITS @ w)[safe]
+    alpha = np.empty_like(e)
+    alpha[:, 0] = e[:, 0]
+    width = x.shape[1]
+    for i in range(1, width):
+        v = np.logaddexp(alpha[:, i - 1, 0, None] + t[0], alpha[:, i - 1, 1, None] + t[1]) + e[:, i]
+        alpha[:, i] = np.where(live[:, i, None], v, alpha[:, i - 1])
+    z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
+    path = (np.take_along_axis(e, gold[:, :, None], 2)[:, :, 0] * live).sum(1) + (t[gold[:, :-1], gold[:, 1:]] * live[:, 1:]).sum(1)
+    beta, grad_t = np.zeros_like(e), np.zeros_like(t)
+    np.add.at(grad_t, (gold[:, :-1], gold[:, 1:]), live[:, 1:] * scale[:, None])
+    for i in range(width - 2, -1, -1):
+        nxt = e[:, i + 1] + beta[:, i + 1]
+        v = np.logaddexp(t[:, 0] + nxt[:, 0, None], t[:, 1] + nxt[:, 1, None])
+        on = live[:, i + 1]
+        beta[:, i] = np.where(on[:, None], v, 0.0)
+        pair = np.exp(alpha[on, i, :, None] + t + nxt[on, None, :] - z[on, None, None])
+        grad_t -= (pair * scale[on, None, None]).sum(0)
+    p = np.exp(alpha + beta - z[:, None, None])
+    weight = np.broadcast_to(scale[:, None], x.shape)[live]
+    hist = [np.bincount(safe[live], weight * ((gold[live] == k) - p[live][:, k]), len(_CODES)) for k in (0, 1)]
+    return float(((path - z) * scale).sum()), np.stack([h @ _BITS for h in hist], 1), grad_t
+
+
+def fit(sequences: list[np.ndarray], labels: list[np.ndarray], quality: list[int], steps: int = 80, l2: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """Emission table (codes x 2) and transitions (2 x 2) of the field; label 1 is content.
 
-    Gradient ascent (Adam) on the mean log-likelihood, classes weighing alike. Sequences are cut to 64 lines.
+    Gradient ascent (Adam) on the mean log-likelihood, the documents of either quality weighing alike. Sequences are cut to
+    64 lines.
     """
-    parts = [(s[i : i + 64], y) for s, y in zip(sequences, labels, strict=True) for i in range(0, len(s), 64)]
-    x, live = _padded([p for p, _ in parts])
-    y = np.array([k for _, k in parts])
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    n_features = len(FEATURES) + 1
-    codes = np.arange(1 << len(FEATURES))
-    bits = np.concatenate([(codes[:, None] >> np.arange(len(FEATURES))) & 1, np.ones((len(codes), 1), int)], 1).astype(float)
-    w, t = np.zeros((n_features, 2)), np.zeros((2, 2))
-    moment = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(t), np.zeros_like(t)]
-    safe = np.where(live, x, 0)
-    length = live.sum(1)
-    scale = weight / length
-    gold_w, gold_t = np.zeros_like(w), np.zeros_like(t)
-    for k in (0, 1):
-        rows = y == k
-        hist = np.bincount(safe[rows][live[rows]], np.repeat(scale[rows], length[rows]), len(codes))
-        gold_w[:, k] = hist @ bits
-        gold_t[k, k] = ((length - 1) * scale)[rows].sum()
-    width = x.shape[1]
+    parts = [(s[i : i + 64], y[i : i + 64], q) for s, y, q in zip(sequences, labels, quality, strict=True) for i in range(0, len(s), 64)]
+    x, y = _padded([p for p, _, _ in parts]), _padded([p for _, p, _ in parts])
+    q = np.array([k for _, _, k in parts])
+    scale = np.where(q == 1, 0.5 / max(1, (q == 1).sum()), 0.5 / max(1, (q == 0).sum())) / (x >= 0).sum(1)
+    values = (np.zeros((len(FEATURES) + 1, 2)), np.zeros((2, 2)))
+    moment = [(np.zeros_like(v), np.zeros_like(v)) for v in values]
     for step in range(1, steps + 1):
-        e = (bits @ w)[safe]
-        alpha = np.empty_like(e)
-        alpha[:, 0] = e[:, 0]
-        for i in range(1, width):
-            v = np.logaddexp(alpha[:, i - 1, 0, None] + t[0], alpha[:, i - 1, 1, None] + t[1]) + e[:, i]
-            alpha[:, i] = np.where(live[:, i, None], v, alpha[:, i - 1])
-        z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
-        beta = np.zeros_like(e)
-        grad_t = gold_t.copy()
-        for i in range(width - 2, -1, -1):
-            nxt = e[:, i + 1] + beta[:, i + 1]
-            v = np.logaddexp(t[:, 0] + nxt[:, 0, None], t[:, 1] + nxt[:, 1, None])
-            on = live[:, i + 1]
-            beta[:, i] = np.where(on[:, None], v, 0.0)
-            pair = np.exp(alpha[on, i, :, None] + t + nxt[on, None, :] - z[on, None, None])
-            grad_t -= (pair * scale[on, None, None]).sum(0)
-        p = np.exp(alpha + beta - z[:, None, None])
-        grad_w = gold_w.copy()
-        for k in (0, 1):
-            hist = np.bincount(safe[live], (p[:, :, k] * scale[:, None])[live], len(codes))
-            grad_w[:, k] -= hist @ bits
-        for j, (value, grad) in enumerate(((w, grad_w - l2 * w), (t, grad_t - l2 * t))):
-            m, v = moment[2 * j], moment[2 * j + 1]
+        _, *grads = log_likelihood(*values, x, y, scale)
+        for value, grad, (m, v) in zip(values, grads, moment, strict=True):
+            grad = grad - l2 * value
             m += 0.1 * (grad - m)
             v += 0.01 * (grad * grad - v)
             value += 0.2 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return bits @ w, t
+    return _BITS @ values[0], values[1]
+
+
+def fit_hidden(sequences: list[np.ndarray], quality: list[int], own: float = OWN_SHARE, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """The field of sequences whose documents' quality alone is known."""
+    code, size = np.concatenate(sequences), np.array([len(s) for s in sequences])
+    row, good = np.repeat(np.arange(len(size)), size), np.repeat(np.array(quality), size) == 1
+    prior = np.where(good, 1, -1) * np.log(own / (1 - own))
+    weight = 1 / size[row]
+    share = [np.bincount(code[good == k], weight[good == k], len(_CODES)) for k in (False, True)]
+    share = [(n + 0.5 * 2.0 ** -len(FEATURES)) / (n.sum() + 0.5) for n in share]
+    label = (np.log(share[1][code]) - np.log(share[0][code]) + prior >= 0).astype(np.int64)
+    cut = np.cumsum(size)[:-1]
+    for _ in range(rounds):
+        emission, transition = fit(sequences, np.split(label, cut), quality)
+        scores = emission[code]
+        scores[:, 1] += prior
+        label = viterbi(row, np.arange(len(code)), len(size), scores, transition).astype(np.int64)
+    return fit(sequences, np.split(label, cut), quality)
 
 
 def viterbi(row: np.ndarray, code: np.ndarray, n_rows: int, emission: np.ndarray, transition: np.ndarray) -> np.ndarray:
@@ -212,7 +237,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> t
     pairs = sorted((r.quality, bytes(r.codes)) for r in rows if r.codes)
     if len({q for q, _ in pairs}) < 2:
         return None
-    return fit([np.frombuffer(c, "<i2").astype(np.int64) for _, c in pairs], [q for q, _ in pairs])
+    return fit_hidden([np.frombuffer(c, "<i2").astype(np.int64) for _, c in pairs], [q for q, _ in pairs])
 
 
 SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double"
@@ -236,8 +261,8 @@ def _judge(model, share: float):
 def judge(docs: DataFrame, labels: DataFrame, share: float = CONTENT_SHARE, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """One row per row of ``docs``: the base counts, base_failed, kept and content_share.
 
-    A null text counts as empty: no words, so base_failed. With no labelled document of a class every line is
-    content and the base rules alone decide. A doc_id labelled more than once takes its least label. Repeated rows
+    A null text counts as empty: no words, so base_failed. With no labelled document of a class that has a line, every
+    line is content and the base rules alone decide. Long texts are read whole. A doc_id labelled more than once takes its least label. Repeated rows
     are judged each; extra columns are ignored; an empty table gives no rows.
     """
     model = train(docs, labels, train_docs)

@@ -198,17 +198,55 @@ def test_pack_any_sizes():
 
 
 def test_quality_base_counts(docs, rows, spark):
+    more = [(30, "a <b> | c\n\na <b> | c\n \t\n#x\na <b> | c", "s", "x", 1, 2), (31, "é #* $%&\r\né #* $%&", "s", "x", 1, 2)]
+    docs, rows = docs.unionByName(spark.createDataFrame(more, DOCS)), [*rows, *more]
     labels = spark.createDataFrame([(1, 1), (4, 1), (9, 0), (8, 0)], "doc_id long, quality int")
     for r in quality_crf.judge(docs, labels).collect():
         t = next(t for i, t, *_ in rows if i == r.doc_id) or ""
         w = WORD.findall(t)
         c = collections.Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
         cover = {j for k in range(len(w) - 4) if c[tuple(w[k : k + 5])] > 1 for j in range(k, k + 5)}
+        lines = [x for x in t.split("\n") if WORD.search(x)]
         assert (r.n_words, r.word_chars, r.n_repeat_words) == (len(w), sum(map(len, w)), len(cover))
+        assert (r.n_symbols, r.n_dup_lines) == (len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)))
         assert r.base_failed == (len(w) < 10 or 100 * len(cover) > 20 * len(w)) and not (r.base_failed and r.kept)
     assert quality_crf.judge(docs, labels.limit(0)).where("kept").count() > 0
 
 
+def test_field_gradients():
+    rng = np.random.default_rng(2)
+    x = np.array([[3, 700, 9, -1], [1, -1, -1, -1], [5, 6, 4000, 2]])
+    y, scale = rng.integers(0, 2, x.shape), np.array([0.5, 0.2, 0.3])
+    w, t = rng.normal(size=(len(quality_crf.FEATURES) + 1, 2)), rng.normal(size=(2, 2))
+    value, *grads = quality_crf.log_likelihood(w, t, x, y, scale)
+    assert value < 0
+    for at, grad in ((w, grads[0]), (t, grads[1])):
+        for i in np.ndindex(*at.shape):
+            at[i] += 1e-5
+            up = quality_crf.log_likelihood(w, t, x, y, scale)[0]
+            at[i] -= 2e-5
+            down = quality_crf.log_likelihood(w, t, x, y, scale)[0]
+            at[i] += 1e-5
+            assert abs((up - down) / 2e-5 - grad[i]) < 1e-6
+
+
+def test_lines_of_both_kinds_are_told_apart(spark):
+    rng = np.random.default_rng(6)
+    good = lambda i: f"The word{i} of this line goes on for a while and ends with words {i}."
+    junk = lambda i: f"| buy{i} ### | $$$ now{i} | && | %% {i}"
+    data, labels = [], []
+    for i in range(200):
+        q = i % 2
+        data.append((i, "\n".join((good if (rng.random() < 0.85) == bool(q) else junk)(100 * i + k) for k in range(10))))
+        labels.append((i, q))
+    data.append((999, "\n".join([*map(good, range(6)), *map(junk, range(3))])))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    rows = {r.doc_id: r for r in quality_crf.judge(df, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    assert sum(0 < r.content_share < 1 for r in rows.values()) > 50 and 0.5 < rows[999].content_share < 1
+    assert np.mean([(rows[i].content_share >= 0.5) == bool(q) for i, q in labels]) > 0.95
+    assert quality_crf.judge(df.limit(0), spark.createDataFrame(labels, "doc_id long, quality int")).count() == 0
+
+
 def test_viterbi_finds_the_best_path():
     rng = np.random.default_rng(1)
     emission, transition = rng.normal(size=(8, 2)), rng.normal(size=(2, 2))
