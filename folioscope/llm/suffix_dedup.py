@@ -41,7 +41,7 @@ FLUSH_ROWS = 600_000
 #: Routing of very common anchors: share of the sampled documents, and how many anchors, at most.
 COMMON_SHARE, COMMON_MOST, SAMPLE_ROWS = 0.02, 4096, 4000
 _POS_BITS = 21
-_FIELDS = (("h", "<u8"), ("c", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("n", "<u1"))
+_FIELDS = (("h", "<u8"), ("c", "<u8"), ("doc", "<i8"), ("tie", "<i8"), ("start", "<u4"), ("n", "<u1"))
 
 
 def _prefix(data: np.ndarray) -> np.ndarray:
@@ -91,12 +91,12 @@ def contexts(data: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int
 
 
 def _parts(batches, length: int):
-    """Buffers of at most 1 MB of text: doc ids, bytes, offsets, and the start of each piece in its text."""
+    """Buffers of at most 1 MB of text: doc ids and text hashes, bytes, offsets, and the start of each piece in its text."""
     most = 1 << 20
     for rows, data, offs in tc.chunks(batches, "text", most):
-        ids = rows.column(0).to_numpy(zero_copy_only=False)
+        ids = rows.column(0).to_numpy(zero_copy_only=False), rows.column(1).to_numpy(zero_copy_only=False)
         if len(data) <= most:
-            yield ids, data, offs, np.zeros(len(ids), np.int64)
+            yield ids, data, offs, np.zeros(rows.num_rows, np.int64)
         else:
             for s in range(0, max(1, len(data) - length + 1), most - length):
                 piece = data[s : s + most - 1]
@@ -105,14 +105,14 @@ def _parts(batches, length: int):
 
 def _collapse(t: dict[str, np.ndarray]) -> tuple[dict, dict]:
     """Occurrences split in the earliest of each (h, c) and the rest."""
-    order = np.lexsort((t["start"], t["doc"], t["c"], t["h"]))
+    order = np.lexsort((t["start"], t["tie"], t["doc"], t["c"], t["h"]))
     t = {k: v[order] for k, v in t.items()}
     same = (t["h"][1:] == t["h"][:-1]) & (t["c"][1:] == t["c"][:-1])
     first = np.concatenate([[True], ~same])[: len(order)]
     rest = ~first
     if rest.any():  # a row that repeats the earliest place itself is not later
         lead = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
-        rest &= (t["doc"] != t["doc"][lead]) | (t["start"] != t["start"][lead])
+        rest &= (t["doc"] != t["doc"][lead]) | (t["tie"] != t["tie"][lead]) | (t["start"] != t["start"][lead])
     return {k: v[first] for k, v in t.items()}, {k: v[rest] for k, v in t.items()}
 
 
@@ -124,7 +124,7 @@ def _packed(t: dict[str, np.ndarray], buckets: int, common: np.ndarray):
     for part, bucket in ((keep, (key % np.uint64(buckets)).astype(np.int64)), (gone, -1 - gone["doc"] % buckets)):
         if not len(bucket):
             continue
-        order = np.lexsort((part["start"], part["doc"], bucket))
+        order = np.lexsort((part["start"], part["tie"], part["doc"], bucket))
         cols = {k: v[order].astype(d) for (k, d), v in zip(_FIELDS, (part[k] for k, _ in _FIELDS), strict=True)}
         b = bucket[order]
         cut = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1], [True]]))
@@ -145,7 +145,7 @@ def _dealt(length: int, gram: int, buckets: int, common: np.ndarray):
         held, size = [], 0
         for ids, data, offs, shift in _parts(batches, length):
             row, start, count, h, c = contexts(data, offs, length, gram)
-            held.append({"h": h, "c": c, "doc": ids[row], "start": start + shift[row], "n": count})
+            held.append({"h": h, "c": c, "doc": ids[0][row], "tie": ids[1][row], "start": start + shift[row], "n": count})
             size += len(row)
             if size >= FLUSH_ROWS:
                 yield _packed({k: np.concatenate([x[k] for x in held]) for k in held[0]}, buckets, common)
@@ -156,7 +156,7 @@ def _dealt(length: int, gram: int, buckets: int, common: np.ndarray):
     return run
 
 
-RESOLVED = "doc_id long, start long, n int, anchor long, way int"
+RESOLVED = "doc_id long, tie long, start long, n int, anchor long, way int"
 _REMOVED, _MERGE, _SPREAD = 0, 1, 2
 
 
@@ -164,7 +164,7 @@ def _resolved(common: np.ndarray, most: int, windows: bool = False):
     """Rows RESOLVED: removed runs of windows, and contexts still to compare (by merge, or spread by window)."""
 
     def rows(t, way):
-        return pa.RecordBatch.from_arrays([pa.array(t["doc"].astype(np.int64)), pa.array(t["start"].astype(np.int64)), pa.array(t["n"].astype(np.int32)), pa.array(t["h"].astype(np.uint64).view(np.int64)), pa.array(np.broadcast_to(np.int32(way), len(t["doc"])).copy())], [f.split()[0] for f in RESOLVED.split(", ")])
+        return pa.RecordBatch.from_arrays([pa.array(t["doc"].astype(np.int64)), pa.array(t["tie"].astype(np.int64)), pa.array(t["start"].astype(np.int64)), pa.array(t["n"].astype(np.int32)), pa.array(t["h"].astype(np.uint64).view(np.int64)), pa.array(np.broadcast_to(np.int32(way), len(t["doc"])).copy())], [f.split()[0] for f in RESOLVED.split(", ")])
 
     def run(batches):
         held = []
@@ -192,20 +192,20 @@ def _resolved(common: np.ndarray, most: int, windows: bool = False):
 
 
 def _cut(length: int):
-    """(anchor, way, doc_id, start, n, context) of the wanted contexts of each text."""
+    """(anchor, way, doc_id, tie, start, n, context) of the wanted contexts of each text."""
 
     def run(batches):
         for batch in batches:
             out = []
-            for doc, text, wanted in zip(*(batch.column(k) for k in range(3)), strict=True):
+            for doc, tie, text, wanted in zip(*(batch.column(k) for k in range(4)), strict=True):
                 raw = (text.as_py() or "").encode()
                 for w in wanted.as_py():
                     piece = raw[w["start"] : w["start"] + w["n"] - 1 + length]
                     if len(piece) == w["n"] - 1 + length:
-                        out.append((w["anchor"], w["way"], doc.as_py(), w["start"], w["n"], piece))
-            cols = list(zip(*out, strict=True)) or [()] * 6
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["anchor", "way", "doc_id", "start", "n", "context"])
+                        out.append((w["anchor"], w["way"], doc.as_py(), tie.as_py(), w["start"], w["n"], piece))
+            cols = list(zip(*out, strict=True)) or [()] * 7
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["anchor", "way", "doc_id", "tie", "start", "n", "context"])
 
     return run
 
@@ -239,18 +239,22 @@ def shard_bwt(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def merge_bwt(one: np.ndarray, two: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave (True: from ``two``) of two transforms, and the block starts of suffixes that share ``length`` symbols.
+    """Interleave (True: from ``two``) of two transforms, and the common prefix of each suffix with the one before it, in
+    symbols, at most ``length`` (-1 for the first).
 
-    Rounds stop early when the interleave and the blocks are stable.
+    A place becomes the start of a block in the round that tells its suffix from the one before it, and stays one: so the
+    number of the round less one is their common prefix. Rounds stop early when nothing changes.
     """
     n0, n = len(one), len(one) + len(two)
     marks0, marks = int((one == 0).sum()), int((one == 0).sum() + (two == 0).sum())
     z = np.zeros(n, bool)
     z[n0:] = True
     starts = np.zeros(n, bool)
-    starts[0] = True
+    common = np.full(n, length, np.int16)
+    if n:
+        starts[0], common[0] = True, -1
     merged = np.empty(n, np.uint16)
-    for _ in range(length):
+    for h in range(length):
         merged[~z] = one
         merged[z] = two
         order = np.argsort(merged, kind="stable")[marks:]
@@ -263,29 +267,30 @@ def merge_bwt(one: np.ndarray, two: np.ndarray, length: int) -> tuple[np.ndarray
             new_starts[marks] = True
             new_starts[marks + 1 :] = (block[1:] != block[:-1]) | (symbol[1:] != symbol[:-1])
         stable = np.array_equal(z, new_z) and np.array_equal(starts, new_starts)
+        common[new_starts & ~starts] = h
         z, starts = new_z, new_starts
         if stable:
             break
-    return z, starts
+    return z, common
 
 
 def merge_all(shards: list[tuple[np.ndarray, np.ndarray]], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix starts in order and block starts of several shards, merged two by two."""
-    starts = None
-    while len(shards) > 1 or starts is None:
+    """Suffix starts in order and common prefixes, at most ``length``, of several shards (of one: merged with an empty one),
+    merged two by two."""
+    if len(shards) == 1:
+        shards = [*shards, (np.zeros(0, np.uint16), np.zeros(0, np.int64))]
+    while True:
         done = []
-        for i in range(0, len(shards), 2):
-            if i + 1 == len(shards):
-                done.append(shards[i])
-                continue
+        for i in range(0, len(shards) - 1, 2):
             (b0, s0), (b1, s1) = shards[i], shards[i + 1]
-            last = len(shards) <= 2
-            z, starts = merge_bwt(b0, b1, length if last else 4 * length)
+            last = len(shards) == 2
+            z, common = merge_bwt(b0, b1, length if last else 4 * length)
             bwt, suffix = np.empty(len(z), np.uint16), np.empty(len(z), np.int64)
             bwt[~z], bwt[z], suffix[~z], suffix[z] = b0, b1, s0, s1
             done.append((bwt, suffix))
-        shards = done
-    return shards[0][1], starts
+        shards = done + shards[len(done) * 2 :]
+        if len(shards) == 1:
+            return shards[0][1], common
 
 
 def symbols(raw: np.ndarray, lead: np.ndarray, widths=(4, 2, 1)) -> tuple[np.ndarray, int]:
@@ -300,8 +305,8 @@ def symbols(raw: np.ndarray, lead: np.ndarray, widths=(4, 2, 1)) -> tuple[np.nda
     raise AssertionError("one byte always fits")
 
 
-def covered_windows(strings: list[bytes], doc, start, n, length: int = LENGTH, shards: int = 2, widths=(4, 2, 1)):
-    """(string, offset) of windows, among the first n of each string, that an earlier window equals.
+def covered_windows(strings: list[bytes], doc, tie, start, n, length: int = LENGTH, shards: int = 2, widths=(4, 2, 1)):
+    """(string, offset) of windows, among the first n of each string, that an earlier window, by (doc, tie, start), equals.
 
     Symbols are up to 4 bytes wide: a string becomes one string of symbols for each phase, so that every offset starts
     a suffix, and a window is length / width symbols, which divides the rounds.
@@ -324,38 +329,39 @@ def covered_windows(strings: list[bytes], doc, start, n, length: int = LENGTH, s
     for a, b in zip(cut[:-1], cut[1:], strict=True):
         bwt, suffix = shard_bwt(flat[first[a] : first[b]], sizes[a:b])
         built.append((bwt, suffix + mark[a]))
-    suffix, starts = merge_all(built, length // width)
+    suffix, common = merge_all(built, length // width)
     origin = np.full(int(mark[-1]), -1, np.int64)
     body = np.ones(len(origin), bool)
     body[mark[1:] - 1] = False
     origin[body] = at
-    block, place = np.cumsum(starts), origin[suffix]
+    # a repeated interval is a run of suffixes that share a window's length with the one before
+    block, place = np.cumsum(common < length // width), origin[suffix]
     block, place = block[place >= 0], place[place >= 0]
     owner = np.searchsorted(base, place, "right") - 1
     offset = place - base[owner]
     mine = offset < n[owner]
     block, owner, offset = block[mine], owner[mine], offset[mine]
-    d, s = doc[owner], start[owner] + offset
-    order = np.lexsort((s, d, block))
-    block, owner, offset, d, s = block[order], owner[order], offset[order], d[order], s[order]
+    d, t, s = doc[owner], tie[owner], start[owner] + offset
+    order = np.lexsort((s, t, d, block))
+    block, owner, offset, d, t, s = block[order], owner[order], offset[order], d[order], t[order], s[order]
     lead_ = np.maximum.accumulate(np.where(np.concatenate([[True], block[1:] != block[:-1]]), np.arange(len(block)), 0))
-    later = (d != d[lead_]) | (s != s[lead_])
+    later = (d != d[lead_]) | (t != t[lead_]) | (s != s[lead_])
     return owner[later], offset[later]
 
 
 def _merged(length: int):
-    """Removed runs (doc_id, start, n) from rows sorted by anchor, in lots of whole anchors of about MERGE_BYTES."""
+    """Removed runs (doc_id, tie, start, n) from rows sorted by anchor, in lots of whole anchors of about MERGE_BYTES."""
 
     def solve(lot):
-        doc, start, n, strings = (np.array([x[1] for x in lot]), np.array([x[2] for x in lot]), np.array([x[3] for x in lot]), [x[4] for x in lot])
-        owner, offset = covered_windows(strings, doc, start, n, length)
+        doc, tie, start, n = (np.array([x[k] for x in lot]) for k in range(1, 5))
+        owner, offset = covered_windows([x[5] for x in lot], doc, tie, start, n, length)
         order = np.lexsort((offset, owner))
         owner, offset = owner[order], offset[order]
         if len(owner):
             first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (offset[1:] != offset[:-1] + 1)]))
             count = np.diff(np.concatenate([first, [len(owner)]]))
             o = owner[first]
-            return pa.RecordBatch.from_arrays([pa.array(doc[o]), pa.array(start[o] + offset[first]), pa.array(count.astype(np.int32))], ["doc_id", "start", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(doc[o]), pa.array(tie[o]), pa.array(start[o] + offset[first]), pa.array(count.astype(np.int32))], ["doc_id", "tie", "start", "n"])
         return None
 
     def run(batches):
@@ -369,7 +375,7 @@ def _merged(length: int):
                     lot, size = [], 0
                 anchor = row[0]
                 lot.append(row)
-                size += len(row[4])
+                size += len(row[5])
         if len(lot) > 1:
             out = solve(lot)
             if out is not None:
@@ -384,11 +390,11 @@ def _by_window(length: int, buckets: int):
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            for doc, start, n, raw in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            for doc, tie, start, n, raw in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 data = np.frombuffer(raw, np.uint8)
                 p = _prefix(data)
                 a = np.arange(n)
-                held.append({"h": _span_hash(p, a, a + length, 5), "c": _span_hash(p, a, a + length, 7), "doc": np.full(n, doc), "start": start + a, "n": np.ones(n, np.int64)})
+                held.append({"h": _span_hash(p, a, a + length, 5), "c": _span_hash(p, a, a + length, 7), "doc": np.full(n, doc), "tie": np.full(n, tie), "start": start + a, "n": np.ones(n, np.int64)})
                 size += n
                 if size >= FLUSH_ROWS:
                     yield _packed({k: np.concatenate([x[k] for x in held]) for k in held[0]}, buckets, np.zeros(0, np.uint64))
@@ -399,6 +405,8 @@ def _by_window(length: int, buckets: int):
     return run
 
 
+#: Tells texts of one doc_id apart.
+TIE = "xxhash64(text)"
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -446,41 +454,42 @@ def _anchors_once(length: int, gram: int):
 
 def common_anchors(docs: DataFrame, length: int, gram: int, share: float = COMMON_SHARE) -> np.ndarray:
     """Anchors in at least ``share`` of a sample of documents, at most COMMON_MOST. A hint for routing only."""
-    sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    sample = docs.select("doc_id", "tie", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
     found = sample.mapInArrow(_anchors_once(length, gram), "h long").groupBy("h").count().where(F.col("count") >= max(20, int(share * SAMPLE_ROWS)))
     rows = found.orderBy(F.desc("count"), "h").limit(COMMON_MOST).collect()
     return np.array(sorted(r.h for r in rows), np.int64).view(np.uint64)
 
 
 def removed_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST_CONTEXTS, share: float = COMMON_SHARE) -> DataFrame:
-    """(doc_id, start, n): runs of n window starts whose windows also start earlier."""
-    texts = docs.where("doc_id is not null and octet_length(text) >= " + str(length))
+    """(doc_id, tie, start, n): runs of n window starts whose windows also start earlier."""
+    texts = docs.where("doc_id is not null and octet_length(text) >= " + str(length)).select("doc_id", F.expr(TIE).alias("tie"), "text")
     buckets = partitions_for(docs, BUCKET_BYTES)
-    common = common_anchors(texts.select("doc_id", F.col("text")), length, gram, share)
+    common = common_anchors(texts, length, gram, share)
     dealt = texts.mapInArrow(_dealt(length, gram, buckets, common), "bucket long, payload binary").repartition(buckets, "bucket")
     found = stored(dealt.mapInArrow(_resolved(common, most), RESOLVED), "anchors")
-    wanted = found.where("way > 0").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "anchor", "way")).alias("wanted"))
-    cut = texts.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_cut(length), "anchor long, way int, doc_id long, start long, n int, context binary")
+    wanted = found.where("way > 0").groupBy("doc_id", "tie").agg(F.collect_list(F.struct("start", "n", "anchor", "way")).alias("wanted"))
+    cut = texts.join(wanted, ["doc_id", "tie"]).select("doc_id", "tie", "text", "wanted").mapInArrow(_cut(length), "anchor long, way int, doc_id long, tie long, start long, n int, context binary")
     cut = stored(cut, "contexts")
-    merge = cut.where(f"way = {_MERGE}").select("anchor", "doc_id", "start", "n", "context").repartition(buckets, "anchor").sortWithinPartitions("anchor", "doc_id", "start")
-    merged = merge.mapInArrow(_merged(length), "doc_id long, start long, n int")
-    spread = cut.where(f"way = {_SPREAD}").select("doc_id", "start", "n", "context").mapInArrow(_by_window(length, buckets), "bucket long, payload binary").repartition(buckets, "bucket")
-    spread = spread.mapInArrow(_resolved(np.zeros(0, np.uint64), 0, windows=True), RESOLVED).select("doc_id", "start", "n")
-    return found.where(f"way = {_REMOVED}").select("doc_id", "start", "n").union(merged).union(spread)
+    merge = cut.where(f"way = {_MERGE}").select("anchor", "doc_id", "tie", "start", "n", "context").repartition(buckets, "anchor").sortWithinPartitions("anchor", "doc_id", "tie", "start")
+    merged = merge.mapInArrow(_merged(length), "doc_id long, tie long, start long, n int")
+    spread = cut.where(f"way = {_SPREAD}").select("doc_id", "tie", "start", "n", "context").mapInArrow(_by_window(length, buckets), "bucket long, payload binary").repartition(buckets, "bucket")
+    spread = spread.mapInArrow(_resolved(np.zeros(0, np.uint64), 0, windows=True), RESOLVED).select("doc_id", "tie", "start", "n")
+    return found.where(f"way = {_REMOVED}").select("doc_id", "tie", "start", "n").union(merged).union(spread)
 
 
 def deduplicated(docs: DataFrame, with_text: bool = False, **how) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with ``with_text``, the
     remaining text (a code point that is cut loses all its bytes).
 
-    A null text is empty. Rows that repeat a doc_id and its text hold one place, and do not remove each other. Rows with
-    a null doc_id have no place in the order: nothing is removed from them or by them. Extra columns are ignored.
+    A null text is empty. Rows that repeat a doc_id and its text hold one place, and do not remove each other; other texts
+    of the same doc_id are documents of their own, in the order of a hash of the text. Rows with a null doc_id have no
+    place in the order: nothing is removed from them or by them. Extra columns are ignored; an empty table gives no rows.
     """
     docs = columns(docs, doc_id="long", text="string")
-    runs = removed_runs(docs, **how).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    runs = removed_runs(docs, **how).groupBy("doc_id", "tie").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     schema = SCHEMA + (", text string" if with_text else "")
     length = how.get("length", LENGTH)
-    return docs.join(runs, "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(_stripped(length, with_text), schema)
+    return docs.withColumn("tie", F.expr(TIE)).join(runs, ["doc_id", "tie"], "left").select("doc_id", "text", "runs").mapInArrow(_stripped(length, with_text), schema)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

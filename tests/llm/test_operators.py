@@ -156,6 +156,35 @@ def test_suffix_dedup(docs, rows, how):
             assert r.n_removed == 0
 
 
+def test_texts_that_share_a_doc_id(spark):
+    x, y = text(7, 80), text(8, 80)
+    got = suffix_dedup.deduplicated(spark.createDataFrame([(1, x), (2, x), (2, y), (2, x), (3, "a " + y)], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed) for r in got) == sorted([(1, len(x.encode()), 0), *[(2, len(x.encode()), len(x.encode()))] * 2, (2, len(y.encode()), 0), (3, len(y.encode()) + 2, len(y.encode()))])
+    assert suffix_dedup.deduplicated(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("shards", [1, 2, 3, 5])
+def test_merged_transforms(shards):
+    """Order and common prefixes of merged shards as by sorting all suffixes; one string is a case of its own."""
+    rng = np.random.default_rng(shards)
+    strings = [rng.integers(1, 3, int(n)).astype(np.uint16) for n in rng.integers(1, 30, 8 if shards > 1 else 1)]
+    sizes, parts, at = np.array([len(x) for x in strings]), [], 0
+    for chosen in np.array_split(np.arange(len(strings)), shards):
+        bwt, suffix = suffix_dedup.shard_bwt(np.concatenate([strings[i] for i in chosen]), sizes[chosen])
+        parts.append((bwt, suffix + at))
+        at += int(sizes[chosen].sum()) + len(chosen)
+    order, common = suffix_dedup.merge_all(parts, 40)
+    full = []
+    for i, x in enumerate(strings):
+        full += [(*(int(v) + 100 for v in x[k:]), i) for k in range(len(x) + 1)]
+    want = sorted(range(len(full)), key=lambda k: full[k])
+    assert order.tolist() == want
+    share = lambda a, b: next((k for k, (p, q) in enumerate(zip(a, b, strict=False)) if p != q), 0)
+    assert common[1:].tolist() == [share(full[a], full[b]) for a, b in zip(want, want[1:], strict=False)]
+    one = suffix_dedup.covered_windows([b"ab" * 200], np.array([1]), np.array([0]), np.array([0]), np.array([301]))
+    assert len(one[0]) == 299
+
+
 def test_repetitive_bytes(spark):
     data = [(1, "a" * 500), (2, "a" * 99), (3, "ab" * 300), (4, "xab" + "ab" * 120)]
     got = suffix_dedup.deduplicated(spark.createDataFrame(data, "doc_id long, text string"))
