@@ -6,14 +6,15 @@ pieces, and pieces are inserted or deleted by adding or subtracting their vector
 
     1 word    that counts pieces,
     4 words   of 62 hash bits, modulo 2**62, for equality,
-    42 words  of three packed counters, each adding one hash bit; bits read as signs make the sums a sketch of the
-              multiset (126 random projections) whose distances estimate those of the multisets.
+    62 words  of two packed 31-bit counters, each adding one hash bit; bits read as signs make the sums a sketch of the
+              multiset (124 random projections) whose distances estimate those of the multisets.
 
 Likeness of fingerprints is 1 - |x - y|**2 / (|x|**2 + |y|**2) of the sketches, cut to 0..1: the shared part of the
 pieces for like sizes, about 0 (plus or minus 0.09) for unrelated texts.
 
-All steps are SQL functions. The next document is found within ranges of doc_id, each about ``RANGE_BYTES``; only the
-first document of each range is looked up from the range before it.
+All steps are SQL functions. Every fingerprint is computed once, and stored without its text. The next document is
+found on ids alone, within ranges of them; the first of each range is looked up from the range before it. Of the next
+document only the characters that are wanted travel, to the row that wants them.
 """
 
 from __future__ import annotations
@@ -21,14 +22,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import columns, partitions_for, stored, table
+from .common import columns, stored, table
 
-RANGE_BYTES = 8 << 20
 MOD = (1 << 62) - 1
 EQUAL_WORDS = 4
 SKETCH_HASHES = 2
-LANE_BITS = 21
-_LANES = sum(1 << (LANE_BITS * k) for k in range(3))
+LANE_BITS = 31
+_LANES = 1 | 1 << LANE_BITS
 WIDTH = 1 + EQUAL_WORDS + SKETCH_HASHES * LANE_BITS
 
 #: Boundaries of paragraph pieces.
@@ -68,7 +68,7 @@ def text_of(fp: str) -> str:
 
 def _signs(fp: str) -> str:
     mask = (1 << LANE_BITS) - 1
-    lanes = f"array(v & {mask}L, shiftright(v, {LANE_BITS}) & {mask}L, shiftright(v, {2 * LANE_BITS}) & {mask >> 1}L)"
+    lanes = f"array(v & {mask}L, shiftright(v, {LANE_BITS}) & {mask}L)"
     return f"transform(flatten(transform(slice({fp}, {2 + EQUAL_WORDS}, {WIDTH}), v -> {lanes})), v -> cast(2 * v - {fp}[0] as double))"
 
 
@@ -79,46 +79,64 @@ def likeness(x: str, y: str) -> str:
     return f"element_at(transform(array(named_struct('x', {_signs(x)}, 'y', {_signs(y)})), q -> greatest(0D, least(1D, 1D - coalesce({far}, 0D)))), 1)"
 
 
-def with_next(docs: DataFrame, ranges: int) -> DataFrame:
-    """``docs`` (doc_id, text, fp) with the struct ``next`` of the document after each, the first after the last.
+#: The order of documents: by doc_id, null first, and of one doc_id by text hash.
+ORDER = ("named", "doc_id", "tie")
 
-    By ascending doc_id, null first; rows that repeat a doc_id follow each other by text.
-    """
-    cuts = sorted(set(docs.stat.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.25 / ranges))) if ranges > 1 else []
-    at = F.size(F.filter(F.array(*(F.lit(int(c)) for c in cuts)), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
-    docs = docs.withColumn("range", F.when(F.col("doc_id").isNull(), -1).otherwise(at))
-    order = Window.partitionBy("range").orderBy("doc_id", "text")
-    rows = docs.withColumn("following", F.lead(F.struct("text", "fp")).over(order))
-    heads = docs.groupBy("range").agg(F.min(F.struct("doc_id", "text", "fp")).alias("head"))
-    heads = stored(heads.select("range", F.col("head.text").alias("text"), F.col("head.fp").alias("fp")), "heads")
-    linked = heads.select("range").withColumn("after", F.coalesce(F.lead("range").over(Window.orderBy("range")), F.min("range").over(Window.partitionBy())))
-    linked = linked.join(heads.withColumnRenamed("range", "after"), "after").select(F.col("range").alias("of"), F.struct("text", "fp").alias("first"))
-    rows = rows.join(linked, (F.col("range") == F.col("of")) & F.col("following").isNull(), "left")
-    return rows.select("doc_id", "text", "fp", F.coalesce("following", "first").alias("next"))
 
+def followers(places: DataFrame) -> DataFrame:
+    """``places`` (named, doc_id, tie, n_chars), distinct, with the struct ``next`` (named, doc_id, tie) of the place after
+    each, the first after the last."""
+    ranged = places.repartitionByRange(int(places.sparkSession.conf.get("spark.sql.shuffle.partitions")), *ORDER)
+    ranged = stored(ranged.withColumn("range", F.spark_partition_id()), "ranges")
+    inner = Window.partitionBy("range").orderBy(*ORDER)
+    place = F.struct(*ORDER)
+    rows = ranged.withColumn("next", F.lead(place).over(inner))
+    ends = ranged.groupBy("range").agg(F.min(place).alias("first"))
+    # one row for each range: their number is that of partitions
+    over, whole = Window.orderBy("range"), Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = ends.select("range", F.coalesce(F.lead("first").over(over), F.first("first").over(whole)).alias("after"))
+    return rows.join(F.broadcast(ends), "range").select(*ORDER, "n_chars", F.coalesce("next", "after").alias("next"))
 
-def op7_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per row of documents (null text: empty): the fingerprint, that of the edited text, and their likenesses.
 
-    The edited text's fingerprint is the text's with the pieces of its end deleted and those of the new end inserted.
+def fingerprinted(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_chars, edited (the text with its last quarter replaced by the start of
+    the next document), and the arrays fp, fp_edited and fp_next.
+
+    A null text is empty. The next document is that of the next larger doc_id; a null doc_id comes first; texts that share a
+    doc_id follow each other in the order of a hash, and rows that repeat both are one document, so each gets the same
+    result. The one document of a table follows itself. Long texts are read whole; extra columns are ignored; an empty table
+    gives no rows.
     """
-    source = table(spark, sf_dir, "documents")
-    docs = columns(source, doc_id="long", text="string").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("fp", F.expr(fingerprint(pieces("text"))))
-    rows = with_next(docs, partitions_for(source, RANGE_BYTES, 4))
-    rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("cut", F.expr("cast(n_chars div 4 as int)"))
-    rows = rows.withColumn("stay", F.expr("substr(text, 1, cast(n_chars as int) - cut)"))
-    rows = rows.withColumn("edited", F.expr("concat(stay, substr(next.text, 1, cut))"))
+    docs = columns(docs, doc_id="long", text="string").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.select(F.col("doc_id").isNotNull().alias("named"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
+    prints = stored(docs.select(*ORDER, F.length("text").alias("n_chars"), F.expr(fingerprint(pieces("text"))).alias("fp")), "fingerprints")
+    places = prints.select(*ORDER, "n_chars").dropDuplicates(list(ORDER))
+    links = stored(followers(places), "followers")
+    of = links.select(F.col("next.named").alias("named"), F.col("next.doc_id").alias("doc_id"), F.col("next.tie").alias("tie"), F.struct(*ORDER).alias("of"), "n_chars")
+    once = prints.dropDuplicates(list(ORDER)).drop("n_chars")
+    heads = docs.join(of, list(ORDER)).select("of", F.expr("substr(text, 1, cast(n_chars div 4 as int))").alias("head"), *ORDER)
+    heads = heads.dropDuplicates(["of"]).join(once, list(ORDER)).select("of.named", "of.doc_id", "of.tie", "head", F.col("fp").alias("fp_next"))
+    rows = docs.join(heads, list(ORDER)).join(once, list(ORDER))
+    rows = rows.withColumn("n_chars", F.length("text")).withColumn("stay", F.expr("substr(text, 1, n_chars - n_chars div 4)"))
+    rows = rows.withColumn("edited", F.concat("stay", "head"))
     # the pieces before the last cut of what stays are the same in both texts
     rows = rows.withColumn("same", F.expr(f"size({pieces('stay')}) - 1"))
-    tail = lambda text: f"slice({pieces(text)}, same + 1, cast(n_chars as int) + 1)"
+    tail = lambda text: f"slice({pieces(text)}, same + 1, n_chars + 1)"
     rows = rows.withColumn("fp_edited", F.expr(insert(delete("fp", fingerprint(tail("text"))), fingerprint(tail("edited")))))
-    return rows.select(
+    return rows.select(F.when(F.col("named"), F.col("doc_id")).alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "edited", "fp", "fp_edited", "fp_next")
+
+
+def op7_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per row of documents: the fingerprint, that of the edited text, and their likenesses.
+
+    The edited text's fingerprint is the text's with the pieces of its end deleted and those of the new end inserted.
+    """
+    return fingerprinted(table(spark, sf_dir, "documents")).select(
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited"), 256).alias("edited_sha256"),
         F.expr(text_of("fp")).alias("fingerprint"),
         F.expr(text_of("fp_edited")).alias("edited_fingerprint"),
         F.expr(likeness("fp", "fp_edited")).alias("near_edited"),
-        F.expr(likeness("fp", "next.fp")).alias("near_next"),
+        F.expr(likeness("fp", "fp_next")).alias("near_next"),
     )
