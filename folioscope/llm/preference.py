@@ -5,10 +5,10 @@ as prompt, and the two remainders as completions. A loss mask marks what is lear
 completion, not the markers, the other roles or the prompt.
 
 Pairs come as a table (chosen_id, rejected_id), or are made from conversations that open with the same turn: they are
-ranked by their assistant words, and the more worded half is chosen over the less worded, rank by rank. Ranking is
-done within hash buckets of an opening, so a common opening does not meet in one task; what is left over in its bucket
-meets in buckets of buckets, and then in one, so that at most one conversation of an opening is left. It is paired with
-itself: its last assistant turn is chosen over the last assistant turn of another such conversation (rejected_id), the
+ranked by their assistant words, and the more worded half is chosen over the less worded, rank by rank (an arbitrary
+choice: the tables hold no verdicts). Ranking is done within hash buckets, as many as give ``BUCKET`` conversations each,
+so a common opening does not meet in one task; what is left over in its bucket meets in buckets of ``BUCKET`` buckets,
+and so on, so that no group is large and at most one conversation of an opening is left. It is paired with itself: its last assistant turn is chosen over the last assistant turn of another such conversation (rejected_id), the
 next of different text in a hash bucket. Without an assistant turn, or another text, it is reported without a partner.
 """
 
@@ -17,10 +17,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import columns, table
+from .common import columns, stored, table
 
 MARK = ("<|", "|>\n", "<|end|>\n")
-BUCKET = 64  # conversations of an opening in a bucket, about
+BUCKET = 64  # conversations in a bucket, about
 
 
 def conversations(turns: DataFrame) -> DataFrame:
@@ -38,16 +38,18 @@ def conversations(turns: DataFrame) -> DataFrame:
 def paired(convs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(chosen_id, rejected_id) of conversations with the same first turn; rejected_id is null where none is left."""
     c = convs.select("conv_id", F.xxhash64(F.col("turns")[0]).alias("opening"), F.expr("aggregate(filter(turns, x -> x.role = 'assistant'), 0L, (n, x) -> n + size(split(trim(x.text), '[ \\\\t\\\\r\\\\n]+')))").alias("words"))
-    size = c.groupBy("opening").agg(F.count("*").alias("all"))
-    c = c.join(size, "opening").withColumns({"round": F.lit(0), "part": F.pmod(F.xxhash64("conv_id"), F.ceil(F.col("all") / bucket))})
+    rounds = 0  # of nested buckets: bucket ** rounds at first, one in the last round
+    while bucket**rounds * bucket < convs.count():
+        rounds += 1
+    c = c.withColumns({"round": F.lit(0), "part": F.pmod(F.xxhash64("conv_id"), F.lit(bucket**rounds))})
     w = Window.partitionBy("opening", "round", "part")
-    for k in (1, 2, 3):
+    for k in range(rounds + 1):
         c = c.withColumns({"rank": F.row_number().over(w.orderBy(F.desc("words"), "conv_id")) - 1, "n": F.count("*").over(w)})
         half = F.floor(F.col("n") / 2)
         left = F.col("rank") >= 2 * half
-        if k < 3:
-            again = F.pmod(F.xxhash64("conv_id", F.lit(k)), F.ceil(F.col("all") / bucket**2)) if k == 1 else F.lit(0).cast("long")
-            c = c.withColumns({"part": F.when(left, again).otherwise(F.col("part")), "round": F.when(left, F.lit(k)).otherwise(F.col("round"))})
+        if k < rounds:
+            again = left & (F.col("round") == k)
+            c = c.withColumns({"part": F.when(again, F.pmod("part", F.lit(bucket ** (rounds - 1 - k)))).otherwise(F.col("part")), "round": F.when(again, F.lit(k + 1)).otherwise(F.col("round"))})
     c = c.withColumns({"slot": F.when(left, half).otherwise(F.col("rank") % F.greatest(half, F.lit(1))), "role": F.when(left | (F.col("rank") < half), F.lit("c")).otherwise(F.lit("r"))})
     return c.groupBy("opening", "round", "part", "slot").agg(F.min(F.when(F.col("role") == "c", F.col("conv_id"))).alias("chosen_id"), F.min(F.when(F.col("role") == "r", F.col("conv_id"))).alias("rejected_id")).select("chosen_id", "rejected_id")
 
@@ -93,17 +95,19 @@ def preferences(turns: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
 
     Equal conversations share all turns and have empty completions. Where pairs are made, a conversation without a
     partner is set against an alternative of its last assistant turn, taken from rejected_id. Without that too, rejected
-    is null and the whole conversation but its first turn is the completion. Ids of ``pairs`` that have no turns give no row.
+    is null and the whole conversation but its first turn is the completion. Ids of ``pairs`` that have no turns give no row;
+    a null rejected_id there stands for no partner. Turns that repeat stay; extra columns are ignored; an empty table gives no
+    rows. Long texts are rendered whole.
     """
-    convs = conversations(turns)
+    convs = stored(conversations(turns), "conversations")
     made = pairs is None
     pairs = paired(convs) if made else columns(pairs, chosen_id="long", rejected_id="long")
     a = convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("a"))
     b = convs.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("b"))
-    rows = pairs.join(a, "chosen_id").join(b, "rejected_id", "left").where("rejected_id is null or b is not null")
-    if made:
-        other = alternatives(rows.where("rejected_id is null").select("chosen_id", "a")).withColumnRenamed("b", "other")
-        rows = rows.join(other, "chosen_id", "left").select("chosen_id", F.coalesce("rejected_id", "donor_id").alias("rejected_id"), "a", F.coalesce("b", "other").alias("b"))
+    rows = pairs.where("rejected_id is not null").join(a, "chosen_id").join(b, "rejected_id").select("chosen_id", "rejected_id", "a", "b")
+    alone = pairs.where("rejected_id is null").select("chosen_id").join(a, "chosen_id")
+    other = alternatives(alone).withColumnRenamed("donor_id", "rejected_id") if made else alone.selectExpr("chosen_id", "cast(null as bigint) as rejected_id", "a as b").where("false")
+    rows = rows.union(alone.join(other, "chosen_id", "left").select("chosen_id", "rejected_id", "a", "b"))
     equal = "filter(sequence(1, least(size(a), size(b))), i -> a[i - 1] <> b[i - 1])"
     rows = rows.withColumn("shared_turns", F.expr(f"if(b is null, 1, coalesce(array_min({equal}) - 1, least(size(a), size(b))))"))
     rest = lambda t: f"slice({t}, shared_turns + 1, size({t}))"
