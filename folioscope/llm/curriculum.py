@@ -120,7 +120,7 @@ def op4_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per row of documents: doc_id, size, source_size, target, taken, position (null: not taken)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     rows = curriculum(stored(measured(docs).drop("row"), "sizes"), buckets=partitions_for(docs, BUCKET_BYTES, 16))
-    return by_position(rows).select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"), F.col("_position").alias("position"))
+    return by_position(rows).select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"), F.round("_position", 3).alias("position"))
 
 
 ORACLE = r"""
@@ -149,6 +149,6 @@ g as (
   select *, (reps * size + greatest(least(floor(target) - reps * source_size - start, size), 0))::bigint as taken, start / target as x from f),
 h as (
   select *, 2 * x / ((1 - ramp) + sqrt((1 - ramp) * (1 - ramp) + 4 * ramp * x)) as due from g)
-select doc_id, size, source_size, target, taken, case when taken > 0 then demand * due + slope * (due * due - due) end as position
+select doc_id, size, source_size, target, taken, case when taken > 0 then round(demand * due + slope * (due * due - due), 3) end as position
 from h
 """

@@ -337,6 +337,9 @@ def test_curriculum_meets_targets(spark):
     for rs in by.values():
         assert sum(r._taken for r in rs) == int(rs[0]._target)
     assert abs(sum(rs[0]._target for rs in by.values()) - sum(r._size for r in got)) < 1e-6
+    mixed = curriculum.mix(df.selectExpr("*", "1 as _size", "2 as _hash", "3 as row", "4 as _text"))
+    assert mixed.columns == [*df.columns, "_size", "_hash", "row", "_text"] and mixed.select("_size", "row").distinct().collect() == [(1, 3)]
+    assert curriculum.mix(df.limit(0)).count() == 0
     mixed = curriculum.mix(df)
     assert mixed.columns == df.columns and mixed.agg({"doc_id": "count"}).first()[0] > 0
     words = collections.Counter()
@@ -345,6 +348,23 @@ def test_curriculum_meets_targets(spark):
     assert {k: v for k, v in words.items()} == {k: int(rs[0]._target) for k, rs in by.items() if int(rs[0]._target)}
 
 
+def test_every_stretch_has_its_share(spark):
+    """By numeric integration: the words of a source that lie before a place in the stream are those its ramp demands."""
+    data = [(i, " ".join(["x"] * 5), "abc"[i % 3]) for i in range(3000)]
+    rows = curriculum.curriculum(curriculum.measured(spark.createDataFrame(data, "doc_id long, text string, source string")), buckets=8).where("_taken > 0").collect()
+    target = {r.source: (r._target, r._ramp) for r in rows}
+    t = np.linspace(0, 1, 20_001)
+    demand = {s: np.cumsum(np.r_[0, w * (1 + a * (t[1:] + t[:-1] - 1)) * np.diff(t)]) for s, (w, a) in target.items()}
+    everything = sum(demand.values())
+    assert abs(everything[-1] - 15_000) < 1 and len({a for _, a in target.values()}) == 3
+    for place in (1000, 4000, 9000):
+        at = np.searchsorted(everything, place)
+        for s in "abc":
+            size = {r.source: r._source_size for r in rows}[s]
+            first = sum(min(5, r._taken) for r in rows if r.source == s and r._position < place)
+            assert abs(first - min(demand[s][at], size)) < 12, (place, s)
+
+
 def brute_kneser_ney(sample, docs, wanted):
     """Mean differences of log-likelihood, straight from the formulas."""
     words = lambda t: re.findall(r"[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
@@ -442,6 +462,49 @@ def test_every_conversation_gets_a_pair(spark):
     assert sorted(ids) == list(range(40, 540))
 
 
+def test_preference_query_as_by_hand(spark, tmp_path):
+    """All columns of the query against a version in plain Python, for the pairs it makes."""
+    rng = np.random.default_rng(5)
+    turns = []
+    for i in range(300):
+        script = ["hot" if i % 3 else f"own {i}", *(f"x{int(rng.integers(0, 3))}" for _ in range(int(rng.integers(0, 5))))]
+        turns += [(i, k, ("user", "assistant")[k % 2], x if rng.random() < 0.97 else None) for k, x in enumerate(script)]
+    turns += [(7, 0, "user", "again"), (None, 1, "user", "q"), (301, None, None, None)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    convs = collections.defaultdict(list)
+    for i, k, role, x in turns:
+        convs[i].append((k if k is not None else -1, role or "", x or ""))
+    convs = {i: [(r, x) for _, r, x in sorted(c)] for i, c in convs.items() if i is not None}
+    show = lambda c: "".join(f"<|{r}|>\n{x}<|end|>\n" for r, x in c)
+
+    def mask(c):
+        at, out = 0, []
+        for r, x in c:
+            at += len(r) + 5
+            if r == "assistant" and x:
+                out.append(f"{at}-{at + len(x)}")
+            at += len(x) + 8
+        return ",".join(out)
+
+    seen = []
+    for r in preference.op6_preference(spark, str(tmp_path)).collect():
+        a, b = convs[r.chosen_id], convs.get(r.rejected_id)
+        seen.append(r.chosen_id)
+        if b is None:
+            assert (r.shared_turns, r.prompt, r.chosen, r.rejected) == (1, show(a[:1]), show(a[1:]), None)
+            continue
+        if a[0] != b[0]:  # an alternative of the last assistant turn
+            last = max(k for k, (role, _) in enumerate(a) if role == "assistant")
+            b = [*a[:last], ("assistant", next(x for role, x in reversed(b) if role == "assistant"))]
+        else:
+            seen.append(r.rejected_id)
+        n = next((k for k, (p, q) in enumerate(zip(a, b, strict=False)) if p != q), min(len(a), len(b)))
+        assert (r.shared_turns, r.prompt, r.chosen, r.rejected) == (n, show(a[:n]), show(a[n:]), show(b[n:]))
+        assert (r.chosen_mask, r.rejected_mask) == (mask(a[n:]), mask(b[n:]))
+    assert sorted(seen) == sorted(convs)
+    assert preference.preferences(spark.createDataFrame([], "conv_id long, turn long, role string, text string, t int, a int")).count() == 0
+
+
 def test_multiset_hash(spark):
     t = ["One. Two.\nThree.", "Three.\nTwo. One.", "One. Two.", "", "x" * 5000]
     fp = lambda x: f"{multiset_hash.fingerprint(multiset_hash.pieces(x))}"
@@ -450,6 +513,37 @@ def test_multiset_hash(spark):
     assert r[t[0]].a == r[t[1]].a != r[t[2]].a and all(x.b == x.c for x in r.values()) and set(r[""].a) == {0}
 
 
+def test_fingerprints_as_by_hand(docs, rows, spark):
+    """The next document, the edited text and both fingerprints of every row, against plain Python."""
+    places = sorted({(i is not None, i or 0, t or "") for i, t, *_ in rows})
+    hashes = {t: h for t, h in spark.createDataFrame([(t,) for *_, t in places], "t string").selectExpr("t", "xxhash64(t)").collect()}
+    places.sort(key=lambda p: (p[0], p[1], hashes[p[2]]))
+    edited = {}
+    for at, (named, i, t) in enumerate(places):
+        n, after = len(t), places[(at + 1) % len(places)][2]
+        edited[i if named else None, t] = (t[: n - n // 4] + after[: n // 4], after)
+    got = multiset_hash.fingerprinted(docs).collect()
+    assert len(got) == len(rows)
+    text_of = {(i, len(t or "")): t or "" for i, t, *_ in rows}
+    every = {t for pair in edited.items() for t in (pair[0][1], *pair[1])}
+    fp = {r.t: r.fp for r in spark.createDataFrame([(t,) for t in every], "t string").selectExpr("t", f"{multiset_hash.fingerprint(multiset_hash.pieces('t'))} as fp").collect()}
+    for r in got:
+        t = text_of[r.doc_id, r.n_chars]
+        new, after = edited[r.doc_id, t]
+        assert (r.edited, r.fp, r.fp_edited, r.fp_next) == (new, fp[t], fp[new], fp[after])
+    assert multiset_hash.fingerprinted(docs.limit(0)).count() == 0
+    (one,) = multiset_hash.fingerprinted(docs.where("doc_id = 4")).collect()
+    assert one.fp_next == one.fp
+
+
+def test_likeness_follows_the_shared_part(spark):
+    part = lambda tag, n: ". ".join(f"{tag} {i} sentence" for i in range(n))
+    data = [(part("a", 60), part("a", 60), 1.0), (part("a", 60), part("b", 60), 0.0), (part("a", 60), part("a", 30) + ". " + part("b", 30), 0.5), ("", "", 1.0)]
+    fp = lambda x: multiset_hash.fingerprint(multiset_hash.pieces(x))
+    rows = spark.createDataFrame(data, "x string, y string, want double").selectExpr("want", f"{fp('x')} as x", f"{fp('y')} as y").selectExpr("want", f"{multiset_hash.likeness('x', 'y')} as got").collect()
+    assert all(0 <= r.got <= 1 and abs(r.got - r.want) < 0.2 for r in rows)
+
+
 def test_licences(spark):
     cases = [(s, k) for k, v in license_scan.TEMPLATES.items() for s in v] + [(s, None) for s in license_scan.UNKNOWN] + [("", None), (None, None)]
     df = spark.createDataFrame([(i, "intro\n" + s + "\nrest" if s else s) for i, (s, _) in enumerate(cases)], "doc_id long, text string")
