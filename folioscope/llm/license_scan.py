@@ -1,9 +1,12 @@
 """Licence detection by a trained paragraph classifier (operator 8).
 
-Paragraphs (lines) that use the language of licences are classified by multinomial logistic regression over word
-1- to 3-grams, with an ``unknown`` class for talk about licences that grants nothing. The unknown class is
-calibrated: its bias is raised until no negative example, left out in turn by fold, is taken for a licence. A
-prediction stands only if the paragraph also matches a template of the family by shared word pairs.
+A paragraph is a run of lines without a blank one. Of paragraphs that use the language of licences, each line, and each
+sentence of the paragraph with its line breaks read as blanks (so that wrapped texts are whole), is classified by
+multinomial logistic regression over word 1- to 3-grams, with an ``unknown`` class for talk about licences that grants
+nothing; what is longer than ``WINDOW`` words is read in overlapping windows. The unknown class is calibrated on sentences
+left out in turn by fold: its bias is that of the fewest errors of either kind (as shares of licences and of talk), and a
+temperature fits the probabilities. A prediction stands only if the words also match a template of the family by shared
+word pairs.
 
 The model is trained on the driver from the sentences below (a few hundred short examples, no corpus rows), and
 applied as SQL: weights and templates are map literals of fixed size, and each document is judged within its row.
@@ -24,19 +27,19 @@ from .common import columns, table
 
 #: The usual sentences by which texts declare a licence of each family.
 TEMPLATES = {
-    "AGPL": ["Licensed under the GNU Affero General Public License, version 3.", "This program is free software under the terms of the GNU Affero General Public License as published by the Free Software Foundation.", "Released under the AGPL.", "SPDX-License-Identifier: AGPL-3.0-or-later"],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "Released under the Apache 2.0 license.", "SPDX-License-Identifier: Apache-2.0"],
-    "BSD": ["Released under the BSD License.", "Licensed under the BSD 3-Clause License.", "Distributed under the 2-Clause BSD license.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "SPDX-License-Identifier: BSD-3-Clause"],
-    "CC-BY": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "Available under the Creative Commons Attribution license.", "SPDX-License-Identifier: CC-BY-4.0"],
-    "CC-BY-NC": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Licensed under CC BY-NC-SA 4.0.", "SPDX-License-Identifier: CC-BY-NC-4.0"],
+    "AGPL": ["Licensed under the GNU Affero General Public License, version 3.", "This program is free software under the terms of the GNU Affero General Public License as published by the Free Software Foundation.", "Released under the AGPL.", "SPDX-License-Identifier: AGPL-3.0-or-later", "License: AGPL-3.0", "GNU Affero General Public License"],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "Released under the Apache 2.0 license.", "SPDX-License-Identifier: Apache-2.0", "Licensed under the Apache License 2.0", "License: Apache-2.0", "Apache License, Version 2.0", "is Apache 2.0 licensed"],
+    "BSD": ["Released under the BSD License.", "Licensed under the BSD 3-Clause License.", "Distributed under the 2-Clause BSD license.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "SPDX-License-Identifier: BSD-3-Clause", "Licensed under the BSD License", "License: BSD", "BSD 3-Clause License", "BSD 2-Clause License", "is BSD licensed"],
+    "CC-BY": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "Available under the Creative Commons Attribution license.", "SPDX-License-Identifier: CC-BY-4.0", "Creative Commons Attribution 4.0 International", "License: CC-BY-4.0"],
+    "CC-BY-NC": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Licensed under CC BY-NC-SA 4.0.", "SPDX-License-Identifier: CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International"],
     "CC-BY-ND": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
-    "CC-BY-SA": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Text is available under the Creative Commons Attribution-ShareAlike License.", "SPDX-License-Identifier: CC-BY-SA-4.0"],
-    "CC0": ["Released under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related rights to this work, CC0 1.0 Universal.", "Dedicated to the public domain under CC0.", "SPDX-License-Identifier: CC0-1.0"],
-    "GPL": ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 2.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.", "Released under the GPL.", "Licensed under GPL v3.", "SPDX-License-Identifier: GPL-3.0-or-later"],
-    "ISC": ["Released under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.", "SPDX-License-Identifier: ISC"],
-    "LGPL": ["Licensed under the GNU Lesser General Public License, version 3.", "This library is free software under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.", "Released under the LGPL.", "SPDX-License-Identifier: LGPL-2.1-or-later"],
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT license.", "Distributed under the terms of the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "SPDX-License-Identifier: MIT"],
-    "MPL": ["Licensed under the Mozilla Public License, version 2.0.", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
+    "CC-BY-SA": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Text is available under the Creative Commons Attribution-ShareAlike License.", "SPDX-License-Identifier: CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International", "License: CC-BY-SA-4.0"],
+    "CC0": ["Released under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related rights to this work, CC0 1.0 Universal.", "Dedicated to the public domain under CC0.", "SPDX-License-Identifier: CC0-1.0", "License: CC0-1.0"],
+    "GPL": ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 2.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.", "Released under the GPL.", "Licensed under GPL v3.", "SPDX-License-Identifier: GPL-3.0-or-later", "Licensed under the GPL", "License: GPL", "License: GPLv3", "License: GPLv2", "GNU General Public License", "is GPL licensed"],
+    "ISC": ["Released under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.", "SPDX-License-Identifier: ISC", "Licensed under the ISC License", "License: ISC", "The ISC License"],
+    "LGPL": ["Licensed under the GNU Lesser General Public License, version 3.", "This library is free software under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.", "Released under the LGPL.", "SPDX-License-Identifier: LGPL-2.1-or-later", "License: LGPL", "GNU Lesser General Public License"],
+    "MIT": ["Released under the MIT License.", "Licensed under the MIT license.", "Distributed under the terms of the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "SPDX-License-Identifier: MIT", "License: MIT", "The MIT License", "MIT License", "is MIT licensed"],
+    "MPL": ["Licensed under the Mozilla Public License, version 2.0.", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0", "License: MPL-2.0", "Mozilla Public License Version 2.0"],
     "Proprietary": ["All rights reserved.", "Copyright 2020 Example Company. All rights reserved.", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited.", "No part of this publication may be reproduced without prior written permission of the publisher."],
     "Unlicense": ["This is free and unencumbered software released into the public domain.", "Released under the Unlicense.", "SPDX-License-Identifier: Unlicense"],
 }
@@ -48,13 +51,17 @@ UNKNOWN = [
     "The Mozilla browser was released in version 2.0.", "Creative people in the commons met on Friday.", "The version 3 of the plan is public.", "GNU tools are used by many programmers.",
     "A software licence can be bought from the company.", "The license plate was unreadable.", "Permission to enter the site is granted by the guard.", "The human rights convention was signed.",
     "Please read the license before installing.", "Licensed plumbers must register each year.", "The licensing board rejected the request.", "All rights of way are marked on the map.",
+    "MIT licensed the patent to a startup company.", "The GPL was discussed at the meeting of the board.", "Apache and BSD are names of projects and of families of software.", "An article compared the licenses of many programs.",
     "License", "Copyright", "See the license for details.", "Terms of the agreement are confidential.", "Redistribution of wealth was a topic of debate.", "Free software is a matter of liberty.",
 ]
-#: A paragraph without any of these cannot match a template, and is of unknown class by rule.
-TRIGGER = r"(?i)licen[sc]|rights reserved|public domain|\bCC0\b|\bCC BY\b|permission (?:is|to)|redistribution and use|\b[AL]?GPL\b|proprietary and confidential|prior written permission|waived all copyright"
+#: A text without any of these cannot match a template, and is of unknown class by rule.
+TRIGGER = r"(?i)licen[sc]|rights reserved|public domain|\bCC0\b|\bCC BY\b|permission (?:is|to)|redistribution and use|\b[AL]?GPL\b|proprietary and confidential|prior written permission|waived all copyright|creative commons attribution"
 WORDS = r"[\p{L}\p{N}]+(?:[.][0-9]+)*"
 NGRAMS = 3
+WINDOW = 60
 MATCH = 0.7
+#: Maps that the weights are dealt to, as a map is searched from its start.
+SLOTS = 256
 
 
 def words(text: str) -> list[str]:
@@ -102,20 +109,30 @@ def train() -> tuple[dict[str, list[float]], list[float], tuple[str, ...]]:
         x[r, [at[g] for g in grams(w)]] = 1
     x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
     y = np.array([i for _, i in made])
-    u, margin = len(names) - 1, 0.0
+    u, left_out = len(names) - 1, np.zeros((len(made), len(names)))
     fold = np.array([hash_of(" ".join(w)) % 5 for w, _ in made])
     for f in range(5):
-        part = _fit(x[fold != f], y[fold != f], len(names))
-        z = np.c_[x, np.ones(len(x))][(fold == f) & (y == u)] @ part
-        if len(z):
-            margin = max(margin, float((z[:, :u].max(1) - z[:, u]).max()))
+        left_out[fold == f] = np.c_[x, np.ones(len(x))][fold == f] @ _fit(x[fold != f], y[fold != f], len(names))
+    bias, heat = calibrated(left_out, y, u)
     w = _fit(x, y, len(names))
-    own = np.c_[x, np.ones(len(x))] @ w
-    gap = (own[np.arange(len(y)), y] - own[:, u])[y != u]
-    w[-1, u] += min(margin, float(np.quantile(gap, 0.02)) * 0.9)
+    w[-1, u] += bias
+    w /= heat
     return {g: [round(float(v), 5) for v in w[k]] for g, k in at.items()}, [float(v) for v in w[-1]], names
 
 
+def calibrated(z: np.ndarray, y: np.ndarray, u: int) -> tuple[float, float]:
+    """The bias of class ``u`` of fewest errors, the sum of the shares of other rows taken for it and of its rows taken for
+    others (the middle of the best biases), and the temperature of least loss, of left-out logits."""
+    gap = z[:, :u].max(1) - z[:, u]
+    tried = np.sort(np.concatenate([gap - 1e-9, gap + 1e-9]))
+    errors = np.array([(gap[y != u] <= b).mean() + (gap[y == u] > b).mean() for b in tried])
+    bias = float(np.median(tried[errors <= errors.min() + 1e-12]))
+    z = z.copy()
+    z[:, u] += bias
+    loss = {t: -np.log(np.maximum(_softmax(z / t)[np.arange(len(y)), y], 1e-12)).mean() for t in np.geomspace(0.1, 10, 41)}
+    return bias, float(min(loss, key=loss.get))
+
+
 def hash_of(text: str) -> int:
     import zlib
 
@@ -130,13 +147,14 @@ def judged(p: str, match: float) -> str:
     """SQL struct (family, probability, similarity) of a paragraph."""
     weights, bias, names = train()
     classes = f"array({', '.join(map(_quoted, names))})"
-    model = f"from_json({_quoted(json.dumps(weights))}, 'map<string,array<double>>')"
+    slots = [{g: v for g, v in weights.items() if hash_of(g) % SLOTS == k} for k in range(SLOTS)]
+    model = f"from_json({_quoted(json.dumps(slots))}, 'array<map<string,array<double>>>')"
     pairs = {n: [sorted({" ".join(w[i : i + 2]) for i in range(len(w) - 1)} or set(w)) for w in map(words, t)] for n, t in TEMPLATES.items()}
     templates = f"from_json({_quoted(json.dumps(pairs))}, 'map<string,array<array<string>>>')"
     gram = lambda n: f"if(size(w) >= {n}, transform(sequence(1, size(w) - {n - 1}), i -> array_join(slice(w, i, {n}), ' ')), cast(array() as array<string>))"
     found = f"array_distinct(concat({', '.join(gram(n) for n in range(1, NGRAMS + 1))}))"
     # grams outside the vocabulary weigh nothing, and do not lengthen the vector
-    rows = "filter(transform(g, k -> try_element_at(model, k)), v -> v is not null)"
+    rows = f"filter(transform(g, k -> try_element_at(model[cast(crc32(k) % {SLOTS} as int)], k)), v -> v is not null)"
     logits = f"transform(aggregate(r, array_repeat(0D, {len(names)}), (s, v) -> zip_with(s, v, (a, b) -> a + b)), v -> v / sqrt(greatest(size(r), 1)))"
     z = f"zip_with({logits}, array({', '.join(f'{b!r}D' for b in bias)}), (a, b) -> a + b)"
     best = f"named_struct('family', {classes}[array_position(z, array_max(z)) - 1], 'probability', 1D / aggregate(z, 0D, (t, v) -> t + exp(v - array_max(z))))"
@@ -148,13 +166,31 @@ def judged(p: str, match: float) -> str:
     return f"filter(array({out}), x -> x.family <> 'unknown' and x.similarity >= {match}D)"
 
 
+_FOUND = "array<struct<family:string,probability:double,similarity:double,paragraph:int>>"
+
+
+def candidates(paragraph: str) -> str:
+    """SQL array of the lines and sentences of a paragraph that use the language of licences, long ones in windows."""
+    sentences = f"split(regexp_replace({paragraph}, '[ \\\\t\\\\r\\\\n]+', ' '), '(?<=[.;:!?]) ')"
+    windows = f"transform(sequence(0, size(v) - 1, {WINDOW // 2}), i -> array_join(slice(v, i + 1, {WINDOW}), ' '))"
+    cut = f"if(size(v) <= {WINDOW}, array(x), {windows})"
+    parts = f"transform(filter(concat(if(contains({paragraph}, '\\n'), split({paragraph}, '\\\\n'), cast(array() as array<string>)), {sentences}), x -> x rlike {_quoted(TRIGGER)}), x -> element_at(transform(array(split(x, '[ \\\\t\\\\r]+')), v -> {cut}), 1))"
+    return f"filter(array_distinct(flatten({parts})), x -> x rlike {_quoted(TRIGGER)})"
+
+
 def scan(docs: DataFrame, match: float = MATCH, column: str = "text") -> DataFrame:
-    """``docs`` with ``licences``: array of (family, probability, similarity, line), one for each paragraph that
-    declares a licence, in order. Null and empty texts have none. Rows and other columns stay as they are."""
-    lines = f"filter(transform(split({column}, '\\\\n', -1), (p, i) -> named_struct('p', p, 'i', i)), x -> x.p rlike {_quoted(TRIGGER)})"
-    each = f"transform({judged('x.p', match)}, y -> named_struct('family', y.family, 'probability', y.probability, 'similarity', y.similarity, 'line', x.i))"
-    found = f"if({column} rlike {_quoted(TRIGGER)}, flatten(transform({lines}, x -> {each})), cast(array() as array<struct<family:string,probability:double,similarity:double,line:int>>))"
-    return docs.withColumn("licences", F.coalesce(F.expr(found), F.expr("cast(array() as array<struct<family:string,probability:double,similarity:double,line:int>>)")))
+    """``docs`` with ``licences``: array of (family, probability, similarity, paragraph), one for each family that a paragraph
+    declares, the surest of its places, in order of paragraphs (from 0) and families.
+
+    Null and empty texts have none. Rows, repeated ones too, and other columns stay as they are; a user's column ``licences``
+    is replaced. Long texts are read whole; an empty table gives no rows.
+    """
+    paragraphs = f"filter(transform(split({column}, '\\\\n[ \\\\t\\\\r]*(?:\\\\n[ \\\\t\\\\r]*)+', -1), (p, i) -> named_struct('p', p, 'i', i)), x -> x.p rlike {_quoted(TRIGGER)})"
+    best = "array_max(transform(filter(s, y -> y.family = f), y -> named_struct('probability', y.probability, 'similarity', y.similarity)))"
+    merged = f"transform(array_sort(array_distinct(transform(s, y -> y.family))), f -> element_at(transform(array({best}), y -> named_struct('family', f, 'probability', y.probability, 'similarity', y.similarity, 'paragraph', x.i)), 1))"
+    each = f"element_at(transform(array(flatten(transform({candidates('x.p')}, c -> {judged('c', match)}))), s -> {merged}), 1)"
+    found = f"if({column} rlike {_quoted(TRIGGER)}, flatten(transform({paragraphs}, x -> {each})), cast(array() as {_FOUND}))"
+    return docs.withColumn("licences", F.coalesce(F.expr(found), F.expr(f"cast(array() as {_FOUND})")))
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

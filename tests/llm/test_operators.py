@@ -549,3 +549,42 @@ def test_licences(spark):
     df = spark.createDataFrame([(i, "intro\n" + s + "\nrest" if s else s) for i, (s, _) in enumerate(cases)], "doc_id long, text string")
     got = license_scan.scan(df).orderBy("doc_id").collect()
     assert [[x.family for x in r.licences] for r in got] == [[k] if k else [] for _, k in cases]
+
+
+#: Not among the sentences that the classifier is trained on.
+WRAPPED = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights""",
+    "BSD": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice.""",
+    "GPL": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "LGPL": """This library is free software; you can redistribute it and/or modify it
+under the terms of the GNU Lesser General Public License as published by
+the Free Software Foundation; either version 2.1 of the License, or later.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "MPL": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this file""",
+}
+SHORT = {"The code is MIT licensed.": "MIT", "License: GPL-2.0-only": "GPL", "MIT License": "MIT", "The MIT License (MIT)": "MIT", "This project is licensed under the MIT License - see the file for details.": "MIT", "Apache License\nVersion 2.0, January 2004": "Apache-2.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007": "GPL", "BSD 3-Clause License": "BSD", "# Readme\nlicensed under the Apache License 2.0": "Apache-2.0"}
+TALK = ["The licensing of music is a wide field.", "She kept her licence in a drawer, and her copyright notices in another.", "Public domain works were shown.", "Permission to leave was not given.", "He works at MIT and licenses his inventions.", "Free software and general public use were the topics."]
+
+
+def test_licences_that_are_wrapped_or_short(spark):
+    cases = [(v, k) for k, v in WRAPPED.items()] + list(SHORT.items()) + [(x, None) for x in TALK]
+    long = " ".join(f"w{i}" for i in range(500))
+    cases += [(f"{long} {WRAPPED['MIT']} {long}", "MIT"), (f"{long} This work is licensed under CC BY-SA 4.0 {long}", "CC-BY-SA")]
+    df = spark.createDataFrame([(i, f"Some title\n\n{x}\n \nAnd the rest.") for i, (x, _) in enumerate(cases)] + [(1000, WRAPPED["MIT"] + "\n\n" + WRAPPED["BSD"])], "doc_id long, text string")
+    got = {r.doc_id: [(x.family, x.paragraph) for x in r.licences] for r in license_scan.scan(df).collect()}
+    wrong = [(x, k, got[i]) for i, (x, k) in enumerate(cases) if got[i] != ([(k, 1)] if k else [])]
+    assert not wrong and got[1000] == [("MIT", 0), ("BSD", 1)]
+    assert license_scan.scan(df.limit(0)).count() == 0
