@@ -174,7 +174,7 @@ def candidates(paragraph: str) -> str:
     sentences = f"split(regexp_replace({paragraph}, '[ \\\\t\\\\r\\\\n]+', ' '), '(?<=[.;:!?]) ')"
     windows = f"transform(sequence(0, size(v) - 1, {WINDOW // 2}), i -> array_join(slice(v, i + 1, {WINDOW}), ' '))"
     cut = f"if(size(v) <= {WINDOW}, array(x), {windows})"
-    parts = f"transform(filter(concat(if(contains({paragraph}, '\\n'), split({paragraph}, '\\\\n'), cast(array() as array<string>)), {sentences}), x -> x rlike {_quoted(TRIGGER)}), x -> element_at(transform(array(split(x, '[ \\\\t\\\\r]+')), v -> {cut}), 1))"
+    parts = f"transform(filter(concat(split({paragraph}, '\\\\n'), {sentences}), x -> x rlike {_quoted(TRIGGER)}), x -> element_at(transform(array(split(x, '[ \\\\t\\\\r]+')), v -> {cut}), 1))"
     return f"filter(array_distinct(flatten({parts})), x -> x rlike {_quoted(TRIGGER)})"
 
 
