@@ -8,7 +8,10 @@ retries: a value's pseudonym is valid, differs by key, is the same in every docu
     card      13 to 19 digits, Luhn-valid; first digit stays, the check digit is computed anew. In a longer run of
               digit groups, whole groups are tried from the left, the most digits first: where a group beside
               a card makes a valid number with it by chance, both are replaced as one
-    phone     ten digits, plain or 3-3-4 by blank, dot or hyphen, after +1 or 1 or not; all ten digits permuted
+    phone     ten digits, plain or 3-3-4 by blank, dot or hyphen, after +1 or 1 or not; area code and number stay in the
+              ranges that can be dialled (from 2) if they were there
+    intl      + and 8 to 15 digits of another country; the first three, which hold the country's code, stay
+    iban      valid by its check digits, which are computed anew; letters stay
     ssn       898 x 99 x 9999 valid numbers as 88902 x 9999
     ipv4      65536 x 65536, octets without leading zeros
     date      year-month-day, day/month/year or day.month.year of 1800 to 2199: 146097 days as 189 x 773
@@ -23,9 +26,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import columns, table
+from .common import columns, packed, table, unpacked
 
-KEY = "replace-this-key"
+#: Session setting with the secret key of the registered query and the pipeline; without it they use a public one.
+KEY_SETTING, PUBLIC_KEY = "spark.folioscope.pseudonymKey", "public"
 ROUNDS = 10
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
@@ -38,6 +42,8 @@ FORMS = {
     "phone": r"(?:(?<![0-9])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?:(?<![0-9.-])1[ .-])?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?<![0-9.-])(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?!-?[0-9])|(?<![A-Za-z0-9_.-])[0-9]{10}(?![A-Za-z0-9_]|[.-][0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
 }
+FORMS["intl"] = r"(?<![0-9+])\+(?!1(?:[ .-]|[0-9]{10}(?![0-9])))[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,6}(?![0-9])"
+FORMS["iban"] = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 #: Digit groups up to the next value of another kind.
 FORMS["card"] = rf"(?<![0-9])(?=(?:[0-9][ -]?){{13}})[0-9]++(?:[ -](?!{'|'.join(f'(?:{FORMS[k]})' for k in ('ipv4', 'date', 'phone', 'ssn'))})[0-9]++)*+"
 _ALL = "|".join(f"(?:{f})" for f in FORMS.values())
@@ -130,7 +136,30 @@ def _card(m: str, key: str) -> str:
 
 def _phone(m: str, key: str) -> str:
     d = f"right(regexp_replace({m}, '[^0-9]', ''), 10)"
-    return _let(d, "d", _let(_digits("d", "'phone'", key), "b", _into(m, "b")))
+    area, rest = "if(d >= '2', 200, 0)", "if(substr(d, 4, 1) >= '2', 2000000, 0)"
+    wide = lambda low, n: f"if({low} > 0, {8 * n}, {2 * n})"
+    kind = f"concat_ws('/', 'phone', {area}, {rest})"
+    q = _feistel(f"cast(substr(d, 1, 3) as int) - {area}", f"cast(substr(d, 4) as int) - {rest}", wide(area, 100), wide(rest, 1000000), kind, key)
+    back = f"concat(lpad(cast(q.l + {area} as string), 3, '0'), lpad(cast(q.r + {rest} as string), 7, '0'))"
+    return _let(d, "d", _let(q, "q", _let(back, "b", _into(m, "b"))))
+
+
+def _intl(m: str, key: str) -> str:
+    d = f"regexp_replace({m}, '[^0-9]', '')"
+    return _let(d, "d", f"if(length(d) between 8 and 15, {_let(_digits('substr(d, 4)', chr(39) + 'intl' + chr(39), key), 'b', _into(m, 'b'))}, {m})")
+
+
+def _mod97(x: str) -> str:
+    return f"aggregate(split({x}, ''), 0, (r, c) -> if(c rlike '[0-9]', (r * 10 + cast(c as int)) % 97, (r * 100 + ascii(c) - 55) % 97))"
+
+
+def _iban(m: str, key: str) -> str:
+    """Digits behind the check digits permuted among themselves, in place; then the check digits that fit."""
+    bare, tail = f"replace({m}, ' ', '')", "concat(substr({0}, 5), substr({0}, 1, 2))"
+    moved = _let("regexp_replace(substr(x, 5), '[^0-9]', '')", "d", f"if(d = '', {m}, {_let(_digits('d', chr(39) + 'iban' + chr(39), key), 'b', _into(m, 'b'))})")
+    check = _let(f"concat({tail.format('y')}, '00')", "z", f"lpad(cast(98 - {_mod97('z')} as string), 2, '0')")
+    fresh = _let(moved, "w", _let("replace(w, ' ', '')", "y", f"concat(substr(w, 1, 2), {check}, substr(w, 5))"))
+    return _let(bare, "x", f"if({_mod97('concat(substr(x, 5), substr(x, 1, 4))')} = 1, {fresh}, {m})")
 
 
 def _quoted(x: str) -> str:
@@ -145,30 +174,36 @@ def pseudonym(m: str, key: str) -> str:
     """SQL for the pseudonym of a match ``m``; a match that is not valid is returned as it is."""
     return (
         f"case when contains({m}, '@') then {_email(m, key)} when {m} rlike {_whole('ipv4')} then {_ipv4(m, key)} when {m} rlike {_whole('date')} then {_date(m, key)} "
-        f"when {m} rlike {_whole('phone')} then {_phone(m, key)} when {m} rlike {_whole('ssn')} then {_ssn(m, key)} else {_card(m, key)} end"
+        f"when {m} rlike {_whole('phone')} then {_phone(m, key)} when {m} rlike {_whole('ssn')} then {_ssn(m, key)} when {m} like '+%' then {_intl(m, key)} when {m} rlike '^[A-Z]' then {_iban(m, key)} else {_card(m, key)} end"
     )
 
 
-def pseudonymised(docs: DataFrame, key: str = KEY, column: str = "text") -> DataFrame:
-    """``docs`` with the text's validated values replaced; all rows and columns stay, in place.
+def pseudonymised(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
+    """``docs`` with the text's validated values replaced under ``key``; all rows and columns stay, in place.
 
     Null stays null, an empty text empty. Equal values get equal pseudonyms in every row, and repeated rows come out
-    alike. Values that fail validation (a card number's check digit, a day that does not exist) stay as they are.
+    alike. Values that fail validation (a card number's check digit, a day that does not exist) stay as they are. Long texts
+    are read whole; an empty table gives no rows.
     """
-    return _found(docs, key, column).drop("_matches", "_new")
+    rows = _found(packed(docs, text=F.col(f"`{column}`").cast("string")), key)
+    return unpacked(rows, docs.columns, **{column: F.col("new")})
+
+
+def _found(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``matches`` of the column text, their ``pseudonyms``, and the ``new`` text."""
+    pattern = _quoted(f"({_ALL})")
+    rows = rows.withColumn("matches", F.expr(f"regexp_extract_all(text, {pattern}, 1)"))
+    rows = rows.withColumn("pseudonyms", F.expr(f"transform(matches, m -> {pseudonym('m', _quoted(key))})"))
+    parts = f"split(text, {_quoted(_ALL)}, -1)"
+    return rows.withColumn("new", F.expr(f"if(size(matches) > 0, array_join(flatten(zip_with({parts}, pseudonyms, (p, q) -> array(p, coalesce(q, '')))), ''), text)"))
 
 
-def _found(docs: DataFrame, key: str, column: str) -> DataFrame:
-    pattern, k = _quoted(f"({_ALL})"), _quoted(key)
-    rows = docs.withColumn("_matches", F.expr(f"regexp_extract_all({column}, {pattern}, 1)"))
-    rows = rows.withColumn("_new", F.expr(f"transform(_matches, m -> {pseudonym('m', k)})"))
-    parts = f"split({column}, {_quoted(_ALL)}, -1)"
-    joined = f"if(size(_matches) > 0, array_join(flatten(zip_with({parts}, _new, (p, q) -> array(p, coalesce(q, '')))), ''), {column})"
-    return rows.withColumn(column, F.expr(joined))
+def session_key(spark: SparkSession) -> str:
+    return spark.conf.get(KEY_SETTING, PUBLIC_KEY)
 
 
 def op3_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per row of documents: doc_id, text with pseudonyms, n_found (matches), n_replaced (values that changed)."""
-    docs = _found(columns(table(spark, sf_dir, "documents"), doc_id="long", text="string"), KEY, "text")
-    changed = F.expr("cast(size(filter(zip_with(_matches, _new, (a, b) -> a <> b), x -> x)) as bigint)")
-    return docs.select("doc_id", "text", F.greatest(F.size("_matches"), F.lit(0)).cast("long").alias("n_found"), F.coalesce(F.greatest(changed, F.lit(0)), F.lit(0)).cast("long").alias("n_replaced"))
+    docs = _found(columns(table(spark, sf_dir, "documents"), doc_id="long", text="string"), session_key(spark))
+    changed = F.expr("cast(size(filter(zip_with(matches, pseudonyms, (a, b) -> a <> b), x -> x)) as bigint)")
+    return docs.select("doc_id", F.col("new").alias("text"), F.greatest(F.size("matches"), F.lit(0)).cast("long").alias("n_found"), F.coalesce(F.greatest(changed, F.lit(0)), F.lit(0)).cast("long").alias("n_replaced"))

@@ -291,7 +291,7 @@ def test_viterbi_finds_the_best_path():
 def test_pseudonyms(spark):
     t = "card 4539 1488 0343 6467, 4539148803436467 ip 10.1.2.3 on 1999-02-28 or 28/02/1999 tel +1 (743) 555-3824 ssn 123-45-6789 mail ann.b2@x.org bad 4539148803436468 2023-02-30"
     df = spark.createDataFrame([(1, t), (2, t), (3, None), (4, "")], "doc_id long, text string")
-    a, b, c, d = (r.text for r in pii_feistel.pseudonymised(df).orderBy("doc_id").collect())
+    a, b, c, d = (r.text for r in pii_feistel.pseudonymised(df, "key").orderBy("doc_id").collect())
     assert a == b != t and c is None and d == "" and "4539148803436468 2023-02-30" in a
     spaced, plain = re.search(r"card ([\d ]+), (\d+)", a).groups()
     assert spaced.replace(" ", "") == plain and plain[0] == "4"
@@ -309,7 +309,7 @@ def test_no_value_is_left_in_clear(spark):
     cards = [f"{card} 12/27", f"12/27 {card} 124", f"{card} 124", f"1234 5678 {card} 12-27", f"{card} {card}", f"{card} 743-555-3824", f"{card} 1999-02-28", "3056 930902 5904"]
     same = ["4539 1488 0343 6468", "id a7435553824", "0.7435553824", "74355538241"]
     df = spark.createDataFrame([(i, f"see {x} now") for i, x in enumerate(phones + cards + same)], "doc_id long, text string")
-    got = [r.text[4:-4] for r in pii_feistel.pseudonymised(df).orderBy("doc_id").collect()]
+    got = [r.text[4:-4] for r in pii_feistel.pseudonymised(df, "key").orderBy("doc_id").collect()]
     form = lambda x: re.sub("[0-9]", "0", x)
     assert [form(x) for x in got] == [form(x) for x in phones + cards + same] and got[len(phones + cards) :] == same
     numbers = {re.sub("[^0-9]", "", x)[-10:] for x in got[: len(phones)]}
@@ -320,9 +320,30 @@ def test_no_value_is_left_in_clear(spark):
     assert shown[3].startswith("1234 5678 ") and shown[5].replace("-", "").endswith(numbers.pop()) and not shown[6].endswith("1999-02-28") and shown[7][5:] != "930902 5904"
 
 
+def test_numbers_of_other_countries_and_accounts(spark):
+    values = ["+44 20 7946 0958", "+442079460958", "+49 (30) 901820-55", "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "FR14 2004 1010 0505 0001 3M02 606"]
+    same = ["DE88 3704 0044 0532 0130 00", "+44 20", "AB12CD", "C+12345678"]
+    df = spark.createDataFrame([(i, f"see {x}, now") for i, x in enumerate(values + same)], "doc_id long, text string")
+    got = [r.text[4:-5] for r in pii_feistel.pseudonymised(df, "k").orderBy("doc_id").collect()]
+    form = lambda x: re.sub("[0-9]", "0", x)
+    assert [form(x) for x in got] == [form(x) for x in values + same] and got[len(values) : -1] == same[:-1]
+    bare = [x.replace(" ", "") for x in got]
+    assert bare[0] == bare[1] != values[1] and got[2].startswith("+49 (3") and bare[3] == bare[4] and all(a != b for a, b in zip(got, values, strict=False))
+    for x in bare[3:7]:
+        assert int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+
+
+def test_telephones_stay_diallable_and_apart(spark):
+    df = spark.range(20_000).selectExpr("id as doc_id", "concat('(', 200 + id % 800, ') ', lpad(cast(2000000 + id * 397 as string), 7, '0')) as text", "1 as matches", "2 as row", "3 as new")
+    rows = pii_feistel.pseudonymised(df, "k")
+    got = [re.sub("[^0-9]", "", r.text) for r in rows.collect()]
+    assert rows.columns == df.columns and len(set(got)) == df.select("text").distinct().count() and all(x[0] >= "2" and x[3] >= "2" for x in got)
+    assert pii_feistel.pseudonymised(df.limit(0), "k").count() == 0 and rows.select("matches", "row", "new").distinct().collect() == [(1, 2, 3)]
+
+
 def test_feistel_permutes(spark):
     df = spark.range(189 * 773).selectExpr("date_format(date_add(date'1800-01-01', cast(id as int)), 'yyyy-MM-dd') as text")
-    assert pii_feistel.pseudonymised(df).distinct().count() == 189 * 773
+    assert pii_feistel.pseudonymised(df, "key").distinct().count() == 189 * 773
 
 
 def test_curriculum_meets_targets(spark):
