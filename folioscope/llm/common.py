@@ -24,14 +24,27 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Folders that ``stored`` has written in this process, in order.
+WRITTEN: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and is computed once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that ``stored`` has written, once nothing reads them any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        WRITTEN.remove(path)
+
+
 def input_bytes(df: DataFrame) -> int:
     """The planner's estimate of the size of ``df``: the files' bytes for a scan."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
