@@ -2,7 +2,13 @@
 
 Toxic documents go, one of each class of near copies stays, personal data gets pseudonyms, sources are mixed to
 target weights in training order, and the texts' ids are packed. Every stage but the last returns the columns of
-documents. Each is written as Parquet in the shared folder and read again.
+documents. Each is written as Parquet in the shared folder and read again; what a stage has stored on its way is deleted
+then.
+
+A null text holds no words: it is not toxic, is a copy of the empty text, holds no personal data, and is not taken by the
+mix. Rows are told apart by id and text, so unique texts stay whatever their doc_id; null is a doc_id like any other, and
+a source of its own. Ties go to the least doc_id, then to a hash of the text. Columns beyond those of documents stay, with
+any name. An empty table gives no rows at every stage.
 """
 
 from __future__ import annotations
@@ -11,11 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.llm import curriculum, packing, pii_feistel, prob_minhash, toxicity_kn
-from folioscope.llm.common import stored, table
+from folioscope.llm.common import WRITTEN, forget, stored, table
 
 
 def _counted(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+    return docs.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,13 +30,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies, that of the least doc_id."""
+    """One document of each class of near copies, that of the least doc_id, null last."""
     return prob_minhash.keep_one(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with pseudonyms for personal data; n_chars follows the text."""
-    return _counted(pii_feistel.pseudonymised(docs))
+    """The documents with pseudonyms for personal data, under the session's key; n_chars follows the text."""
+    return _counted(pii_feistel.pseudonymised(docs, pii_feistel.session_key(spark)))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,5 +58,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        before = len(WRITTEN)
         docs = stored(stage(spark, docs, sf_dir), name)
+        forget(spark, WRITTEN[before:-1])
     return docs
