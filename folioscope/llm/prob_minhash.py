@@ -13,9 +13,10 @@ pairs, and every candidate is verified with the exact J_P of the two texts.
 Plan: (1) one Arrow pass makes signatures, stored once; (2) texts of equal word sequence collapse to one node, which
 gets a number of its own, before any comparison; (3) buckets with the same members collapse to one; (4) within a bucket
 of different components, candidates are, round by round, the edges of a maximum spanning forest of each block of
-``BLOCK`` members, those of a forest over one member of each component, the closest few of each member outside the
-bucket's largest component, and then every pair that is left; each round is verified by exact J_P and joined into
-components before the next. A pair is verified if it shares a band and its registers do not tell it from the threshold:
+``BLOCK`` members, in buckets of several blocks those of a forest over one member of each component, the closest few of
+each member outside the bucket's largest component, and then every pair that is left; each round is verified by exact J_P
+and joined into components before the next. The last round verifies where the members meet, so that links leave a task
+but never the pairs of a group. A pair is verified if it shares a band and its registers do not tell it from the threshold:
 ``least_agreement`` is set so low that the estimate loses a tenth, at most, of what the bands lose by themselves.
 
 No task grows with a bucket: members of the largest component of a bucket are compared in blocks with the others only,
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textcore as tc
-from .common import columns, packed, stored, table, unpacked
+from .common import columns, packed, partitions_for, stored, table, unpacked
 
 K = 5
 THRESHOLD = 0.8
@@ -42,8 +43,10 @@ ROWS = 5
 #: Registers of a signature; the first BANDS * ROWS are banded, all estimate.
 REGISTERS = 256
 BLOCK = 4000
-#: Links that are united at once within a task.
-LINKS_AT_ONCE = 500_000
+BLOCK_BYTES = 32 << 20
+#: Links that are united at once within a task, and bytes of links for a task.
+LINKS_AT_ONCE = 1_000_000
+LINK_BYTES = 16 << 20
 _GOLD = 0x9E3779B97F4A7C15
 
 
@@ -120,7 +123,7 @@ def _signed(bands: int, rows: int, k: int, registers: int = REGISTERS):
             sizes = np.where(some, bands, 0)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(b[some].ravel().view(np.int64)))
             short = [x.tobytes() for x in (tc.mix(full) >> np.uint64(48)).astype("<u2")]
-            yield pa.RecordBatch.from_arrays([rows_.column(0), pa.array(k1), pa.array(k2), lists, pa.array(short, pa.binary())], ["doc_id", "k1", "k2", "bands", "sig"])
+            yield pa.RecordBatch.from_arrays([rows_.column(0), pa.array(np.diff(offs).astype(np.int32)), pa.array(k1), pa.array(k2), lists, pa.array(short, pa.binary())], ["doc_id", "bytes", "k1", "k2", "bands", "sig"])
 
     return run
 
@@ -206,17 +209,19 @@ def _contracted(batches):
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, component): the least node of each connected component, of links (a, b) that are stored.
 
-    Links are contracted within tasks and then joined by alternating large and small stars: every round is two hash
-    aggregates and a join over the links, the rounds grow with the logarithm of the longest path, and each is stored
-    in the shared folder. Nodes that are their own component may be missing.
+    Links are contracted within tasks, as many as their size asks for. Until every node has one link, to a node that has
+    none, they are joined by alternating large and small stars: every round is two hash aggregates and a join over the
+    links, the rounds grow with the logarithm of the longest path, and each is stored in the shared folder. Nodes that
+    are their own component may be missing.
     """
 
-    def state(edges):
-        return tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
+    def flat(edges):
+        ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("from"), F.lit(0).alias("to")).union(edges.select("v", F.lit(0), F.lit(1)))
+        return ends.groupBy("x").agg(F.sum("from").alias("from"), F.max("to").alias("to")).where("from > 1 or from + to > 1").isEmpty()
 
-    edges = stored(links.select("a", "b").mapInArrow(_contracted, "u long, v long").distinct(), name)
-    before = state(edges)
-    while before[0]:
+    links = links.select("a", "b")
+    edges = stored(links.coalesce(partitions_for(links, LINK_BYTES, 1)).mapInArrow(_contracted, "u long, v long"), name)
+    while not flat(edges):
         both = edges.union(edges.select(F.col("v"), F.col("u")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -224,10 +229,6 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         edges = stored(small.where("u <> v").distinct(), name)
-        now = state(edges)
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
@@ -286,46 +287,90 @@ def _left(sig, component, side, least: float, band: int, rows: int, bands: int):
             yield i, other[same[:, band] & (same[:, :band].sum(1) <= 1)]
 
 
-def _candidates(least: float, most: int | None, first: bool, rows: int, bands: int):
-    """Pairs of nodes from rows (group, band, side, node, component, sig) that are sorted by group."""
-
-    def pairs(band, sides, nodes, component, sig):
-        sig, nodes, component = np.frombuffer(b"".join(sig), "<u2").reshape(len(nodes), -1), np.array(nodes, np.int64), np.array(component, np.int64)
-        sides = np.array(sides)
-        if first:
-            found = ((i, np.array([j])) for i, j in _forest(sig, least))
-        else:
-            found = _closest(sig, component, sides, least, most) if most else _left(sig, component, sides, least, band, rows, bands)
-        held, size = [], 0
-
-        def out():
-            a, b = (np.concatenate(x) for x in zip(*held, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-        for i, others in found:
-            if len(others):
-                held.append((np.repeat(nodes[i], len(others)), nodes[others]))
-                size += len(others)
-            if size > 100_000:
-                yield out()
-                held, size = [], 0
-        if held:
-            yield out()
+def _groups(batches):
+    """Lists of the rows' values by column, for each group of rows that are sorted by group (the first column)."""
+    held: list[list] = []
+    for batch in batches:
+        for row in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            if held and row[0] != held[0][0]:
+                yield list(zip(*held, strict=True))
+                held = []
+            held.append(row)
+    if held:
+        yield list(zip(*held, strict=True))
+
+
+def _group_arrays(columns_):
+    _, band, side, nodes, component, sig = columns_[:6]
+    return band[0], np.array(side), np.array(nodes, np.int64), np.array(component, np.int64), np.frombuffer(b"".join(sig), "<u2").reshape(len(nodes), -1)
+
+
+def _candidates(least: float, most: int | None):
+    """Pairs of nodes from rows (group, band, side, node, component, sig): forest edges, or the closest ``most``."""
+
+    def run(batches):
+        for columns_ in _groups(batches):
+            _, side, nodes, component, sig = _group_arrays(columns_)
+            if len(nodes) < 2 or (most and len(set(columns_[4])) < 2):
+                continue
+            found = _closest(sig, component, side, least, most) if most else ((i, np.array([j])) for i, j in _forest(sig, least))
+            pairs = [(nodes[i], nodes[j]) for i, others in found for j in others]
+            if pairs:
+                pairs = np.array(pairs)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs.min(1)), pa.array(pairs.max(1))], ["a", "b"])
+
+    return run
+
+
+def _concerned(least: float, rows: int, bands: int):
+    """(group, node) of the members of ``_left`` pairs, each once."""
+
+    def run(batches):
+        for columns_ in _groups(batches):
+            band, side, nodes, component, sig = _group_arrays(columns_)
+            wanted = np.zeros(len(nodes), bool)
+            if len(set(columns_[4])) > 1:
+                for i, others in _left(sig, component, side, least, band, rows, bands):
+                    if len(others):
+                        wanted[i] = True
+                        wanted[others] = True
+            if wanted.any():
+                n = int(wanted.sum())
+                yield pa.RecordBatch.from_arrays([pa.array([columns_[0][0]] * n, pa.int64()), pa.array(nodes[wanted])], ["group", "node"])
+
+    return run
+
+
+def _links_within(threshold: float, least: float, rows: int, bands: int, k: int):
+    """Links (a, b) that join components, of all ``_left`` pairs of rows with their text, verified in the group's task."""
 
     def run(batches):
-        group, band, sides, nodes, component, sig = None, 0, [], [], [], []
-        for batch in batches:
-            for g, d, e, n, c, s in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                if g != group:
-                    if len(nodes) > 1 and (first or len(set(component)) > 1):
-                        yield from pairs(band, sides, nodes, component, sig)
-                    group, band, sides, nodes, component, sig = g, d, [], [], [], []
-                sides.append(e)
-                nodes.append(n)
-                component.append(c)
-                sig.append(s)
-        if len(nodes) > 1 and (first or len(set(component)) > 1):
-            yield from pairs(band, sides, nodes, component, sig)
+        for columns_ in _groups(batches):
+            band, side, nodes, component, sig = _group_arrays(columns_)
+            if len(set(columns_[4])) < 2:
+                continue
+            data, offs = tc.text_buffers(pa.array(columns_[6], pa.large_string()))
+            s, r, w, _, _ = weighted_shingles(data, offs, k)
+            cut = np.searchsorted(r, np.arange(len(offs)))
+            up = {c: c for c in columns_[4]}
+
+            def root(x, up=up):
+                while up[x] != x:
+                    up[x] = x = up[up[x]]
+                return x
+
+            links = []
+            for i, others in _left(sig, component, side, least, band, rows, bands):
+                mine = slice(cut[i], cut[i + 1])
+                for j in others:
+                    a, b = root(int(component[i])), root(int(component[j]))
+                    if a != b:
+                        other = slice(cut[j], cut[j + 1])
+                        if similarity(s[mine], w[mine], s[other], w[other]) >= threshold:
+                            up[max(a, b)] = min(a, b)
+                            links.append((int(nodes[i]), int(nodes[j])))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([x for _, x in links], pa.int64())], ["a", "b"])
 
     return run
 
@@ -338,14 +383,16 @@ def in_blocks(placed: DataFrame, block: int) -> DataFrame:
     """Rows (bucket, band, node, component, sig) of buckets of over one component, each bucket in blocks."""
     size = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket", F.ceil(F.col("n") / block).alias("blocks"))
     own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks"))
-    return _dealt(placed.join(size, "bucket").withColumns({"group": F.xxhash64("bucket", own), "side": F.lit(2)}))
+    return placed.join(size, "bucket").withColumns({"group": F.xxhash64("bucket", own), "side": F.lit(2)})
 
 
 def against_largest(placed: DataFrame, block: int) -> DataFrame:
     """The rows of buckets of over one component in groups such that every pair of different components of a bucket is in
     one: blocks of the largest component (side 0) with blocks of the rest (1), and the latter with each other."""
-    size = placed.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("most"), F.sum("count").alias("n"))
-    size = size.where("most.count < n").select("bucket", F.col("most.component").alias("main"), F.ceil(F.col("most.count") / block).alias("mains"), F.ceil((F.col("n") - F.col("most.count")) / block).alias("rests"))
+    size = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    size = size.groupBy("bucket").agg(F.max(F.struct("n", "bytes", "component")).alias("most"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).where("most.n < n")
+    blocks = lambda n, size: F.ceil(F.greatest(n / block, size / BLOCK_BYTES))
+    size = size.select("bucket", F.col("most.component").alias("main"), blocks(F.col("most.n"), F.col("most.bytes")).alias("mains"), blocks(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("rests"))
     h = F.xxhash64("node", F.lit(1))
     rows = placed.join(size, "bucket").withColumns({"is_main": F.col("component") == F.col("main"), "at": F.pmod(h, F.when(F.col("component") == F.col("main"), F.col("mains")).otherwise(F.col("rests")))})
     place = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
@@ -356,26 +403,25 @@ def against_largest(placed: DataFrame, block: int) -> DataFrame:
         F.transform(upto("rests"), lambda j: place("r", F.least(j, F.col("at")), F.greatest(j, F.col("at")), F.when(j == F.col("at"), 2).when(j > F.col("at"), 0).otherwise(1))),
     )
     rows = rows.withColumn("to", F.explode(F.when(F.col("is_main"), mine).otherwise(rest)))
-    return _dealt(rows.withColumns({"group": F.xxhash64("bucket", "to.kind", "to.i", "to.j"), "side": F.col("to.side")}))
+    return rows.select(F.xxhash64("bucket", "to.kind", "to.i", "to.j").alias("group"), "band", F.col("to.side").alias("side"), "node", "component", "sig")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, k: int = K, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(doc_id, k1, k2) of every row, and of every distinct text (k1, k2, class_id, first): the least doc_id of its class,
     and whether it is the text that stands for the class, the least by (doc_id, k1, k2), null last."""
     docs = columns(docs, doc_id="long", text="string")
-    sigs = stored(docs.mapInArrow(_signed(bands, rows, k), "doc_id long, k1 long, k2 long, bands array<long>, sig binary"), "signatures")
-    nodes = sigs.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("bands", "sig")).alias("s"))
-    nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "doc_id", "s.bands", "s.sig"), "nodes")
+    sigs = stored(docs.mapInArrow(_signed(bands, rows, k), "doc_id long, bytes int, k1 long, k2 long, bands array<long>, sig binary"), "signatures")
+    nodes = sigs.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.max("bytes").cast("long").alias("bytes"), F.min(F.struct("bands", "sig")).alias("s"))
+    nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "doc_id", "bytes", "s.bands", "s.sig"), "nodes")
 
     keys = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     sets = keys.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")
     distinct = sets.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
-    member = stored(keys.join(distinct, "bucket", "left_semi").join(nodes.select("node", "sig"), "node").select("bucket", "band", "node", "sig"), "members")
+    member = stored(keys.join(distinct, "bucket", "left_semi").join(nodes.select("node", "bytes", "sig"), "node").select("bucket", "band", "node", "bytes", "sig"), "members")
 
     chosen = nodes.join(member.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("of"), "k1", "k2")
-    texts = keyed(docs)
-    unnamed = texts.where("doc_id is null").groupBy("k1", "k2").agg(F.first("text").alias("text"))
-    named = texts.where("doc_id is not null").join(chosen.withColumnRenamed("of", "doc_id"), ["doc_id", "k1", "k2"]).select("node", "text").dropDuplicates(["node"])
+    unnamed = keyed(docs.where("doc_id is null")).groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    named = keyed(docs.where("doc_id is not null")).join(chosen.withColumnRenamed("of", "doc_id"), ["doc_id", "k1", "k2"]).select("node", "text").dropDuplicates(["node"])
     texts = stored(named.union(unnamed.join(chosen.where("of is null"), ["k1", "k2"]).select("node", "text")), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -385,16 +431,20 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
         return both.mapInArrow(_verifier(threshold, k), "a long, b long")
 
     def one_each(placed: DataFrame) -> DataFrame:
-        some = placed.groupBy("bucket", "component").agg(F.min("node").alias("node"), F.min("band").alias("band"))
+        large = placed.groupBy("bucket").count().where(F.col("count") > block).select("bucket")
+        some = placed.join(large, "bucket", "left_semi").groupBy("bucket", "component").agg(F.min("node").alias("node"), F.min("band").alias("band"))
         return some.join(nodes.select("node", "sig"), "node")
 
     least = least_agreement(threshold, bands, rows, REGISTERS)
     label, links, tested = None, None, None
-    for groups, most, first in ((in_blocks, None, True), (lambda p, n: in_blocks(one_each(p), n), None, True), (against_largest, 2, False), (against_largest, None, False)):
-        placed = member.withColumn("component", F.col("node"))
-        if label is not None:
-            placed = member.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        pairs = groups(placed, block).mapInArrow(_candidates(least, most, first, rows, bands), "a long, b long").distinct()
+
+    def placed() -> DataFrame:
+        if label is None:
+            return member.withColumn("component", F.col("node"))
+        return member.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    for groups, most in ((in_blocks, None), (lambda p, n: in_blocks(one_each(p), n), None), (against_largest, 2)):
+        pairs = _dealt(groups(placed(), block)).mapInArrow(_candidates(least, most), "a long, b long").distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             continue
@@ -402,6 +452,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
         links = more if links is None else links.union(more)
         tested = pairs if tested is None else tested.union(pairs)
         label = components(links)
+    rest = stored(against_largest(placed(), block), "left")
+    concerned = _dealt(rest).mapInArrow(_concerned(least, rows, bands), "group long, node long")
+    rest = rest.join(concerned, ["group", "node"]).join(texts, "node").repartition("group").sortWithinPartitions("group", "node")
+    rest = rest.select("group", "band", "side", "node", "component", "sig", "text")
+    more = stored(rest.mapInArrow(_links_within(threshold, least, rows, bands, k), "a long, b long"), "links")
+    if not more.isEmpty():
+        label = components(more if links is None else links.union(more))
 
     classed = nodes.select("node", "k1", "k2", "doc_id")
     classed = classed.withColumn("component", F.col("node")) if label is None else classed.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
