@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 KEY = ("file", "page_num", "line_num")
 #: What it costs to move a label, from to; any other move costs 1.
-COSTS = {("Clear", "Trash"): 3.0, ("Clear", "Noisy"): 1.0, ("Noisy", "Trash"): 2.0, ("Trash", "Clear"): 2.0, ("Trash", "Noisy"): 1.0, ("Noisy", "Clear"): 0.5}
+COSTS = {
+    ("Clear", "Trash"): 3.0, ("Clear", "Non-text"): 3.0, ("Clear", "Noisy"): 1.0, ("Noisy", "Trash"): 2.0, ("Noisy", "Non-text"): 2.0,
+    ("Noisy", "Clear"): 0.5, ("Trash", "Clear"): 2.0, ("Trash", "Noisy"): 1.0, ("Non-text", "Clear"): 2.0, ("Empty", "Clear"): 2.0,
+}
 ORDINAL = {"Trash": 0, "Noisy": 1, "Clear": 2}
 
 

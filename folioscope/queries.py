@@ -232,7 +232,7 @@ def kl_divergence(spark, sf_dir):
     return compare.kl_divergence(_confusion(spark, sf_dir))
 
 
-@query(_C + "select sum(n * case when gold = pred then 0 when gold = 'Clear' and pred = 'Trash' then 3 when gold = 'Clear' and pred = 'Noisy' then 1 when gold = 'Noisy' and pred = 'Trash' then 2 when gold = 'Trash' and pred = 'Clear' then 2 when gold = 'Trash' and pred = 'Noisy' then 1 when gold = 'Noisy' and pred = 'Clear' then 0.5 else 1 end::double) / sum(n) as mean_cost from t")
+@query(_C + "select sum(n * case when gold = pred then 0 when gold = 'Clear' and pred in ('Trash', 'Non-text') then 3 when gold = 'Clear' and pred = 'Noisy' then 1 when gold = 'Noisy' and pred in ('Trash', 'Non-text') then 2 when gold in ('Non-text', 'Empty') and pred = 'Clear' then 2 when gold = 'Trash' and pred = 'Clear' then 2 when gold = 'Trash' and pred = 'Noisy' then 1 when gold = 'Noisy' and pred = 'Clear' then 0.5 else 1 end::double) / sum(n) as mean_cost from t")
 def costed_flips(spark, sf_dir):
     return compare.costed_flips(_confusion(spark, sf_dir))
 

@@ -8,6 +8,7 @@ of lines, found in ``READERS`` by kind; ``sniff`` tells the kind from the conten
 from __future__ import annotations
 
 import bz2
+import contextlib
 import csv
 import email
 import email.policy
@@ -21,6 +22,7 @@ import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from xml.parsers import expat
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -158,14 +160,24 @@ def from_json(data: bytes) -> Pages:
     return [list(_leaves(p, True)) for p in pages] if isinstance(pages, list) and pages else [list(_leaves(x, True))]
 
 
+class Noted(list):
+    """Pages of which some could not be read: ``notes`` of (page, what was wrong)."""
+
+    def __init__(self):
+        super().__init__()
+        self.notes: list[tuple[int, str]] = []
+
+
 def jsonl(data: bytes) -> Pages:
-    out = []
+    """A page for each record; a record that cannot be read is an empty page with a note."""
+    out = Noted()
     for line in decode(data).splitlines():
         if line.strip():
             try:
                 out.append(list(_leaves(json.loads(line), True)))
-            except ValueError:
-                continue
+            except ValueError as e:
+                out.append([])
+                out.notes.append((len(out), f"record {len(out)}: {e}"[:300]))
     return out
 
 
@@ -182,8 +194,15 @@ def _text(e) -> str:
 
 
 def parse_xml(data: bytes):
-    if b"<!ENTITY" in data[:65536]:
+    """The root of an XML file; one that declares entities, anywhere and in any encoding, is refused."""
+
+    def refuse(*_):
         raise ValueError("entity declarations are refused")
+
+    check = expat.ParserCreate()
+    check.EntityDeclHandler = refuse
+    with contextlib.suppress(expat.ExpatError):  # the tree's own parser reports it
+        check.Parse(data, True)
     return ET.fromstring(data)
 
 
@@ -451,9 +470,14 @@ EXTENSIONS = {"md": "markdown", "markdown": "markdown", "csv": "csv", "tsv": "ts
 
 
 def unpacked(data: bytes) -> bytes:
+    """The content of a compressed file, of at most ``MAX_BYTES``."""
     for mark, module in ((b"\x1f\x8b", gzip), (b"BZh", bz2), (b"\xfd7zXZ\x00", lzma)):
         if data.startswith(mark):
-            return module.decompress(data)
+            with module.open(io.BytesIO(data)) as f:
+                found = f.read(MAX_BYTES + 1)
+            if len(found) > MAX_BYTES:
+                raise ValueError("the file is too large when unpacked")
+            return found
     return data
 
 
@@ -508,7 +532,12 @@ def parse(data: bytes, name: str = "", kind: str | None = None) -> tuple[str, Pa
         kind = kind or sniff(data, name)
         if kind not in READERS:
             raise ValueError(f"no reader for {kind}")
-        return kind, [[clean(x) for x in p] for p in READERS[kind](data)], None
+        pages = READERS[kind](data)
+        found = Noted() if getattr(pages, "notes", None) else []
+        found.extend([clean(x) for x in p] for p in pages)
+        if isinstance(found, Noted):
+            found.notes = pages.notes
+        return kind, found, None
     except Exception as e:  # a bad file costs one row
         return kind or "unknown", [], f"{type(e).__name__}: {e}"[:300]
 
@@ -517,19 +546,30 @@ def _rows(file: str, data: bytes, kind: str | None):
     kind, pages, error = parse(data, file, kind)
     if error:
         yield file, kind, None, None, None, error
+    for p, note in getattr(pages, "notes", ()):
+        yield file, kind, p, None, None, note
     for p, lines in enumerate(pages, 1):
         for i, text in enumerate(lines, 1):
             yield file, kind, p, i, text, None
 
 
 def read_files(spark: SparkSession, path: str, kind: str | None = None, glob: str = "*") -> DataFrame:
-    """The line table of all files under a path (or one kind of them); hidden and lock files are ignored."""
+    """The line table of all files under a path (or one kind of them); hidden and lock files are ignored.
+
+    ``file`` is the path below the given one, so files of one name in different folders stay apart. Of the rows of a file
+    that cannot be read, or of a record of it, ``error`` says why.
+    """
+    root = re.sub(r"^[a-z0-9]+:/*", "/", path.rstrip("/")) + "/"
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     files = files.where(~F.col("path").rlike(r"/(?:\.|~\$|Thumbs\.db|desktop\.ini)[^/]*$")).select("path", "content")
 
+    def below(f: str) -> str:
+        at = f.find(root)
+        return f[at + len(root) :] if at >= 0 else f.rpartition("/")[2]
+
     def run(batches):
         for b in batches:
-            found = [r for f, c in zip(b["path"], b["content"], strict=True) for r in _rows(f.rpartition("/")[2], bytes(c), kind)]
+            found = [r for f, c in zip(b["path"], b["content"], strict=True) for r in _rows(below(f), bytes(c), kind)]
             yield pd.DataFrame(found, columns=["file", "kind", "page_num", "line_num", "text", "error"]).astype({"page_num": "Int32", "line_num": "Int32"})
 
     return files.mapInPandas(run, SCHEMA)

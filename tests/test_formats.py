@@ -25,10 +25,13 @@ def test_tables():
 
 def test_json_and_xml():
     assert f.parse(b'{"pages": [{"lines": [{"text": "a b"}]}, {"text": "c"}]}')[1] == [["a b"], ["c"]]
-    assert f.parse(b'{"text": "a"}\n{"text": "b"}\n{bad\n', "x.jsonl")[1] == [["a"], ["b"]]
+    assert f.parse(b'{"text": "a"}\n{"text": "b"}\n{bad\n', "x.jsonl")[1] == [["a"], ["b"], []]
+    assert [(p, i, t, e is None) for _, _, p, i, t, e in f._rows("x.jsonl", b'{"text": "a"}\n{bad\n{"text": "c"}', None)] == [(2, None, None, False), (1, 1, "a", True), (3, 1, "c", True)]
     alto = b'<?xml version="1.0"?><alto xmlns="http://x"><Layout><Page><PrintSpace><TextBlock ID="b2"><TextLine><String CONTENT="two"/></TextLine></TextBlock><TextBlock ID="b1" IDNEXT="b2"><TextLine><String CONTENT="one"/><String CONTENT="x"/></TextLine></TextBlock></PrintSpace></Page></Layout></alto>'
     assert f.parse(alto)[1] == [["one x", "two"]]
     assert f.parse(b'<?xml version="1.0"?><!DOCTYPE a [<!ENTITY b "c">]><a>&b;</a>')[2].startswith("ValueError")
+    late = '<?xml version="1.0" encoding="utf-16"?><!-- ' + "x" * 70_000 + ' --><!DOCTYPE a [<!ENTITY b "c">]><a>d</a>'
+    assert f.parse(late.encode("utf-16"), "x.xml", "xml")[2].startswith("ValueError")
     tei = b"<TEI><text><body><p>a<lb/>b <choice><sic>x</sic><corr>y</corr></choice></p><pb/><p>c</p></body></text></TEI>"
     assert f.parse(tei)[1] == [["a", "b y"], ["c"]]
 
@@ -51,5 +54,14 @@ def test_files_become_lines(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x\ny")
     (tmp_path / "b.pdf").write_bytes(b"%PDF-1.4")
     (tmp_path / ".hidden").write_text("no")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "a.txt").write_text("z")
     rows = f.read_files(spark, str(tmp_path)).orderBy("file", "line_num").collect()
-    assert [(r.file, r.text, r.error is None) for r in rows] == [("a.txt", "x", True), ("a.txt", "y", True), ("b.pdf", None, False)]
+    assert [(r.file, r.text, r.error is None) for r in rows] == [("a.txt", "x", True), ("a.txt", "y", True), ("b.pdf", None, False), ("sub/a.txt", "z", True)]
+
+
+def test_inflation_is_bounded(monkeypatch):
+    import gzip
+
+    monkeypatch.setattr(f, "MAX_BYTES", 1000)
+    assert "too large when unpacked" in f.parse(gzip.compress(b"a" * 5000), "x.txt.gz")[2] and f.parse(gzip.compress(b"a" * 500), "x.txt.gz")[2] is None

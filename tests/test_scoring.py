@@ -79,3 +79,9 @@ def test_split_words_and_hyphens(spark):
     assert got[1].text == "na zámku" and got[1].split_ws == "zám" and got[2].split_we == "ku" and got[2].text == "stál"
     joined = lines.join_hyphens(rows.where("line_num > 2")).collect()
     assert [(r.text, r.n_joined) for r in joined] == [("dlouhého konec", 3)]
+
+
+def test_pages_after_a_form_feed(spark):
+    docs = spark.createDataFrame([("a", "1\n2\n3\f4\f\f5\n6\n7"), ("b", "x\ry\r\nz"), ("c", None), ("d", "")], "doc_id string, text string")
+    got = [(r.file, r.page_num, r.line_num, r.text) for r in lines.explode_lines(docs, page_lines=2).orderBy("file", "page_num", "line_num").collect()]
+    assert got == [("a", 1, 1, "1"), ("a", 1, 2, "2"), ("a", 2, 1, "3"), ("a", 3, 1, "4"), ("a", 4, 1, ""), ("a", 5, 1, "5"), ("a", 5, 2, "6"), ("a", 6, 1, "7"), ("b", 1, 1, "x"), ("b", 1, 2, "y"), ("b", 2, 1, "z"), ("d", 1, 1, "")]
