@@ -114,8 +114,9 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     links = stored(followers(places), "followers")
     of = links.select(F.col("next.named").alias("named"), F.col("next.doc_id").alias("doc_id"), F.col("next.tie").alias("tie"), F.struct(*ORDER).alias("of"), "n_chars")
     once = prints.dropDuplicates(list(ORDER)).drop("n_chars")
-    heads = docs.join(of, list(ORDER)).select("of", F.expr("substr(text, 1, cast(n_chars div 4 as int))").alias("head"), *ORDER)
-    heads = heads.dropDuplicates(["of"]).join(once, list(ORDER)).select("of.named", "of.doc_id", "of.tie", "head", F.col("fp").alias("fp_next"))
+    heads = docs.join(of, list(ORDER)).join(once, list(ORDER))
+    heads = heads.select("of.named", "of.doc_id", "of.tie", F.expr("substr(text, 1, cast(n_chars div 4 as int))").alias("head"), F.col("fp").alias("fp_next"))
+    heads = heads.dropDuplicates(list(ORDER))
     rows = docs.join(heads, list(ORDER)).join(once, list(ORDER))
     rows = rows.withColumn("n_chars", F.length("text")).withColumn("stay", F.expr("substr(text, 1, n_chars - n_chars div 4)"))
     rows = rows.withColumn("edited", F.concat("stay", "head"))
