@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions import signals as s
-from folioscope.operators import aggregate, compare, lexicon, lines as ln, passes, sampling, scoring
+from folioscope.operators import aggregate, compare, evaluate, lexicon, lines as ln, passes, sampling, scoring
 from folioscope.params import ROTATABLE, VOWELS
 
 _Q: dict = {}
@@ -370,6 +370,125 @@ def natural_sort(spark, sf_dir):
     return d.select("label", F.row_number().over(Window.orderBy(ln.natural_key("label"))).alias("position"))
 
 
+@query("select doc_id, '  ' || source || ' ' as raw, trim(source) as category, (doc_id::double)::bigint::varchar as locator, array_to_string(list_sort(list_distinct([lang, source])), ',') as pages, case when quality_ >= 0.8 then 'accept' when quality_ < 0.3 then 'review' else 'escalate' end as lane, case when quality_ >= 0.99 then 'full' when quality_ > 0 then 'partial' else 'none' end as recovered from (select *, (doc_id % 100) / 100.0::double as quality_ from documents)")
+def label_rules(spark, sf_dir):
+    d = _table(spark, sf_dir, "documents").withColumn("quality_", F.expr("(doc_id % 100) / 100D"))
+    raw = F.concat(F.lit("  "), "source", F.lit(" "))
+    return d.select(
+        "doc_id", raw.alias("raw"), evaluate.normalised_category(raw).alias("category"), evaluate.locator(F.concat(F.lit(" "), "doc_id", F.lit(".0"))).alias("locator"),
+        F.array_join(delimiter=",", col=evaluate.page_list(F.concat("lang", F.lit(", "), "source", F.lit(",, "), "lang"))).alias("pages"), evaluate.lane(F.col("quality_"), 0.8, 0.3).alias("lane"), evaluate.recoverability_band(F.col("quality_").cast("string")).alias("recovered"),
+    )
+
+
+@query(_B + f"select {_KEYS}, file || ':' || page_num || ':' || line_num as line_id, categ in ('Empty', 'Non-text') and word_count = 0 as fast_track, case when quality_score < 0.55 then 'Trash' when quality_score < 0.8 then 'Noisy' else 'Clear' end as band, case when word_count >= 5 then '5+' else greatest(word_count, 1)::varchar end as bucket from b")
+def line_rules(spark, sf_dir):
+    b = _banded(spark, sf_dir)
+    return b.select("file", "page_num", "line_num", evaluate.line_id().alias("line_id"), evaluate.fast_track(F.col("categ"), F.col("word_count")).alias("fast_track"), evaluate.band_category(F.col("quality_score")).alias("band"), evaluate.word_bucket(F.col("word_count")).alias("bucket"))
+
+
+@query(_B + """, n as (select file, text, categ, count(*) as n from b group by all), m as (select *, max(n) over p as most, sum(n) over p as total, count(*) over p as kinds from n window p as (partition by file, text)),
+t as (select file, text, any_value(total)::bigint as lines, any_value(most) as most, any_value(kinds) as kinds, count(*) filter (n = most) as tied, min(categ) filter (n = most) as winner from m group by file, text)
+select file, text, lines, case when kinds = 1 then 'unanimous' when tied > 1 then 'tie' when 2 * most > lines then 'strict majority' else 'bare plurality' end as shape, winner from t""")
+def vote_shapes(spark, sf_dir):
+    return evaluate.votes(_banded(spark, sf_dir))
+
+
+@query(_B + r""", f as (select regexp_replace(lower(text), '[^\p{L}\p{N}_]', '', 'g') as family, categ from b), g as (select family, categ, count(*) as n from f where family <> '' group by all)
+select family, arg_max(categ, (n, -ascii(categ), -ascii(substr(categ, 2)))) as dominant, count(*) > 1 as contested from g group by family""")
+def family_verdicts(spark, sf_dir):
+    return lexicon.families(_banded(spark, sf_dir)).select("family", evaluate.dominant(F.col("mix")).alias("dominant"), evaluate.contested(F.col("mix")).alias("contested"))
+
+
+@query(_P + ", g as (select p.*, b.gold from p join b using (file, page_num, line_num) where b.gold is not null and base is not null and arm is not null), r as (select *, map {'Trash': 0, 'Noisy': 1, 'Clear': 2} as k from g), "
+       "d as (select gold, base, arm, abs(k[base] - k[gold]) as was, abs(k[arm] - k[gold]) as now from r) "
+       "select base, arm, case when arm = gold and base <> gold then 'fixed' when base = gold and arm <> gold then 'broken' else 'neither' end as verdict, case when now < was then 'closer' when now > was then 'farther' when now = was then 'same' else 'n/a' end as nearer, count(*) as n from d group by all")
+def change_verdicts(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir).where("base is not null and arm is not null").join(_banded(spark, sf_dir).where("gold is not null").select("file", "page_num", "line_num", "gold"), ["file", "page_num", "line_num"])
+    gold, base, arm = F.col("gold"), F.col("base"), F.col("arm")
+    return pairs.groupBy("base", "arm", compare.verdict(gold, base, arm).alias("verdict"), evaluate.nearer(gold, base, arm).alias("nearer")).agg(F.count("*").alias("n"))
+
+
+@query(_B + ", o as (select file, page_num, line_num, k as option, case when k = categ then quality_score else (1 - quality_score) / 4.0::double end as p, k = gold as y from b, (select unnest(['Clear', 'Noisy', 'Trash', 'Non-text', 'Empty']) as k) where gold is not null), e as (select sum((p - y::int) * (p - y::int)) as e from o group by file, page_num, line_num) select avg(e) as brier, count(*) as items from e")
+def brier_score(spark, sf_dir):
+    names = F.array(*map(F.lit, ("Clear", "Noisy", "Trash", "Non-text", "Empty")))
+    o = _banded(spark, sf_dir).where("gold is not null").withColumn("option", F.explode(names))
+    o = o.withColumns({"p": F.expr("if(option = categ, quality_score, (1 - quality_score) / 4)"), "y": F.expr("option = gold")})
+    return evaluate.brier(o, ["file", "page_num", "line_num"], "p", "y")
+
+
+@query(_B + ", x as (select least(9, greatest(0, ceil(quality_score * 10)::int - 1)) as bin, quality_score as c, (gold = categ)::int as h from b where gold is not null), y as (select bin, count(*) as n, avg(c) as c, avg(h) as h from x group by bin) select sum(abs(h - c) * n) / sum(n)::double as ece, sum(n)::bigint as n from y")
+def calibration_error(spark, sf_dir):
+    return evaluate.calibration_error(_banded(spark, sf_dir).where("gold is not null").withColumn("y", F.expr("gold = categ")), "quality_score", "y")
+
+
+@query(_B + ", x as (select quality_score as s, count(*) as n, sum((gold <> categ)::int) as e from b where gold is not null group by 1), c as (select s as confidence, sum(n) over w / sum(n) over ()::double as coverage, sum(e) over w / (sum(n) over w)::double as error from x window w as (order by s desc rows unbounded preceding)) select confidence, coverage, error from c where error <= 0.6 order by confidence limit 1")
+def threshold_pick(spark, sf_dir):
+    rows = _banded(spark, sf_dir).where("gold is not null").withColumn("y", F.expr("cast(gold = categ as int)"))
+    return evaluate.pick_threshold(compare.coverage_curve(rows, "quality_score", "y"), 0.6)
+
+
+@query(_P + ", g as (select coalesce(base = gold, false) as x, coalesce(arm = gold, false) as y from p join b using (file, page_num, line_num) where gold is not null and file::bigint % 10 = 0 and page_num = 1 and line_num < 4), c as (select count(*) filter (x and not y) as only_one, count(*) filter (y and not x) as only_two from g), n as (select *, only_one + only_two as n, least(only_one, only_two) as k from c) "
+       "select only_one, only_two, round(case when n = 0 then 1 else least(1, 2 * list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) - n * ln(2))))) end, 6) as p_value from n")
+def mcnemar_first_lines(spark, sf_dir):
+    gold = _banded(spark, sf_dir).where("gold is not null and cast(file as long) % 10 = 0 and page_num = 1 and line_num < 4").select("file", "page_num", "line_num", "gold")
+    return evaluate.mcnemar(_pairs(spark, sf_dir).join(gold, ["file", "page_num", "line_num"]), "gold", "base", "arm")
+
+
+@query(_B + "select count(*) as n, avg(abs(quality_score - lang_score)) as mae, sqrt(avg((quality_score - lang_score) * (quality_score - lang_score))) as rmse, corr(quality_score, lang_score) as pearson from b")
+def score_regression(spark, sf_dir):
+    return evaluate.regression_metrics(_banded(spark, sf_dir), "quality_score", "lang_score")
+
+
+@query(_B + ", s as (select source as stratum, count(*) as population, count(*) filter (gold is not null) as n, count(*) filter (gold = categ) as k from b group by source), p as (select *, k / n::double as p from s) select stratum, population, n, k, round(p * population, 3) as estimate, round((p - 1.96 * sqrt(p * (1 - p) / n)) * population, 3) as low, round((p + 1.96 * sqrt(p * (1 - p) / n)) * population, 3) as high from p")
+def stratum_estimates(spark, sf_dir):
+    s_ = _banded(spark, sf_dir).groupBy(F.col("source").alias("stratum")).agg(F.count("*").alias("population"), F.count_if(F.col("gold").isNotNull()).alias("n"), F.count_if(F.col("gold") == F.col("categ")).alias("k"))
+    return s_.withColumn("e", evaluate.scaled_estimate(F.col("k"), F.col("n"), F.col("population"))).select("stratum", "population", "n", "k", "e.*")
+
+
+def _arm(spark, sf_dir):
+    return _banded(spark, sf_dir).withColumns({"categ": F.expr("case when quality_score < 0.5 then 'Trash' when quality_score < 0.7 then 'Noisy' else categ end"), "quality_score": F.expr("round(quality_score * (1 + (cast(file as long) % 3) / 50D), 4)")})
+
+
+_PAGES = _B + """, v as (select *, 'ref' as side from b union all select * replace (case when quality_score < 0.5 then 'Trash' when quality_score < 0.7 then 'Noisy' else categ end as categ, round(quality_score * (1 + (file::bigint % 3) / 50.0::double), 4) as quality_score), 'arm' from b),
+q as (select side, file, page_num, count(*) filter (categ = 'Clear') as c, count(*) filter (categ = 'Noisy') as n, count(*) filter (categ = 'Trash') as t, avg(quality_score) filter (categ in ('Clear', 'Noisy')) as s from v group by all),
+w as (select *, case when c + n + t = 0 then null when c >= n and c >= t then 'Clear' when n >= t then 'Noisy' else 'Trash' end as band from q),
+x as (select r.file, r.page_num, r.band as band_ref, a.band as band_arm, r.s as score_ref, a.s as score_arm, a.c - r.c as d_clear, a.n - r.n as d_noisy, a.t - r.t as d_trash,
+ case when r.s is null and a.s is null then null when r.s is null or a.s is null then 100 when abs(a.s - r.s) > 1e-12 then least(100, floor(abs(a.s - r.s) * 100 + 1e-9))::int end as moved
+ from w r join w a on a.file = r.file and a.page_num = r.page_num where r.side = 'ref' and a.side = 'arm' and (r.c, r.n, r.t, r.s, r.band) is distinct from (a.c, a.n, a.t, a.s, a.band))
+"""
+
+
+@query(_PAGES + "select file, page_num, band_ref, band_arm, d_clear, d_noisy, d_trash, moved from x")
+def page_changes(spark, sf_dir):
+    return evaluate.page_changes(evaluate.page_profile(_banded(spark, sf_dir)), evaluate.page_profile(_arm(spark, sf_dir))).drop("score_ref", "score_arm")
+
+
+@query(_PAGES + "select count(*) as pages_changed, count(*) filter (band_ref is distinct from band_arm) as band_flips, count(*) filter (moved >= 1) as moved_ge_1, count(*) filter (moved >= 5) as moved_ge_5 from x")
+def page_change_summary(spark, sf_dir):
+    return evaluate.page_change_summary(evaluate.page_changes(evaluate.page_profile(_banded(spark, sf_dir)), evaluate.page_profile(_arm(spark, sf_dir))))
+
+
+@query(_B + ", h as (select floor(quality_score * 100 + 1e-9)::int as bin, count(*) as n from b group by 1), c as (select bin, sum(n) over (order by bin) as c, sum(n) over () as total from h), p as (select unnest([0.05, 0.25, 0.5, 0.75, 0.95])::double as point) select point, round((min(bin) + 0.5) / 100.0::double, 3) as value from c, p where c >= point * total group by point")
+def score_quantiles(spark, sf_dir):
+    return evaluate.binned_quantiles(_banded(spark, sf_dir), "quality_score")
+
+
+@query("select count(*) as labels, count(distinct l.doc_id) as keys, count(distinct d.doc_id) as matched, count(*) filter (d.doc_id is null) as unmatched from labels l left join (select distinct doc_id from documents where doc_id % 7 <> 0) d on d.doc_id = l.doc_id")
+def label_preflight(spark, sf_dir):
+    return evaluate.preflight(_table(spark, sf_dir, "documents").where("doc_id % 7 <> 0"), _table(spark, sf_dir, "labels"), ["doc_id"])
+
+
+@query(_B + "select source, count(*) as n, count(*) filter (gold = categ) as agree, count(*) filter (gold = categ) / count(*)::double as share from b where gold is not null group by source")
+def stratum_agreement(spark, sf_dir):
+    return evaluate.stratum_agreement(_banded(spark, sf_dir), "source", "gold", "categ")
+
+
+@query(_B + ", k as (select case when word_count >= 5 then '5+' else greatest(word_count, 1)::varchar end as bucket, categ from b) select bucket, count(*) as n, count(*) filter (categ = 'Clear') as clear, count(*) filter (categ = 'Noisy') as noisy, count(*) filter (categ = 'Trash') as trash from k group by bucket")
+def bucket_counts(spark, sf_dir):
+    b = _banded(spark, sf_dir).withColumn("bucket", evaluate.word_bucket(F.col("word_count")))
+    return b.groupBy("bucket").agg(F.count("*").alias("n"), *(F.count_if(F.col("categ") == c).alias(c.lower()) for c in ("Clear", "Noisy", "Trash")))
+
+
 def _scored(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.expr("case lang when 'en' then 'eng_Latn' when 'de' then 'deu_Latn' when 'fr' then 'fra_Latn' else 'spa_Latn' end").alias("lang"), F.lit(0.9).alias("lang_score"), F.expr("50D + n_chars % 300").alias("perplex"))
     return ln.explode_lines(docs)
