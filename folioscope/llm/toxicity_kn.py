@@ -95,12 +95,14 @@ class Model:
     """Both class models over a vocabulary of word hashes, from pair counts and the shared probability of words."""
 
     def __init__(self, u: np.ndarray, w: np.ndarray, counts: list[np.ndarray], shared: dict[str, np.ndarray], total: int):
-        self.vocabulary = np.unique(np.concatenate([u, w]))
+        self.vocabulary = np.union1d(np.unique(u), np.unique(w))
         size = len(self.vocabulary)
-        first, second = np.searchsorted(self.vocabulary, u), np.searchsorted(self.vocabulary, w)
-        key = first * size + second
+        key = np.searchsorted(self.vocabulary, u) * size
+        key += np.searchsorted(self.vocabulary, w)
         order = np.argsort(key)
-        self.pairs, first, second = key[order], first[order], second[order]
+        self.pairs = key[order]
+        del key
+        first, second = (self.pairs // size).astype(np.int32), (self.pairs % size).astype(np.int32)
         counts = [n[order] for n in counts]
         spread = np.zeros(size)
         spread[np.searchsorted(self.vocabulary, shared["w"])] = shared["n"] / total
