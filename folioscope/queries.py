@@ -427,10 +427,10 @@ def threshold_pick(spark, sf_dir):
     return evaluate.pick_threshold(compare.coverage_curve(rows, "quality_score", "y"), 0.6)
 
 
-@query(_P + ", g as (select coalesce(base = gold, false) as x, coalesce(arm = gold, false) as y from p join b using (file, page_num, line_num) where gold is not null and file::bigint % 10 = 0 and page_num = 1 and line_num < 4), c as (select count(*) filter (x and not y) as only_one, count(*) filter (y and not x) as only_two from g), n as (select *, only_one + only_two as n, least(only_one, only_two) as k from c) "
+@query(_P + ", g as (select coalesce(base = gold, false) as x, coalesce(arm = gold, false) as y from p join b using (file, page_num, line_num) where gold is not null), c as (select count(*) filter (x and not y) as only_one, count(*) filter (y and not x) as only_two from g), n as (select *, only_one + only_two as n, least(only_one, only_two) as k from c) "
        "select only_one, only_two, round(case when n = 0 then 1 else least(1, 2 * list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) - n * ln(2))))) end, 6) as p_value from n")
-def mcnemar_first_lines(spark, sf_dir):
-    gold = _banded(spark, sf_dir).where("gold is not null and cast(file as long) % 10 = 0 and page_num = 1 and line_num < 4").select("file", "page_num", "line_num", "gold")
+def mcnemar_arms(spark, sf_dir):
+    gold = _banded(spark, sf_dir).where("gold is not null").select("file", "page_num", "line_num", "gold")
     return evaluate.mcnemar(_pairs(spark, sf_dir).join(gold, ["file", "page_num", "line_num"]), "gold", "base", "arm")
 
 
@@ -473,9 +473,9 @@ def score_quantiles(spark, sf_dir):
     return evaluate.binned_quantiles(_banded(spark, sf_dir), "quality_score")
 
 
-@query("select count(*) as labels, count(distinct l.doc_id) as keys, count(distinct d.doc_id) as matched, count(*) filter (d.doc_id is null) as unmatched from labels l left join (select distinct doc_id from documents where doc_id % 7 <> 0) d on d.doc_id = l.doc_id")
+@query("select count(*) as labels, count(distinct l.doc_id) as keys, count(distinct d.doc_id) as matched, count(*) filter (d.doc_id is null) as unmatched from labels l left join (select distinct doc_id from documents) d on d.doc_id = l.doc_id")
 def label_preflight(spark, sf_dir):
-    return evaluate.preflight(_table(spark, sf_dir, "documents").where("doc_id % 7 <> 0"), _table(spark, sf_dir, "labels"), ["doc_id"])
+    return evaluate.preflight(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), ["doc_id"])
 
 
 @query(_B + "select source, count(*) as n, count(*) filter (gold = categ) as agree, count(*) filter (gold = categ) / count(*)::double as share from b where gold is not null group by source")
