@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioscope.operators.ordered import running
+
 KEY = ("file", "page_num", "line_num")
 #: What it costs to move a label, from to; any other move costs 1.
 COSTS = {
@@ -91,28 +93,21 @@ def verdict(label, frm, to):
     return F.when((label == to) & (label != frm), "fixed").when((label == frm) & (label != to), "broken").otherwise("neither")
 
 
-def average_rank(column: str):
-    """Rank with ties averaged, over the whole column."""
-    w = Window.orderBy(column)
-    return (F.rank().over(w) + (F.count("*").over(Window.partitionBy(column)) - 1) / 2.0).alias(f"rank_{column}")
+def average_rank(df: DataFrame, column: str, name: str) -> DataFrame:
+    """(column, name): rank with ties averaged, for each distinct value that is not null."""
+    n = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
+    return running(n, [F.col(column)], _to=F.col("_n")).select(column, (F.col("_to") - (F.col("_n") - 1) / 2.0).alias(name))
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Ranks come from value counts, so no task orders the rows: only distinct values are ordered."""
-
-    def ranked(c):
-        n = df.groupBy(c).agg(F.count("*").alias("_n"))
-        before = F.coalesce(F.sum("_n").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        return n.select(c, (before + (F.col("_n") + 1) / 2.0).alias(f"_r{c}"))
-
-    return df.join(ranked(x), x).join(ranked(y), y).agg(F.corr(f"_r{x}", f"_r{y}").alias("spearman"))
+    """Rank correlation; ranks come from value counts, so only distinct values are ordered."""
+    return df.join(average_rank(df, x, "_rx"), x).join(average_rank(df, y, "_ry"), y).agg(F.corr("_rx", "_ry").alias("spearman"))
 
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Area under the curve of a 0/1 label by rank sums over distinct scores."""
     n = df.groupBy(score).agg(F.sum(label).alias("p"), F.count("*").alias("n"))
-    before = F.coalesce(F.sum(F.col("n") - F.col("p")).over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    n = n.withColumn("w", F.col("p") * (before + (F.col("n") - F.col("p")) / 2.0))
+    n = running(n, [F.col(score)], upto=F.col("n") - F.col("p")).withColumn("w", F.col("p") * (F.col("upto") - (F.col("n") - F.col("p")) / 2.0))
     return n.agg((F.sum("w") / F.nullif(F.sum("p") * F.sum(F.col("n") - F.col("p")), F.lit(0))).alias("auc"))
 
 
@@ -127,9 +122,9 @@ def expected_calibration_error(bins: DataFrame) -> DataFrame:
 
 def coverage_curve(df: DataFrame, confidence: str, correct: str) -> DataFrame:
     """For every distinct confidence, from the highest: share of rows at least as sure, and their error rate."""
-    n = df.groupBy(confidence).agg(F.count("*").alias("n"), F.sum(1 - F.col(correct)).alias("e"))
-    w = Window.orderBy(F.desc(confidence)).rowsBetween(Window.unboundedPreceding, 0)
-    return n.select(F.col(confidence).alias("confidence"), (F.sum("n").over(w) / F.sum("n").over(Window.partitionBy())).alias("coverage"), (F.sum("e").over(w) / F.sum("n").over(w)).alias("error"))
+    n = df.groupBy(F.col(confidence).alias("confidence")).agg(F.count("*").alias("n"), F.sum(1 - F.col(correct)).alias("e"))
+    sums = running(n, [-F.col("confidence")], rows=F.col("n"), wrong=F.col("e"))
+    return sums.select("confidence", (F.col("rows") / F.col("rows_all")).alias("coverage"), (F.col("wrong") / F.col("rows")).alias("error"))
 
 
 def wilson(k, n, z: float = 1.959963984540054):
@@ -140,10 +135,10 @@ def wilson(k, n, z: float = 1.959963984540054):
 
 
 def ranked_groups(df: DataFrame, key: str) -> DataFrame:
-    """Groups from the largest, with the cumulative share of rows."""
+    """Groups from the largest, ties by key, with the cumulative share of rows."""
     n = df.groupBy(key).agg(F.count("*").alias("n"))
-    order = Window.orderBy(F.desc("n"), key)
-    return n.select(key, "n", F.row_number().over(order).alias("rank"), (F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("n").over(Window.partitionBy())).alias("cum_share"))
+    sums = running(n, [-F.col("n"), F.col(key)], rank=F.lit(1), rows=F.col("n"))
+    return sums.select(key, "n", F.col("rank").cast("int").alias("rank"), (F.col("rows") / F.col("rows_all")).alias("cum_share"))
 
 
 def context(lines: DataFrame, before: int = 2, after: int = 2) -> DataFrame:

@@ -60,6 +60,8 @@ def status(lexicon: DataFrame, candidates: DataFrame, min_df: int = 3, ratio: fl
 def families(lines: DataFrame, categ: str = "categ") -> DataFrame:
     """Spelling families: lines whose letters and digits agree without case, their variants and category mix A:n|B:m."""
     key = F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}_]", "")
-    n = lines.withColumn("family", key).where("family <> ''").groupBy("family", categ).agg(F.count("*").alias("n"), F.collect_set("text").alias("v"))
+    n = lines.withColumn("family", key).where("family <> ''").groupBy("family", "text", categ).agg(F.count("*").alias("n"))
+    first = F.row_number().over(Window.partitionBy("family", "text").orderBy(categ)) == 1  # counts a text once; at most one row a category
+    n = n.withColumn("v", first.cast("long")).groupBy("family", categ).agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
     mix = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(categ).alias("c"), F.col("n").alias("n")))), lambda x: F.concat_ws(":", x.c, x.n.cast("string"))), "|")
-    return n.groupBy("family").agg(F.sum("n").alias("lines"), F.size(F.array_distinct(F.flatten(F.collect_list("v")))).alias("variants"), mix.alias("mix"))
+    return n.groupBy("family").agg(F.sum("n").alias("lines"), F.sum("v").cast("int").alias("variants"), mix.alias("mix"))
