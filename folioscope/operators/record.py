@@ -55,3 +55,68 @@ def merged(parts: DataFrame, keys: list[str], order: str, first: list[str] = ())
     fields = [c for c in parts.columns if c not in (*keys, order)]
     pick = lambda c: (F.min_by if c in first else F.max_by)(c, F.when(F.col(c).isNotNull(), F.col(order)))
     return parts.groupBy(*keys).agg(*(pick(c).alias(c) for c in fields))
+
+
+#: How an input's origin begins, and what a record calls it; what a record says of a line's source; engines.
+ORIGINS = {"digital": "digital", "docx": "digital", "pdf": "digital", "abbyy": "legacy", "alto": "legacy", "ocr:": "atr", "vlm:": "atr", "atr": "atr", "legacy": "legacy"}
+TEXT_SOURCES = {"digital": "text-layer", "atr": "atr", "legacy": "legacy"}
+ENGINES = {
+    r"(abbyy|fine\s*reader)": "ABBYY-ALTO", r"tesseract\b": "ocr:tesseract", r"pero\b": "ocr:pero", r"kraken\b": "ocr:kraken", r"transkribus\b": "ocr:transkribus",
+    r"escriptorium\b": "ocr:escriptorium", r"ocr-?d\b": "ocr:ocrd", r"calamari\b": "ocr:calamari",
+}
+#: How far two measures of a page's side may differ, in points and as a share.
+SIDE_POINTS, SIDE_SHARE = 2.0, 0.01
+
+
+def record_origin(origin):
+    """digital, atr or legacy, by how an origin begins whatever its case; null where nothing fits."""
+    folded = F.lower(F.trim(origin))
+    return F.coalesce(*(F.when(folded.startswith(k), F.lit(v)) for k, v in ORIGINS.items()))
+
+
+def producer_origin(names):
+    """The origin of the first engine known among the names (array) that a file gives of its software, else null."""
+    seen = lambda k: F.exists(names, lambda n: F.coalesce(F.lower(n).rlike(rf"\b{k}"), F.lit(False)))
+    return F.coalesce(*(F.when(seen(k), F.lit(v)) for k, v in ENGINES.items()))
+
+
+def line_source(origin):
+    return F.coalesce(*(F.when(origin == k, F.lit(v)) for k, v in TEXT_SOURCES.items()))
+
+
+def page_rows(documents: DataFrame, lines: DataFrame) -> DataFrame:
+    """A row for each of a document's (file, page_count) pages: text where the page has a line, else empty. Line numbers of
+    pages beyond the count give no row; see ``foreign_pages``."""
+    pages = documents.where("page_count > 0").select("file", F.explode(F.sequence(F.lit(1), F.col("page_count").cast("int"))).alias("page_num"))
+    n = lines.groupBy("file", "page_num").agg(F.count("*").alias("n_lines"))
+    rows = pages.join(n, ["file", "page_num"], "left")
+    return rows.select("file", "page_num", F.when(F.col("n_lines") > 0, "text").otherwise("empty").alias("content_status"), F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
+
+
+def foreign_pages(rows: DataFrame, documents: DataFrame) -> DataFrame:
+    """Rows (file, page_num) of pages that their document does not have; null page numbers are not checked."""
+    return rows.join(documents.select("file", "page_count"), "file").where("page_num is not null and not page_num between 1 and page_count").drop("page_count")
+
+
+def page_texts(lines: DataFrame) -> DataFrame:
+    """The text of each page, its lines in order, joined by line feeds; null lines are empty ones."""
+    parts = F.array_sort(F.collect_list(F.struct("line_num", F.coalesce("text", F.lit("")).alias("t"))))
+    return lines.groupBy("file", "page_num").agg(F.array_join(F.transform(parts, lambda x: x.t), "\n").alias("content"))
+
+
+def key_problems(references: DataFrame, lines: DataFrame) -> DataFrame:
+    """References (file, page_num, line_num, and more) to lines that their record does not have. Those without a line, and
+    those of records without any line, are not checked."""
+    keys = lines.select("file", "page_num", "line_num").distinct()
+    named = references.where("line_num is not null").join(keys.select("file").distinct(), "file", "left_semi")
+    return named.alias("r").join(keys.alias("k"), [F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}")) for c in ("file", "page_num", "line_num")], "left_anti")
+
+
+def geometry_problems(pages: DataFrame, layer: DataFrame) -> DataFrame:
+    """Pages (file, page_num, width, height, unit) that two sources measure differently, and in what: unit, width or height.
+    A page that one of them lacks, or does not measure, is not checked."""
+    a, b = pages.alias("a"), layer.alias("b")
+    both = a.join(b, [F.col("a.file") == F.col("b.file"), F.col("a.page_num") == F.col("b.page_num")]).where("a.width > 0 and a.height > 0 and b.width > 0 and b.height > 0")
+    far = lambda side: F.abs(F.col(f"a.{side}") - F.col(f"b.{side}")) > F.greatest(F.lit(SIDE_POINTS), F.greatest(f"a.{side}", f"b.{side}") * SIDE_SHARE)
+    what = F.when(~F.col("a.unit").eqNullSafe(F.col("b.unit")), "unit").when(far("width"), "width").when(far("height"), "height")
+    return both.select(F.col("a.file").alias("file"), F.col("a.page_num").alias("page_num"), what.alias("differs")).where("differs is not null")

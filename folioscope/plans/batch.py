@@ -27,7 +27,9 @@ def run(spark: SparkSession, source: str, target: str, p: Params = DEFAULT, kind
 
 def arms(lines: DataFrame, base: Params, *others: Params) -> list[DataFrame]:
     """The same lines under several sets of constants, paired with the first: for transitions and labels."""
+    from folioscope.operators.change import reach
     from folioscope.operators.compare import paired
 
-    first = scoring.process(lines, base)
-    return [paired(first, scoring.process(lines, o), "text") for o in others]
+    table = reach(lines, {str(i): p for i, p in enumerate((base, *others))})
+    one = lambda i: table.where(f"arm = '{i}'")
+    return [paired(one(0), one(i + 1), "text") for i in range(len(others))]

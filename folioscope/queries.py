@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions import signals as s
-from folioscope.operators import aggregate, compare, evaluate, lexicon, lines as ln, passes, sampling, scoring
-from folioscope.params import ROTATABLE, VOWELS
+from folioscope.operators import aggregate, change, compare, evaluate, lexicon, lines as ln, passes, record, sampling, scoring
+from folioscope.params import DIMENSIONS, HEADINGS, LABELS, MEASURED, NEUTRAL, PIECES, ROTATABLE, SHORT_EXCEPTION, SHORT_VALID, TAXON_ENDINGS, UNITS, VOWELS
 
 _Q: dict = {}
 _SQL: dict[str, str] = {}
@@ -489,6 +489,128 @@ def bucket_counts(spark, sf_dir):
     return b.groupBy("bucket").agg(F.count("*").alias("n"), *(F.count_if(F.col("categ") == c).alias(c.lower()) for c in ("Clear", "Noisy", "Trash")))
 
 
+_BEFORE, _AFTER = r"(?:^|[^\p{L}\p{N}_])", r"(?:$|[^\p{L}\p{N}_])"
+_ONE = lambda x: f"(?:{'|'.join(x)})"
+_SEG = r"(?:[IVXLCDM]{1,6}|[A-ZÁČĎÉĚÍŇÓŘŠŤŮÚÝŽ]{1,4}|[A-Za-z]|\d{1,3}[a-z]?)"
+_CZ = "[A-ZÁČĎÉĚÍŇÓŘŠŤŮÚÝŽa-záčďéěíňóřšťúůýž]"
+_C = _L + f"""
+, c as (select file, page_num, line_num, array_to_string(regexp_extract_all(text, '[^{_WS}]+'), ' ') as t from l), d as (select *, lower(t) as low, {_n(r'\p{Nd}', 't')} as digits, string_split_regex(lower(t), '[^\\p{{L}}\\p{{N}}_]+') as words from c)
+"""
+
+
+@query(_C + f"""select {_KEYS},
+ regexp_matches(low, '{_BEFORE}\\p{{Nd}}+(?:[.,]\\p{{Nd}}+)?(?:\\s*{_ONE(UNITS)}|m){_AFTER}')
+ or (digits > 0 and (len(list_intersect(words, {list(MEASURED)})) > 0 or regexp_matches(low, '{_BEFORE}rozm\\.')
+     or len(list_filter(words, lambda w: w in ('dna', 'hrdla', 'okraje'))) + len(regexp_extract_all(low, '{_BEFORE}(?:pr|hl)\\.')) >= 2))
+ or (digits > 1 and regexp_matches(low, '{_BEFORE}{_ONE(DIMENSIONS)}\\.?\\s*[:=-]\\s*\\p{{Nd}}')) as measurement,
+ (regexp_matches(t, '{_BEFORE}\\p{{Nd}}{{1,2}}\\s*[./-]\\s*\\p{{Nd}}{{1,2}}(?:\\s*[./-]\\s*\\p{{Nd}}{{2,4}})?{_AFTER}') and regexp_matches(t, '{_BEFORE}(?:18|19|20)\\p{{Nd}}{{2}}{_AFTER}'))
+ or (digits > 0 and (len(list_intersect(words, ['datum', 'date', 'podpis', 'sign', 'spis', 'číslo', 'cislo', 'ref'])) > 0 or regexp_matches(low, '{_BEFORE}č\\.?\\s*j{_AFTER}'))) as dated,
+ regexp_matches(t, '^\\p{{Nd}}{{1,2}}[.,]\\s+\\S.*\\s(?:\\p{{Nd}}{{1,3}}|\\S{{1,2}}\\s*[-–]\\s*\\p{{Nd}}{{1,3}})$') as contents,
+ lower(rtrim(t, ' :;.-–—')) in {HEADINGS} as heading,
+ (regexp_matches(t, '^{_SEG}(?:[/-]{_SEG}){{1,4}}$') and regexp_matches(t, '[A-ZÁČĎÉĚÍŇÓŘŠŤŮÚÝŽ0-9]')) or regexp_matches(t, '^\\d{{1,4}}\\s*(?i:{_ONE(PIECES)})\\.?$')
+ or (regexp_matches(t, '^{_CZ}{{3,20}}\\s*:\\s*{_SEG}(?:[/-]{_SEG}){{0,4}}$') and list_contains(list_transform({list(LABELS)}, lambda x: strip_accents(x)), strip_accents(lower(trim(string_split(t, ':')[1])))))
+ or regexp_matches(t, '^(?:[A-ZÁČĎÉĚÍŇÓŘŠŤŮÚÝŽ]{_CZ}{{0,7}}\\.){{2,6}}$|^{_CZ}{{2,20}}\\s+(?:{_CZ}{{1,8}}\\.){{2,4}}$') or regexp_matches(t, '(?i)https?://\\S+|www\\.[\\w-]+\\.\\w{{2,4}}\\S*|\\be-?mail\\b\\s*:|[\\w.+-]+@[\\w-]+\\.[\\w.-]+') as notation
+from d""")
+def line_kinds(spark, sf_dir):
+    rows = _lines(spark, sf_dir).select("file", "page_num", "line_num", F.expr(f"array_join({s.words('text')}, ' ')").alias("t"))
+    kinds = {"measurement": s.measurement, "dated": s.dated, "contents": s.contents_entry, "heading": s.heading, "notation": s.notation}
+    return rows.select("file", "page_num", "line_num", *(F.expr(f("t")).alias(k) for k, f in kinds.items()))
+
+
+@query(rf"""with p as (select distinct trim(x, '.,;:!?()[]"''/\') as c from (select unnest(string_split_regex(text, '(?:[{_WS}]|[,/;:()\[\]{{}}<>"„“”«»=_?!*#.–-])+')) as x from documents)), q as (select c, regexp_replace(c, '\P{{L}}', '', 'g') as a from p),
+j as (select * from q where length(a) >= 4 and lower(c) not in {tuple(dict.fromkeys(NEUTRAL + SHORT_EXCEPTION + SHORT_VALID))} and not regexp_matches(a, '^[IVXLCDM]{{1,7}}$') and not (length(a) >= 5 and regexp_matches(a, '(?i)(?:{'|'.join(TAXON_ENDINGS)})$'))),
+f as (select c, regexp_matches(c, '[{VOWELS}]{{3,}}') as v, length(a) <= 8 and len(list_filter(range(1, length(c) - 1), lambda i: lower(c[i]) = lower(c[i + 1]) and lower(c[i]) = lower(c[i + 2]) and regexp_matches(c[i], '\p{{L}}'))) > 0 as t,
+ regexp_matches(c, '(?i)^[bcdfghjklmnpqrstvwxz]') and lower(c[1]) = lower(c[2]) as g, length(a) >= 7 and len(list_distinct(string_split(lower(a), ''))) <= length(a) * 0.5 as w from j)
+select c as token, array_to_string(list_filter([case when v then 'vowel_run' end, case when t then 'triple' end, case when g then 'initial_geminate' end, case when w then 'low_variety' end], lambda x: x is not null), '|') as clauses from f where v or t or g or w""")
+def token_shapes(spark, sf_dir):
+    x = _table(spark, sf_dir, "documents").select(F.explode(F.expr(s.shape_pieces("text"))).alias("x")).distinct().where(s.shape_judged("x"))
+    rows = x.select(F.col("x.c").alias("token"), F.expr(s.shape_faults("x", "''")).alias("f")).where("size(f) > 0")
+    return rows.select("token", F.array_join("f", "|").alias("clauses"))
+
+
+@query()
+def shape_witness(spark, sf_dir):
+    docs = _lines(spark, sf_dir)
+    lexicon_ = lexicon.document_frequency(lexicon.tokens(docs.select("file", "text")))
+    return scoring.shape_witness(docs, lexicon_, min_df=3).withColumn("clauses", F.array_join("clauses", "|"))
+
+
+_LAB = _B + """, v as (select *, case when quality_score < 0.5 then 'Trash' when quality_score < 0.7 then 'Noisy' else categ end as arm from b)
+"""
+
+
+def _labelled(spark, sf_dir):
+    return _banded(spark, sf_dir).withColumns({"ref": F.col("categ"), "arm": F.expr("case when quality_score < 0.5 then 'Trash' when quality_score < 0.7 then 'Noisy' else categ end")})
+
+
+@query(_LAB + """select source, count(*) as labelled, count(*) filter (arm = gold and categ <> gold) as fixed, count(*) filter (categ = gold and arm <> gold) as broken,
+ coalesce(sum((categ = gold)::int - (arm = gold)::int) filter (gold = 'Clear'), 0)::bigint as clear_loss from v where gold is not null group by source""")
+def line_results(spark, sf_dir):
+    return change.line_results(_labelled(spark, sf_dir), "source")
+
+
+_ERR = _LAB + """, u as (select *, 'ref' as side, categ as pred from v union all select *, 'arm', arm from v),
+p as (select side, file, page_num, count(gold) as n, count(*) filter (gold = 'Clear') as gc, count(*) filter (gold = 'Noisy') as gn, count(*) filter (gold = 'Trash') as gt, count(*) filter (gold is not null and pred = 'Clear') as pc, count(*) filter (gold is not null and pred = 'Noisy') as pn, count(*) filter (gold is not null and pred = 'Trash') as pt from u group by all having count(gold) >= 3),
+z as (select *, case when gc + gn + gt = 0 then null when gc >= gn and gc >= gt then 'Clear' when gn >= gt then 'Noisy' else 'Trash' end as gb, case when pc + pn + pt = 0 then null when pc >= pn and pc >= pt then 'Clear' when pn >= pt then 'Noisy' else 'Trash' end as pb from p),
+e as (select side, count(*) as pages, count(gb) as band_pages, count(*) filter (gb = pb) as band_agree, sum(abs(pc - gc) / n::double) as clear_abs, sum(abs(pt - gt) / n::double) as trash_abs, sum((pc - gc) / n::double) as clear_signed from z group by side)
+"""
+
+
+def _page_errors(spark, sf_dir):
+    rows = _labelled(spark, sf_dir)
+    both = rows.withColumns({"side": F.lit("ref"), "pred": F.col("ref")}).unionByName(rows.withColumns({"side": F.lit("arm"), "pred": F.col("arm")}))
+    return change.page_errors(both, "side", pred="pred")
+
+
+@query(_ERR + "select side, pages, band_pages, band_agree, round(clear_abs, 6) as clear_abs, round(trash_abs, 6) as trash_abs, round(clear_signed, 6) as clear_signed from e")
+def page_errors(spark, sf_dir):
+    return _page_errors(spark, sf_dir).select("side", "pages", "band_pages", "band_agree", *(F.round(c, 6).alias(c) for c in ("clear_abs", "trash_abs", "clear_signed")))
+
+
+@query()
+def page_check(spark, sf_dir):
+    rows = _labelled(spark, sf_dir)
+    profile = lambda c: evaluate.page_profile(rows.withColumn("categ", F.col(c)))
+    total = rows.select("file", "page_num").distinct().agg(F.count("*").alias("pages"))
+    moved = evaluate.page_change_summary(evaluate.page_changes(profile("ref"), profile("arm"))).select("band_flips", F.col("moved_ge_5").alias("moved"))
+    moves = total.join(moved, F.lit(True)).select(F.lit("arm").alias("arm"), "pages", "band_flips", "moved")  # one row each
+    found = change.page_check(change.line_results(rows, "source").withColumn("arm", F.lit("arm")), _page_errors(spark, sf_dir).withColumnRenamed("side", "arm"), moves, "ref")
+    return found.withColumn("reasons", F.array_join("reasons", "; "))
+
+
+@query(_PAGES.replace("\n", " ", 1) + ", g as (select unnest(['clear_ratio', 'noisy_ratio', 'trash_ratio', 'non-text_ratio', 'empty_ratio']) as \"column\"), k as (select file, page_num, count(*) as n, count(*) filter (categ = 'Empty') as e from b group by all) select \"column\", 0 as outside, 0 as wrong, (select count(*) from k where n = e and \"column\" <> 'empty_ratio') as missing from g")
+def ratio_violations(spark, sf_dir):
+    return change.ratio_violations(aggregate.page_stats(_banded(spark, sf_dir)))
+
+
+@query(_B + ", o as (select 'x' || file as file, line_num % 3 = 0 as odd, page_num, line_num + case when line_num % 3 = 0 then 1000 else 0 end as line_num from b where line_num % 2 = 0) select substr(file, 2) as file, page_num, line_num from o where odd")
+def key_problems(spark, sf_dir):
+    rows = _banded(spark, sf_dir)
+    return record.key_problems(rows.where("line_num % 2 = 0").select("file", "page_num", F.expr("line_num + if(line_num % 3 = 0, 1000, 0)").alias("line_num")), rows)
+
+
+@query(_B + ", n as (select file, max(page_num) + 1 as c from b group by file), p as (select file, unnest(range(1, c + 1))::int as page_num from n), k as (select file, page_num, count(*) as n from b group by all) select p.file, p.page_num, case when k.n > 0 then 'text' else 'empty' end as content_status, coalesce(k.n, 0) as n_lines from p left join k on k.file = p.file and k.page_num = p.page_num")
+def page_rows(spark, sf_dir):
+    rows = _banded(spark, sf_dir)
+    return record.page_rows(rows.groupBy("file").agg((F.max("page_num") + 1).alias("page_count")), rows)
+
+
+@query(_L + "select file, page_num, string_agg(text, chr(10) order by line_num) as content from l group by all")
+def page_texts(spark, sf_dir):
+    return record.page_texts(_lines(spark, sf_dir))
+
+
+@query(_B + """, x as (select file, page_num, line_num, least(1.0::double, char_count / 200.0::double) as valid, least(1.5::double, word_count / 20.0::double) as weird, (char_count % 10) / 10.0::double as vowel, (word_count % 8) / 10.0::double as density, perplex, lang_score, char_count from b)
+select file, page_num, line_num, round(least(1, greatest(0, (0.35 * valid + 0.18 * (1 - least(weird, 1)) + 0.08 * (1 - least(perplex / 1000, 1)) + 0.02 * least(char_count / 100.0::double, 1)
+ + (0.18::double * (1 - least(density / 0.35::double, 1)) * case when char_count <= 12 and weird = 0 and density < 0.35 then 0.5::double else 1 end + case when char_count <= 12 and weird = 0 and density < 0.35 then 0.09::double else 0 end)
+ + 0.07::double * case when vowel < 0.2::double then vowel / 0.2::double when vowel > 0.7::double then greatest(0, 1 - (vowel - 0.7::double) / 0.3::double) else 1 end + 0.05::double * lang_score + 0.04::double * (1 - 0.25::double) + 0.03::double * (1 - 0.5::double)) / 1.0::double
+ - case when char_count <= 12 and (weird > 0 or density >= 0.35::double) then 0.2::double else 0 end)), 6) as score from x""")
+def composite_quality(spark, sf_dir):
+    x = _banded(spark, sf_dir).selectExpr("file", "page_num", "line_num", "least(1D, char_count / 200D) as valid", "least(1.5D, word_count / 20D) as weird", "(char_count % 10) / 10D as vowel", "(word_count % 8) / 10D as density", "perplex", "lang_score", "char_count")
+    score = s.quality_score("valid", "perplex", "char_count", "weird", "vowel", "density", "lang_score", "0.25D", "0.5D")
+    return x.select("file", "page_num", "line_num", F.round(F.expr(score), 6).alias("score"))
+
+
 def _scored(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.expr("case lang when 'en' then 'eng_Latn' when 'de' then 'deu_Latn' when 'fr' then 'fra_Latn' else 'spa_Latn' end").alias("lang"), F.lit(0.9).alias("lang_score"), F.expr("50D + n_chars % 300").alias("perplex"))
     return ln.explode_lines(docs)
@@ -499,6 +621,12 @@ def category_cascade(spark, sf_dir):
     return scoring.process(_scored(spark, sf_dir)).select("file", "page_num", "line_num", "categ", "reason", "rule", "quality_score")
 
 
+@query()
+def arm_reach(spark, sf_dir):
+    arms = change.reach(_scored(spark, sf_dir), {"base": scoring.DEFAULT, "strict": scoring.DEFAULT.but(trash_max=0.65), "floor": scoring.DEFAULT.but(witness_floor=True)})
+    return arms.groupBy("arm", "categ").agg(F.count("*").alias("n"))
+
+
 @query()
 def deciding_rules(spark, sf_dir):
     return scoring.process(_scored(spark, sf_dir)).groupBy("rule", "categ").agg(F.count("*").alias("n"))
