@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import curriculum
+from . import centroids, curriculum
+from .centroids import op13_centroids
 from .curriculum import op4_curriculum
 from .license_scan import op8_license_scan
 from .multiset_hash import op7_multiset_hash
@@ -13,8 +14,9 @@ from .prob_minhash import op10_prob_minhash
 from .quality_crf import op1_quality_crf
 from .suffix_dedup import op2_suffix_dedup
 from .toxicity_kn import op5_toxicity_kn
+from .url_filter import op11_url_filter
 
-_QUERIES = (op1_quality_crf, op2_suffix_dedup, op3_pii_feistel, op4_curriculum, op5_toxicity_kn, op6_preference, op7_multiset_hash, op8_license_scan, op9_packing, op10_prob_minhash)
+_QUERIES = (op1_quality_crf, op2_suffix_dedup, op3_pii_feistel, op4_curriculum, op5_toxicity_kn, op6_preference, op7_multiset_hash, op8_license_scan, op9_packing, op10_prob_minhash, op11_url_filter, op13_centroids)
 
 
 def queries() -> dict:
@@ -22,4 +24,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op4_curriculum": curriculum.ORACLE}
+    return {"op4_curriculum": curriculum.ORACLE, "op13_centroids": centroids.ORACLE}
