@@ -8,8 +8,8 @@ empty denominator are 0. A null line gives null.
 from __future__ import annotations
 
 from folioscope.params import (
-    CZ_DIACS, DEFAULT, DEU_DIACS, DIMENSIONS, DOCUMENT_WORDS, GRID_PART, HEADINGS, INTERNAL, JOINERS, LABELS, LDL_FOLLOW, LDL_UNITS, MEASURED, MEASURED_DOT, METADATA_MARKERS, NEUTRAL, PARTS, PARTS_DOT, PIECES, PLATE_ITEMS, PLATES, REFERENCE_MARKS,
-    ROTATABLE, SHAPE_CLAUSES, SHORT_EXCEPTION, SHORT_VALID, SIGLUM, SINGLES, STRIP, TAXON_ENDINGS, TITLES, UNITS, UPRIGHT_WORDS, VOWELS, Params, ghost_words,
+    ABBREVIATION_CHAIN, CONTENTS_ENTRY, CZ_DIACS, DEFAULT, DEU_DIACS, DIMENSIONS, DOCUMENT_WORDS, DOUBLED_START, FUSED_GRID, GRID_PART, HEADINGS, IDENTIFIER, INTERNAL, JOINERS, LABELS, LDL_FOLLOW, LDL_UNITS, MEASURED, MEASURED_DOT, METADATA_MARKERS,
+    NEUTRAL, NUMBER_REFERENCE, PARTS, PARTS_DOT, PIECE_COUNT, PLATE_REFERENCE, PLOT_HEADER, ROTATABLE, SHAPE_CLAUSES, SHORT_EXCEPTION, SHORT_VALID, SIGLUM, SINGLES, STRIP, TAXON_ENDINGS, TITLES, UNITS, UPRIGHT_WORDS, VOWELS, WORD_AND_CHAIN, Params, ghost_words,
 )
 
 SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -242,7 +242,8 @@ def line_weirdness(w: str, inverted: str, fragmented: str, p: Params = DEFAULT)
 def neutral_token(core: str, raw: str, following: str) -> str:
     """Initials, units, references and abbreviations count neither as words nor against them."""
     alpha = n_of(core, r"\p{L}")
-    abbrev = rlike(f"trim(TRAILING ',;:-–—/)' FROM {raw})", r"\.$") + " and " + rlike(core, rf"^[{LATIN}]{{1,4}}(\.[{LATIN}]{{1,4}})*$")
+    # one to five letters count, so five parts are the most; an unbounded repeat of a group would recurse for every part
+    abbrev = rlike(f"trim(TRAILING ',;:-–—/)' FROM {raw})", r"\.$") + " and " + rlike(core, rf"^[{LATIN}]{{1,4}}(?:\.[{LATIN}]{{1,4}}){{0,4}}$")
     single = f"{alpha} = 1 and (({following} <> '' and ({rlike(following, r'\p{Nd}')} or {rlike(following, '^[IVXLCDM]{1,7}$')})) or {raw} like '%:')"
     return (
         f"(not {rlike(core, r'[\p{L}\p{N}]')} or {n_of(core, r'\p{Nd}')} / length({core}) >= 0.5 or {rlike(core, rf'^([{CZ_UPPER}]\.?){{1,3}}$')} or array_contains({array_of(NEUTRAL)}, lower({core})) "
@@ -272,7 +273,8 @@ def damaged_tokens(w: str) -> str:
 #: Abbreviations that mark a catalogue or inventory reference, and units of measure.
 REFERENCE = r"(?iu)\b(?:inv|kont|n[áa]l|obr|tab|neg)\b|\b(?:max|min)\.|č\.\s?(?:j|inv|pl)|inv\.\s?č|s\.\s?j\b"
 MEASURE = r"(?iu)\d\s?[.,]?\s?(?:mm|cm|km|kg|ml|ha)\b"
-URL = r"(?i)https?://\S+|www\.[\w-]+\.\w{2,4}\S*|\be-?mail\b\s*:|[\w.+-]+@[\w-]+\.[\w.-]+"
+#: An address on the net stands somewhere; only that is asked, so that no part is read more than once.
+URL = r"(?i)https?://\S|www\.[\w-]++\.\w{2}|\be-?mail\b\s*:|[\w.+-]@[\w-]++\.[\w.-]"
 GRID = rf"^{GRID_PART}(?:[/\-]{GRID_PART}){{1,4}}$"
 #: Where a word begins and ends.
 BEGIN, END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
@@ -299,12 +301,7 @@ def measurement(t: str) -> str:
 
 def catalogue(t: str) -> str:
     """Sigla, plot headers, composed identifiers, plates with their items, numbers after an inventory's mark."""
-    plot = r"(?iu)^plocha\s*:\s*\p{Nd}+\s*;\s*sonda\s*:\s*[a-z]?[ivxlcdm]+\.$"
-    letters = "A-ZČŠŽĚŘÁÉÍÓÚŮÝ"
-    code = rf"(?iu)^[{letters}]{{1,5}}\p{{Nd}}{{1,6}}(?:[/-][{letters}0-9]{{1,12}}){{1,8}}\.?$"
-    plate = rf"(?iu){BEGIN}{one_of(PLATES)}\.?\s*[IVXLCDM0-9]+.{{0,20}}{BEGIN}{one_of(PLATE_ITEMS)}\.?\s*\p{{Nd}}"
-    number = rf"(?iu)(?:{one_of(REFERENCE_MARKS)}|{BEGIN}čp\.?)\s*[A-Z0-9/-]*\p{{Nd}}"
-    return "(" + " or ".join(rlike(t, x) for x in (SIGLUM, plot, code, plate, number)) + ")"
+    return "(" + " or ".join([rlike(t, SIGLUM), *(rlike(t, f"(?iU){x}") for x in (PLOT_HEADER, IDENTIFIER, PLATE_REFERENCE, NUMBER_REFERENCE))]) + ")"
 
 
 def dated(t: str) -> str:
@@ -316,7 +313,7 @@ def dated(t: str) -> str:
 
 def contents_entry(t: str) -> str:
     """A numbered heading that a page, or a short range of pages, ends."""
-    return rlike(t, r"^\p{Nd}{1,2}[.,]\s+\S.*\s(?:\p{Nd}{1,3}|\S{1,2}\s*[-–]\s*\p{Nd}{1,3})$")
+    return rlike(t, f"(?U){CONTENTS_ENTRY}")
 
 
 def heading(t: str) -> str:
@@ -346,14 +343,14 @@ def notation(t: str) -> str:
     labelled = rlike(t, rf"^{letter}{{3,20}}\s*:\s*{GRID_PART}(?:[/-]{GRID_PART}){{0,4}}$")
     label = folded(f"trim(substring_index({t}, ':', 1))")
     known = f"array_contains(transform({array_of(LABELS)}, x -> {folded('x')}), {label})"
-    count = rlike(t, rf"(?iu)^\p{{Nd}}{{1,4}}\s*{one_of(PIECES)}\.?$")
-    chain = rlike(t, rf"^(?:[{CZ_UPPER}]{letter}{{0,7}}\.){{2,6}}$|^{letter}{{2,20}}\s+(?:{letter}{{1,8}}\.){{2,4}}$")
+    count = rlike(t, f"(?iU){PIECE_COUNT}")
+    chain = f"({rlike(t, ABBREVIATION_CHAIN)} or {rlike(t, f'(?U){WORD_AND_CHAIN}')})"
     return f"(({rlike(t, GRID)} and {rlike(t, f'[{CZ_UPPER}0-9]')}) or ({labelled} and {known}) or {count} or {chain} or {rlike(t, URL)})"
 
 
 def shape_pieces(t: str) -> str:
     """Words, cut at marks that join them, as structs of the word (c) and its letters (a); blank ones are left out."""
-    cut = f"split({t}, {lit('(?:' + SPACE + '|' + klass(JOINERS) + ')+')})"
+    cut = f"split({t}, {lit(SPACE[:-1] + klass(JOINERS)[1:] + '+')})"
     return f"filter(transform({cut}, x -> named_struct('c', {stripped('x')}, 'a', regexp_replace({stripped('x')}, '\\\\P{{L}}', ''))), x -> x.a <> '')"
 
 
@@ -369,13 +366,13 @@ def shape_faults(x: str, lang: str, p: Params = DEFAULT) -> str:
     run = lambda n: rlike(f"{x}.c", f"[{VOWELS}]{{{n},}}")
     exempt = f"coalesce(array_contains({array_of(p.witness_exempt_langs)}, substring_index({lang}, '_', 1)), false)"
     few = f"length({x}.a) >= {p.witness_variety_letters} and size(array_distinct(filter(split(lower({x}.a), ''), y -> y <> ''))) / length({x}.a) <= {p.witness_variety}"
-    tests = (f"if({exempt}, {run(p.witness_vowels_exempt)}, {run(p.witness_vowels)})", f"length({x}.a) <= {p.witness_triple_letters} and {rlike(f'{x}.c', r'(?iu)(\p{L})\1\1')}", rlike(f"{x}.c", r"(?i)^([bcdfghjklmnpqrstvwxz])\1"), few)
+    tests = (f"if({exempt}, {run(p.witness_vowels_exempt)}, {run(p.witness_vowels)})", f"length({x}.a) <= {p.witness_triple_letters} and {rlike(f'{x}.c', r'(?iu)(\p{L})\1\1')}", rlike(f"{x}.c", f"(?i){DOUBLED_START}"), few)
     return f"array_compact(array({', '.join(f'if({t}, {lit(n)}, null)' for n, t in zip(SHAPE_CLAUSES, tests, strict=False))}))"
 
 
 def shape_veto(t: str) -> str:
     """A reference to a grid with a letter after its numeral."""
-    return rlike(f"trim({t})", "^[A-Za-z]{1,3}[-/][IVXLCDM]{1,7}[a-z]?$")
+    return rlike(f"trim({t})", FUSED_GRID)
 
 
 def shape_clauses(t: str, lang: str, p: Params = DEFAULT) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import signals as s
 from folioscope.operators import aggregate, change, compare, evaluate, lexicon, lines as ln, passes, record, sampling, scoring
-from folioscope.params import DIMENSIONS, HEADINGS, LABELS, MEASURED, NEUTRAL, PIECES, ROTATABLE, SHORT_EXCEPTION, SHORT_VALID, TAXON_ENDINGS, UNITS, VOWELS
+from folioscope.params import ABBREVIATION_CHAIN, CONTENTS_ENTRY, DIMENSIONS, HEADINGS, LABELS, MEASURED, NEUTRAL, PIECE_COUNT, ROTATABLE, SHORT_EXCEPTION, SHORT_VALID, TAXON_ENDINGS, UNITS, VOWELS, WORD_AND_CHAIN
 
 _Q: dict = {}
 _SQL: dict[str, str] = {}
@@ -505,11 +505,11 @@ _C = _L + f"""
  or (digits > 1 and regexp_matches(low, '{_BEFORE}{_ONE(DIMENSIONS)}\\.?\\s*[:=-]\\s*\\p{{Nd}}')) as measurement,
  (regexp_matches(t, '{_BEFORE}\\p{{Nd}}{{1,2}}\\s*[./-]\\s*\\p{{Nd}}{{1,2}}(?:\\s*[./-]\\s*\\p{{Nd}}{{2,4}})?{_AFTER}') and regexp_matches(t, '{_BEFORE}(?:18|19|20)\\p{{Nd}}{{2}}{_AFTER}'))
  or (digits > 0 and (len(list_intersect(words, ['datum', 'date', 'podpis', 'sign', 'spis', 'číslo', 'cislo', 'ref'])) > 0 or regexp_matches(low, '{_BEFORE}č\\.?\\s*j{_AFTER}'))) as dated,
- regexp_matches(t, '^\\p{{Nd}}{{1,2}}[.,]\\s+\\S.*\\s(?:\\p{{Nd}}{{1,3}}|\\S{{1,2}}\\s*[-–]\\s*\\p{{Nd}}{{1,3}})$') as contents,
+ regexp_matches(t, '{CONTENTS_ENTRY}') as contents,
  lower(rtrim(t, ' :;.-–—')) in {HEADINGS} as heading,
- (regexp_matches(t, '^{_SEG}(?:[/-]{_SEG}){{1,4}}$') and regexp_matches(t, '[A-ZÁČĎÉĚÍŇÓŘŠŤŮÚÝŽ0-9]')) or regexp_matches(t, '^\\d{{1,4}}\\s*(?i:{_ONE(PIECES)})\\.?$')
+ (regexp_matches(t, '^{_SEG}(?:[/-]{_SEG}){{1,4}}$') and regexp_matches(t, '[A-ZÁČĎÉĚÍŇÓŘŠŤŮÚÝŽ0-9]')) or regexp_matches(t, '(?i){PIECE_COUNT}')
  or (regexp_matches(t, '^{_CZ}{{3,20}}\\s*:\\s*{_SEG}(?:[/-]{_SEG}){{0,4}}$') and list_contains(list_transform({list(LABELS)}, lambda x: strip_accents(x)), strip_accents(lower(trim(string_split(t, ':')[1])))))
- or regexp_matches(t, '^(?:[A-ZÁČĎÉĚÍŇÓŘŠŤŮÚÝŽ]{_CZ}{{0,7}}\\.){{2,6}}$|^{_CZ}{{2,20}}\\s+(?:{_CZ}{{1,8}}\\.){{2,4}}$') or regexp_matches(t, '(?i)https?://\\S+|www\\.[\\w-]+\\.\\w{{2,4}}\\S*|\\be-?mail\\b\\s*:|[\\w.+-]+@[\\w-]+\\.[\\w.-]+') as notation
+ or regexp_matches(t, '{ABBREVIATION_CHAIN}|{WORD_AND_CHAIN}') or regexp_matches(t, '(?i)https?://\\S+|www\\.[\\w-]+\\.\\w{{2,4}}\\S*|\\be-?mail\\b\\s*:|[\\w.+-]+@[\\w-]+\\.[\\w.-]+') as notation
 from d""")
 def line_kinds(spark, sf_dir):
     rows = _lines(spark, sf_dir).select("file", "page_num", "line_num", F.expr(f"array_join({s.words('text')}, ' ')").alias("t"))
@@ -639,9 +639,15 @@ def html_text(spark, sf_dir):
     return read_column(_table(spark, sf_dir, "pages"), "page_id", "html", "html")
 
 
+def _all() -> None:
+    from folioscope import queries_changes  # noqa: F401  it registers its own here
+
+
 def queries() -> dict:
+    _all()
     return dict(_Q)
 
 
 def oracle_sql() -> dict:
+    _all()
     return dict(_SQL)
