@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.operators import rule_effects as effects_
-from folioscope.queries import _B, _banded, _scored, query
-from folioscope.operators import scoring
+from folioscope.operators import page_merge as page_merge_, rule_effects as effects_, scoring
+from folioscope.queries import _B, _L, _banded, _lines, _scored, query
 
 #: An ordered list of rules over the banded lines, whose conditions read alike in both dialects.
 _RULES = [
@@ -84,3 +83,44 @@ def cascade_effects(spark, sf_dir):
     rows = rows.withColumn("gold", F.expr("case when raw_score < 0.5 then 'Trash' when raw_score < 0.8 then 'Noisy' else 'Clear' end"))
     entries = effects_.cascade()
     return effects_.effects(effects_.masks(rows, entries, "gold"), entries)
+
+
+#: Two layouts of the documents: blocks of eight lines with boxes; a text layer in blocks of five lines, some of them shifted,
+#: some without boxes, one block of a page and the pages that need recognition without any.
+_Y = "line_num * 10"
+
+
+def _layouts(spark, sf_dir):
+    rows = _lines(spark, sf_dir).select("file", "page_num", "line_num", "text", F.expr("cast(file as long)").alias("f"))
+    box = lambda a, b, c, d: F.array(*(F.expr(x).cast("double") for x in (a, b, c, d)))
+    own = rows.select("file", "page_num", "line_num", F.expr("concat('b', floor((line_num - 1) / 8))").alias("block"), "text", box("0", _Y, "100", f"{_Y} + 9").alias("bbox"))
+    blocks = own.groupBy("file", "page_num", "block").agg(F.floor((F.min("line_num") - 1) / 8).cast("int").alias("ord"), F.array(F.lit(0.0), F.min(F.col("bbox")[1]), F.lit(100.0), F.max(F.col("bbox")[3])).alias("bbox"))
+    shift = "((f + line_num) % 7 - 3) * 3"
+    layer = rows.where("not line_num between 25 and 32 and line_num % 9 <> 0 and (f + page_num) % 4 <> 0")
+    boxed = "(f + line_num) % 5 <> 0 and floor((line_num - 1) / 5) % 3 <> 1"
+    layer = layer.select("file", "page_num", "line_num", F.expr("concat('p', floor((line_num - 1) / 5))").alias("block"), "text", F.when(F.expr(boxed), box("5", f"{_Y} + {shift}", "95", f"{_Y} + 8 + {shift}")).alias("bbox"))
+    pages = rows.select("file", "page_num", F.expr("(f + page_num) % 4 = 0").alias("needs_atr")).distinct()
+    return pages, layer, blocks, own
+
+
+_LAYOUTS = _L + """, r as (select *, file::bigint as f from l),
+own as (select file, page_num, line_num, 'b' || ((line_num - 1) // 8) as block, text from r),
+blocks as (select file, page_num, block, min((line_num - 1) // 8) as ord, min(line_num * 10)::double as y0, max(line_num * 10 + 9)::double as y1 from own group by all),
+layer as (select file, page_num, line_num, 'p' || ((line_num - 1) // 5) as block, text, (f + line_num) % 5 <> 0 and ((line_num - 1) // 5) % 3 <> 1 as boxed,
+  (line_num * 10 + ((f + line_num) % 7 - 3) * 3)::double as t from r where not line_num between 25 and 32 and line_num % 9 <> 0 and (f + page_num) % 4 <> 0),
+pair as (select y.file, y.page_num, y.line_num, b.block, ord, greatest(0, least(t + 8, y1) - greatest(t, y0)) / 8 as cover, (y1 - y0) * 100 as area, greatest(0, y0 - t - 8, t - y1) as far from layer y join blocks b using (file, page_num) where boxed),
+link as (select file, page_num, line_num, arg_min(block, (case when cover > 0 then 0 else 1 end, case when cover > 0 then -round(cover, 6) else far end, area, ord)) as dest from pair group by all),
+x as (select y.*, dest from layer y left join link using (file, page_num, line_num)),
+vote as (select file, page_num, block, arg_min(dest, (-n, ord)) as most from (select x.file, x.page_num, x.block, dest, count(*) as n, min(ord) as ord from x join blocks b on b.file = x.file and b.page_num = x.page_num and b.block = dest group by all) group by all),
+k as (select x.*, coalesce(dest, most) as known from x left join vote using (file, page_num, block)),
+w as (select *, coalesce(last_value(known ignore nulls) over (partition by file, page_num order by line_num), first_value(known ignore nulls) over (partition by file, page_num order by line_num rows between current row and unbounded following), 'b0') as into_ from k),
+kept as (select distinct file, page_num from layer),
+out as (select w.file, w.page_num, ord, w.into_ as block, line_num as n, text, 'text-layer' as text_source from w join blocks b on b.file = w.file and b.page_num = w.page_num and b.block = into_
+  union all select own.file, own.page_num, case when kept.file is not null then ord end, own.block, line_num, text, 'atr' from own left join kept using (file, page_num) join blocks b using (file, page_num, block)
+    where kept.file is null or not exists (select 1 from w where w.file = own.file and w.page_num = own.page_num and w.into_ = own.block))
+"""
+
+
+@query(_LAYOUTS + "select file, page_num, row_number() over (partition by file, page_num order by ord, n)::int as line_num, block, text, text_source from out")
+def page_merge(spark, sf_dir):
+    return page_merge_.merged(*_layouts(spark, sf_dir)).drop("bbox")
