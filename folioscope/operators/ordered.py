@@ -4,15 +4,26 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder of ``spark.checkpoint.dir`` and read back; one machine without one makes its own."""
-    sc = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``. Only where no cluster is (a local master, as in tests) is one made; elsewhere a folder of this
+    machine would be lost on others, so its lack is an error."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folioscope-"))
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if path is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="folioscope-"))
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back. Spark removes the files with the frame where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 

@@ -1,7 +1,7 @@
 """The batch job: files to scored lines, page statistics and records, each written once.
 
-Lines are written before they are aggregated, so the expensive scoring runs once and a lost executor repeats only its
-own tasks; later steps read columns they need from the written table.
+Lines are staged before they are aggregated, so the expensive scoring runs once and a lost executor repeats only its
+own tasks; later steps read columns they need from the staged table. All tables appear together, see ``versions``.
 """
 
 from __future__ import annotations
@@ -10,19 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioscope.operators import aggregate, record, scoring
 from folioscope.params import DEFAULT, Params
+from folioscope.plans.versions import Write, publish
 from folioscope.sources.formats import read_files
 
 
 def run(spark: SparkSession, source: str, target: str, p: Params = DEFAULT, kind: str | None = None) -> dict[str, DataFrame]:
-    """Tables ``lines``, ``pages``, ``records`` and ``errors`` under ``target``, read back."""
+    """Tables ``lines``, ``pages``, ``records`` and ``errors`` as one version of ``target``, read back. A run that fails leaves the version before,
+    one that finds nothing new leaves its files."""
     table = read_files(spark, source, kind)
-    table.where("error is not null").select("file", "kind", "error").write.mode("overwrite").parquet(f"{target}/errors")
-    scored = scoring.process(table.where("error is null").drop("error"), p)
-    scored.drop("_w").write.mode("overwrite").parquet(f"{target}/lines")
-    lines = spark.read.parquet(f"{target}/lines")
-    aggregate.page_stats(lines).write.mode("overwrite").parquet(f"{target}/pages")
-    record.records(lines).write.mode("overwrite").parquet(f"{target}/records")
-    return {t: spark.read.parquet(f"{target}/{t}") for t in ("lines", "pages", "records", "errors")}
+    writes = {
+        "errors": Write(table.where("error is not null").select("file", "kind", "error"), ["file"]), "lines": Write(scoring.process(table.where("error is null").drop("error"), p), ["file"]),
+        "pages": Write(lambda done: aggregate.page_stats(done["lines"]), ["file"]), "records": Write(lambda done: record.records(done["lines"]), ["file"]),
+    }
+    version = publish(spark, target, writes)
+    return {t: version.table(spark, t) for t in ("lines", "pages", "records", "errors")}
 
 
 def arms(lines: DataFrame, base: Params, *others: Params) -> list[DataFrame]:

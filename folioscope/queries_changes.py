@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioscope.operators import page_merge as page_merge_, rule_effects as effects_, scoring
-from folioscope.queries import _B, _L, _banded, _lines, _scored, query
+from folioscope.operators.ordered import shared_dir
+from folioscope.plans import manifest, versions
+from folioscope.queries import _B, _L, _banded, _lines, _scored, _table, query
 
 #: An ordered list of rules over the banded lines, whose conditions read alike in both dialects.
 _RULES = [
@@ -124,3 +126,38 @@ out as (select w.file, w.page_num, ord, w.into_ as block, line_num as n, text, '
 @query(_LAYOUTS + "select file, page_num, row_number() over (partition by file, page_num order by ord, n)::int as line_num, block, text, text_source from out")
 def page_merge(spark, sf_dir):
     return page_merge_.merged(*_layouts(spark, sf_dir)).drop("bbox")
+
+
+#: The documents as files of two listings: some new, gone, rewritten alike, rewritten longer.
+_LISTINGS = """with old as (select 'd' || doc_id as path, make_timestamp(2024, 1, 1, 0, (doc_id % 60)::int, 0.0) as modified, n_chars as size from documents where doc_id % 7 <> 0),
+new as (select 'd' || doc_id as path, make_timestamp(2024, 1, 1, case when doc_id % 5 in (0, 1) then 1 else 0 end, (doc_id % 60)::int, 0.0) as modified, n_chars + case when doc_id % 5 = 0 then 1 else 0 end as size from documents where doc_id % 11 <> 0)
+"""
+
+
+@query(_LISTINGS + """select coalesce(o.path, n.path) as path, case when o.path is null then 'new' when n.path is null then 'gone' when o.modified = n.modified and o.size = n.size then 'same' when o.size = n.size then 'unsure' else 'changed' end as state,
+ coalesce(n.size, o.size) as size from old o full join new n on o.path = n.path""")
+def manifest_diff(spark, sf_dir):
+    at = lambda hour: F.expr(f"make_timestamp(2024, 1, 1, {hour}, cast(doc_id % 60 as int), 0)")
+    d = _table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("d"), "doc_id").alias("path"), "n_chars")
+    old = d.where("doc_id % 7 <> 0").select("path", at("0").alias("modified"), F.col("n_chars").alias("size"), F.lit("").alias("digest"))
+    new = d.where("doc_id % 11 <> 0").select("path", at("if(doc_id % 5 in (0, 1), 1, 0)").alias("modified"), F.expr("n_chars + if(doc_id % 5 = 0, 1, 0)").alias("size"))
+    return manifest.differences(old, new).select("path", "state", "size")
+
+
+@query(_B + ", d as (select file, page_num, line_num, categ from b where (file::bigint + line_num) % 3 <> 0 or line_num % 10 = 1) select file, page_num, line_num, categ from b where not exists (select 1 from d where d.file = b.file and d.page_num = b.page_num and d.line_num = b.line_num and d.categ = b.categ)")
+def undecided_lines(spark, sf_dir):
+    b = _banded(spark, sf_dir)
+    return manifest.undecided(b, b.where("(cast(file as long) + line_num) % 3 <> 0 or line_num % 10 = 1"), "categ").select("file", "page_num", "line_num", "categ")
+
+
+@query("select doc_id, lang, case when doc_id % 9 = 0 then upper(source) else source end as source, 2 as version from documents where doc_id % 13 <> 0")
+def published_documents(spark, sf_dir):
+    """All documents published, then again with some changed and some gone; read back from the last version."""
+    import uuid
+
+    target = f"{shared_dir(spark)}/published-{uuid.uuid4().hex}"
+    d = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    versions.publish(spark, target, {"documents": versions.Write(d, ["doc_id"])}, buckets=16)
+    again = d.where("doc_id % 13 <> 0").withColumn("source", F.expr("if(doc_id % 9 = 0, upper(source), source)"))
+    last = versions.publish(spark, target, {"documents": versions.Write(again, ["doc_id"])})
+    return last.table(spark, "documents").withColumn("version", F.lit(last.number))
