@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: How optical recognition misreads letters, written form to meant form.
@@ -57,10 +57,14 @@ def status(lexicon: DataFrame, candidates: DataFrame, min_df: int = 3, ratio: fl
     return rows.withColumn("status", F.when(F.col("df") >= min_df, "attested").when(F.col("best") >= ratio * F.col("df"), "recoverable").otherwise("unattested"))
 
 
+def family_key(text: str | Column) -> Column:
+    """Letters, digits and underscores of a text, in lower case: what spellings of one line share."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_]", "")
+
+
 def families(lines: DataFrame, categ: str = "categ") -> DataFrame:
     """Spelling families: lines whose letters and digits agree without case, their variants and category mix A:n|B:m."""
-    key = F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}_]", "")
-    n = lines.withColumn("family", key).where("family <> ''").groupBy("family", "text", categ).agg(F.count("*").alias("n"))
+    n = lines.withColumn("family", family_key("text")).where("family <> ''").groupBy("family", "text", categ).agg(F.count("*").alias("n"))
     first = F.row_number().over(Window.partitionBy("family", "text").orderBy(categ)) == 1  # counts a text once; at most one row a category
     n = n.withColumn("v", first.cast("long")).groupBy("family", categ).agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
     mix = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(categ).alias("c"), F.col("n").alias("n")))), lambda x: F.concat_ws(":", x.c, x.n.cast("string"))), "|")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.operators import page_merge as page_merge_, rule_effects as effects_, scoring
+from folioscope.operators import concordance as concordance_, packs, page_merge as page_merge_, rule_effects as effects_, scoring
 from folioscope.operators.ordered import shared_dir
 from folioscope.plans import manifest, versions
-from folioscope.queries import _B, _L, _banded, _lines, _scored, _table, query
+from folioscope.queries import _B, _HASH, _L, _P, _banded, _lines, _pairs, _scored, _table, query
 
 #: An ordered list of rules over the banded lines, whose conditions read alike in both dialects.
 _RULES = [
@@ -161,3 +161,81 @@ def published_documents(spark, sf_dir):
     again = d.where("doc_id % 13 <> 0").withColumn("source", F.expr("if(doc_id % 9 = 0, upper(source), source)"))
     last = versions.publish(spark, target, {"documents": versions.Write(again, ["doc_id"])})
     return last.table(spark, "documents").withColumn("version", F.lit(last.number))
+
+
+_CHANGES = _P + r""", ch as (select p.file || ':' || p.page_num || ':' || p.line_num as id, source as collection, p.file as doc, p.file::bigint as f, p.line_num, text, base, arm, regexp_replace(lower(text), '[^\p{L}\p{N}_]', '', 'g') as key from p join b using (file, page_num, line_num) where base <> arm),
+gs as (select key, count(*) as occurrences, count(distinct (collection, doc)) as documents, min(id) as example from ch group by key order by occurrences desc, key limit 50)
+"""
+
+
+def _changes(spark, sf_dir):
+    source = _banded(spark, sf_dir).select("file", "page_num", "line_num", F.col("source").alias("collection"))
+    rows = _pairs(spark, sf_dir).where("base <> arm").join(source, ["file", "page_num", "line_num"])
+    return rows.select(F.concat_ws(":", "file", "page_num", "line_num").alias("id"), "collection", F.col("file").alias("doc"), "text", F.col("base").alias("from"), F.col("arm").alias("to"), F.col("file").cast("long").alias("f"), "line_num")
+
+
+@query(_CHANGES + """, t as (select key, text, count(*) as n from ch where key in (select key from gs) group by all),
+v as (select key, list(text order by n desc, text) as v from t group by key),
+m as (select key, string_agg(move || ' ' || n, '; ' order by n desc, move) as transitions from (select key, base || '->' || arm as move, count(*) as n from ch where key in (select key from gs) group by all) group by key)
+select row_number() over w as rank, gs.key, occurrences, round(sum(occurrences) over w / (select count(*) from ch)::double, 3) as cumulative_share, v[1] as text, len(v) as variants, array_to_string(v[2:4], ' | ') as other_variants, documents, example, transitions
+from gs join v using (key) join m using (key) window w as (order by occurrences desc, gs.key)""")
+def pack_top(spark, sf_dir):
+    return packs.top_groups(_changes(spark, sf_dir), 50)
+
+
+@query(_CHANGES + ", x as (select ch.*, " + _HASH.format(seed=7, key="id") + """ as h, count(*) over (partition by key) as group_occurrences, count(*) over () as n from ch where key not in (select key from gs)),
+s as (select * from x order by h, id limit 200) select row_number() over (order by h, id) as position, id, text, base as "from", arm as "to", group_occurrences, least(1.0::double, 200 / n::double) as inclusion from s""")
+def pack_tail(spark, sf_dir):
+    rows = _changes(spark, sf_dir)
+    return packs.tail_sample(rows, packs.top_groups(rows, 50), 200, seed=7)
+
+
+_LABELLED = _CHANGES + """, ref as (select * from ch where f % 3 <> 0),
+top as (select key, case length(key) % 4 when 1 then 'Clear' when 2 then 'Noisy' when 3 then 'Trash' end as label from (select key, count(*) as n from ref group by key having count(*) > 1 or length(key) < 6)),
+tl as (select id, case length(text) % 3 when 0 then 'Clear' when 1 then 'Noisy' else 'Trash' end as label from ref where (f + line_num) % 3 = 0),
+la as (select ch.id, ch.key, ch.base, ch.arm, case when top.label is not null then 'top' when top.key is not null then 'excluded' when ref.id is not null then 'tail' else 'new' end as bucket, coalesce(top.label, case when top.key is null and ref.id is not null then tl.label end) as label
+  from ch left join top on top.key = ch.key left join ref on ref.id = ch.id and ref.key not in (select key from top) left join tl on tl.id = ch.id)
+"""
+
+
+def _labelled_changes(spark, sf_dir):
+    rows = _changes(spark, sf_dir)
+    reference = rows.where("f % 3 <> 0")
+    keyed = reference.withColumn("key", packs.family_key("text"))
+    top = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1 or length(key) < 6").select("key", F.expr("case length(key) % 4 when 1 then 'Clear' when 2 then 'Noisy' when 3 then ' Trash ' else ' ' end").alias("label"))
+    tail = reference.where("(f + line_num) % 3 = 0").select("id", F.expr("case length(text) % 3 when 0 then 'Clear' when 1 then 'Noisy' else 'Trash' end").alias("label"))
+    return packs.labelled(rows.drop("f", "line_num"), reference.drop("f", "line_num"), top, tail)
+
+
+@query(_LABELLED + 'select id, key, base as "from", arm as "to", bucket, label from la')
+def change_labels(spark, sf_dir):
+    return _labelled_changes(spark, sf_dir).drop("collection", "doc", "text")
+
+
+@query(_LABELLED + """, k as (select map {'Trash': 0, 'Noisy': 1, 'Clear': 2} as k), d as (select la.*, abs(k[base] - k[label]) as was, abs(k[arm] - k[label]) as now from la, k),
+x as (select *, unnest(['fixed', 'broken', 'neither', 'closer', 'farther', 'clear_loss', 'clear_demoted']) as measure from d),
+y as (select *, label is not null and case measure when 'fixed' then label = arm and label <> base when 'broken' then label = base and label <> arm when 'neither' then label <> arm and label <> base when 'closer' then now < was when 'farther' then now > was
+  when 'clear_loss' then label = 'Clear' and arm in ('Trash', 'Non-text') and base not in ('Trash', 'Non-text') else label = 'Clear' and base = 'Clear' and arm <> 'Clear' end as hit from x),
+s as (select measure, count(*) filter (bucket = 'top' and hit) as top, count(*) filter (bucket = 'tail' and hit) as tail, count(*) filter (bucket = 'tail' and label is not null) as sampled, count(*) filter (bucket = 'tail') as population, count(*) filter (bucket = 'top') as top_lines from y group by measure),
+e as (select *, tail / nullif(sampled, 0)::double as p from s), h as (select *, 1.96 * sqrt(p * (1 - p) / sampled) as half, top + coalesce(p * population, 0) as t from e)
+select measure, top, tail, sampled, population, round(p * population, 3) as estimate, round((p - half) * population, 3) as low, round((p + half) * population, 3) as high, round(t, 3) as total, round(t / (top_lines + population)::double, 4) as share from h""")
+def pack_estimates(spark, sf_dir):
+    return packs.estimates(_labelled_changes(spark, sf_dir))
+
+
+_SEVERE = _B + """, x as (select file, page_num, (line_num * 7 + char_count) % 4 as severity, round(quality_score - ((line_num * 7 + char_count) % 4) * 0.05::double, 2) as score from b)
+"""
+
+
+def _severe(spark, sf_dir):
+    return _banded(spark, sf_dir).selectExpr("file", "page_num", "(line_num * 7 + char_count) % 4 as severity", "round(quality_score - ((line_num * 7 + char_count) % 4) * 0.05D, 2) as score")
+
+
+@query(_SEVERE + ", p as (select file, count(*) filter (a.severity < b.severity) as pairs, count(*) filter (a.severity < b.severity and a.score >= b.score - 1e-9) as concordant from x a join x b using (file) group by file) select * from p")
+def concordance(spark, sf_dir):
+    return concordance_.concordance(_severe(spark, sf_dir), ["file"], "severity", "score", [0, 1, 2, 3])
+
+
+@query(_SEVERE + ", p as (select count(*) as pairs, count(*) filter (a.score >= b.score - 1e-9) as concordant from x a join x b using (file, page_num) where a.severity < b.severity) select *, round(concordant / pairs::double, 4) as accuracy from p")
+def monotonicity(spark, sf_dir):
+    return concordance_.monotonicity(concordance_.concordance(_severe(spark, sf_dir), ["file", "page_num"], "severity", "score", [0, 1, 2, 3]))
