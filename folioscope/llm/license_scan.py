@@ -56,7 +56,8 @@ UNKNOWN = [
 ]
 #: A text without any of these cannot match a template, and is of unknown class by rule.
 TRIGGER = r"(?i)licen[sc]|rights reserved|public domain|\bCC0\b|\bCC BY\b|permission (?:is|to)|redistribution and use|\b[AL]?GPL\b|proprietary and confidential|prior written permission|waived all copyright|creative commons attribution"
-WORDS = r"[\p{L}\p{N}]+(?:[.][0-9]+)*"
+#: A word, or a version of at most 21 numbers; an unbounded repeat of a group would be a call on the stack for each part.
+WORDS = r"[\p{L}\p{N}]+(?:[.][0-9]+){0,20}"
 NGRAMS = 3
 WINDOW = 60
 MATCH = 0.7
@@ -65,7 +66,7 @@ SLOTS = 256
 
 
 def words(text: str) -> list[str]:
-    return re.findall(r"[^\W_]+(?:[.][0-9]+)*", text.lower())
+    return re.findall(r"[^\W_]+(?:[.][0-9]+){0,20}", text.lower())
 
 
 def grams(w: list[str], most: int = NGRAMS) -> list[str]:
@@ -185,7 +186,7 @@ def scan(docs: DataFrame, match: float = MATCH, column: str = "text") -> DataFra
     Null and empty texts have none. Rows, repeated ones too, and other columns stay as they are; a user's column ``licences``
     is replaced. Long texts are read whole; an empty table gives no rows.
     """
-    paragraphs = f"filter(transform(split({column}, '\\\\n[ \\\\t\\\\r]*(?:\\\\n[ \\\\t\\\\r]*)+', -1), (p, i) -> named_struct('p', p, 'i', i)), x -> x.p rlike {_quoted(TRIGGER)})"
+    paragraphs = f"filter(transform(split({column}, '\\\\n[ \\\\t\\\\r]*+\\\\n[ \\\\t\\\\r\\\\n]*+', -1), (p, i) -> named_struct('p', p, 'i', i)), x -> x.p rlike {_quoted(TRIGGER)})"
     best = "array_max(transform(filter(s, y -> y.family = f), y -> named_struct('probability', y.probability, 'similarity', y.similarity)))"
     merged = f"transform(array_sort(array_distinct(transform(s, y -> y.family))), f -> element_at(transform(array({best}), y -> named_struct('family', f, 'probability', y.probability, 'similarity', y.similarity, 'paragraph', x.i)), 1))"
     each = f"element_at(transform(array(flatten(transform({candidates('x.p')}, c -> {judged('c', match)}))), s -> {merged}), 1)"
