@@ -34,7 +34,7 @@ def measured(docs: DataFrame) -> DataFrame:
         doc_id=F.col("doc_id").cast("long"),
         source=F.col("source").cast("string"),
         _size=F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long"),
-        _hash=F.coalesce(F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 15), 16, 10).cast("long"), F.lit(0)),
+        _hash=F.conv(F.substring(F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.md5("text"))), 1, 15), 16, 10).cast("long"),
         _tie=F.xxhash64("text"),
     )
 
@@ -126,7 +126,7 @@ def op4_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 with d as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
-         coalesce(('0x' || substr(md5(doc_id::varchar), 1, 15))::bigint, 0) as h
+         ('0x' || substr(md5(concat_ws('|', doc_id::varchar, md5(text))), 1, 15))::bigint as h
   from documents),
 s as (
   select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) - 1 as rank from d group by source),
