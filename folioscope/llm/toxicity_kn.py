@@ -12,7 +12,7 @@ class: a pair or word that one sample meets by chance is not taken for an expres
 n1 / (n1 + 2 n2) of its own counts of counts. Words are lower-cased runs of letters and digits, known by 64-bit hashes;
 the table of shared counts grows with the corpus. Of it a model needs the words of its labelled sample only: for any
 other word P(w) is a factor of both classes and leaves the difference. So what is broadcast is bounded by the sample,
-``TRAIN_DOCS`` documents of each class.
+``TRAIN_DOCS`` documents and ``TRAIN_CHARS`` characters of each class.
 
 A text's signals, from the differences of log-likelihoods of its words (toxic less ordinary), are the mean over its
 words, and, over the square root of their number, the sums of what single words exceed ``MARGIN`` by: on the toxic side
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textcore as tc
@@ -33,6 +33,8 @@ from .common import columns, packed, stored, table, unpacked
 
 #: Labelled rows of each class, at most, that the class models are fitted on.
 TRAIN_DOCS = 4000
+#: Characters of all of them, at most, which bounds the pairs that reach the driver and are broadcast; a text of more than a tenth of it is not among them.
+TRAIN_CHARS = 16_000_000
 #: Nats by which one word must favour a class before its excess counts as an expression of that class.
 MARGIN = 2.5
 SIGNALS = 4
@@ -213,6 +215,14 @@ def model_of(docs: DataFrame, sample: DataFrame) -> Model:
     return Model(pairs["u"].view(np.uint64), pairs["w"].view(np.uint64), [pairs["n0"], pairs["n1"]], {"w": own["w"].view(np.uint64), "n": own["n"]}, total)
 
 
+def within(docs: DataFrame, picked: DataFrame, chars: int | None = None) -> DataFrame:
+    """Of ``picked`` (doc_id, toxic, fold), in order of a hash, those whose texts have not more than ``chars`` characters in all by class."""
+    chars = chars or TRAIN_CHARS
+    sizes = docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic", "fold").agg(F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("n"))
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # TRAIN_DOCS rows of numbers
+    return sizes.where(F.col("n") <= chars // 10).withColumn("sum", F.sum("n").over(order)).where(F.col("sum") <= chars).select("doc_id", "toxic", "fold")
+
+
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS):
     """(broadcast model, curve), or None where a class has no labelled training row with a word."""
     spark = docs.sparkSession
@@ -223,7 +233,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS):
     if not each:
         return None
     picked = [named.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(each) for k in (0, 1)]
-    sample = docs.join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("text", "toxic", "fold").where("text rlike '[^\\\\x00-\\\\x7F]|[0-9A-Za-z]'")
+    sample = docs.join(F.broadcast(within(docs, picked[0].union(picked[1]))), "doc_id").select("text", "toxic", "fold").where("text rlike '[^\\\\x00-\\\\x7F]|[0-9A-Za-z]'")
     sample = stored(sample.dropDuplicates(["text"]), "labelled")
     fitted = sample.where("fold <> 4")
     if fitted.select("toxic").distinct().count() < 2:
