@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.operators import concordance as concordance_, packs, page_merge as page_merge_, rule_effects as effects_, scoring
+from folioscope.operators import concordance as concordance_, layout_stats, packs, page_merge as page_merge_, rule_effects as effects_, scoring, sketches
 from folioscope.operators.ordered import shared_dir
 from folioscope.plans import manifest, versions
 from folioscope.queries import _B, _HASH, _L, _P, _banded, _lines, _pairs, _scored, _table, query
@@ -239,3 +239,52 @@ def concordance(spark, sf_dir):
 @query(_SEVERE + ", p as (select count(*) as pairs, count(*) filter (a.score >= b.score - 1e-9) as concordant from x a join x b using (file, page_num) where a.severity < b.severity) select *, round(concordant / pairs::double, 4) as accuracy from p")
 def monotonicity(spark, sf_dir):
     return concordance_.monotonicity(concordance_.concordance(_severe(spark, sf_dir), ["file", "page_num"], "severity", "score", [0, 1, 2, 3]))
+
+
+_BOXES = _L + """, x as (select *, line_num * 12 + case when line_num % 7 = 0 then 25 else 0 end - case when line_num > 20 then 260 else 0 end + (file::bigint % 3) as top, 8 + (length(text) % 5) as h from l where line_num % 11 <> 5),
+m as (select file, page_num, coalesce(median(h) filter (h > 5), median(h))::double as m from x group by all),
+g as (select x.*, m, top - lag(top + h) over (partition by file, page_num order by line_num) as gap from x join m using (file, page_num)),
+p as (select *, 1 + sum(coalesce((gap < -m or gap > 1.5 * m)::int, 0)) over (partition by file, page_num order by line_num) as paragraph from g)
+"""
+
+
+def _boxes(spark, sf_dir):
+    rows = _lines(spark, sf_dir).where("line_num % 11 <> 5").withColumns({"t": F.expr("cast(line_num * 12 + if(line_num % 7 = 0, 25, 0) - if(line_num > 20, 260, 0) + cast(file as long) % 3 as double)"), "h": F.expr("8 + length(text) % 5")})
+    return rows.select("file", "page_num", "line_num", "text", F.array(F.lit(0.0), "t", F.lit(100.0), F.col("t") + F.col("h")).alias("bbox"))
+
+
+@query(_BOXES + "select file, page_num, line_num, gap::double as gap, paragraph::bigint as paragraph from p")
+def paragraph_gaps(spark, sf_dir):
+    return layout_stats.paragraph_breaks(_boxes(spark, sf_dir)).select("file", "page_num", "line_num", "gap", "paragraph")
+
+
+@query(_BOXES + "select file, page_num, paragraph::bigint as paragraph, string_agg(text, chr(10) order by line_num) as text from p group by all")
+def paragraph_texts(spark, sf_dir):
+    return layout_stats.paragraph_texts(_boxes(spark, sf_dir))
+
+
+@query(_L + "select file, page_num, line_num, [greatest(0, least(1000, round_even(10 * (line_num - 3) * (1000.0::double / 595), 0)))::int, greatest(0, least(1000, round_even((length(text) + 0.5::double) * (1000.0::double / 842), 0)))::int, 1000, 1000]::varchar as box from l")
+def scaled_boxes(spark, sf_dir):
+    box = F.array(F.expr("cast(10 * (line_num - 3) as double)"), F.expr("length(text) + 0.5D"), F.lit(600.0), F.lit(2000.0))
+    return _lines(spark, sf_dir).select("file", "page_num", "line_num", layout_stats.scaled_box(box, F.lit(595.0), F.lit(842.0)).cast("string").alias("box"))
+
+
+@query(r"""with t as (select page_id, unnest(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g'), '<(?:[A-Za-z_][\w.-]*:)?([A-Za-z_][\w.-]*)', 1)) as element from pages)
+select page_id, lower(element) as element, count(*) as n from t group by all""")
+def element_counts(spark, sf_dir):
+    return layout_stats.element_counts(_table(spark, sf_dir, "pages"), ["page_id"], "html")
+
+
+@query("""with d as (select event_id, '{"user": ' || user_id || ', "props": [' || props || ', "' || event_type || '", null, true, {"deep": [[' || user_id || ', "x"]]}]}' as j from events),
+n as (select event_id, fullkey, type, atom from d, json_tree(d.j) where type not in ('OBJECT', 'ARRAY'))
+select event_id, replace(replace(replace(replace(fullkey, '$.', ''), '[', '.'), ']', ''), '"', '') as path, case type when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'NULL' then 'null' else 'number' end as kind, case when type <> 'NULL' then atom->>'$' end as value from n""")
+def json_leaves(spark, sf_dir):
+    e = _table(spark, sf_dir, "events")
+    j = F.concat(F.lit('{"user": '), "user_id", F.lit(', "props": ['), "props", F.lit(', "'), "event_type", F.lit('", null, true, {"deep": [['), "user_id", F.lit(', "x"]]}]}'))
+    return layout_stats.json_leaves(e.select("event_id", j.alias("j")), ["event_id"], "j")
+
+
+@query()  # estimates; tests hold them against exact figures
+def sketch_summary(spark, sf_dir):
+    pages = sketches.sketched(_banded(spark, sf_dir), ["source", "file", "page_num"], "text", "quality_score")
+    return sketches.estimated(sketches.merged(sketches.merged(pages, ["source", "file"]), ["source"]))
