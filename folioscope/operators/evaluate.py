@@ -127,10 +127,14 @@ def mcnemar(rows: DataFrame, gold: str, one: str, two: str) -> DataFrame:
     return n.select("only_one", "only_two", F.round(F.when(F.col("all") == 0, 1.0).otherwise(F.least(F.lit(1.0), 2 * tail)), 6).alias("p_value"))
 
 
-def regression_metrics(rows: DataFrame, x: str, y: str) -> DataFrame:
-    """n, mae, rmse and pearson (0 where undefined) of two columns; see ``compare.spearman`` for ranks."""
+def regression_metrics(rows: DataFrame, x: str, y: str, *by: str) -> DataFrame:
+    """n, mae, rmse, r2 and pearson (each 0 where undefined) of predictions ``y`` for ``x``; see ``compare.spearman`` for ranks. Rows with a
+    null in either count in n only."""
     gap = F.col(x) - F.col(y)
-    return rows.agg(F.count("*").alias("n"), F.coalesce(F.avg(F.abs(gap)), F.lit(0.0)).alias("mae"), F.coalesce(F.sqrt(F.avg(gap * gap)), F.lit(0.0)).alias("rmse"), F.coalesce(F.corr(x, y), F.lit(0.0)).alias("pearson"))
+    zero = lambda v: F.coalesce(v, F.lit(0.0))
+    known = F.when(gap.isNotNull(), F.col(x))
+    r2 = 1 - F.try_divide(F.sum(gap * gap), F.nullif(F.var_pop(known), F.lit(0.0)) * F.count(gap))
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), zero(F.avg(F.abs(gap))).alias("mae"), zero(F.sqrt(F.avg(gap * gap))).alias("rmse"), zero(r2).alias("r2"), zero(F.corr(x, y)).alias("pearson"))
 
 
 def scaled_estimate(count: Column, n: Column, population: Column) -> Column:

@@ -434,7 +434,7 @@ def mcnemar_arms(spark, sf_dir):
     return evaluate.mcnemar(_pairs(spark, sf_dir).join(gold, ["file", "page_num", "line_num"]), "gold", "base", "arm")
 
 
-@query(_B + "select count(*) as n, avg(abs(quality_score - lang_score)) as mae, sqrt(avg((quality_score - lang_score) * (quality_score - lang_score))) as rmse, corr(quality_score, lang_score) as pearson from b")
+@query(_B + "select count(*) as n, avg(abs(quality_score - lang_score)) as mae, sqrt(avg((quality_score - lang_score) * (quality_score - lang_score))) as rmse, corr(quality_score, lang_score) as pearson, 1 - sum((quality_score - lang_score) * (quality_score - lang_score)) / (var_pop(quality_score) * count(*)) as r2 from b")
 def score_regression(spark, sf_dir):
     return evaluate.regression_metrics(_banded(spark, sf_dir), "quality_score", "lang_score")
 

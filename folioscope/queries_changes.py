@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.operators import concordance as concordance_, layout_stats, packs, page_merge as page_merge_, rule_effects as effects_, scoring, sketches
+from folioscope.operators import concordance as concordance_, damage, importance, layout_stats, packs, page_merge as page_merge_, quality_model, rule_effects as effects_, scoring, sketches
 from folioscope.operators.ordered import shared_dir
 from folioscope.plans import manifest, versions
-from folioscope.queries import _B, _HASH, _L, _P, _banded, _lines, _pairs, _scored, _table, query
+from folioscope.queries import _B, _HASH, _KEYS, _L, _P, _banded, _lines, _pairs, _scored, _table, query
 
 #: An ordered list of rules over the banded lines, whose conditions read alike in both dialects.
 _RULES = [
@@ -288,3 +288,56 @@ def json_leaves(spark, sf_dir):
 def sketch_summary(spark, sf_dir):
     pages = sketches.sketched(_banded(spark, sf_dir), ["source", "file", "page_num"], "text", "quality_score")
     return sketches.estimated(sketches.merged(sketches.merged(pages, ["source", "file"]), ["source"]))
+
+
+_DAMAGE_KEY = "concat_ws('|', file, page_num, line_num)"
+
+
+@query(_L + f"select {_KEYS}, {', '.join(f'{damage.damaged(n, chr(116) + chr(101) + chr(120) + chr(116), chr(101) + chr(112) + chr(115), _DAMAGE_KEY, damage.DUCK)} as {n}' for n in damage.OPERATORS)} from (select *, (line_num % 10) / 12.0::double as eps from l)")
+def damage_operators(spark, sf_dir):
+    rows = _lines(spark, sf_dir).withColumn("eps", F.expr("(line_num % 10) / 12D"))
+    return rows.select("file", "page_num", "line_num", *damage.operator_columns("text", "eps", _DAMAGE_KEY))
+
+
+@query()  # variants are tested by their operators, keys and bands
+def damage_variants(spark, sf_dir):
+    return damage.items(_banded(spark, sf_dir)).withColumn("ops", F.array_join("ops", "+"))
+
+
+def _training(spark, sf_dir):
+    lines = _banded(spark, sf_dir).withColumn("lang", F.expr("case lang when 'en' then 'eng_Latn' when 'de' then 'deu_Latn' when 'fr' then 'fra_Latn' else 'spa_Latn' end"))
+    return quality_model.dataset(lines.select("file", "page_num", "line_num", "text", "categ", "word_count", "lang", "lang_score", "perplex"), each=1)
+
+
+@query()  # a trained model: tests hold its splits and its error
+def quality_predictions(spark, sf_dir):
+    rows = _training(spark, sf_dir)
+    model, names = quality_model.train(rows, iterations=10)
+    return quality_model.predicted(model, names, rows.where("split <> 'train'")).select("file", "page_num", "line_num", "provenance", "number", "split", "raw_score", F.round("prediction", 6).alias("prediction"))
+
+
+def _featured(spark, sf_dir):
+    rows = scoring.with_score(scoring.with_signals(scoring.prefilter(_scored(spark, sf_dir).repartition("file", "page_num"))))
+    return rows.withColumn("gold", F.expr("case when (cast(file as long) * 3 + line_num) % 7 = 0 then 'Trash' when raw_score < 0.6 then 'Noisy' when raw_score < 0.8 then 'Clear' end"))
+
+
+@query()  # every line under every setting; tests hold single settings against scoring with them
+def constant_trials(spark, sf_dir):
+    found = importance.evaluated(_featured(spark, sf_dir), importance.sampled(16, seed=1))
+    return found.select("trial", *(F.round(c, 6).alias(c) for c in importance.METRICS))
+
+
+@query()  # ranks of forests over settings
+def constant_importance(spark, sf_dir):
+    return importance.constant_importance(spark, _featured(spark, sf_dir), n=32)
+
+
+_RANKED = """with i as (select source as run, lang as constant, avg(n_chars) + count(*) / 7.0::double as importance from documents group by all),
+r as (select *, row_number() over (partition by run order by importance desc, constant) as rank, (select count(distinct run) from i) as runs from i)
+select constant, count(*) filter (rank <= 2) as appearances, count(*) filter (rank <= 2) >= greatest(2, any_value(runs) // 2) as robust, case when count(*) = any_value(runs) then round(avg(rank), 2) else 999.0 end::double as average_rank from r group by constant"""
+
+
+@query(_RANKED)
+def rank_consensus(spark, sf_dir):
+    i = _table(spark, sf_dir, "documents").groupBy(F.col("source").alias("run"), F.col("lang").alias("constant")).agg((F.avg("n_chars") + F.count("*") / 7.0).alias("importance"))
+    return importance.consensus(i, 2)

@@ -1,22 +1,9 @@
 import json
 
-from folioscope.operators import corrupt, record
+from folioscope.operators import record
 from folioscope.streaming.ingest import ingest
 
 
-def test_variants_repeat_and_differ(spark):
-    rows = spark.createDataFrame([("d", 1, 1, "Pohled na starý zámek od jihu"), ("d", 1, 2, None)], "file string, page_num int, line_num int, text string")
-    a, b = (sorted(map(tuple, corrupt.variants(rows).collect())) for _ in range(2))
-    assert a == b and len(a) == 3 and {r[5] for r in a} == set(corrupt.BANDS) and any(r[6] != r[3] for r in a)
-
-
-def test_every_operator_changes_text():
-    import random
-
-    for f in corrupt.OPERATORS.values():
-        assert f("Pohled na starý zámek", 1.0, random.Random(1)) != "Pohled na starý zámek"
-
-
 def test_layout_and_blocks(spark):
     doc = {"version": "1", "pages": [{"pageNumber": 1, "blocks": [{"id": "b", "readingOrder": 2, "content": "x\ny", "bbox": [0, 10, 10, 20]}, {"id": "a", "readingOrder": 1, "bbox": [0, 0, 10, 10], "lines": [{"text": "t", "bbox": [0, 1, 5, 2]}]}]}]}
     rows = record.layout_lines(spark.createDataFrame([("d", json.dumps(doc)), ("e", "{bad")], "file string, json string"))
