@@ -609,3 +609,81 @@ def test_licences_that_are_wrapped_or_short(spark):
     wrong = [(x, k, got[i]) for i, (x, k) in enumerate(cases) if got[i] != ([(k, 1)] if k else [])]
     assert not wrong and got[1000] == [("MIT", 0), ("BSD", 1)]
     assert license_scan.scan(df.limit(0)).count() == 0
+
+
+#: Frames and names that the classifier is not trained on: held out, whole.
+OTHER_GRANTS = ["Sources are published under the {}.", "It ships with the {} and may be used accordingly.", "The contents of this repository are licensed under the terms of the {}.", "Released by its authors under {}.", "See LICENSE: this package is distributed under the {}.", "This file is part of a library that is licensed under the {}.", "We license our work to you under the {}.", "Code licensed {}.", "Everything here is provided under the terms of {}."]
+OTHER_TALK = ["A lecture on the {} and its licensing was held.", "It is not distributed under the {}.", "The licence debate about the {} went on.", "This code was not licensed under the {}.", "Many prefer other licenses to the {}.", "Our software is never released under the {}."]
+OTHER_NAMES = {"MIT": "MIT licence", "Apache-2.0": "Apache License v2.0", "BSD": "3-clause BSD license", "GPL": "GNU GPL v3", "LGPL": "GNU LGPL v2.1", "AGPL": "GNU AGPL v3", "MPL": "MPL 2.0", "EPL": "Eclipse Public License v2.0", "ISC": "ISC licence", "CC-BY-SA": "CC BY-SA 3.0", "EUPL": "EUPL v1.2", "zlib": "zlib licence", "Boost": "Boost Software License v1.0"}
+SEVERAL = {"dual-licensed under MIT and Apache-2.0": ["Apache-2.0", "MIT"], "This is licensed under either of Apache License, Version 2.0 or MIT license at your option.": ["Apache-2.0", "MIT"], "Distributed under the MIT software license, see the accompanying file LICENSE or http://www.opensource.org/licenses/mit-license.php.": ["MIT"], "distributed under the terms of the GNU GPL version 2 or later": ["GPL"], "The project uses the Apache license.": ["Apache-2.0"], "Not licensed under the MIT License.": [], "It is not available under the GPL.": []}
+
+
+def test_licences_held_out(spark):
+    cases = [(f.format(n), k) for f in OTHER_GRANTS for k, n in OTHER_NAMES.items()] + [(f.format(n), None) for f in OTHER_TALK for n in OTHER_NAMES.values()]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: [x.family for x in r.licences] for r in license_scan.scan(df).collect()}
+    hits = sum(k in got[i] for i, (_, k) in enumerate(cases) if k)
+    claims = sum(len(v) for v in got.values())
+    recall, precision = hits / sum(k is not None for _, k in cases), hits / max(1, claims)
+    print(f"held out: {len(cases)} sentences, recall {recall:.3f}, precision {precision:.3f}")
+    assert len(cases) >= 190 and recall >= 0.85 and precision >= 0.9  # 0.872 and 0.919
+    probes = spark.createDataFrame(list(SEVERAL.items()), "text string, want array<string>")
+    for r in license_scan.scan(probes).collect():
+        assert [x.family for x in r.licences] == r.want, r.text
+
+
+def softmax(z):
+    e = [np.exp(v - max(z)) for v in z]
+    return [v / sum(e) for v in e]
+
+
+def test_licence_model_in_sql_is_the_model(spark):
+    """The SQL of one piece against the weights in plain Python."""
+    weights, bias, names = license_scan.train()
+    pieces = ["Licensed under the MIT License.", "He reads licences.", "", "GNU GPL or Apache-2.0, at your option", "1." * 5000, "Permission is hereby granted, free of charge, to any person obtaining a copy"]
+    got = [r.x for r in spark.createDataFrame([(t,) for t in pieces], "t string").selectExpr(f"{license_scan.judged('t', 0.7)} as x").collect()]
+    for t, found in zip(pieces, got):
+        w = license_scan.words(t)
+        rows = [weights[g] for g in license_scan.grams(w) if g in weights]
+        p = softmax([b + sum(r[k] for r in rows) / max(1, len(rows)) ** 0.5 for k, b in enumerate(bias)])
+        pairs, want = {" ".join(w[i : i + 2]) for i in range(len(w) - 1)} or set(w), []
+        for k, f in enumerate(names[:-1]):
+            same = [sorted({" ".join(x[i : i + 2]) for i in range(len(x) - 1)} or set(x)) for x in map(license_scan.words, license_scan.TEMPLATES.get(f, []))]
+            share = max((len(pairs & set(x)) / len(x) for x in same), default=0.0)
+            named = bool(set(license_scan.TERMS.get(f, [])) & set(license_scan.grams(w)))
+            if p[-1] < 0.5 and p[k] >= license_scan.SHARE * (1 - p[-1]) and (named or share >= 0.7 and p[k] >= 0.5 * (1 - p[-1])):
+                want.append((f, p[k], share))
+        assert [x.family for x in found] == [f for f, *_ in want], t
+        assert all(abs(x.probability - q) < 1e-6 and abs(x.similarity - s) < 1e-9 for x, (_, q, s) in zip(found, want))
+
+
+@pytest.mark.parametrize("text", ["license " + "1." * 1_000_000, "license" + "\n" * 2_000_000 + "x", "license" + " \n" * 1_000_000 + "x", "license" + "." * 2_000_000, "license " + "a" * 2_000_000, "license " + "word " * 400_000, "license" + "([{," * 500_000, "license " + "9" * 2_000_000], ids=lambda t: repr(t[7:11]))
+def test_licences_in_long_texts(spark, text):
+    assert license_scan.scan(spark.createDataFrame([(text,)], "text string")).select("licences").collect()[0].licences == []
+
+
+PRIVATE = {
+    "12/31/1985": "date", "1985/12/31": "date", "3.4.1985": "date", "31/12/1985": "date", "(020) 7946 0958": "national", "020 7946 0958": "national", "0049 30 1234567": "intl", "4539.1488.0343.6467": "card", "de89370400440532013000": "iban",
+    "de89 3704 0044 0532 0130 00": "iban", "123 45 6789": "ssn", "7435553824": "phone",
+}
+
+
+def test_private_forms(spark):
+    rows = [(v, f"see {v}, please") for v in PRIVATE] + [(v, v) for v in ("1700000000", "0123456789", "30/2/1985", "32/12/1985", "12/32/1985", "1.2.3.4.5", "00312470", "123 45-6789", "2111234567", "2915551234")]
+    got = {r.v: r.text for r in pii_feistel.pseudonymised(spark.createDataFrame(rows, "v string, text string"), "k").collect()}
+    for v in PRIVATE:
+        new = got[v].removeprefix("see ").removesuffix(", please")
+        # in form alike, but for dates, whose numbers keep no leading zero
+        assert new != v and (re.sub(r"[0-9]+" if PRIVATE[v] == "date" else "[0-9]", "9", new) == re.sub(r"[0-9]+" if PRIVATE[v] == "date" else "[0-9]", "9", v)), (v, new)
+    assert all(got[v] == v for v, t in rows if t == v)
+    linked = {"4539 1488 0343 6467": "4539.1488.0343.6467", "+49 30 1234567": "0049 30 1234567", "DE89370400440532013000": "de89370400440532013000", "123-45-6789": "123 45 6789", "(743) 555-3824": "7435553824", "1985-12-31": "12/31/1985"}
+    new = {r.v: re.sub("[^0-9]", "", r.text) for r in pii_feistel.pseudonymised(spark.createDataFrame([(v, v) for v in linked], "v string, text string"), "k").collect()}
+    for a, b in linked.items():
+        other = re.sub("[^0-9]", "", got[b])
+        assert sorted(new[a]) == sorted(other) if "/" in b else new[a] == other.removeprefix("00" if b.startswith("00") else ""), (a, b)
+
+
+@pytest.mark.parametrize("text", ["x@" + "b." * 1_000_000 + "com", "a" * 2_000_000, "1234567890" * 200_000, "." * 2_000_000, "\n" * 2_000_000, "," * 2_000_000, "([{" * 600_000, "a@" * 1_000_000, "(0" * 1_000_000, "de12 " * 400_000, "+1" * 1_000_000, "12/" * 600_000], ids=lambda t: repr(t[:5]))
+def test_private_forms_in_long_texts(spark, text):
+    new = pii_feistel.pseudonymised(spark.createDataFrame([(text,)], "text string"), "k").first().text
+    assert len(new) == len(text)
