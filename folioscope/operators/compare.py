@@ -93,15 +93,22 @@ def verdict(label, frm, to):
     return F.when((label == to) & (label != frm), "fixed").when((label == frm) & (label != to), "broken").otherwise("neither")
 
 
-def average_rank(df: DataFrame, column: str, name: str) -> DataFrame:
-    """(column, name): rank with ties averaged, for each distinct value that is not null."""
-    n = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
-    return running(n, [F.col(column)], _to=F.col("_n")).select(column, (F.col("_to") - (F.col("_n") - 1) / 2.0).alias(name))
+def average_ranks(df: DataFrame, *columns: str) -> DataFrame:
+    """(column, value, rank): rank with ties averaged, for each distinct value of each column that is not null. All columns are ordered in one
+    pass, one after another."""
+    each = F.explode(F.array(*(F.struct(F.lit(i).alias("column"), F.col(c).cast("double").alias("value")) for i, c in enumerate(columns))))
+    n = df.select(each.alias("x")).select("x.*").where("value is not null").groupBy("column", "value").agg(F.count("*").alias("_n"))
+    sums = running(n, [F.col("column"), F.col("value")], _to=F.col("_n"), **{f"_c{i}": F.when(F.col("column") == i, F.col("_n")) for i in range(len(columns))})
+    before = sum((F.when(F.col("column") > i, F.col(f"_c{i}_all")).otherwise(0) for i in range(len(columns))), F.lit(0))
+    return sums.select("column", "value", (F.col("_to") - before - (F.col("_n") - 1) / 2.0).alias("rank"))
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Rank correlation; ranks come from value counts, so only distinct values are ordered."""
-    return df.join(average_rank(df, x, "_rx"), x).join(average_rank(df, y, "_ry"), y).agg(F.corr("_rx", "_ry").alias("spearman"))
+    ranks = average_ranks(df, x, y)
+    of = lambda i, c, name: ranks.where(F.col("column") == i).select(F.col("value").alias(c), F.col("rank").alias(name))
+    pairs = df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    return pairs.join(of(0, "_x", "_rx"), "_x").join(of(1, "_y", "_ry"), "_y").agg(F.corr("_rx", "_ry").alias("spearman"))
 
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:

@@ -256,19 +256,21 @@ def token_df_rollup(spark, sf_dir):
 _LEX = _L + r", k as (select distinct file, unnest(regexp_extract_all(lower(text), '\p{L}{2,}')) as token from l), x as (select token, count(*) as df from k group by token)" + "\n"
 
 
-@query(_LEX + """, r as (select token from x where df = 2 and length(token) = 6), c as (select token as candidate, df from x where df >= 20),
+_NEIGHBOURS = _LEX + """, r as (select token from x where df < 3), c as (select token as candidate, df from x where df >= 20),
 rd as (select token, token as k, 0 as i from r union all select token, token[1:i - 1] || token[i + 1:], i from r, unnest(range(1, length(token) + 1)) as u(i)),
 cd as (select candidate, df, candidate as k, 0 as j from c union all select candidate, df, candidate[1:i - 1] || candidate[i + 1:], i from c, unnest(range(1, length(candidate) + 1)) as u(i))
-select distinct token, candidate, df from rd join cd using (k) where token <> candidate and (length(token) = length(candidate) and i = j or abs(length(token) - length(candidate)) = 1 and (i = 0 or j = 0))""")
+select distinct token, candidate, df from rd join cd using (k) where token <> candidate and (length(token) = length(candidate) and i = j or abs(length(token) - length(candidate)) = 1 and (i = 0 or j = 0))"""
+
+
+@query(_NEIGHBOURS)
 def deletes_join(spark, sf_dir):
     lex = lexicon.document_frequency(lexicon.tokens(_lines(spark, sf_dir).select("file", "text")))
-    return lexicon.neighbours(lex.where("df = 2 and length(token) = 6"), lex.where("df >= 20"))
+    return lexicon.neighbours(lex.where("df < 3"), lex.where("df >= 20"))
 
 
-@query()  # all rare tokens; deletes_join is the part of it that SQL can check in time
+@query(_NEIGHBOURS)  # its name of earlier rounds
 def one_edit_neighbours(spark, sf_dir):
-    lex = lexicon.document_frequency(lexicon.tokens(_lines(spark, sf_dir).select("file", "text")))
-    return lexicon.neighbours(lex.where("df < 3"), lex.where("df >= 20"))
+    return deletes_join(spark, sf_dir)
 
 
 @query(_B + r""", f as (select regexp_replace(lower(text), '[^\p{L}\p{N}_]', '', 'g') as family, categ, text from b), g as (select family, categ, count(*) as n from f where family <> '' group by all), v as (select family, count(distinct text)::int as variants from f group by 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.operators import concordance as concordance_, damage, importance, layout_stats, packs, page_merge as page_merge_, quality_model, rule_effects as effects_, scoring, sketches
+from folioscope.operators import bundle, concordance as concordance_, damage, importance, layout_stats, lexicon, packs, page_merge as page_merge_, quality_model, recover, rule_effects as effects_, scoring, sketches
 from folioscope.operators.ordered import shared_dir
 from folioscope.plans import manifest, versions
 from folioscope.queries import _B, _HASH, _KEYS, _L, _P, _banded, _lines, _pairs, _scored, _table, query
@@ -341,3 +341,63 @@ select constant, count(*) filter (rank <= 2) as appearances, count(*) filter (ra
 def rank_consensus(spark, sf_dir):
     i = _table(spark, sf_dir, "documents").groupBy(F.col("source").alias("run"), F.col("lang").alias("constant")).agg((F.avg("n_chars") + F.count("*") / 7.0).alias("importance"))
     return importance.consensus(i, 2)
+
+
+def _bundle_sql(by: str) -> str:
+    """The metrics of the arm's categories against the labels, weighted, by a column or over all."""
+    keep = f"{by} as g" if by else "0 as g"
+    out = f"g as {by}, " if by else ""
+    cost = "case when a = 'Clear' and b in ('Trash', 'Non-text') then 3 when a = 'Clear' and b = 'Noisy' then 1 when a = 'Noisy' and b in ('Trash', 'Non-text') then 2 when a = 'Noisy' and b = 'Clear' then 0.5 when a = 'Trash' and b = 'Clear' then 2 when a in ('Non-text', 'Empty') and b = 'Clear' then 2 else 1 end"
+    rates = ", ".join(f"""sum(case when b = '{k}' then w else 0 end) / sum(w) as "{k.lower()}_rate\"""" for k in ("Clear", "Noisy", "Trash", "Non-text", "Empty"))
+    return _B + f""", c as (select {keep}, gold as a, categ as b, count(*) as n, sum(1.0::double + line_num % 3) as w from b where gold is not null group by all),
+p as (select g, sum(n)::bigint as line_count, sum(case when a <> b then n else 0 end)::bigint as flip_count, sum(case when a <> b then w else 0 end) / sum(w) as flip_rate, {rates}, sum(case when a <> b then w * {cost} else 0 end) / sum(w) as costed_score,
+  sum(case when a = 'Clear' and b in ('Trash', 'Non-text') then n else 0 end)::bigint as gold_clear_loss from c group by g),
+lb as (select g, label, sum(p) as p, sum(q) as q, sum(h) as h from (select g, a as label, w as p, 0 as q, case when a = b then w else 0 end as h from c union all select g, b, 0, w, 0 from c) group by all),
+t as (select *, sum(p) over (partition by g) as t, 2 * h / (p + q) as f from lb),
+s as (select g, avg(f) as macro_f1, sum(f * p) / any_value(t) as weighted_f1, sum((p / t + 1e-12) * ln((p / t + 1e-12) / (q / t + 1e-12))) as kl_divergence from t group by g)
+select {out}p.* exclude (g), s.* exclude (g) from p join s using (g)"""
+
+
+@query(_bundle_sql("source"))
+def metric_bundle(spark, sf_dir):
+    return bundle.metric_bundle(_banded(spark, sf_dir).withColumn("w", F.expr("1D + line_num % 3")), "source", pred="categ", weight="w")
+
+
+@query(_bundle_sql(""))
+def metric_bundle_all(spark, sf_dir):
+    return bundle.metric_bundle(bundle.checked_weights(_banded(spark, sf_dir).withColumn("w", F.expr("1D + line_num % 3")), "w"), pred="categ", weight="w")
+
+
+_CONFUSED = ", ".join(f"('{a}', '{b}')" for a, b in recover.CONFUSIONS)
+_RECOVER = _B + rf""", k as (select file, page_num, line_num, categ, unnest(regexp_extract_all(lower(text), '\p{{L}}{{4,}}')) as token from b), k0 as (select distinct file, unnest(regexp_extract_all(lower(text), '\p{{L}}{{2,}}')) as token from b),
+x as (select token, count(*) as df from k0 group by token), st as (select token as candidate, df from x where df >= 10), q as (select distinct token from k where token not in (select candidate from st)), pairs as (select * from (values {_CONFUSED}) as t(a, b)),
+rd as (select token, token as k, 0 as i from q union all select token, token[1:i - 1] || token[i + 1:], i from q, unnest(range(1, length(token) + 1)) as u(i)),
+cd as (select candidate, candidate as k, 0 as j from st union all select candidate, candidate[1:i - 1] || candidate[i + 1:], i from st, unnest(range(1, length(candidate) + 1)) as u(i)),
+found as (select token, candidate, 0 as m from q join st on q.token = strip_accents(candidate)
+ union all select token, candidate, 1 from (select token, token[1:i - 1] || b || token[i + length(a):] as c from q, pairs, unnest(range(1, length(token) + 1)) as u(i) where contains(token, a) and substr(token, i, length(a)) = a) join st on c = candidate where token <> candidate
+ union all select token, candidate, 1 from q join st on token[1] = token[2] and token[2:] = candidate
+ union all select token, candidate, 2 from rd join cd using (k) where token <> candidate and (length(token) = length(candidate) and i = j or abs(length(token) - length(candidate)) = 1 and (i = 0 or j = 0))),
+best as (select token, candidate, min(m) as m from found group by all),
+status as (select token, case when token in (select candidate from st) then 'attested' when token in (select token from best) then 'recoverable' else 'unattested' end as status from (select distinct token from k))
+"""
+
+
+def _tokens4(spark, sf_dir):
+    rows = _banded(spark, sf_dir).select("file", "page_num", "line_num", "categ", "text")
+    return lexicon.tokens(rows, min_letters=4), lexicon.document_frequency(lexicon.tokens(rows.select("file", "text")))
+
+
+@query(_RECOVER + "select file, page_num, line_num, count(*) as tokens, count(*) filter (status = 'attested') as attested, count(*) filter (status = 'recoverable') as recoverable, count(*) filter (status <> 'unattested') / count(*)::double as score from k join status using (token) group by all")
+def line_recoverability(spark, sf_dir):
+    return recover.recoverability(*_tokens4(spark, sf_dir), ["file", "page_num", "line_num"])
+
+
+@query(_RECOVER + "select categ, status, count(*) as tokens, count(distinct token) as kinds, count(*) / sum(count(*)) over (partition by categ)::double as share from k join status using (token) group by categ, status")
+def token_status_report(spark, sf_dir):
+    return recover.status_report(*_tokens4(spark, sf_dir), "categ")
+
+
+@query(_RECOVER + ", r as (select best.*, df, row_number() over (partition by token order by df desc, candidate) as rank from best join st using (candidate)) select token, candidate, df, ['diacritics', 'confusion', 'edit1'][m + 1] as mechanism, rank from r where rank <= 3")
+def nearest_attested(spark, sf_dir):
+    tokens, table = _tokens4(spark, sf_dir)
+    return recover.nearest_attested(recover.judged(tokens.select("token"), table)[1])

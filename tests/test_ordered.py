@@ -22,7 +22,7 @@ def test_running_sums(spark):
 
 def test_average_ranks(spark):
     df = spark.createDataFrame([(x,) for x in (3.0, 1.0, 3.0, 3.0, 9.0, None)], "x double")
-    assert {r.x: r.k for r in compare.average_rank(df, "x", "k").collect()} == {1.0: 1.0, 3.0: 3.0, 9.0: 5.0}
+    assert {r.value: r.rank for r in compare.average_ranks(df, "x").collect()} == {1.0: 1.0, 3.0: 3.0, 9.0: 5.0}
 
 
 def test_stratified_keeps_columns_and_totals(spark):
