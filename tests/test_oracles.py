@@ -20,7 +20,7 @@ def values(rows, columns):
 @pytest.mark.parametrize("name", sorted(q.oracle_sql()))
 def test_query(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "labels", "pages", "conversations"):
+    for t in ("documents", "labels", "pages", "conversations", "events", "benchmark", "embeddings"):
         p = DATA / f"{t}.parquet"
         db.sql(f"create view {t} as select * from '{p}/*.parquet'" if p.is_dir() else f"create view {t} as select * from '{p}'")
     df = q.queries()[name](spark, str(DATA))
