@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioscope.operators import bundle, concordance as concordance_, damage, importance, layout_stats, lexicon, packs, page_merge as page_merge_, quality_model, recover, rule_effects as effects_, scoring, sketches
+from folioscope.operators import bundle, concordance as concordance_, damage, evaluate, importance, layout_stats, lexicon, packs, page_merge as page_merge_, quality_model, recover, rule_effects as effects_, scoring, sketches
 from folioscope.operators.ordered import shared_dir
 from folioscope.plans import manifest, versions
 from folioscope.queries import _B, _HASH, _KEYS, _L, _P, _banded, _lines, _pairs, _scored, _table, query
@@ -401,3 +401,15 @@ def token_status_report(spark, sf_dir):
 def nearest_attested(spark, sf_dir):
     tokens, table = _tokens4(spark, sf_dir)
     return recover.nearest_attested(recover.judged(tokens.select("token"), table)[1])
+
+
+_SPELLINGS = (" Clear", "NOISY ", "trash", "non_text", "Non-Text", "nontext", "EMPTY", "Other ", "  ", "Clear-ish", "non text")
+
+
+@query(f"""with x as (select doc_id, list_extract([{', '.join(f"'{x}'" for x in _SPELLINGS)}], (doc_id % {len(_SPELLINGS) + 1})::int + 1) as raw from documents), y as (select *, replace(lower(trim(coalesce(raw, ''))), '_', '-') as k from x)
+select doc_id, raw, case when k in ('non-text', 'nontext') then 'Non-text' when k in ('clear', 'noisy', 'trash', 'empty') then upper(k[1]) || k[2:] else trim(coalesce(raw, '')) end as category from y""")
+def category_names(spark, sf_dir):
+    """Categories as people write them, and what is no category, by their normal names."""
+    names = F.array(*map(F.lit, _SPELLINGS))
+    raw = F.get(names, (F.col("doc_id") % (len(_SPELLINGS) + 1)).cast("int"))
+    return _table(spark, sf_dir, "documents").select("doc_id", raw.alias("raw"), evaluate.normalised_category(raw).alias("category"))
