@@ -626,7 +626,7 @@ def test_licences_held_out(spark):
     claims = sum(len(v) for v in got.values())
     recall, precision = hits / sum(k is not None for _, k in cases), hits / max(1, claims)
     print(f"held out: {len(cases)} sentences, recall {recall:.3f}, precision {precision:.3f}")
-    assert len(cases) >= 190 and recall >= 0.85 and precision >= 0.9  # 0.872 and 0.919
+    assert len(cases) >= 190 and recall >= 0.85 and precision >= 0.9  # 0.872 and 0.911
     probes = spark.createDataFrame(list(SEVERAL.items()), "text string, want array<string>")
     for r in license_scan.scan(probes).collect():
         assert [x.family for x in r.licences] == r.want, r.text
