@@ -20,7 +20,22 @@ def document_frequency(tokens_: DataFrame, doc: str = "file", by: str | None = N
     once = tokens_.select(doc, "token", *([by] if by else [])).distinct()
     if by is None:
         return once.groupBy("token").agg(F.count("*").alias("df"))
-    return once.groupBy("token", by).agg(F.count("*").alias("df")).rollup("token", by).agg(F.sum("df").alias("df")).where("token is not null")
+    return _with_totals(once.groupBy("token", by).agg(F.count("*").alias("df")), by)
+
+
+def text_frequency(docs: DataFrame, doc: str = "doc_id", text: str = "text", by: str | None = None, min_letters: int = 2) -> DataFrame:
+    """``document_frequency`` of the ``tokens`` of whole texts. Tokens are told apart within each row; only where an id repeats, which is looked up
+    first, are they dealt by document to be told apart there."""
+    found = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(rf"(\p{{L}}{{{min_letters},}})"), F.lit(1)))
+    rows = docs.select(F.col(doc).alias("file"), *([by] if by else []), F.explode(found).alias("token"))
+    if not docs.groupBy(doc).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return document_frequency(rows, by=by)
+    once = rows.groupBy("token", *([by] if by else [])).agg(F.count("*").alias("df"))
+    return once if by is None else _with_totals(once, by)
+
+
+def _with_totals(once: DataFrame, by: str) -> DataFrame:
+    return once.rollup("token", by).agg(F.sum("df").alias("df")).where("token is not null")
 
 
 def deletes(word: str) -> str:
@@ -29,19 +44,22 @@ def deletes(word: str) -> str:
 
 
 def neighbours(rare: DataFrame, lexicon: DataFrame, verify: bool = True) -> DataFrame:
-    """Pairs (token, candidate) one edit apart, by an equi-join on one-character deletes, so no pair is tried twice."""
-    a = rare.select("token", F.explode(F.expr(deletes("token"))).alias("_k"))
-    b = lexicon.select(F.col("token").alias("candidate"), "df", F.explode(F.expr(deletes("token"))).alias("_k"))
+    """Pairs (token, candidate) one edit apart, by an equi-join on one-character deletes, so no pair is tried twice. The deletes meet by their
+    hashes where pairs are verified."""
+    form = f"transform({deletes('token')}, x -> xxhash64(x))" if verify else deletes("token")
+    a = rare.select("token", F.explode(F.expr(form)).alias("_k"))
+    b = lexicon.select(F.col("token").alias("candidate"), "df", F.explode(F.expr(form)).alias("_k"))
     pairs = a.join(b, "_k").where("token <> candidate").select("token", "candidate", "df").distinct()
     return pairs.where(F.levenshtein("token", "candidate", 1) == 1) if verify else pairs
 
 
 def confused(rare: DataFrame, lexicon: DataFrame, pairs=CONFUSIONS) -> DataFrame:
-    """Candidates by one directed misreading."""
+    """Candidates by one directed misreading. The misreadings are those of the lexicon, which is smaller than what is looked up in it."""
     table = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs))
-    rows = rare.select("token", F.explode(table).alias("c")).where("contains(token, c.a)")
-    rows = rows.select("token", F.expr("explode(transform(filter(sequence(1, length(token)), i -> substr(token, i, length(c.a)) = c.a), i -> concat(substr(token, 1, i - 1), c.b, substr(token, i + length(c.a)))))").alias("candidate"))
-    return rows.distinct().join(lexicon.select(F.col("token").alias("candidate"), "df"), "candidate").where("token <> candidate").select("token", "candidate", "df")
+    rows = lexicon.select(F.col("token").alias("candidate"), "df", F.explode(table).alias("c")).where("contains(candidate, c.b)")
+    at = "filter(sequence(1, length(candidate) + 1), i -> i <= length(candidate) - length(c.b) + length(c.a) and substr(candidate, i, length(c.b)) = c.b)"
+    rows = rows.select("candidate", "df", F.expr(f"explode(transform({at}, i -> concat(substr(candidate, 1, i - 1), c.a, substr(candidate, i + length(c.b)))))").alias("token"))
+    return rows.where("token <> candidate").join(rare.select("token"), "token").select("token", "candidate", "df").distinct()
 
 
 def nearest(candidates: DataFrame, k: int = 3) -> DataFrame:
