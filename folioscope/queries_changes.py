@@ -401,8 +401,8 @@ def token_status_report(spark, sf_dir):
 
 @query(_RECOVER + ", r as (select best.*, df, row_number() over (partition by token order by df desc, candidate) as rank from best join st using (candidate)) select token, candidate, df, ['diacritics', 'confusion', 'edit1'][m + 1] as mechanism, rank from r where rank <= 3")
 def nearest_attested(spark, sf_dir):
-    tokens, table = _tokens4(spark, sf_dir)
-    return recover.nearest_attested(recover.judged(tokens.select("token"), table)[1])
+    _, table = _tokens4(spark, sf_dir)  # the lexicon has every token of the lines
+    return recover.nearest_attested(recover.judged(table.where("length(token) >= 4"), table)[1])
 
 
 _SPELLINGS = (" Clear", "NOISY ", "trash", "non_text", "Non-Text", "nontext", "EMPTY", "Other ", "  ", "Clear-ish", "non text")

@@ -20,7 +20,7 @@ def scans(df):
     return df._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet")
 
 
-@pytest.mark.parametrize(("name", "most"), [("token_status_report", 0), ("line_recoverability", 1)])
+@pytest.mark.parametrize(("name", "most"), [("token_status_report", 0), ("line_recoverability", 1), ("nearest_attested", 0)])
 def test_tokens_are_cut_once(spark, tables, name, most):
     df = q.queries()[name](spark, tables)
     assert scans(df) == most and df.count() > 0  # what is kept on the way is not read again
