@@ -35,7 +35,8 @@ def text_frequency(docs: DataFrame, doc: str = "doc_id", text: str = "text", by:
 
 
 def _with_totals(once: DataFrame, by: str) -> DataFrame:
-    return once.rollup("token", by).agg(F.sum("df").alias("df")).where("token is not null")
+    every = once.groupBy("token").agg(F.sum("df").alias("df"))
+    return once.where("token is not null").unionByName(every.where("token is not null").withColumn(by, F.lit(None).cast(once.schema[by].dataType)))
 
 
 def deletes(word: str) -> str:

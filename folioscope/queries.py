@@ -250,7 +250,7 @@ def token_df(spark, sf_dir):
 
 @query(_L + r", k as (select distinct file, source, unnest(regexp_extract_all(lower(text), '\p{L}{2,}')) as token from l) select token, source, count(*) as df from k group by token, source union all select token, null, count(*) from k group by token")
 def token_df_rollup(spark, sf_dir):
-    return lexicon.document_frequency(lexicon.tokens(_lines(spark, sf_dir).select("file", "source", "text")), by="source")
+    return lexicon.text_frequency(_table(spark, sf_dir, "documents"), by="source")
 
 
 _LEX = _L + r", k as (select distinct file, unnest(regexp_extract_all(lower(text), '\p{L}{2,}')) as token from l), x as (select token, count(*) as df from k group by token)" + "\n"

@@ -44,3 +44,12 @@ def test_misreadings_of_the_lexicon(spark):
     df = spark.createDataFrame([(w, 20) for w in words], "token string, df int")
     got = [(r.token, r.candidate) for r in lexicon.confused(df.select("token"), df, pairs).collect()]
     assert len(got) == len(set(got)) and set(got) == want and ("xab", "ab") in want and ("ab", "xab") in want and ("ab", "abx") not in want
+
+
+def planned(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rollup_counts_no_third_group(spark, tables):
+    df = q.queries()["token_df_rollup"](spark, tables)
+    assert "Expand" not in planned(df) and df.where("source is null").count() == df.select("token").distinct().count()
