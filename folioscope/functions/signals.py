@@ -400,10 +400,28 @@ def notation(t: str) -> str:
     return f"(({rlike(t, GRID)} and {rlike(t, f'[{CZ_UPPER}0-9]')}) or ({labelled} and {known}) or {count} or {chain} or ({rlike(t, '[@:]|[wW][.]')} and {rlike(t, URL)}))"
 
 
+def shape_cut(t: str) -> str:
+    """Array of the words, cut at marks that join them, as they stand."""
+    return f"split({t}, {lit(SPACE[:-1] + klass(JOINERS)[1:] + '+')})"
+
+
+def shape_piece(x: str) -> str:
+    """Struct of a cut word (c) and its letters (a)."""
+    return f"named_struct('c', {stripped(x)}, 'a', regexp_replace({stripped(x)}, '\\\\P{{L}}', ''))"
+
+
 def shape_pieces(t: str) -> str:
     """Words, cut at marks that join them, as structs of the word (c) and its letters (a); blank ones are left out."""
-    cut = f"split({t}, {lit(SPACE[:-1] + klass(JOINERS)[1:] + '+')})"
-    return f"filter(transform({cut}, x -> named_struct('c', {stripped('x')}, 'a', regexp_replace({stripped('x')}, '\\\\P{{L}}', ''))), x -> x.a <> '')"
+    return f"filter(transform({shape_cut(t)}, x -> {shape_piece('x')}), x -> x.a <> '')"
+
+
+def shape_suspect(x: str, p: Params = DEFAULT) -> str:
+    """True of every cut word with ``shape_faults`` in some language, and of some others: one pattern of the word as it stands, then the variety of words of
+    letters only."""
+    run = f"[{VOWELS}]{{{min(p.witness_vowels, p.witness_vowels_exempt)}}}"
+    odd = rlike(x, rf"{run}|(?iu:(\p{{L}})\1\1)|^{klass(STRIP)}*(?i:([bcdfghjklmnpqrstvwxz])\2)|\P{{L}}")
+    few = f"length({x}) >= {p.witness_variety_letters} and size(array_distinct(split(lower({x}), ''))) - 1 <= length({x}) * {p.witness_variety}D"
+    return f"(length({x}) >= {p.witness_letters} and ({odd} or ({few})))"
 
 
 def shape_judged(x: str, p: Params = DEFAULT) -> str:

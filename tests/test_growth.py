@@ -50,6 +50,21 @@ def planned(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_suspects_hold_all_faults(spark):
+    from folioscope.functions import signals as s
+
+    words = ["oueussd", "sektlll", "SEKTLLL", "'rragment", "RRagment", "vansasaasasa", "vans1asaasasa", "aßaß", "İİİabc", "naïve", "Naiade", "xxxx", "ΣΣΣσς", "anananan", "ananana'", "tak", "edelite", "", "\U00010400\U00010400\U00010400a"]
+    rows = spark.createDataFrame([(w,) for w in words], "p string")
+    for lang in ("''", "'deu'"):
+        got = rows.select("p", F.expr(s.shape_suspect("p")).alias("some"), F.expr(s.shape_piece("p")).alias("x")).select("p", "some", F.expr(f"{s.shape_judged('x')} and size({s.shape_faults('x', lang)}) > 0").alias("fault")).collect()
+        assert all(r.some for r in got if r.fault) and sum(r.fault for r in got) > 5 and not all(r.some for r in got)
+
+
+def test_shapes_are_judged_once_each(spark, tables):
+    plan = planned(q.queries()["token_shapes"](spark, tables))
+    assert "Generate explode(split(" in plan and plan.index("Filter") < plan.index("Generate")  # whole words come out of the texts, what is judged are rows
+
+
 def test_rollup_counts_no_third_group(spark, tables):
     df = q.queries()["token_df_rollup"](spark, tables)
     assert "Expand" not in planned(df) and df.where("source is null").count() == df.select("token").distinct().count()
