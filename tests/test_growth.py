@@ -50,6 +50,16 @@ def planned(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_lines_are_asked_what_they_are_after_their_words(spark):
+    from folioscope.operators import scoring
+
+    lines = spark.createDataFrame([("d", 1, 1, "oueussd", "ces_Latn"), ("d", 1, 1, "12,5 cm ppole", "ces_Latn")], "file string, page_num int, line_num int, text string, lang string")
+    found = scoring.shape_witness(lines, spark.createDataFrame([("other", 3)], "token string, df long"))
+    assert [r.clauses for r in found.collect()] == [["vowel_run"]]  # of two lines of one number, the one without a measurement
+    plan = planned(found)
+    assert plan.count("12,5") == 0 and plan.index("rozm") < plan.index("Join Inner")  # the tests of lines are above the join
+
+
 def test_suspects_hold_all_faults(spark):
     from folioscope.functions import signals as s
 
