@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from folioscope.operators.ordered import checkpointed
 
 PAGE = ["file", "page_num"]
-#: Bands that a page is cut into, and lines of a page that share a copy of its blocks where no block covers them.
+#: Bands that a page is cut into at most, and lines of a page that share a copy of its blocks where no block covers them.
 BANDS, SALT_LINES = 64, 4096
 
 
@@ -37,6 +37,15 @@ def distance(a: Column, b: Column) -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
+def by_height(lines: DataFrame, boxed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines (box l) and blocks (box b) of a page, a row for each band they reach into: bands are as many as the page's blocks, ``BANDS`` at most."""
+    span = boxed.groupBy(*PAGE).agg(F.min(F.col("b")[1]).alias("low"), F.max(F.col("b")[3]).alias("high"), F.least(F.lit(BANDS), F.count("*")).alias("bands"))
+    step = F.greatest((F.col("high") - F.col("low")) / F.col("bands"), F.lit(1e-9))
+    band = lambda y: F.least(F.col("bands"), F.greatest(F.lit(-1), F.floor((y - F.col("low")) / step))).cast("int")
+    cut = lambda df, c: df.join(span, PAGE).withColumn("band", F.explode(F.sequence(band(F.least(F.col(c)[1], F.col(c)[3])), band(F.greatest(F.col(c)[1], F.col(c)[3]))))).drop("low", "high", "bands")
+    return cut(lines, "l"), cut(boxed, "b")
+
+
 def linked(lines: DataFrame, blocks: DataFrame) -> DataFrame:
     """(file, page_num, line_num, to): the block of each line with a box on a page with a boxed block.
 
@@ -45,12 +54,9 @@ def linked(lines: DataFrame, blocks: DataFrame) -> DataFrame:
     """
     boxed = blocks.where("bbox is not null").select(*PAGE, "block", "ord", F.col("bbox").alias("b"))
     lines = lines.where("bbox is not null").select(*PAGE, "line_num", F.col("bbox").alias("l"))
-    span = boxed.groupBy(*PAGE).agg(F.min(F.col("b")[1]).alias("low"), F.max(F.col("b")[3]).alias("high"))
-    step = F.greatest((F.col("high") - F.col("low")) / BANDS, F.lit(1e-9))
-    band = lambda y: F.least(F.lit(BANDS), F.greatest(F.lit(-1), F.floor((y - F.col("low")) / step))).cast("int")
-    cut = lambda df, c: df.join(span, PAGE).withColumn("band", F.explode(F.sequence(band(F.least(F.col(c)[1], F.col(c)[3])), band(F.greatest(F.col(c)[1], F.col(c)[3]))))).drop("low", "high")
+    high_lines, high_blocks = by_height(lines, boxed)
     share = F.round(coverage(F.col("l"), F.col("b")), 6)
-    near = cut(lines, "l").join(cut(boxed, "b"), [*PAGE, "band"]).where(coverage(F.col("l"), F.col("b")) > 0)
+    near = high_lines.join(high_blocks, [*PAGE, "band"]).where(coverage(F.col("l"), F.col("b")) > 0)
     key = F.struct((-share).alias("s"), _area(F.col("b")).alias("a"), "ord", "block")
     covered = near.groupBy(*PAGE, "line_num").agg(F.min_by("block", key).alias("to"))
     bare = lines.join(covered, [*PAGE, "line_num"], "left_anti")

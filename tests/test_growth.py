@@ -78,3 +78,15 @@ def test_shapes_are_judged_once_each(spark, tables):
 def test_rollup_counts_no_third_group(spark, tables):
     df = q.queries()["token_df_rollup"](spark, tables)
     assert "Expand" not in planned(df) and df.where("source is null").count() == df.select("token").distinct().count()
+
+
+def test_bands_follow_the_blocks(spark):
+    from folioscope.operators import page_merge
+
+    box = lambda a, b: [0.0, float(a), 100.0, float(b)]
+    lines = spark.createDataFrame([("d", 1, i, box(i * 10, i * 10 + 8)) for i in range(40)] + [("d", 2, 1, box(0, 9))], "file string, page_num int, line_num int, l array<double>")
+    boxed = spark.createDataFrame([("d", 1, f"b{k}", k, box(k * 80, k * 80 + 79)) for k in range(5)] + [("d", 2, "b0", 0, box(0, 9))], "file string, page_num int, block string, ord int, b array<double>")
+    high_lines, high_blocks = page_merge.by_height(lines, boxed)
+    assert high_lines.count() <= 2 * 41 and high_blocks.count() <= 3 * 6
+    to = {(r.page_num, r.line_num): r.to for r in page_merge.linked(lines.withColumnRenamed("l", "bbox"), boxed.withColumnRenamed("b", "bbox")).collect()}
+    assert to == {(1, i): f"b{i // 8}" for i in range(40)} | {(2, 1): "b0"}
