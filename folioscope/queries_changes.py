@@ -199,7 +199,7 @@ la as (select ch.id, ch.key, ch.base, ch.arm, case when top.label is not null th
 
 
 def _labelled_changes(spark, sf_dir):
-    rows = _changes(spark, sf_dir)
+    rows = checkpointed(_changes(spark, sf_dir))  # read five times
     reference = rows.where("f % 3 <> 0")
     keyed = reference.withColumn("key", packs.family_key("text"))
     top = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1 or length(key) < 6").select("key", F.expr("case length(key) % 4 when 1 then 'Clear' when 2 then 'Noisy' when 3 then ' Trash ' else ' ' end").alias("label"))

@@ -90,3 +90,8 @@ def test_bands_follow_the_blocks(spark):
     assert high_lines.count() <= 2 * 41 and high_blocks.count() <= 3 * 6
     to = {(r.page_num, r.line_num): r.to for r in page_merge.linked(lines.withColumnRenamed("l", "bbox"), boxed.withColumnRenamed("b", "bbox")).collect()}
     assert to == {(1, i): f"b{i // 8}" for i in range(40)} | {(2, 1): "b0"}
+
+
+@pytest.mark.parametrize("name", ["pack_estimates", "change_labels"])
+def test_changes_are_made_once(spark, tables, name):
+    assert scans(q.queries()[name](spark, tables)) == 0  # the lines are not read again for each use of the changes
