@@ -16,16 +16,24 @@ COSTS = {
 ORDINAL = {"Trash": 0, "Noisy": 1, "Clear": 2}
 
 
-def with_occurrence(lines: DataFrame, *order: str) -> DataFrame:
-    """Numbers repeats of a key, so that repeated rows pair one to one."""
-    return lines.withColumn("occurrence", F.row_number().over(Window.partitionBy(*KEY).orderBy(*order)))
-
-
-def paired(base: DataFrame, arm: DataFrame, *order: str) -> DataFrame:
-    """Full outer pairing of two line tables by key and occurrence: base, arm (categories) and text of either."""
-    side = lambda df, name: with_occurrence(df, *order).select(*KEY, "occurrence", F.col("categ").alias(name), F.col("text").alias(f"text_{name}"))
-    both = side(base, "base").join(side(arm, "arm"), [*KEY, "occurrence"], "full_outer")
-    return both.select(*KEY, "occurrence", "base", "arm", F.coalesce("text_arm", "text_base").alias("text"))
+def with_occurrence(lines: DataFrame, *order: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Numbers repeats of a key, within the columns of ``by``, so that repeated rows pair one to one."""
+    return lines.withColumn("occurrence", F.row_number().over(Window.partitionBy(*KEY, *by).orderBy(*order)))
+
+
+def paired(base: DataFrame, arm: DataFrame, *order: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Full outer pairing of two line tables by key and occurrence: base, arm (categories), text and the columns of ``keep`` of either. A key
+    with a null meets none.
+
+    Both tables are dealt by key once, as rows of one; repeats are numbered and pairs meet where the rows are then.
+    """
+    columns = dict.fromkeys(("text", *keep))
+    side = lambda df, is_arm: df.select(*KEY, "categ", *dict.fromkeys((*columns, *order)), F.lit(is_arm).alias("_arm"))
+    rows = with_occurrence(side(base, False).unionByName(side(arm, True)).repartition(*KEY), *order, by=("_arm",))
+    alone = F.when(F.expr(" or ".join(f"{k} is null" for k in KEY)), F.col("_arm"))
+    of = lambda is_arm, c: F.max(F.when(F.col("_arm") == is_arm, F.col(c)))  # of one row
+    both = rows.groupBy(*KEY, "occurrence", alone.alias("_alone"))
+    return both.agg(of(False, "categ").alias("base"), of(True, "categ").alias("arm"), *(F.coalesce(of(True, c), of(False, c)).alias(c) for c in columns)).drop("_alone")
 
 
 def unpaired(pairs: DataFrame) -> DataFrame:

@@ -17,7 +17,9 @@ def explode_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     A null text gives no lines, an empty text one empty line.
     """
     rest = [c for c in docs.columns if c not in (id_column, text)]
-    sheets = F.transform(F.split(F.col(text), "\f", -1), lambda s: F.split(s, "\r\n|\r|\n", -1))
+    # one plain character is found without a pattern
+    cut = lambda s: F.when(F.contains(s, F.lit("\r")), F.split(s, "\r\n|\r|\n", -1)).otherwise(F.split(s, "\n", -1))
+    sheets = F.transform(F.split(F.col(text), "\f", -1), cut)
     # each sheet with the number of pages before it
     numbered = F.aggregate(
         sheets,
@@ -25,7 +27,7 @@ def explode_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
         lambda s, x: F.struct((s.pages + F.ceil(F.size(x) / page_lines).cast("int")).alias("pages"), F.concat(s.sheets, F.array(F.struct(s.pages.alias("before"), x.alias("lines")))).alias("sheets")),
         lambda s: s.sheets,
     )
-    numbered = F.when(F.contains(F.col(text), F.lit("\f")), numbered).otherwise(F.transform(sheets, lambda x: F.struct(F.lit(0).alias("before"), x.alias("lines"))))
+    numbered = F.when(F.contains(F.col(text), F.lit("\f")), numbered).otherwise(F.array(F.struct(F.lit(0).alias("before"), cut(F.col(text)).alias("lines"))))
     pages = docs.select(F.col(id_column).cast("string").alias("file"), *rest, F.explode(numbered).alias("_sheet"))
     lines = pages.select("file", *rest, F.col("_sheet.before").alias("_before"), F.posexplode("_sheet.lines").alias("_i", "text"))
     return lines.select("file", (F.col("_before") + F.floor(F.col("_i") / page_lines) + 1).cast("int").alias("page_num"), (F.col("_i") % page_lines + 1).cast("int").alias("line_num"), "text", *rest)

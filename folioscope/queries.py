@@ -175,11 +175,11 @@ def gold_join(spark, sf_dir):
     return compare.with_gold(b, gold).select("file", "page_num", "line_num", "categ", "gold_categ")
 
 
-def _pairs(spark, sf_dir):
+def _pairs(spark, sf_dir, *keep):
     b = _banded(spark, sf_dir)
     base = b.where("line_num % 11 <> 0")
     arm = b.where("line_num % 13 <> 0").withColumn("categ", F.expr("case when quality_score < 0.5 then 'Trash' when quality_score < 0.7 then 'Noisy' else categ end"))
-    return compare.paired(base, arm, "text")
+    return compare.paired(base, arm, "text", keep=keep)
 
 
 _P = _B + """, arm as (select file, page_num, line_num, case when quality_score < 0.5 then 'Trash' when quality_score < 0.7 then 'Noisy' else categ end as arm from b where line_num % 13 <> 0),

@@ -169,9 +169,10 @@ gs as (select key, count(*) as occurrences, count(distinct (collection, doc)) as
 
 
 def _changes(spark, sf_dir):
-    source = _banded(spark, sf_dir).select("file", "page_num", "line_num", F.col("source").alias("collection"))
-    rows = _pairs(spark, sf_dir).where("base <> arm").join(source, ["file", "page_num", "line_num"])
-    return rows.select(F.concat_ws(":", "file", "page_num", "line_num").alias("id"), "collection", F.col("file").alias("doc"), "text", F.col("base").alias("from"), F.col("arm").alias("to"), F.col("file").cast("long").alias("f"), "line_num")
+    """Made once and kept, as all that is asked of changes reads them several times; few of the lines, so they are dealt into fewer parts."""
+    rows = _pairs(spark, sf_dir, "source").where("base <> arm")
+    rows = rows.select(F.concat_ws(":", "file", "page_num", "line_num").alias("id"), F.col("source").alias("collection"), F.col("file").alias("doc"), "text", F.col("base").alias("from"), F.col("arm").alias("to"), F.col("file").cast("long").alias("f"), "line_num")
+    return checkpointed(rows.hint("rebalance"))
 
 
 @query(_CHANGES + """, t as (select key, text, count(*) as n from ch where key in (select key from gs) group by all),
@@ -199,7 +200,7 @@ la as (select ch.id, ch.key, ch.base, ch.arm, case when top.label is not null th
 
 
 def _labelled_changes(spark, sf_dir):
-    rows = checkpointed(_changes(spark, sf_dir))  # read five times
+    rows = _changes(spark, sf_dir)
     reference = rows.where("f % 3 <> 0")
     keyed = reference.withColumn("key", packs.family_key("text"))
     top = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1 or length(key) < 6").select("key", F.expr("case length(key) % 4 when 1 then 'Clear' when 2 then 'Noisy' when 3 then ' Trash ' else ' ' end").alias("label"))

@@ -1,10 +1,15 @@
 """Work that grows with the tables is done once: scans of the input in a query's plan, rows that a step makes, and the rare ways beside them."""
 
+import random
+import re
+from collections import Counter, defaultdict
+from itertools import zip_longest
+
 import pytest
 from pyspark.sql import functions as F
 
 from folioscope import queries as q
-from folioscope.operators import lexicon
+from folioscope.operators import compare, lexicon, lines as ln
 
 TEXTS = ["the river and the stones\nof the river", "the rivver, thee stones\n\nand rivers", "river STONES the 12 oueussd", None, "", "x"]
 
@@ -95,3 +100,41 @@ def test_bands_follow_the_blocks(spark):
 @pytest.mark.parametrize("name", ["pack_estimates", "change_labels"])
 def test_changes_are_made_once(spark, tables, name):
     assert scans(q.queries()[name](spark, tables)) == 0  # the lines are not read again for each use of the changes
+
+
+@pytest.mark.parametrize("name", ["pack_top", "pack_tail"])
+def test_packs_read_kept_changes(spark, tables, name):
+    assert scans(q.queries()[name](spark, tables)) == 0
+
+
+def test_pairs_are_dealt_once(spark):
+    """Repeats, keys with nulls, nulls in text and category, and rows of one side, against plain Python; the tables move once."""
+    rng = random.Random(5)
+    row = lambda: (rng.choice(["a", "b", None]), rng.randrange(3), rng.choice([1, 2, None]), rng.choice(["x", "y", "z", None]), rng.choice(["Clear", "Trash", None]))
+    sides = [[(*row(), f"{side}{i}") for i in range(60)] for side in "ba"]
+    base, arm = (spark.createDataFrame(s, "file string, page_num int, line_num int, text string, categ string, source string") for s in sides)
+    want, queues = [], [defaultdict(list) for _ in sides]
+    for rows, queue in zip(sides, queues):
+        for r in sorted(rows, key=lambda r: (r[3] is not None, r[3] or "", r[5])):
+            queue[r[:3]].append(r[3:])
+    for key in {*queues[0], *queues[1]}:
+        met = zip_longest(*(queue.get(key, []) for queue in queues)) if None not in key else [(b, None) for b in queues[0].get(key, [])] + [(None, a) for a in queues[1].get(key, [])]
+        for b, a in met:
+            either = [next((x for x in ((a or (None,) * 3)[i], (b or (None,) * 3)[i]) if x is not None), None) for i in (0, 2)]
+            want.append((*key, b and b[1], a and a[1], *either))
+    pairs = compare.paired(base, arm, "text", "source", keep=("source",))
+    assert Counter(tuple(r) for r in pairs.drop("occurrence").collect()) == Counter(want) and len(want) > 70
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_lines_of_all_ends(spark):
+    texts = ["", "a", "a\nb\n", "a\r\nb\rc\n\rd", "\f", "a\fb\r\f\nc", "\n\n\u2028é\x0b\n", "a\r", None, "\n" * 5 + "x"]
+    got = ln.explode_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), page_lines=2)
+    want = []
+    for i, t in enumerate(texts):
+        page = 0
+        for sheet in [] if t is None else t.split("\f"):
+            lines = re.split("\r\n|\r|\n", sheet)
+            want += [(str(i), page + k // 2 + 1, k % 2 + 1, x) for k, x in enumerate(lines)]
+            page += (len(lines) + 1) // 2
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
