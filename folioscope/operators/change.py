@@ -26,14 +26,19 @@ def early(p: Params) -> tuple:
 
 def reach(lines: DataFrame, arms: dict[str, Params], with_passes: bool = True) -> DataFrame:
     """The lines under each arm, with its name in ``arm``. Signals are the work: they are computed and written once for all
-    arms whose signals agree."""
+    arms whose signals agree; those of the shape witness, one column more, are with them if some arm has it."""
+    alone = lambda p: p.but(witness=False, witness_floor=False)
+    witnessed = {early(alone(p)) for p in arms.values() if p.witness or p.witness_floor}
     ready: dict[tuple, DataFrame] = {}
     out = None
     for name, p in arms.items():
-        if early(p) not in ready:
+        shared = early(alone(p))
+        if shared not in ready:
             dealt = lines.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "file", "page_num")
-            ready[early(p)] = checkpointed(scoring.with_signals(scoring.prefilter(dealt, p), p))
-        rows = scoring.categorised(scoring.with_score(ready[early(p)], p), p)
+            whole = p.but(witness_floor=True) if shared in witnessed else p
+            ready[shared] = checkpointed(scoring.with_signals(scoring.prefilter(dealt, whole), whole))
+        rows = ready[shared] if p.witness or p.witness_floor else ready[shared].drop("shape_clauses")
+        rows = scoring.categorised(scoring.with_score(rows, p), p)
         rows = (passes.document_passes(rows, p) if with_passes else rows).withColumn("arm", F.lit(name))
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     return out

@@ -32,6 +32,16 @@ def test_reach_is_each_arm_on_its_own(spark):
     assert {"base", "-rule_allcaps"} <= set(change.ablation()) and "rule_allcaps" in change.ablation()["-rule_allcaps"].disabled
 
 
+def test_reach_reads_lines_once_for_the_witness(spark, monkeypatch):
+    made = []
+    signals = scoring.with_signals
+    monkeypatch.setattr(change.scoring, "with_signals", lambda rows, p: made.append(p) or signals(rows, p))
+    lines = spark.createDataFrame([("d", 1, 1, "oueussd", "ces_Latn", 0.9, 50.0)], LINE)
+    arms = {"base": DEFAULT, "floor": DEFAULT.but(witness_floor=True), "both": DEFAULT.but(witness=True, trash_max=0.7), "other": DEFAULT.but(fused_vowels=4)}
+    rows = change.reach(lines, arms).select("arm", "shape_clauses").collect()
+    assert len(made) == 2 and {r.arm: r.shape_clauses is not None for r in rows} == {"base": False, "floor": True, "both": True, "other": False}
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rows = [("d", p, i, g, r, a, s) for p, i, g, r, a, s in [
